@@ -23,6 +23,39 @@ def to_number(col: Column | str, decimal: str = ".", thousands: str | None = Non
     return text.try_cast(type_)
 
 
+def sql_text(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_DATE_PART = re.compile("yyyy|yy|[dMHms]")
+_PART_SHAPE = {"yyyy": r"\d{4}", "yy": r"\d{2}"}
+
+
+def read_date_sql(text: str, fmt: str) -> str:
+    """SQL that reads a date in one format, else NULL.
+
+    The shape is tested first: a failed parse raises inside the parser, which costs far more than the test.
+    Two-digit years 69 to 99 are 1969 to 1999.
+    """
+    shape, pos = "", 0
+    for m in _DATE_PART.finditer(fmt):
+        shape += re.escape(fmt[pos:m.start()]) + _PART_SHAPE.get(m.group(), r"\d{1,2}")
+        pos = m.end()
+    read = f"try_to_date({text}, {sql_text(fmt)})"
+    if "yyyy" not in fmt:
+        read = f"CASE WHEN year({read}) >= 2069 THEN add_months({read}, -1200) ELSE {read} END"
+    return f"CASE WHEN {text} RLIKE {sql_text('^' + shape + re.escape(fmt[pos:]) + '$')} THEN {read} END"
+
+
+_NUMBER_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def read_number_sql(text: str) -> str:
+    """SQL that reads a double, else NULL; the shape is tested first for the same reason."""
+    return f"CASE WHEN {text} RLIKE {sql_text(_NUMBER_SHAPE)} THEN try_cast({text} AS DOUBLE) END"
+
+
 def blank_to_null(col: Column | str) -> Column:
     return F.nullif(_col(col), F.lit(""))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators count on at scale. Join sides are broadcast by Spark's own size check
 # (static statistics, then AQE's measured shuffle sizes); hot keys are split by AQE's skew join,
@@ -47,3 +47,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder; nothing exists there yet."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a table once to the shared folder and read it back.
+
+    Lineage ends there, lost executors cost nothing, and the plan that uses the table sees its true size, so
+    Spark's own check decides whether it is broadcast.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,4 +1,4 @@
-"""Run registered queries against DuckDB on the same tables: ``python tests/crosscheck.py [sf_dir] [names...]``."""
+"""Run registered queries against DuckDB on the same tables: ``python tests/crosscheck.py [sf_dir] [queries or modules...]``."""
 
 from __future__ import annotations
 
@@ -68,7 +68,8 @@ def main(argv):
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
     failed = []
-    for name in argv[1:] or QUERIES:
+    picked = [n for n in QUERIES if not argv[1:] or n in argv[1:] or QUERIES[n].__module__.split(".")[-1] in argv[1:]]
+    for name in picked:
         t = time.time()
         try:
             df = QUERIES[name](spark, sf)
