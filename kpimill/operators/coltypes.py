@@ -43,20 +43,29 @@ def infer_types(df: DataFrame, formats=fv.UPLOAD_DATE_FORMATS) -> DataFrame:
     return profile(df, formats).selectExpr("`column`", "name AS column_name", f"{rule} AS dtype")
 
 
-def parse_dates(df: DataFrame, col: str, formats, by: list[str], out: str = "parsed_date") -> DataFrame:
+def parse_dates(
+    df: DataFrame, col: str, formats, by: list[str], out: str = "parsed_date", month: str | None = None
+) -> DataFrame:
     """Parse a text date with the first format that reads *all* filled values of its file.
 
     The format is chosen per file by one aggregation; a file no single format can read gets NULL dates, so
-    it can be rejected. The table of formats has one row per file.
+    it can be rejected. ``month`` adds the file's report month: the month of its first date. The table of
+    formats has one row per file.
     """
-    tries = [f"count({read_date_sql(col, f)}) = count({col})" for f in formats]
-    pick = " ".join(f"WHEN {t} THEN {i}" for i, t in enumerate(tries))
+    reads = [read_date_sql(col, f) for f in formats]
+    tries = " ".join(f"WHEN count({r}) = count({col}) THEN {i}" for i, r in enumerate(reads))
+    first = f"array({', '.join(f'min({r})' for r in reads)})"
     files = [f"__f{i}" for i in range(len(by))]
-    chosen = df.groupBy(*[F.col(c).alias(f) for c, f in zip(by, files)]).agg(F.expr(f"CASE {pick} END AS __fmt"))
+    chosen = df.groupBy(*[F.col(c).alias(f) for c, f in zip(by, files)]).agg(
+        F.expr(f"CASE {tries} END AS __fmt"), F.expr(f"{first} AS __first"))
+    chosen = chosen.withColumn("__month", F.expr("trunc(get(__first, __fmt), 'month')")).drop("__first")
     chosen = materialize(chosen, "date-formats")
-    reads = " ".join(f"WHEN {i} THEN {read_date_sql(col, f)}" for i, f in enumerate(formats))
     joined = df.join(chosen, [F.equal_null(F.col(c), F.col(f)) for c, f in zip(by, files)], "left")
-    return joined.withColumn(out, F.expr(f"CASE __fmt {reads} END")).drop("__fmt", *files)
+    picked = " ".join(f"WHEN {i} THEN {r}" for i, r in enumerate(reads))
+    joined = joined.withColumn(out, F.expr(f"CASE __fmt {picked} END"))
+    if month:
+        joined = joined.withColumn(month, F.col("__month"))
+    return joined.drop("__fmt", "__month", *files)
 
 
 def coerce(df: DataFrame, codes: dict[str, str], formats=fv.UPLOAD_DATE_FORMATS) -> DataFrame:

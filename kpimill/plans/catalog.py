@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from kpimill.plans import cube_queries, lookup_queries, shape_queries  # noqa: F401
+from kpimill.plans import cube_queries, lookup_queries, scan_queries, shape_queries  # noqa: F401
 from kpimill.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

@@ -188,7 +188,9 @@ def incremental_refresh(
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    """Delimited text with a header; blanks around values are kept."""
+    writer = df.write.mode("overwrite").option("header", True).option("sep", sep)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 HISTORY_SCHEMA = "loaded_at timestamp_ntz, file_name string, schema_name string, table_name string, user_name string"
