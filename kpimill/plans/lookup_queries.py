@@ -28,7 +28,7 @@ def plan_lookup(spark, sf):
 
 @query("branch_lookup", with_views("branch region_dim", """
     SELECT upper(c_mktsegment) AS segment, region, branch_id, count(*) AS n FROM (
-      SELECT c_mktsegment, CASE n_name WHEN 'CHINA' THEN 'JAPAN' ELSE n_name END AS region
+      SELECT c_mktsegment, CASE n_name WHEN 'NATION_4' THEN 'NATION_7' ELSE n_name END AS region
       FROM customer JOIN nation ON c_nationkey = n_nationkey) c
       JOIN (SELECT min(b.branch_id) AS branch_id, region_name FROM branch b JOIN region_dim r ON b.region_id = r.region_id
         WHERE b.product_cluster_name <> 'ASIA' AND b.branch_name NOT LIKE '%9%' GROUP BY 2) d ON d.region_name = c.region
@@ -37,7 +37,7 @@ def branch_lookup(spark, sf):
     """Region names relabelled, then looked up in one branch per region."""
     nation = table(spark, sf, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name AS region")
     feed = table(spark, sf, "customer").join(nation, "c_nationkey")
-    feed = project.relabel(feed, "region", {"CHINA": "JAPAN"}).groupBy(F.upper("c_mktsegment").alias("segment"), "region").agg(
+    feed = project.relabel(feed, "region", {"NATION_4": "NATION_7"}).groupBy(F.upper("c_mktsegment").alias("segment"), "region").agg(
         F.count(F.lit(1)).alias("n"))
     retail = lookup.retail_branches(A.branch(spark, sf), A.region_dim(spark, sf), ["9"], "ASIA")
     dim = lookup.representative_key(retail, ["region_name"], "branch_id")

@@ -176,12 +176,12 @@ def filter_between(spark, sf):
 
 
 @query("filter_like", """
-    SELECT p_partkey, p_name, p_brand FROM part WHERE p_name IS NOT NULL AND p_name NOT LIKE '%1%'
-      AND p_name NOT LIKE '%7%' AND p_brand <> 'Brand#11'""")
+    SELECT p_partkey, p_name, p_brand FROM part WHERE p_name IS NOT NULL AND p_name NOT LIKE '%anvil%'
+      AND p_name NOT LIKE '%blue%' AND p_brand <> 'Brand#11'""")
 def filter_like(spark, sf):
     n = F.col("p_name")
     return table(spark, sf, "part").where(
-        n.isNotNull() & ~n.like("%1%") & ~n.like("%7%") & (F.col("p_brand") != "Brand#11")
+        n.isNotNull() & ~n.like("%anvil%") & ~n.like("%blue%") & (F.col("p_brand") != "Brand#11")
     ).select("p_partkey", "p_name", "p_brand")
 
 
@@ -405,13 +405,13 @@ def excel_serial(spark, sf):
 
 @query("string_ops", """
     SELECT p_partkey, upper(trim(p_name)) AS name_up, contains(p_type, 'PROMO') AS promo, starts_with(p_brand, 'Brand#1') AS b1,
-      ends_with(p_brand, '5') AS b5, replace(p_brand, '#', '') AS plain, regexp_replace(p_name, '[0-9]+', 'N', 'g') AS masked
+      ends_with(p_brand, '5') AS b5, replace(p_brand, '#', '') AS plain, regexp_replace(p_brand, '[0-9]+', 'N', 'g') AS masked
     FROM part""")
 def string_ops(spark, sf):
     return table(spark, sf, "part").select(
         "p_partkey", F.upper(F.trim("p_name")).alias("name_up"), F.col("p_type").contains("PROMO").alias("promo"),
         F.col("p_brand").startswith("Brand#1").alias("b1"), F.col("p_brand").endswith("5").alias("b5"),
-        F.translate("p_brand", "#", "").alias("plain"), F.regexp_replace("p_name", "[0-9]+", "N").alias("masked"))
+        F.translate("p_brand", "#", "").alias("plain"), F.regexp_replace("p_brand", "[0-9]+", "N").alias("masked"))
 
 
 @query("split_route", """

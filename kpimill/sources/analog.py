@@ -148,7 +148,7 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN c_nationkey % 2 = 0 THEN 'USD' ELSE 'LCL' END AS currency",
         "c_custkey % 10 AS lots",
         "c_acctbal AS average_price",
-        "CAST(CAST(c_acctbal / 10 AS DECIMAL(18,2)) AS DOUBLE) AS expected_yield",
+        "c_acctbal * 2 AS expected_yield",
     )
 
 
@@ -217,7 +217,7 @@ VIEW_SQL = {
     "positions": """
         SELECT c_name AS name, c_mktsegment AS ticker,
           CASE WHEN c_nationkey % 2 = 0 THEN 'USD' ELSE 'LCL' END AS currency, c_custkey % 10 AS lots,
-          c_acctbal AS average_price, CAST(CAST(c_acctbal / 10 AS DECIMAL(18,2)) AS DOUBLE) AS expected_yield
+          c_acctbal AS average_price, c_acctbal * 2 AS expected_yield
         FROM customer""",
     "ticks": "SELECT ts, event_type AS ticker, value AS price, event_id FROM events",
     "book": """
