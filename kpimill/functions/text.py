@@ -35,17 +35,22 @@ _PART_SHAPE = {"yyyy": r"\d{4}", "yy": r"\d{2}"}
 def read_date_sql(text: str, fmt: str) -> str:
     """SQL that reads a date in one format, else NULL.
 
-    The shape is tested first: a failed parse raises inside the parser, which costs far more than the test.
-    Two-digit years 69 to 99 are 1969 to 1999.
+    The shape is tested first, from the cheapest test on: a failed parse raises inside the parser, which costs
+    far more. Two-digit years 69 to 99 are 1969 to 1999.
     """
-    shape, pos = "", 0
+    shape, pos, least, most = "", 0, 0, 0
     for m in _DATE_PART.finditer(fmt):
-        shape += re.escape(fmt[pos:m.start()]) + _PART_SHAPE.get(m.group(), r"\d{1,2}")
+        mark = fmt[pos:m.start()]
+        shape += re.escape(mark) + _PART_SHAPE.get(m.group(), r"\d{1,2}")
+        least += len(mark) + len(m.group())
+        most += len(mark) + max(len(m.group()), 2)
         pos = m.end()
+    sep = sql_text(re.sub("[A-Za-z]", "", fmt)[0])
     read = f"try_to_date({text}, {sql_text(fmt)})"
     if "yyyy" not in fmt:
         read = f"CASE WHEN year({read}) >= 2069 THEN add_months({read}, -1200) ELSE {read} END"
-    return f"CASE WHEN {text} RLIKE {sql_text('^' + shape + re.escape(fmt[pos:]) + '$')} THEN {read} END"
+    fits = f"length({text}) BETWEEN {least} AND {most} AND contains({text}, {sep}) AND {text} RLIKE {sql_text(f'^{shape}$')}"
+    return f"CASE WHEN {fits} THEN {read} END"
 
 
 _NUMBER_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -66,7 +71,7 @@ def nan_to_null(col: Column | str) -> Column:
 
 def extract(col: Column | str, pattern: str, group: int) -> Column:
     """Regex group, or NULL when the pattern does not match."""
-    return F.when(F.regexp_like(_col(col), F.lit(pattern)), F.regexp_extract(_col(col), pattern, group))
+    return F.nullif(F.regexp_extract(_col(col), pattern, group), F.lit(""))
 
 
 def or_unknown(col: Column | str, matched: Column | str, default: str = "Unknown") -> Column:

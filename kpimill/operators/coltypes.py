@@ -11,18 +11,20 @@ from kpimill.session import materialize
 
 def profile(df: DataFrame, formats=fv.UPLOAD_DATE_FORMATS) -> DataFrame:
     """One row per column with the counts that type inference needs; one aggregation over the whole table."""
+    columns = list(enumerate(df.columns))
+    # texts and numbers are made once per row, then aggregated
+    texts = df.selectExpr(*[f"CAST(`{c}` AS STRING) AS t{i}" for i, c in columns])
+    cells = texts.selectExpr("*", *[f"{read_number_sql(f't{i}')} AS n{i}" for i, _ in columns])
     stats = []
-    for c in df.columns:
-        text = f"CAST(`{c}` AS STRING)"
-        num = read_number_sql(text)
-        dates = ", ".join(f"count({read_date_sql(text, f)})" for f in formats)
+    for i, c in columns:
+        dates = ", ".join(f"count({read_date_sql(f't{i}', f)})" for f in formats)
         stats.append(
-            f"named_struct('column', {_q(c)}, 'name', {_q(proper_name(c))}, 'filled', count(`{c}`), "
-            f"'dates', array({dates}), 'numbers', count({num}), "
-            f"'integral', count(CASE WHEN {num} = floor({num}) THEN 1 END), 'top', max({num}), "
-            f"'width', CAST(coalesce(max(length(coalesce({text}, 'nan'))), 0) AS INT))"
+            f"named_struct('column', {_q(c)}, 'name', {_q(proper_name(c))}, 'filled', count(t{i}), "
+            f"'dates', array({dates}), 'numbers', count(n{i}), "
+            f"'integral', count(CASE WHEN n{i} = floor(n{i}) THEN 1 END), 'top', max(n{i}), "
+            f"'width', CAST(coalesce(max(length(coalesce(t{i}, 'nan'))), 0) AS INT))"
         )
-    return df.selectExpr(f"array({', '.join(stats)}) AS p").selectExpr("inline(p)")
+    return cells.selectExpr(f"array({', '.join(stats)}) AS p").selectExpr("inline(p)")
 
 
 def infer_types(df: DataFrame, formats=fv.UPLOAD_DATE_FORMATS) -> DataFrame:
@@ -53,11 +55,12 @@ def parse_dates(
     formats has one row per file.
     """
     reads = [read_date_sql(col, f) for f in formats]
-    tries = " ".join(f"WHEN count({r}) = count({col}) THEN {i}" for i, r in enumerate(reads))
-    first = f"array({', '.join(f'min({r})' for r in reads)})"
+    tries = " ".join(f"WHEN count(__d{i}) = count(__text) THEN {i}" for i in range(len(reads)))
+    first = f"array({', '.join(f'min(__d{i})' for i in range(len(reads)))})"
     files = [f"__f{i}" for i in range(len(by))]
-    chosen = df.groupBy(*[F.col(c).alias(f) for c, f in zip(by, files)]).agg(
-        F.expr(f"CASE {tries} END AS __fmt"), F.expr(f"{first} AS __first"))
+    parsed = df.selectExpr(*[f"`{c}` AS {f}" for c, f in zip(by, files)], f"{col} AS __text",
+                           *[f"{r} AS __d{i}" for i, r in enumerate(reads)])
+    chosen = parsed.groupBy(*files).agg(F.expr(f"CASE {tries} END AS __fmt"), F.expr(f"{first} AS __first"))
     chosen = chosen.withColumn("__month", F.expr("trunc(get(__first, __fmt), 'month')")).drop("__first")
     chosen = materialize(chosen, "date-formats")
     joined = df.join(chosen, [F.equal_null(F.col(c), F.col(f)) for c, f in zip(by, files)], "left")

@@ -32,7 +32,8 @@ def refresh_all(
     windows = P.refresh_windows(max_date, months_from)
     rows = cube.period_cube(lots, agg, windows, arms, as_of, **options)
     if tables.exists(spark, path):
-        tables.replace_slice(spark, path, F.col("period").isin(*P.KINDS), rows, ["period"])
+        tables.replace_slice(
+            spark, path, F.col("period").isin(*P.KINDS), rows, ["period"], gaining={(k,) for k in P.KINDS})
     else:
         tables.full_reload(rows, path, ["period"])
 
@@ -130,7 +131,7 @@ def sales_mix_params(
 
 def load_sales_mix(spark: SparkSession, path: str, params: DataFrame, report_month: dt.date) -> None:
     slice_ = (F.col("param_1") == fv.SALES_MIX_PARAM) & (F.col("report_date") == F.lit(report_month))
-    tables.replace_slice(spark, path, slice_, params, ["param_1"])
+    tables.replace_slice(spark, path, slice_, params, ["param_1"], gaining={(fv.SALES_MIX_PARAM,)})
 
 
 # ---- finance plan --------------------------------------------------------------------------------
@@ -165,12 +166,16 @@ def load_plan(
     spark: SparkSession, path: str, backup: str, raw: DataFrame, codes: DataFrame, spec: tables.SliceSpec,
     account: str = fv.PASSTHROUGH_ACCOUNT,
 ) -> None:
-    """Back up the slice, replace it with the daily plan, keep only the newest forecast version."""
+    """Back up the slice, replace it with the daily plan, keep only the newest forecast version.
+
+    The slice is described on the parameters' columns and cut by version (param_1), the table's partition.
+    """
     params = plan_params(raw, codes)
     spec = spec.resolve(params)
     cond = spec.column()
     tables.backup_slice(spark, path, backup, cond, ["param_1"])
-    tables.replace_slice(spark, path, cond, daily_plan(params.where(cond), account), ["param_1"])
+    versions = {(v,) for v in spec.keys["param_1"]}
+    tables.replace_slice(spark, path, cond, daily_plan(params.where(cond), account), ["param_1"], gaining=versions)
     keep_latest_forecast(spark, path)
 
 
@@ -291,7 +296,7 @@ def load_cdr(spark: SparkSession, path: str, records: DataFrame) -> DataFrame:
     yes = [tuple(r) for r in decision.where("load").select(*CDR_SLICE).collect()]  # slices, as many as folders
     if yes:
         slices = F.struct(*CDR_SLICE).isin([F.struct(F.lit(d), F.lit(m)) for d, m in yes])
-        tables.replace_slice(spark, path, slices, rows, CDR_SLICE)
+        tables.replace_slice(spark, path, slices, rows, CDR_SLICE, gaining=set(yes))
     return decision
 
 

@@ -64,20 +64,26 @@ def _rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"cannot rename {old} to {new}")
 
 
-def full_reload(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace all rows. The old files go when the new job commits."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+def _write(df: DataFrame, path: str, partition_by: list[str] | None, mode: str, overwrite: str = "static") -> None:
+    """Write, with rows gathered per partition first: few files for small ones, several tasks for large ones."""
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    writer = df.write.mode(mode).option("partitionOverwriteMode", overwrite)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def full_reload(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    """Replace all rows."""
+    _write(df, path, partition_by, "overwrite")
+
+
 def append(df: DataFrame, path: str, columns: list[str] | None = None, partition_by: list[str] | None = None) -> None:
     """Positional append: the i-th column goes to the i-th target column."""
     if columns:
         if len(columns) != len(df.columns):
             raise ValueError(f"{len(df.columns)} columns for a target with {len(columns)}")
         df = df.toDF(*columns)
-    writer = df.write.mode("append")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    _write(df, path, partition_by, "append")
 
 
 def _swap(spark: SparkSession, df: DataFrame, path: str, keep_backup: bool = False) -> None:
@@ -122,42 +128,55 @@ def replace_slice(
     df: DataFrame | None = None,
     partition_by: list[str] | None = None,
     keep_backup: bool = False,
+    gaining: set[tuple] | None = None,
 ) -> None:
     """Delete the rows for which the predicate is true, then add the new rows.
 
     Rows for which it is NULL stay. With partitions only those that lose or gain rows are rewritten, and one
-    that ends up empty is removed. ``df=None`` clears the slice.
+    that ends up empty is removed. ``df=None`` clears the slice. ``gaining`` names the partitions the new rows can
+    go to; without it the new rows are staged first, so that they are computed once.
     """
     reader = spark.read if df is None else spark.read.schema(df.schema)
     target = reader.parquet(path)
+    new = target.limit(0) if df is None else df.select(*target.columns)
     keep = ~F.coalesce(predicate, F.lit(False))
     if not partition_by:
-        new = target.limit(0) if df is None else df.select(*target.columns)
         _swap(spark, target.where(keep).unionByName(new), path, keep_backup)
         return
     if keep_backup:
         raise ValueError("backups of partitioned tables are made with backup_slice")
-    # written once: the new rows are needed for their partitions and for the write
-    new = target.limit(0) if df is None else materialize(df.select(*target.columns), "slice")
+    if df is None:
+        gaining = set()
+    elif gaining is None:
+        new = materialize(new, "slice")
+        gaining = _partitions(new, partition_by)
     losing = _partitions(target.where(predicate), partition_by)
-    gaining = _partitions(new, partition_by) if df is not None else set()
     touched = losing | gaining
     if not touched:
         return
     kept = target.where(_in_partitions(partition_by, touched) & keep)
-    emptied = losing - gaining - _partitions(kept, partition_by)
-    if touched - emptied:
+    # a partition that loses all its old rows: if the write leaves its old files there, it gained none and goes
+    doubtful = losing - _partitions(kept.where(_in_partitions(partition_by, losing)), partition_by) if losing else set()
+    old = {row: _any_file(spark, _folder(spark, path, partition_by, row)) for row in doubtful}
+    if touched - doubtful or gaining:
         # the kept rows come from folders this write replaces: those are only dropped when the job commits
-        writer = kept.unionByName(new).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*partition_by).parquet(path)
-    for row in emptied:
-        _delete(spark, f"{path}/" + "/".join(_folder(spark, c, v) for c, v in zip(partition_by, row)))
+        _write(kept.unionByName(new), path, partition_by, "overwrite", "dynamic")
+    for row, file in old.items():
+        if file and exists(spark, file):
+            _delete(spark, _folder(spark, path, partition_by, row))
     spark.catalog.refreshByPath(path)
 
 
-def _folder(spark: SparkSession, col: str, value) -> str:
+def _any_file(spark: SparkSession, folder: str) -> str | None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    return next((f.getPath().toString() for f in listed if f.isFile()), None)
+
+
+def _folder(spark: SparkSession, path: str, partition_by: list[str], row: tuple) -> str:
     names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    return names.getPartitionPathString(col, None if value is None else str(value))
+    parts = [names.getPartitionPathString(c, None if v is None else str(v)) for c, v in zip(partition_by, row)]
+    return "/".join([path, *parts])
 
 
 def clear_slice(spark: SparkSession, path: str, predicate: Column, partition_by: list[str] | None = None) -> None:
@@ -170,7 +189,8 @@ def backup_slice(
     """Copy a slice of the table into its backup table, replacing the same slice there."""
     rows = spark.read.parquet(path).where(predicate)
     if exists(spark, backup):
-        replace_slice(spark, backup, predicate, rows, partition_by)
+        gaining = _partitions(rows, partition_by) if partition_by else None
+        replace_slice(spark, backup, predicate, rows, partition_by, gaining=gaining)
     else:
         full_reload(rows, backup, partition_by)
 
@@ -182,7 +202,8 @@ def incremental_refresh(
     cond = F.col(date_col) >= F.lit(since)
     if partition_by:
         backup_slice(spark, path, f"{path}__backup", cond, partition_by)
-        replace_slice(spark, path, cond, source.where(cond), partition_by)
+        rows = source.where(cond)
+        replace_slice(spark, path, cond, rows, partition_by, gaining=_partitions(rows, partition_by))
     else:
         replace_slice(spark, path, cond, source.where(cond), keep_backup=True)
 
