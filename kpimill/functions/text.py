@@ -28,6 +28,8 @@ def sql_text(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+CENTURY_PIVOT = 2069  # two-digit years read as this year or later belong to the century before
+
 _DATE_PART = re.compile("yyyy|yy|[dMHms]")
 _PART_SHAPE = {"yyyy": r"\d{4}", "yy": r"\d{2}"}
 
@@ -48,7 +50,7 @@ def read_date_sql(text: str, fmt: str) -> str:
     sep = sql_text(re.sub("[A-Za-z]", "", fmt)[0])
     read = f"try_to_date({text}, {sql_text(fmt)})"
     if "yyyy" not in fmt:
-        read = f"CASE WHEN year({read}) >= 2069 THEN add_months({read}, -1200) ELSE {read} END"
+        read = f"CASE WHEN year({read}) >= {CENTURY_PIVOT} THEN add_months({read}, -1200) ELSE {read} END"
     fits = f"length({text}) BETWEEN {least} AND {most} AND contains({text}, {sep}) AND {text} RLIKE {sql_text(f'^{shape}$')}"
     return f"CASE WHEN {fits} THEN {read} END"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kpimill.functions import fixed_values as fv
-from kpimill.functions.text import proper_name, read_date_sql, read_number_sql, sql_text as _q
+from kpimill.functions.text import CENTURY_PIVOT, proper_name, read_date_sql, read_number_sql, sql_text as _q
 from kpimill.session import materialize
 
 
@@ -45,6 +45,11 @@ def infer_types(df: DataFrame, formats=fv.UPLOAD_DATE_FORMATS) -> DataFrame:
     return profile(df, formats).selectExpr("`column`", "name AS column_name", f"{rule} AS dtype")
 
 
+def _read_chosen(text: str, chosen: str, formats) -> str:
+    """SQL that reads a text in the format with the chosen number, which is known to fit: no shape test is made."""
+    return f"CASE {chosen} " + " ".join(f"WHEN {i} THEN try_to_date({text}, {_q(f)})" for i, f in enumerate(formats)) + " END"
+
+
 def parse_dates(
     df: DataFrame, col: str, formats, by: list[str], out: str = "parsed_date", month: str | None = None
 ) -> DataFrame:
@@ -54,18 +59,22 @@ def parse_dates(
     it can be rejected. ``month`` adds the file's report month: the month of its first date. The table of
     formats has one row per file.
     """
-    reads = [read_date_sql(col, f) for f in formats]
+    reads = [read_date_sql("__text", f) for f in formats]
     tries = " ".join(f"WHEN count(__d{i}) = count(__text) THEN {i}" for i in range(len(reads)))
     first = f"array({', '.join(f'min(__d{i})' for i in range(len(reads)))})"
     files = [f"__f{i}" for i in range(len(by))]
-    parsed = df.selectExpr(*[f"`{c}` AS {f}" for c, f in zip(by, files)], f"{col} AS __text",
-                           *[f"{r} AS __d{i}" for i, r in enumerate(reads)])
+    # dates repeat: every distinct text of a file is parsed once, in all formats
+    texts = df.selectExpr(*[f"`{c}` AS {f}" for c, f in zip(by, files)], f"`{col}` AS __text").distinct()
+    parsed = texts.selectExpr("*", *[f"{r} AS __d{i}" for i, r in enumerate(reads)])
     chosen = parsed.groupBy(*files).agg(F.expr(f"CASE {tries} END AS __fmt"), F.expr(f"{first} AS __first"))
     chosen = chosen.withColumn("__month", F.expr("trunc(get(__first, __fmt), 'month')")).drop("__first")
     chosen = materialize(chosen, "date-formats")
     joined = df.join(chosen, [F.equal_null(F.col(c), F.col(f)) for c, f in zip(by, files)], "left")
-    picked = " ".join(f"WHEN {i} THEN {r}" for i, r in enumerate(reads))
-    joined = joined.withColumn(out, F.expr(f"CASE __fmt {picked} END"))
+    joined = joined.withColumn(out, F.expr(_read_chosen(col, "__fmt", formats)))
+    short = [str(i) for i, f in enumerate(formats) if "yyyy" not in f]
+    if short:
+        this_century = f"__fmt IN ({', '.join(short)}) AND year({out}) >= {CENTURY_PIVOT}"
+        joined = joined.withColumn(out, F.expr(f"CASE WHEN {this_century} THEN add_months({out}, -1200) ELSE {out} END"))
     if month:
         joined = joined.withColumn(month, F.col("__month"))
     return joined.drop("__fmt", "__month", *files)
