@@ -82,6 +82,10 @@ def or_unknown(col: Column | str, matched: Column | str, default: str = "Unknown
     return F.when(_col(matched) & (c.isNull() | (c == "")), F.lit(default)).otherwise(c)
 
 
+def first_word(name: Column | str) -> Column:
+    return F.split_part(_col(name), F.lit(" "), F.lit(1))
+
+
 def first_code(codes: Column | str) -> Column:
     """First code of a comma list without the dial-out prefix, wherever it stands."""
     return F.replace(F.get(F.split(_col(codes), ","), F.lit(0)), F.lit(fv.DIAL_OUT_PREFIX), F.lit(""))

@@ -229,6 +229,26 @@ def plan_two_segments(spark, sf):
     return jobs.plan_two_segments(b2c, b2b, A.branch(spark, sf))
 
 
+@query("live_base_load", f"""
+    WITH branch AS ({VIEW_SQL['branch']}), bb AS (SELECT c_nationkey AS n, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS v FROM customer GROUP BY 1),
+      y AS (SELECT 2021 AS y UNION ALL SELECT 2020), mm AS (SELECT CAST(unnest(generate_series(1, 12)) AS INTEGER) AS m)
+    SELECT {params_sql(report_date="make_date(y, m, 1)", param_1="'Plan'", param_2="'Core Live Subs'", param_3="'B2B'", branch_id="branch_id",
+                       param_value="CASE y WHEN 2021 THEN v ELSE 0 END")}
+    FROM bb CROSS JOIN y CROSS JOIN mm JOIN branch b ON b.code = concat(CAST(n AS VARCHAR), '00')""")
+def live_base_load(spark, sf):
+    """Plan of a year and its zero copy for the year before, each replacing its own year; run twice."""
+    customer = table(spark, sf, "customer").selectExpr("concat(CAST(c_nationkey AS STRING), '00') AS code", "CAST(c_acctbal AS DECIMAL(18,2)) AS bal")
+    b2b = customer.groupBy("code").agg(F.sum("bal").cast("double").alias("value"))
+    no_rows = customer.where("false").selectExpr("code", "'' AS region", "'' AS base", *[f"0.0 AS `{m}`" for m in _SEG_MONTHS])
+    params = jobs.plan_two_segments(no_rows, b2b, A.branch(spark, sf))
+    path = scratch_path(spark, "live")
+    tables.full_reload(params.limit(0), path)
+    for _ in range(2):
+        jobs.load_live_base(spark, path, params, "Plan", 2021)
+        jobs.load_live_base(spark, path, jobs.previous_year_zero(params), "Plan", 2020)
+    return spark.read.schema(fv.PARAMETERS_SCHEMA).parquet(path).select(*PARAM_NAMES)
+
+
 @query("target_levels", f"""
     WITH branch AS ({VIEW_SQL['branch']}), t AS (SELECT c_nationkey AS n, min(c_acctbal) AS lo, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS mid,
         max(c_acctbal) AS hi FROM customer GROUP BY 1), l AS (SELECT unnest(['Min', 'Target', 'Stretch']) AS level)

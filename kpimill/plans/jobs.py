@@ -12,6 +12,7 @@ from kpimill.functions import fixed_values as fv
 from kpimill.functions import periods as P
 from kpimill.functions import text as X
 from kpimill.operators import coltypes, control, cube, lookup, project, reshape
+from kpimill.session import materialize
 from kpimill.sinks import tables
 
 # ---- marketplace cube ----------------------------------------------------------------------------
@@ -119,7 +120,8 @@ def sales_mix_params(
     long: DataFrame, report_month: dt.date, plans: DataFrame, branches: DataFrame, regions: dict[str, str], by_channel: bool = False
 ) -> DataFrame:
     """Long sales mix to the parameters layout: plan id by tariff name, branch id by region name."""
-    plan_ids = lookup.other_bucket(plans, long.select("tariff"), "name_report", "tp_id")
+    # one row per tariff name: written once, so that the lookup sees its size and not the feed's
+    plan_ids = materialize(lookup.other_bucket(plans, long.select("tariff"), "name_report", "tp_id"), "plan-ids")
     mapped = lookup.map_dim(long, plan_ids, {"tariff": "name_report"})
     mapped = lookup.map_dim(project.relabel(mapped, "region", regions), branches, {"region": "region_name"})
     constants = {"report_date": F.lit(report_month), "param_1": fv.SALES_MIX_PARAM, "tp_id_1": F.col("tp_id"),
@@ -170,7 +172,7 @@ def load_plan(
 
     The slice is described on the parameters' columns and cut by version (param_1), the table's partition.
     """
-    params = plan_params(raw, codes)
+    params = materialize(plan_params(raw, codes), "plan-params")  # monthly rows, used three times
     spec = spec.resolve(params)
     cond = spec.column()
     tables.backup_slice(spark, path, backup, cond, ["param_1"])
@@ -204,6 +206,19 @@ def plan_two_segments(b2c: DataFrame, b2b: DataFrame, codes: DataFrame) -> DataF
     return project.conform(mapped, fv.PARAMETERS_SCHEMA, {"param_1": "Plan", "param_2": fv.LIVE_BASE_KPI})
 
 
+def previous_year_zero(params: DataFrame) -> DataFrame:
+    """The same rows a year earlier with value 0, so that year-on-year reports have a base."""
+    return P.shift_year(params, "report_date", -1, "param_value")
+
+
+def load_live_base(spark: SparkSession, path: str, params: DataFrame, version: str, year: int | None = None) -> dict:
+    """Replace the live-base rows of a version, or of one year of it."""
+    slice_ = (F.col("param_1") == version) & (F.col("param_2") == fv.LIVE_BASE_KPI)
+    if year is not None:
+        slice_ = slice_ & (F.year("report_date") == year)
+    return tables.replace_slice(spark, path, slice_, params, ["param_1"], gaining={(version,)})
+
+
 def target_levels(sheet: DataFrame, codes: DataFrame, report_date: dt.date, kpi: str = fv.LIVE_BASE_KPI) -> DataFrame:
     """Sheet of Min, Target and Stretch values of one KPI as parameters."""
     names = ["cluster", "kpi", "code", "region", "Min", "Target", "Stretch"]
@@ -225,7 +240,10 @@ CDR_SCHEMA = (
 
 
 def feed_direction(df: DataFrame) -> str | None:
-    """Direction told by a feed's headers; None when a column holds it."""
+    """Direction told by a feed's headers; None when a column holds it.
+
+    Feeds named by direction get that column from ``text.first_word`` of the file name beforehand.
+    """
     if "OPERATOR_NAME" in df.columns:
         return "Incoming"
     return None if "DIRECTION" in df.columns else "Outgoing"
@@ -238,6 +256,7 @@ def normalize_cdr(
     mapping: DataFrame | None = None,
     dictionary: DataFrame | None = None,
     file_col: str = "data_source",
+    carrier_types=fv.CARRIER_TYPES,
 ) -> DataFrame:
     """Call-record feed of one layout (any number of files) to the target layout.
 
@@ -254,7 +273,7 @@ def normalize_cdr(
         df = df.withColumns({"CARRIER": X.extract(carrier, fv.CARRIER_PATTERN, 1),
                              "BRANCH": X.extract(carrier, fv.CARRIER_PATTERN, 2)})
     df = df.withColumn("CARRIER_TYPE", X.extract("CARRIER", fv.CARRIER_TYPE_PATTERN, 1))
-    df = df.where(F.col("CARRIER_TYPE").isin(*fv.CARRIER_TYPES) & ~F.col("CARRIER").isin(*fv.EXCLUDED_CARRIERS))
+    df = df.where(F.col("CARRIER_TYPE").isin(*carrier_types) & ~F.col("CARRIER").isin(*fv.EXCLUDED_CARRIERS))
     df = df.withColumnRenamed("CDR_DATE", "__text_date")
     df = coltypes.parse_dates(df, "__text_date", fv.CDR_DATE_FORMATS, [file_col], "CDR_DATE", "CDR_MONTH")
     if direction == "Incoming" and incoming is not None:
@@ -286,9 +305,10 @@ CDR_SLICE = ["direction", "cdr_month"]
 
 def load_cdr(spark: SparkSession, path: str, records: DataFrame) -> DataFrame:
     """Replace the (direction, month) slices whose new rows pass the freshness gate; gives the decisions."""
+    records = materialize(records, "cdr")  # parsed once: for the gate and for the write
     stored = spark.read.schema(records.schema).parquet(path) if tables.exists(spark, path) else records.limit(0)
     decision = control.freshness_gate(records, stored, CDR_SLICE, "cdr_date", "cdr_month", "data_source")
-    decision = coltypes.materialize(decision, "gate")
+    decision = materialize(decision, "gate")
     rows = control.accepted(records, decision, CDR_SLICE, "data_source")
     if not tables.exists(spark, path):
         tables.full_reload(rows, path, CDR_SLICE)

@@ -17,15 +17,12 @@ from kpimill.sources import files, pages, workbook
 from kpimill.sources.analog import table, with_views
 
 
-def write_feed(df: DataFrame, head: list[str], name: str, parts: int = 4, tail: tuple[str, ...] = ()) -> str:
-    """Text files that each start with the given lines, then hold a share of the rows of ``value``."""
+def write_feed(df: DataFrame, head: list[str], name: str) -> str:
+    """Text files, one per task, that each start with the given lines; ``value`` holds the rows."""
     path = scratch_path(df.sparkSession, name)
-    body = df.select(F.pmod(F.xxhash64("value"), F.lit(parts)).cast("int").alias("part"), F.lit(len(head)).alias("pos"), "value")
-    around = [*enumerate(head), *enumerate(tail, len(head) + 1)]
-    top = df.sparkSession.createDataFrame([(p, i, v) for p in range(parts) for i, v in around],
-                                          "part int, pos int, value string")
-    rows = body.unionByName(top).repartition("part").sortWithinPartitions("part", "pos").drop("pos")
-    rows.write.partitionBy("part").text(path)
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0  # row number inside the task
+    rows = F.when(first, F.array(*map(F.lit, head), "value")).otherwise(F.array("value"))
+    df.select("value", rows.alias("rows")).select(F.explode("rows").alias("value")).write.text(path)
     return path
 
 
@@ -251,9 +248,11 @@ def incremental_pull(spark, sf):
     FROM part WHERE p_size % 3 > 0""")
 def xml_calcs(spark, sf):
     """Workbook XML: captioned calculations only, comment lines split off, names replaced by captions."""
-    cell = ("concat('<column ', IF(p_size % 3 > 0, concat('caption=\"', p_name, ' ', p_partkey, '\" '), ''), 'name=\"[Calc_', p_partkey, "
-            "']\"><calculation formula=\"// ', p_brand, '&#13;&#10;SUM([Calc_', p_partkey, ']) * 2 + [raw]\"/></column>') AS value")
-    path = write_feed(table(spark, sf, "part").selectExpr(cell), ["<workbook>"], "workbook", tail=("</workbook>",))
+    path = scratch_path(spark, "workbook")
+    fields = table(spark, sf, "part").selectExpr(
+        "IF(p_size % 3 > 0, concat(p_name, ' ', p_partkey), NULL) AS _caption", "concat('[Calc_', p_partkey, ']') AS _name",
+        "named_struct('_formula', concat('// ', p_brand, '\\r\\nSUM([Calc_', p_partkey, ']) * 2 + [raw]')) AS calculation")
+    fields.write.format("xml").option("rootTag", "workbook").option("rowTag", "column").save(path)
     return workbook.read_workbook_calcs(spark, path)
 
 

@@ -10,7 +10,8 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from kpimill.session import materialize
 
@@ -20,7 +21,8 @@ class SliceSpec:
     """One description of a slice for filtering new rows, backing up and deleting old ones.
 
     Bounds left out are taken from the data, key lists left out are all distinct values; the upper bound is
-    moved to its month's end. ``keys`` maps a column of the data to its allowed values.
+    moved to its month's end. ``keys`` maps a dictionary column of the data (versions, accounts) to its allowed
+    values, which become literals of the predicate.
     """
 
     date_col: str
@@ -64,6 +66,19 @@ def _rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"cannot rename {old} to {new}")
 
 
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows are counted while they are written, not in a pass of their own."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def _rows(seen: Observation) -> int:
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:  # Spark leaves the counter out together with an input it knows to be empty
+        return 0
+
+
 def _write(df: DataFrame, path: str, partition_by: list[str] | None, mode: str, overwrite: str = "static") -> None:
     """Write, with rows gathered per partition first: few files for small ones, several tasks for large ones."""
     if partition_by:
@@ -72,18 +87,22 @@ def _write(df: DataFrame, path: str, partition_by: list[str] | None, mode: str,
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def full_reload(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace all rows."""
+def full_reload(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
+    """Replace all rows; gives the number written."""
+    df, seen = _counted(df)
     _write(df, path, partition_by, "overwrite")
+    return _rows(seen)
 
 
-def append(df: DataFrame, path: str, columns: list[str] | None = None, partition_by: list[str] | None = None) -> None:
-    """Positional append: the i-th column goes to the i-th target column."""
+def append(df: DataFrame, path: str, columns: list[str] | None = None, partition_by: list[str] | None = None) -> int:
+    """Positional append: the i-th column goes to the i-th target column; gives the number of rows added."""
     if columns:
         if len(columns) != len(df.columns):
             raise ValueError(f"{len(df.columns)} columns for a target with {len(columns)}")
         df = df.toDF(*columns)
+    df, seen = _counted(df)
     _write(df, path, partition_by, "append")
+    return _rows(seen)
 
 
 def _swap(spark: SparkSession, df: DataFrame, path: str, keep_backup: bool = False) -> None:
@@ -97,9 +116,9 @@ def _swap(spark: SparkSession, df: DataFrame, path: str, keep_backup: bool = Fal
         _delete(spark, f"{path}__backup")
 
 
-def _partitions(df: DataFrame, partition_by: list[str]) -> set[tuple]:
-    """Distinct partition values: as many as there are folders, which the driver lists anyway."""
-    return {tuple(r) for r in df.select(*partition_by).distinct().collect()}
+def _partitions(df: DataFrame, partition_by: list[str]) -> dict[tuple, int]:
+    """Rows per partition value: as many entries as there are folders, which the driver lists anyway."""
+    return {tuple(r[:-1]): r[-1] for r in df.groupBy(*partition_by).count().collect()}
 
 
 def _in_partitions(partition_by: list[str], values: set[tuple]) -> Column:
@@ -129,8 +148,8 @@ def replace_slice(
     partition_by: list[str] | None = None,
     keep_backup: bool = False,
     gaining: set[tuple] | None = None,
-) -> None:
-    """Delete the rows for which the predicate is true, then add the new rows.
+) -> dict[str, int]:
+    """Delete the rows for which the predicate is true, then add the new rows; gives both row counts.
 
     Rows for which it is NULL stay. With partitions only those that lose or gain rows are rewritten, and one
     that ends up empty is removed. ``df=None`` clears the slice. ``gaining`` names the partitions the new rows can
@@ -141,30 +160,37 @@ def replace_slice(
     new = target.limit(0) if df is None else df.select(*target.columns)
     keep = ~F.coalesce(predicate, F.lit(False))
     if not partition_by:
+        deleted = target.where(predicate).count()
+        new, seen = _counted(new)
         _swap(spark, target.where(keep).unionByName(new), path, keep_backup)
-        return
+        return {"deleted": deleted, "inserted": 0 if df is None else _rows(seen)}
     if keep_backup:
         raise ValueError("backups of partitioned tables are made with backup_slice")
     if df is None:
         gaining = set()
     elif gaining is None:
         new = materialize(new, "slice")
-        gaining = _partitions(new, partition_by)
-    losing = _partitions(target.where(predicate), partition_by)
+        gaining = set(_partitions(new, partition_by))
+    lost = _partitions(target.where(predicate), partition_by)
+    losing = set(lost)
     touched = losing | gaining
+    counts = {"deleted": sum(lost.values()), "inserted": 0}
     if not touched:
-        return
+        return counts
     kept = target.where(_in_partitions(partition_by, touched) & keep)
     # a partition that loses all its old rows: if the write leaves its old files there, it gained none and goes
-    doubtful = losing - _partitions(kept.where(_in_partitions(partition_by, losing)), partition_by) if losing else set()
+    doubtful = losing - set(_partitions(kept.where(_in_partitions(partition_by, losing)), partition_by)) if losing else set()
     old = {row: _any_file(spark, _folder(spark, path, partition_by, row)) for row in doubtful}
     if touched - doubtful or gaining:
         # the kept rows come from folders this write replaces: those are only dropped when the job commits
+        new, seen = _counted(new)
         _write(kept.unionByName(new), path, partition_by, "overwrite", "dynamic")
+        counts["inserted"] = 0 if df is None else _rows(seen)
     for row, file in old.items():
         if file and exists(spark, file):
             _delete(spark, _folder(spark, path, partition_by, row))
     spark.catalog.refreshByPath(path)
+    return counts
 
 
 def _any_file(spark: SparkSession, folder: str) -> str | None:
@@ -179,8 +205,8 @@ def _folder(spark: SparkSession, path: str, partition_by: list[str], row: tuple)
     return "/".join([path, *parts])
 
 
-def clear_slice(spark: SparkSession, path: str, predicate: Column, partition_by: list[str] | None = None) -> None:
-    replace_slice(spark, path, predicate, None, partition_by)
+def clear_slice(spark: SparkSession, path: str, predicate: Column, partition_by: list[str] | None = None) -> dict[str, int]:
+    return replace_slice(spark, path, predicate, None, partition_by)
 
 
 def backup_slice(
@@ -189,7 +215,7 @@ def backup_slice(
     """Copy a slice of the table into its backup table, replacing the same slice there."""
     rows = spark.read.parquet(path).where(predicate)
     if exists(spark, backup):
-        gaining = _partitions(rows, partition_by) if partition_by else None
+        gaining = set(_partitions(rows, partition_by)) if partition_by else None
         replace_slice(spark, backup, predicate, rows, partition_by, gaining=gaining)
     else:
         full_reload(rows, backup, partition_by)
@@ -203,7 +229,7 @@ def incremental_refresh(
     if partition_by:
         backup_slice(spark, path, f"{path}__backup", cond, partition_by)
         rows = source.where(cond)
-        replace_slice(spark, path, cond, rows, partition_by, gaining=_partitions(rows, partition_by))
+        replace_slice(spark, path, cond, rows, partition_by, gaining=set(_partitions(rows, partition_by)))
     else:
         replace_slice(spark, path, cond, source.where(cond), keep_backup=True)
 

@@ -11,6 +11,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from kpimill.functions.periods import excel_serial
 from kpimill.operators.reshape import last_duplicate_columns
 from kpimill.session import materialize
 
@@ -100,17 +101,33 @@ def read_last_duplicates(spark: SparkSession, path: str, sep: str = ";") -> Data
     return raw.select(*[F.col(f"c{i}").alias(n) for i, n in last_duplicate_columns(names).items()])
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their file and their place in it: (split start, running number inside the split)."""
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("source_file"),
+        F.struct(F.col("_metadata.file_block_start").alias("s"), F.monotonically_increasing_id().alias("i")).alias("at"),
+        "value",
+    )
+
+
+def report_months(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
+    """Report month of each file: its first cell is a spreadsheet day number. A file without one is an error."""
+    first = _lines(spark, path).groupBy("source_file").agg(F.min_by("value", "at").alias("line"))
+    days = F.expr(f"try_cast(try_cast(split_part(line, '{sep}', 1) AS DOUBLE) AS INT)")
+    months = materialize(first.select("source_file", excel_serial(days).alias("report_month")), "months")
+    missing = [r[0] for r in months.where("report_month IS NULL").limit(5).collect()]
+    if missing:
+        raise ValueError(f"no report month in {missing}")
+    return months
+
+
 def find_header(spark: SparkSession, path: str, marker: str, sep: str = ";") -> DataFrame:
     """Tables whose header is not the first line: it is the first line whose first cell is the marker.
 
     Lines keep their place by (split start, running number inside the split), so files are read in parallel
     splits. Files may differ in layout; columns are matched by name. A file without the marker is an error.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("source_file"),
-        F.struct(F.col("_metadata.file_block_start").alias("s"), F.monotonically_increasing_id().alias("i")).alias("at"),
-        "value",
-    )
+    lines = _lines(spark, path)
     first_cell = F.trim(F.get(F.split("value", f"\\Q{sep}\\E", 2), F.lit(0)))
     is_header = F.replace(first_cell, F.lit('"'), F.lit("")) == marker
     mark = F.when(is_header, F.struct("at", "value"))

@@ -182,11 +182,13 @@ def test_book(spark):
     assert "WindowGroupLimit" in depth._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_row_counts_are_observed(spark):
-    """Row counts after each step come with the job, without a second pass."""
-    from pyspark.sql import Observation
-
-    obs = Observation()
-    df = spark.range(10).observe(obs, F.count(F.lit(1)).alias("rows"))
-    df.write.format("noop").mode("overwrite").save()
-    assert obs.get == {"rows": 10}
+def test_row_counts_are_reported(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame(START, SCHEMA)
+    assert tables.full_reload(df, path, ["p"]) == 5
+    assert tables.append(df.where("p = 'a'"), path, df.columns, ["p"]) == 2
+    assert tables.replace_slice(spark, path, F.col("p") == "a", df.where("v = 1"), ["p"]) == {"deleted": 4, "inserted": 1}
+    assert tables.clear_slice(spark, path, F.col("p") == "b", ["p"]) == {"deleted": 2, "inserted": 0}
+    flat = str(tmp_path / "flat")
+    tables.full_reload(df, flat)
+    assert tables.replace_slice(spark, flat, F.col("p") == "a", df.where("v = 1")) == {"deleted": 2, "inserted": 1}

@@ -106,3 +106,11 @@ def test_workbook(spark, tmp_path):
 def test_shared_folder_comes_from_the_session(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+
+
+def test_report_month(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("44256.0;x\nРегион;A\n")
+    assert rows(files.report_months(spark, str(tmp_path)), "report_month") == [(D(2021, 3, 1),)]
+    (tmp_path / "b.csv").write_text("Регион;A\n")
+    with pytest.raises(ValueError, match="b.csv"):
+        files.report_months(spark, str(tmp_path))
