@@ -29,7 +29,14 @@ def main() -> None:
     from kpimill.plans.catalog import QUERIES
     from kpimill.session import get_session
 
-    spark = get_session("bench", f"local[{cpus}]", {"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"})
+    conf = {
+        "spark.sql.shuffle.partitions": cpus,
+        "spark.driver.memory": "16g",
+        # each test table is one parquet row group, so a scan is one task: joining the larger ones by shuffle spreads
+        # their rows over the cores
+        "spark.sql.autoBroadcastJoinThreshold": "1m",
+    }
+    spark = get_session("bench", f"local[{cpus}]", conf)
     spark.sparkContext.setLogLevel("ERROR")
     names = os.environ.get("BENCH_QUERIES", "").split() or HEADLINES
     seconds = {}

@@ -5,15 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
-def bar_aggs(price: str, order: list[str], volume: Column | None = None) -> list[Column]:
-    """Open, high, low, close and volume of a group; ties in time are broken by the later order columns."""
-    at = F.struct(*order)
+def tick_order(ts: str, tie: str) -> Column:
+    """One sortable number from a time and a whole-number tie-break.
+
+    As a fixed-width value it lets first and last price be hash-aggregated; a struct would force a sort of all
+    ticks before the aggregation.
+    """
+    micros = f"CAST(unix_micros({ts}) AS DECIMAL(19,0))"
+    shift = f"CAST('1{'0' * 19}' AS DECIMAL(20,0))"
+    return F.expr(f"{micros} * {shift} + CAST({tie} AS DECIMAL(19,0))")
+
+
+def bar_aggs(price: str, ts: str, tie: str) -> list[Column]:
+    """Open, high, low, close and number of ticks of a group; ties in time are broken by a whole-number column."""
+    at = tick_order(ts, tie)
     return [
         F.min_by(price, at).alias("open"),
         F.max(price).alias("highest"),
         F.min(price).alias("lowest"),
         F.max_by(price, at).alias("close"),
-        (F.count(F.lit(1)) if volume is None else F.sum(volume)).alias("volume"),
+        F.count(F.lit(1)).alias("volume"),
     ]
 
 
@@ -21,7 +32,7 @@ def ohlcv(ticks: DataFrame, ts: str, key: str, price: str, width: str, tie: str)
     """Bars per key and time window of a fixed width; combined map-side, so a busy instrument is no hot spot."""
     return (
         ticks.groupBy(F.window(ts, width).alias("w"), key)
-        .agg(*bar_aggs(price, [ts, tie]))
+        .agg(*bar_aggs(price, ts, tie))
         .select(F.col("w.start").alias("bar_start"), key, "open", "highest", "lowest", "close", "volume")
     )
 

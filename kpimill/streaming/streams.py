@@ -16,7 +16,7 @@ def stream_ohlcv(
     return (
         ticks.withWatermark(ts, delay)
         .groupBy(F.window(ts, width).alias("w"), key)
-        .agg(*bar_aggs(price, [ts, tie]))
+        .agg(*bar_aggs(price, ts, tie))
         .select(F.col("w.start").alias("bar_start"), key, "open", "highest", "lowest", "close", "volume")
     )
 

@@ -182,6 +182,13 @@ def test_book(spark):
     assert "WindowGroupLimit" in depth._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_bars_are_hash_aggregated(spark):
+    ticks = spark.createDataFrame([(dt.datetime(2024, 1, 1, 10, 0, 1), "x", 1.0, 2), (dt.datetime(2024, 1, 1, 10, 0, 1), "x", 5.0, 1)], TICK)
+    bars = market.ohlcv(ticks, "ts", "k", "p", "1 minute", "id")
+    assert "SortAggregate" not in bars._jdf.queryExecution().executedPlan().toString()
+    assert rows(bars, "open", "close", "volume") == [(5.0, 1.0, 2)]
+
+
 def test_row_counts_are_reported(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame(START, SCHEMA)
