@@ -291,6 +291,7 @@ def _outgoing_destinations(df: DataFrame, mapping: DataFrame, dictionary: DataFr
     coded = mapping.withColumn("first_code", X.first_code("codes"))
     coded = lookup.longest_prefix(coded, "first_code", dictionary, "dial_codes", "new_destination", "new_destination")
     coded = coded.select("destination", "country", "area", "new_destination", F.lit(True).alias("matched"))
+    coded = materialize(coded, "destinations")  # one row per destination, now of known size
     df = lookup.map_dim(df, coded, {"DESTINATION": "destination"}, "left")
     matched = F.coalesce("matched", F.lit(False))
     return df.withColumns({

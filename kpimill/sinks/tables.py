@@ -105,6 +105,12 @@ def append(df: DataFrame, path: str, columns: list[str] | None = None, partition
     return _rows(seen)
 
 
+def _recover(spark: SparkSession, path: str) -> None:
+    """Undo a swap that was cut off between its two renames: the old version is still there."""
+    if not exists(spark, path) and exists(spark, f"{path}__backup"):
+        _rename(spark, f"{path}__backup", path)
+
+
 def _swap(spark: SparkSession, df: DataFrame, path: str, keep_backup: bool = False) -> None:
     """Write next to the table, then rename: for tables without partitions."""
     _delete(spark, f"{path}__next")
@@ -155,6 +161,8 @@ def replace_slice(
     that ends up empty is removed. ``df=None`` clears the slice. ``gaining`` names the partitions the new rows can
     go to; without it the new rows are staged first, so that they are computed once.
     """
+    if not partition_by:
+        _recover(spark, path)
     reader = spark.read if df is None else spark.read.schema(df.schema)
     target = reader.parquet(path)
     new = target.limit(0) if df is None else df.select(*target.columns)

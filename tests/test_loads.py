@@ -199,3 +199,30 @@ def test_row_counts_are_reported(spark, tmp_path):
     flat = str(tmp_path / "flat")
     tables.full_reload(df, flat)
     assert tables.replace_slice(spark, flat, F.col("p") == "a", df.where("v = 1")) == {"deleted": 2, "inserted": 1}
+
+
+def test_interrupted_swap_is_undone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    read = _table(spark, path)
+    os.rename(path, f"{path}__backup")
+    tables.replace_slice(spark, path, F.col("p") == "a")
+    assert read() == sorted([r for r in START if r[0] != "a"], key=repr)
+
+
+def test_hot_group(spark):
+    """One seller and one group hold most rows: counts and sums stay exact."""
+    from kpimill.functions.periods import window
+    from kpimill.operators import cube
+
+    n = 30_000
+    lots = spark.range(n).selectExpr(
+        "id AS lot_id", "DATE '2021-01-05' AS lot_placement_date", "CAST(NULL AS DATE) AS lot_purchase_date",
+        "CAST(NULL AS DATE) AS subs_revocation_date", "CAST(NULL AS INT) AS sys_revocation_flag", "1 AS subs_flag",
+        "IF(id % 3 = 0, 'hot', CAST(id % 7 AS STRING)) AS traffic_type", "IF(id % 3 = 0, 1, id) AS subs_id_seller",
+        "CAST(NULL AS BIGINT) AS subs_id_purchaser", "1 AS branch_id_seller", "1 AS branch_id_purchaser", "1L AS tp_id_seller",
+        "1L AS tp_id_purchaser", "1.0D AS lot_volume", "2.0D AS lot_value")
+    out = cube.lot_arms(lots, [window("monthly", D(2021, 1, 1), D(2021, 1, 31))], ["sellers", "distinct_all"])
+    hot = {r.table_name: r for r in out.where("traffic_type = 'hot'").collect()}
+    assert (hot["sellers"].sellers_count, hot["sellers"].lot_count, hot["sellers"].sold_value) == (1, n // 3, 2.0 * n / 3)
+    assert hot["distinct all subs"].sellers_count == 1
+    assert out.where("table_name = 'sellers'").agg(F.sum("lot_count")).first()[0] == n
