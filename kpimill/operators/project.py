@@ -67,6 +67,18 @@ def map_columns(df: DataFrame, mapping: dict[str, str | None]) -> DataFrame:
     return df.select(*[(F.col(f"`{s}`") if s else F.lit(None).cast("string")).alias(t) for t, s in mapping.items()])
 
 
+def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add or replace columns whose expressions cost much and are filtered on.
+
+    A filter on a plain projected column is pushed below it and evaluates the expression again, once per use;
+    the generator keeps it above.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    made = F.explode(F.array(F.struct(*[e.alias(n) for n, e in columns.items()])))
+    out = df.select(*kept, made.alias("__made"))
+    return out.select(*kept, *[F.col(f"__made.{n}").alias(n) for n in columns])
+
+
 def relabel(df: DataFrame, col: str, mapping: dict[str, str]) -> DataFrame:
     """Replace exact values; others stay."""
     return df.replace(mapping, subset=[col]) if mapping else df

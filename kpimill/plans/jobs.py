@@ -268,11 +268,15 @@ def normalize_cdr(
     df = df.withColumns({c: X.to_number(c, ",", type_="decimal(18,6)") for c in ("MINUTES", "COST")})
     if direction:
         df = df.withColumn("DIRECTION", F.lit(direction))
+    carrier = F.col("CARRIER")
     if "BRANCH" not in df.columns:
-        carrier = F.col("CARRIER")
-        df = df.withColumns({"CARRIER": X.extract(carrier, fv.CARRIER_PATTERN, 1),
-                             "BRANCH": X.extract(carrier, fv.CARRIER_PATTERN, 2)})
-    df = df.withColumn("CARRIER_TYPE", X.extract("CARRIER", fv.CARRIER_TYPE_PATTERN, 1))
+        # the type letter is the first of the carrier that the pattern finds
+        cut = lambda group: F.regexp_extract(carrier, fv.CARRIER_PATTERN, group)
+        df = project.compute_once(df, {"CARRIER": cut(1), "BRANCH": cut(2)})
+        df = df.withColumns({c: X.blank_to_null(c) for c in ("CARRIER", "BRANCH")})
+        df = df.withColumn("CARRIER_TYPE", F.substring("CARRIER", 1, 1))
+    else:
+        df = project.compute_once(df, {"CARRIER_TYPE": F.regexp_extract(carrier, fv.CARRIER_TYPE_PATTERN, 1)})
     df = df.where(F.col("CARRIER_TYPE").isin(*carrier_types) & ~F.col("CARRIER").isin(*fv.EXCLUDED_CARRIERS))
     df = df.withColumnRenamed("CDR_DATE", "__text_date")
     df = coltypes.parse_dates(df, "__text_date", fv.CDR_DATE_FORMATS, [file_col], "CDR_DATE", "CDR_MONTH")
