@@ -20,7 +20,8 @@ def to_number(col: Column | str, decimal: str = ".", thousands: str | None = Non
         text = F.replace(text, F.lit(thousands), F.lit(""))
     if decimal != ".":
         text = F.replace(text, F.lit(decimal), F.lit("."))
-    return text.try_cast(type_)
+    number = text.try_cast(type_)
+    return nan_to_null(number) if type_ == "double" else number
 
 
 def sql_text(text: str) -> str:
@@ -68,7 +69,8 @@ def blank_to_null(col: Column | str) -> Column:
 
 
 def nan_to_null(col: Column | str) -> Column:
-    return F.when(~F.isnan(_col(col)), _col(col))
+    """Not-a-number means missing."""
+    return F.nullif(_col(col), F.lit(float("nan")))
 
 
 def extract(col: Column | str, pattern: str, group: int) -> Column:

@@ -115,7 +115,8 @@ def coerce(df: DataFrame, codes: dict[str, str], formats=fv.UPLOAD_DATE_FORMATS)
             return F.expr(f"try_cast(try_cast(trim({text}) AS DOUBLE) AS {fv.TYPE_CODES[code]})").alias(c)
         if code == "CV":
             return F.expr(text).alias(c)
-        return F.expr(f"try_cast(trim({text}) AS {fv.TYPE_CODES[code]})").alias(c)
+        number = f"try_cast(trim({text}) AS {fv.TYPE_CODES[code]})"
+        return F.expr(f"nullif({number}, double('NaN'))" if code == "F" else number).alias(c)
 
     return df.select(*[value(c) for c in df.columns if c != "__fmt"])
 

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from kpimill.functions.text import nan_to_null
+
 
 def rename_synonyms(df: DataFrame, synonyms: dict[str, str]) -> DataFrame:
     """Map header spellings to canonical names.
@@ -39,7 +41,7 @@ def _schema(schema: T.StructType | str) -> T.StructType:
 
 
 def conform(df: DataFrame, schema: T.StructType | str, constants: dict | None = None) -> DataFrame:
-    """Project to a target layout: its order and types, absent columns as NULL, others dropped."""
+    """Project to a target layout: its order and types, absent columns and not-a-number as NULL, others dropped."""
     constants = constants or {}
     have = {c.lower(): c for c in df.columns}
 
@@ -48,7 +50,11 @@ def conform(df: DataFrame, schema: T.StructType | str, constants: dict | None =
             return constants[name] if isinstance(constants[name], Column) else F.lit(constants[name])
         return F.col(f"`{have[name.lower()]}`") if name.lower() in have else F.lit(None)
 
-    return df.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in _schema(schema)])
+    def filled(f: T.StructField) -> Column:
+        cast = value(f.name).cast(f.dataType)
+        return (nan_to_null(cast) if isinstance(f.dataType, T.DoubleType) else cast).alias(f.name)
+
+    return df.select(*[filled(f) for f in _schema(schema)])
 
 
 def default_columns(df: DataFrame, defaults: dict[str, object]) -> DataFrame:

@@ -120,8 +120,8 @@ def sales_mix_params(
     long: DataFrame, report_month: dt.date, plans: DataFrame, branches: DataFrame, regions: dict[str, str], by_channel: bool = False
 ) -> DataFrame:
     """Long sales mix to the parameters layout: plan id by tariff name, branch id by region name."""
-    # one row per tariff name: written once, so that the lookup sees its size and not the feed's
-    plan_ids = materialize(lookup.other_bucket(plans, long.select("tariff"), "name_report", "tp_id"), "plan-ids")
+    long = materialize(long, "sales-mix")  # the sheet is read once: for its tariff names and for its rows
+    plan_ids = lookup.other_bucket(plans, long.select("tariff"), "name_report", "tp_id")
     mapped = lookup.map_dim(long, plan_ids, {"tariff": "name_report"})
     mapped = lookup.map_dim(project.relabel(mapped, "region", regions), branches, {"region": "region_name"})
     constants = {"report_date": F.lit(report_month), "param_1": fv.SALES_MIX_PARAM, "tp_id_1": F.col("tp_id"),

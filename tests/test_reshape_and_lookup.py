@@ -123,6 +123,13 @@ def test_synonyms_do_not_collide(spark):
     assert out.columns == ["DIRECTION", "n"] and rows(out) == [("a", 1), ("b", 2)]
 
 
+def test_not_a_number_is_missing(spark):
+    df = spark.createDataFrame([("nan", float("nan")), ("1", 1.0)], "t string, v double")
+    assert rows(project.conform(df, "v double")) == [(1.0,), (None,)]
+    assert rows(df.select(X.to_number("t"))) == [(1.0,), (None,)]
+    assert rows(coltypes.coerce(df, {"t": "F"}).select("t")) == [(1.0,), (None,)]
+
+
 def test_layouts(spark):
     df = spark.createDataFrame([(1, "x")], "b int, a string")
     out = project.conform(df, "a string, c double, b bigint", {"c": 2.5})

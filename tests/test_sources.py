@@ -91,7 +91,7 @@ def test_pages(spark, tmp_path):
 
 def test_workbook(spark, tmp_path):
     (tmp_path / "w.twb").write_text("""<workbook><datasources>
-      <column caption='Profit' name='[Calc_1]'><calculation class='tableau' formula='// money&#13;&#10;SUM([Sales]) - [Calc_2]'/></column>
+      <column caption='Profit' name='[Calc_1]'><calculation class='calc' formula='// money&#13;&#10;SUM([Sales]) - [Calc_2]'/></column>
       <column caption='Cost' name='[Calc_2]'><calculation formula='[Calc_1] + [x'/></column>
       <column caption='Group' name='[G]'><calculation class='bin'/></column>
       <column name='[Calc_3]'><calculation formula='1'/></column>
