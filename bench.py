@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINES = [
     "period_cube", "period_cube_all_arms", "period_cube_daily", "period_cube_three_kinds", "cumulative_metrics",
     "who_volume", "plan_daily", "longest_prefix", "longest_prefix_large_dictionary", "table_diff", "delta_keys",
-    "freshness_gate", "infer_types", "parse_dates", "cdr_normalize", "tracking_long", "sales_mix_params", "plan_load",
+    "freshness_gate", "infer_types", "parse_dates", "cdr_normalize", "tracking_long", "sales_mix_params",
     "replace_slice", "ohlcv_minute", "book_depth",
 ]
 
