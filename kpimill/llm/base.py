@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,13 +14,21 @@ from kpimill.session import materialize
 
 
 def by_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
-    """Map Arrow batches by a function that ``make`` builds once in every task (its tables and caches live there)."""
+    """Map Arrow batches by a function that ``make`` builds once in every task (its tables and caches live there).
+
+    The caches are many small objects without cycles, which Python's cycle collector would walk again and again; it
+    rests while the task runs.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = make()
-        for batch in batches:
-            if batch.num_rows:
-                yield step(batch)
+        gc.disable()
+        try:
+            step = make()
+            for batch in batches:
+                if batch.num_rows:
+                    yield step(batch)
+        finally:
+            gc.enable()
 
     return df.mapInArrow(run, schema)
 
