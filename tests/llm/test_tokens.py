@@ -11,6 +11,7 @@ from fixtures import fuzz_texts, here, odd_documents, table
 
 from kpimill.llm.byte_bpe import StreamDecoder, Transducer, Utf8Machine, encode_decode, load_ranks, transducer_encoder
 from kpimill.llm.chunks import ChunkEncoder, ids_of, library_encoder, split_chunks
+from kpimill.llm.packing import best_fit, pack, plan_patterns
 from kpimill.llm.token_files import pack_ranks, read_block, token_files, unpack_ranks, write_block
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -123,3 +124,68 @@ def test_token_files_odd_rows(spark):
 @here
 def test_token_files_documents(spark):
     check_files(table(spark, "documents"))
+
+
+def check_pieces(df, size):
+    want = library("byte_bpe_50k.json")
+    out = pack(df, public_tokenizers.path("byte_bpe_50k.json"), size=size)
+    rows = [r.asDict() for r in out.collect()]
+    expected, lengths = [], []
+    for r in df.select("doc_id", "text").collect():
+        ids = np.array([*want(r.text or ""), 0], "<u4")
+        first = (len(ids) - 1) % size + 1
+        for k, (a, b) in enumerate([(0, first), *((a, a + size) for a in range(first, len(ids), size))]):
+            expected.append((r.doc_id, k, a, b - a, zlib.crc32(ids[a:b].tobytes())))
+            lengths.append(b - a)
+    assert sorted(map(repr, expected)) == sorted(repr((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"])) for r in rows)
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for s in sequences.values():
+        place = 0
+        for offset, length in sorted(s):
+            assert offset == place
+            place += length
+        assert place <= size
+    return len(sequences), lengths
+
+
+def first_fit_decreasing(lengths, size):
+    free = []
+    for n in sorted(lengths, reverse=True):
+        i = next((i for i, f in enumerate(free) if f >= n), None)
+        if i is None:
+            free.append(size - n)
+        else:
+            free[i] -= n
+    return len(free)
+
+
+def test_packing_odd_rows(spark):
+    df = odd_documents(spark)
+    for size in (2048, 7, 1):
+        n, lengths = check_pieces(df, size)
+        assert n <= first_fit_decreasing(lengths, size)
+    assert pack(df.limit(0), public_tokenizers.path("byte_bpe_50k.json")).count() == 0
+
+
+@here
+def test_packing_documents(spark):
+    n, lengths = check_pieces(table(spark, "documents"), 2048)
+    assert n <= min(first_fit_decreasing(lengths, 2048), -(-sum(lengths) // 2048) + 2)
+
+
+def test_plans_use_every_piece_once():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        size = int(rng.integers(1, 40))
+        histogram = np.append(0, rng.integers(0, 30, size) * (rng.random(size) < 0.5)).astype(np.int64)
+        for plan in (best_fit(histogram.copy()), plan_patterns(histogram, 50)):
+            used = np.zeros(size + 1, np.int64)
+            for pattern, n in plan.items():
+                assert n > 0 and 0 < sum(pattern) <= size
+                for x in pattern:
+                    used[x] += n
+            assert (used == histogram).all()
+        lengths = np.repeat(np.arange(size + 1), histogram)
+        assert sum(best_fit(histogram.copy()).values()) <= first_fit_decreasing(lengths, size) + 1
