@@ -6,6 +6,7 @@ from kpimill.llm import (  # noqa: F401
     byte_bpe_query,
     exact_dedup_query,
     packing_query,
+    quality_query,
     token_files_query,
 )
 from kpimill.llm.registry import ORACLES, QUERIES
