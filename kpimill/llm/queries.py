@@ -8,6 +8,7 @@ from kpimill.llm import (  # noqa: F401
     packing_query,
     quality_query,
     token_files_query,
+    toxicity_query,
 )
 from kpimill.llm.registry import ORACLES, QUERIES
 
