@@ -79,20 +79,25 @@ def linked_sets(n: int, linked: Callable[[int], np.ndarray]) -> np.ndarray:
     outside the largest one, so it is enough that every item outside the largest set is compared with all. A tight
     group costs one comparison with all per group, not one per member.
     """
-    forest, done = Forest(n), np.zeros(n, bool)
+    forest, done, taken = Forest(n), np.zeros(n, bool), np.zeros(n, bool)
+
+    def look(i: int) -> None:
+        found = linked(i)
+        done[i] = True
+        taken[found] = True
+        forest.join(i, found)
+
+    for i in range(n):
+        if not taken[i]:
+            look(i)
     while True:
         labels = forest.labels()
-        sizes = np.bincount(labels, minlength=n)
-        rest = np.flatnonzero((labels != sizes.argmax()) & ~done)
+        rest = np.flatnonzero((labels != np.bincount(labels, minlength=n).argmax()) & ~done) if n else labels
         if not len(rest):
-            if done.any() or n < 2:
-                return labels
-            rest = np.arange(1)
-        # one item of every open set first, which may join sets before their other members are looked at
-        _, first = np.unique(labels[rest], return_index=True)
-        for i in rest[first]:
-            done[i] = True
-            forest.join(int(i), linked(int(i)))
+            return labels
+        # one item of every open set at a time, which may join sets before their other members are looked at
+        for i in rest[np.unique(labels[rest], return_index=True)[1]]:
+            look(int(i))
 
 
 def components(edges: DataFrame, name: str = "cc") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from kpimill.llm import (  # noqa: F401
     byte_bpe_query,
     exact_dedup_query,
+    minhash_query,
     packing_query,
     quality_query,
     token_files_query,
