@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpimill.llm.base import texts_of
-from kpimill.llm.chunks import ChunkEncoder, library_encoder
+from kpimill.llm.chunks import ChunkEncoder, CompiledVocabulary
 from kpimill.session import materialize
 
 NNLS_STEPS = 400
@@ -175,9 +175,10 @@ def cut_pieces(df: DataFrame, vocabulary: str, end_id: int, size: int, id_col: s
     """(part, doc_id, piece, start, length, ids_crc32, ids, rank): texts as ids with ``end_id``, longer ones cut into pieces of
     ``size`` of which the first may be shorter; ``rank`` counts the pieces of one length in one task."""
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    compiled = CompiledVocabulary(vocabulary)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run, end = ChunkEncoder(library_encoder(vocabulary)), np.array([end_id], "<u4").tobytes()
+        run, end = ChunkEncoder(compiled.encoder()), np.array([end_id], "<u4").tobytes()
         part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
         for batch in batches:
             out: list[tuple] = []
