@@ -8,6 +8,7 @@ from kpimill.llm import (  # noqa: F401
     minhash_query,
     packing_query,
     quality_query,
+    suffix_dedup_query,
     token_files_query,
     toxicity_query,
 )
