@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -33,6 +34,51 @@ def by_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Rec
     return df.mapInArrow(run, schema)
 
 
+def by_group(df: DataFrame, keys: list[str], make: Callable[[], Callable[[pa.Table, np.ndarray], pa.RecordBatch]], schema: str) -> DataFrame:
+    """Rows are dealt by their keys and sorted; ``step(table, cuts)`` gets whole groups, ``cuts`` being where each begins
+    and the end of the last one. The callers see to it that groups are bounded."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()
+        try:
+            step, held = make(), None
+            for batch in batches:
+                table = pa.Table.from_batches([batch])
+                if held is not None:
+                    table = pa.concat_tables([held, table])
+                if not table.num_rows:
+                    continue
+                new = np.zeros(table.num_rows, bool)
+                new[0] = True
+                for k in keys:
+                    v = table.column(k).to_numpy()
+                    new[1:] |= v[1:] != v[:-1]
+                cuts = np.flatnonzero(new)
+                # the last group may go on in the next batch
+                held = table.slice(cuts[-1])
+                if cuts[-1]:
+                    yield step(table.slice(0, cuts[-1]), cuts)
+            if held is not None and held.num_rows:
+                yield step(held, np.array([0, held.num_rows]))
+        finally:
+            gc.enable()
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def kept(key: str, make: Callable[[], object]) -> object:
+    """What ``make`` builds, kept by the worker process for the next tasks that ask for the same key.
+
+    Spark runs many tasks in one Python worker, and tables that fill up as texts come in are worth keeping. Only the last
+    key's object is held. Code shipped by value has no module to keep it in, so it hangs on ``sys``.
+    """
+    held = getattr(sys, "_kpimill_kept", None)
+    if held is None or held[0] != key:
+        sys._kpimill_kept = None
+        held = sys._kpimill_kept = (key, make())
+    return held[1]
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """A text column as Python strings; null is the empty text."""
     return [t if t is not None else "" for t in batch.column(column).to_pylist()]

@@ -12,8 +12,7 @@ that meet pairwise, so no task holds one whole, and a tight group yields a tree
 
 from __future__ import annotations
 
-import gc
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpimill.llm.base import by_batch, components, linked_sets, texts_of
+from kpimill.llm.base import by_batch, by_group, components, linked_sets, texts_of
 from kpimill.session import materialize
 
 WORDS = 5
@@ -127,44 +126,6 @@ def in_blocks(df: DataFrame, blocks: Column, member: Column) -> DataFrame:
     return df.withColumn("blocks", blocks.cast("long")).withColumn("block", block).withColumn("other", F.explode(others)).withColumn("pair", pair).drop("block", "other", "blocks")
 
 
-def by_group(df: DataFrame, keys: list[str], step: Callable[[list[pa.Array]], Iterator[tuple[np.ndarray, np.ndarray]]], make: Callable[[], object]) -> DataFrame:
-    """Edges (a, b) from groups of rows: rows are dealt by their keys, sorted, and handed over one group at a time.
-
-    A group arrives as one Arrow table; the callers see to it that groups are bounded.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, held = make(), None
-        gc.disable()
-        try:
-            for batch in batches:
-                table = pa.Table.from_batches([batch])
-                if held is not None:
-                    table = pa.concat_tables([held, table]).combine_chunks()
-                if not table.num_rows:
-                    continue
-                cuts = _group_starts(table, keys)
-                # the last group may go on in the next batch
-                whole, held = table.slice(0, cuts[-1]), table.slice(cuts[-1])
-                if whole.num_rows:
-                    yield _edges(step(tool, whole, cuts))
-            if held is not None and held.num_rows:
-                yield _edges(step(tool, held, np.array([0, held.num_rows])))
-        finally:
-            gc.enable()
-
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
-
-
-def _group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
-    new = np.zeros(table.num_rows, bool)
-    new[0] = True
-    for k in keys:
-        v = table.column(k).to_numpy()
-        new[1:] |= v[1:] != v[:-1]
-    return np.flatnonzero(new)
-
-
 def _edges(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     a = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
     b = np.concatenate([x for _, x in found]) if found else np.zeros(0, np.int64)
@@ -177,7 +138,9 @@ def _tree(ids: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _list_edges(matches: int):
-    def step(_, table: pa.Table, cuts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Trees of the classes in a list that agree in so many coordinates."""
+
+    def step(table: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
         ids = table.column("rep").to_numpy()
         sigs = np.concatenate([c.flatten().to_numpy() for c in table.column("sig").chunks]).reshape(len(ids), -1)
         starts, sizes, out = cuts[:-1], np.diff(cuts), []
@@ -189,7 +152,7 @@ def _list_edges(matches: int):
             part = sigs[a : a + n]
             labels = linked_sets(n, lambda i, part=part: np.flatnonzero((part == part[i]).sum(axis=1) >= matches))
             out.append(_tree(ids[a : a + n], labels))
-        return out
+        return _edges(out)
 
     return step
 
@@ -215,8 +178,11 @@ def _alike(sets: list[np.ndarray], threshold: int) -> Callable[[int], np.ndarray
     return linked
 
 
-def _group_edges(threshold: int):
-    def step(shingle, table: pa.Table, cuts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+def _group_edges(words: int, threshold: int):
+    """Trees of the texts in a group whose sets are alike."""
+    shingle = Shingler(words)
+
+    def step(table: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
         ids, texts = table.column("rep").to_numpy(), table.column("text").to_pylist()
         out = []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
@@ -225,7 +191,7 @@ def _group_edges(threshold: int):
                 there = [i for i, s in enumerate(sets) if len(s)]
                 if len(there) > 1:
                     out.append(_tree(ids[a:b][there], linked_sets(len(there), _alike([sets[i] for i in there], threshold))))
-        return out
+        return _edges(out)
 
     return step
 
@@ -252,7 +218,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # two lists under one hash are compared as one, which changes nothing but the work
     posted = prefix.join(reps.select("set_key", "sig"), "set_key").select("rep", "sig", F.xxhash64("p.c", "p.v").alias("list"), "p.df")
     posted = in_blocks(posted, F.ceil(F.col("df") / LIST_BLOCK), F.col("sig")).drop("df")
-    candidates = by_group(posted, ["list", "pair"], _list_edges(matches), lambda: None).distinct()
+    candidates = by_group(posted, ["list", "pair"], lambda: _list_edges(matches), "a long, b long").distinct()
     groups = materialize(components(candidates, "candidates"), "candidate-groups")
 
     # every candidate class is read once more, with all that may be linked with it
@@ -262,7 +228,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = df.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
     brought = texts.join(members, texts["rep"] == members["node"]).select("rep", "text", "component", "total")
     dealt = in_blocks(brought, F.ceil(F.col("total") / GROUP_SHINGLES), F.col("rep")).drop("total")
-    links = by_group(dealt, ["component", "pair"], _group_edges(threshold), lambda: Shingler(words)).distinct()
+    links = by_group(dealt, ["component", "pair"], lambda: _group_edges(words, threshold), "a long, b long").distinct()
     linked = components(links, "links").select(F.col("node").alias("rep"), "component")
 
     label = materialize(classes.join(linked, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component")), "labels")

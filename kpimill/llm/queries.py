@@ -6,6 +6,7 @@ from kpimill.llm import (  # noqa: F401
     byte_bpe_query,
     exact_dedup_query,
     minhash_query,
+    multi_index_query,
     packing_query,
     quality_query,
     suffix_dedup_query,
