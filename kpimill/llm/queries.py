@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from kpimill.llm import (  # noqa: F401
     byte_bpe_query,
+    chat_query,
     exact_dedup_query,
     minhash_query,
     multi_index_query,
