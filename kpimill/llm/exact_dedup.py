@@ -198,18 +198,10 @@ def match(groups: DataFrame, snapshot: Snapshot) -> DataFrame:
     )
 
 
-def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
-
-    The input arrives as ``batches`` batches (by a hash of the id): the first becomes a snapshot, every later one is
-    grouped on its own, screened against all snapshots before it, and what is new in it becomes a snapshot too.
-    Texts are equal when identical after lower-casing A-Z; null counts as empty; of equal texts the row with the
-    largest id stays.
-
-    Edge cases: a null id is the smallest (it is kept only as ``keep_id`` null when all ids of its group are null, and
-    then ``kept`` is false); rows that share the largest id all count as kept; an empty table gives no rows; other
-    columns of the input, whatever their names, are ignored.
-    """
+def copy_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2) -> DataFrame:
+    """(digest, keep_id, group_size) of every distinct text of a table that arrives in batches (by a hash of the id): the
+    first becomes a snapshot, every later one is grouped on its own, screened against all snapshots before it, and what
+    is new in it becomes a snapshot too."""
     rows = digests(df, id_col, text_col)
     batch = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1))), F.lit(batches))
     snapshots: list[Snapshot] = []
@@ -235,8 +227,20 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p)
-    groups = merged.groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
-    groups = materialize(groups, "groups")
+    return materialize(merged.groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size")), "groups")
+
+
+def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
+
+    Texts are equal when identical after lower-casing A-Z; null counts as empty; of equal texts the row with the
+    largest id stays.
+
+    Edge cases: a null id is the smallest (it is kept only as ``keep_id`` null when all ids of its group are null, and
+    then ``kept`` is false); rows that share the largest id all count as kept; an empty table gives no rows; other
+    columns of the input, whatever their names, are ignored.
+    """
+    groups = copy_groups(df, id_col, text_col, batches)
     rows = digests(df, id_col, text_col, with_text=False)
     return rows.select("doc_id", "digest").join(groups, "digest").select(
         "doc_id",
@@ -245,3 +249,21 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
         F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2) -> DataFrame:
+    """The rows that stay, all columns as they are: of equal texts the one with the largest id, or, where all ids of a
+    group are null, all of its rows; rows that share id and text are one document and stay together."""
+    groups = copy_groups(df, id_col, text_col, batches).select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"))
+    rows, names = df.select(*df.columns, F.col(text_col).alias("__text")), df.columns
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = [hashlib.sha256(t.encode().translate(FOLD)).digest() for t in texts_of(batch, "__text")]
+            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, pa.binary())], [*names, "__digest"])
+
+        return step
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    keyed = by_batch(rows, make, f"{schema}, __digest binary")
+    return keyed.join(groups, "__digest").filter(F.col(id_col).cast("long").eqNullSafe(F.col("__keep"))).select(*df.columns)

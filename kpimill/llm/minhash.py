@@ -241,3 +241,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"),
         (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component"))).alias("kept"),
     )
+
+
+def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of the documents that stay, all columns as they are: the smallest id of each group of linked documents, and
+    rows with a null id."""
+    out = near_duplicates(df, id_col, text_col, words, threshold).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    return df.join(out, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")

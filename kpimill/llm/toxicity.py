@@ -8,15 +8,17 @@ labels of whole texts: windows are picked by the model as it stands, and the fir
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpimill.llm.base import by_batch, texts_of
+from kpimill.llm.base import by_batch, kept, texts_of
 from kpimill.llm.labelled import training_rows
 
 WINDOW, STRIDE = 32, 24
@@ -26,6 +28,7 @@ VOCABULARY = 8192
 PER_CLASS = 1500
 ROUNDS, STEPS_PER_ROUND, BATCH = 3, 110, 96
 KEPT_WORDS = 400_000
+HIDDEN = 0.5  # share of word embeddings hidden in a training step
 EDGE = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»¿¡„“”’…–—"
 
 
@@ -175,7 +178,7 @@ class Network:
                     mask[: sizes[i], j] = 1
                 yield at, codes, mask
 
-    def word_vectors(self, words: list[str], keep: list | None = None) -> np.ndarray:
+    def word_vectors(self, words: list[str], keep: list | None = None, unknown: Callable[[int], np.ndarray] | None = None) -> np.ndarray:
         out = np.zeros((len(words), 2 * CHAR_STATES + WORD_SIZE), np.float32)
         for at, codes, mask in self._by_length(words):
             x = self.p["chars"][codes]
@@ -187,6 +190,8 @@ class Network:
                 out[at, : 2 * CHAR_STATES] = pooled
                 keep.append((at, codes, cache))
         known = np.array([self.words.get(w, 0) for w in words], np.int64)
+        if unknown is not None:
+            known[unknown(len(words)) < HIDDEN] = 0
         out[:, 2 * CHAR_STATES :] = self.p["embed"][known]
         if keep is not None:
             keep.append(known)
@@ -197,11 +202,13 @@ class Network:
     def _zeros(self) -> dict:
         return {k: ({n: np.zeros_like(a) for n, a in v.items()} if isinstance(v, dict) else np.zeros_like(v)) for k, v in self.p.items()}
 
-    def gradients(self, windows: list[list[str]], y: np.ndarray) -> tuple[float, dict]:
+    def gradients(self, windows: list[list[str]], y: np.ndarray, unknown: Callable[[int], np.ndarray] | None = None) -> tuple[float, dict]:
+        """Mean loss and its gradients. ``unknown`` gives random numbers, which hide the embeddings of some words, so
+        that characters must do."""
         words = list({w for win in windows for w in win}) or [""]
         place = {w: i for i, w in enumerate(words)}
         kept: list = []
-        vectors = self.word_vectors(words, kept)
+        vectors = self.word_vectors(words, kept, unknown)
         steps = max(1, max(map(len, windows)))
         ids, mask = np.zeros((steps, len(windows)), np.int64), np.zeros((steps, len(windows)), np.float32)
         for j, win in enumerate(windows):
@@ -260,8 +267,8 @@ class Network:
 class Scorer:
     """Highest window logit of texts, with a bounded cache of words' input parts."""
 
-    def __init__(self, net: Network, kept: int = KEPT_WORDS):
-        self.net, self.kept = net, kept
+    def __init__(self, net: Network, bound: int = KEPT_WORDS):
+        self.net, self.bound = net, bound
         self._reset()
 
     def _reset(self) -> None:
@@ -291,7 +298,7 @@ class Scorer:
         lists = [t.split() for t in texts]
         seen = self.seen
         new = {w for ws in lists for w in ws if w not in seen}
-        if len(seen) + len(new) > self.kept and seen:
+        if len(seen) + len(new) > self.bound and seen:
             self._reset()
             seen = self.seen
             new = {w for ws in lists for w in ws}
@@ -338,8 +345,25 @@ class Scorer:
         return out
 
 
+def distinct_examples(texts: list[str], coordinates: int = 4) -> list[int]:
+    """Places of the texts without copies and near copies of earlier ones: those that share a least hash of their word
+    triples. Copies would make all of their words look like signs of their label."""
+    seen: set[tuple[int, int]] = set()
+    out = []
+    for i, t in enumerate(texts):
+        w = words_of(t)
+        codes = np.array([zlib.crc32(" ".join(w[k : k + 3]).encode()) for k in range(max(1, len(w) - 2))], np.uint64)
+        least = [(c, int(((codes * np.uint64(2 * c + 0x9E3779B97F4A7C15) + np.uint64(c)) >> np.uint64(20)).min())) for c in range(coordinates)]
+        if not seen.intersection(least):
+            out.append(i)
+        seen.update(least)
+    return out
+
+
 def train(texts: list[str], y: np.ndarray, weight: np.ndarray, seed: int = 11) -> Network:
     """Learn from labels of whole texts."""
+    use = distinct_examples(texts)
+    texts, y, weight = [texts[i] for i in use], y[use], weight[use]
     rng = np.random.default_rng(seed)
     lists = [words_of(t) for t in texts]
     seen = [Counter(w for ws, label in zip(lists, y) if label == c for w in set(ws)) for c in (0, 1)]
@@ -351,6 +375,8 @@ def train(texts: list[str], y: np.ndarray, weight: np.ndarray, seed: int = 11) -
     for i in np.flatnonzero(y == 1):
         wins = windows_of(len(lists[i]))
         chosen[i] = max(wins, key=lambda w: sum(sorted((odds.get(x, 0.0) for x in lists[i][w[0] : w[1]]), reverse=True)[:3]))
+    # words that speak for the label in a toxic text; they are also set into clean windows, so that their surroundings don't
+    suspects = {i: [w for w in sorted(set(lists[i]), key=lambda w: -odds.get(w, 0.0))[:8] if odds.get(w, 0.0) >= 0.6 * max(odds.values())] for i in chosen}
     clean = np.flatnonzero(y == 0)
     hard: list[tuple[int, tuple[int, int]]] = []
     half = BATCH // 2
@@ -367,13 +393,21 @@ def train(texts: list[str], y: np.ndarray, weight: np.ndarray, seed: int = 11) -
             hard = [(int(owner[k]), (int(start[k]), min(int(start[k]) + WINDOW, len(lists[int(owner[k])])))) for k in top[np.argsort(-logits[top])] if y[owner[k]] == 0][: 4 * half]
         toxic = list(chosen.items())
         for step in range(STEPS_PER_ROUND if toxic and len(clean) else 0):
-            picks = [(toxic[k], 1.0) for k in rng.integers(0, len(toxic), half)]
+            windows = []
             for k in rng.integers(0, len(clean), half):
                 i = int(clean[k])
                 wins = windows_of(len(lists[i]))
-                picks.append((hard[rng.integers(len(hard))] if hard and rng.random() < 0.3 else (i, wins[rng.integers(len(wins))]), 0.0))
-            windows = [lists[i][a:b] for (i, (a, b)), _ in picks]
-            _, g = net.gradients(windows, np.array([t for _, t in picks], np.float32))
+                i, (a, b) = hard[rng.integers(len(hard))] if hard and rng.random() < 0.3 else (i, wins[rng.integers(len(wins))])
+                windows.append(lists[i][a:b])
+            for k, j in zip(rng.integers(0, len(toxic), half), rng.integers(0, half, half)):
+                i, (a, b) = toxic[k]
+                window = lists[i][a:b]
+                if suspects[i] and windows[j] and rng.random() < 0.5:
+                    window = list(windows[j])
+                    for at in rng.integers(0, len(window), rng.integers(1, 4)):
+                        window[at] = suspects[i][rng.integers(len(suspects[i]))]
+                windows.append(window)
+            _, g = net.gradients(windows, np.repeat(np.array([0, 1], np.float32), half), rng.random)
             net.adam(g, state, 0.01 if turn < ROUNDS - 1 else 0.003)
     if len(texts):
         _calibrate(net, Scorer(net).highest(texts), y, weight)
@@ -424,28 +458,34 @@ def fit(documents: DataFrame, labels: DataFrame, label: str, in_training: Column
     return Network(words, params=params)
 
 
-def score(df: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def score(df: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, into: str = "score") -> DataFrame:
     """One row per input row: doc_id, score (0 to 1); ``keep`` names columns to carry along instead of the id alone.
 
-    Null and empty texts are scored as one window without words. Texts of any length are scored whole; memory in a task
-    is one Arrow batch, the windows of a bounded stretch of texts (or of one text), and a bounded cache of words.
+    Null and empty texts are scored as one window without words. Rows with equal or null ids each give a row; an empty
+    table gives none. Texts of any length are scored whole; memory in a task is one Arrow batch, the windows of a bounded
+    stretch of texts (or of one text), and a bounded cache of words that the worker process keeps for its next tasks.
     """
+    if keep is None:
+        rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text"))
+    else:
+        rows = df.select(*keep, F.col(text_col).alias("__text"))
+    carried = [c for c in rows.columns if c != "__text"]
     model = df.sparkSession.sparkContext.broadcast((list(net.words), net.p))
+    name = f"toxicity {uuid.uuid4().hex}"
 
     def make():
-        words, params = model.value
-        scorer = Scorer(Network(words, params=params))
+        scorer = kept(name, lambda: Scorer(Network(model.value[0], params=model.value[1])))
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = scorer.net.probability(scorer.highest(texts_of(batch, "__text")))
-            carried = [batch.column(c) for c in batch.schema.names if c != "__text"]
-            return pa.RecordBatch.from_arrays([*carried, pa.array(found)], [*(c for c in batch.schema.names if c != "__text"), "score"])
+            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), pa.array(found)], [*carried, into])
 
         return step
 
-    if keep is None:
-        rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text"))
-    else:
-        rows = df.select(*keep, F.col(text_col).alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text")
-    return by_batch(rows, make, f"{schema}, score double")
+    return by_batch(rows, make, f"{schema}, `{into}` double")
+
+
+def without_toxic(df: DataFrame, net: Network, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows whose score is under the threshold, all columns as they are."""
+    return score(df, net, text_col=text_col, keep=df.columns, into="__toxicity").filter(F.col("__toxicity") < threshold).drop("__toxicity")
