@@ -1,12 +1,67 @@
-"""The corpus pipeline over ``documents``: filter, three kinds of deduplication, packing."""
+"""The corpus pipeline over ``documents``: toxic texts out, exact copies out, near copies out, repeated passages cut, packed.
+
+Every stage takes (spark, docs, sf_dir), works on all rows that its predecessor kept, and is written before the next one
+reads it. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kpimill.llm.exact_dedup import without_copies
+from kpimill.llm.labelled import fold
+from kpimill.llm.minhash import without_near_copies
+from kpimill.llm.packing import pack
+from kpimill.llm.suffix_dedup import without_repeats
+from kpimill.llm.toxicity import fit, without_toxic
+from kpimill.session import materialize
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score under 0.5; learned from the labels outside the held-out fold."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return without_toxic(docs, fit(docs, labels, "toxic", fold("doc_id", 5) != 0))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for the case of A-Z, the one with the largest id."""
+    return without_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of texts linked by a similarity of 0.75 of their five-word shingles, the one with the smallest id."""
+    return without_near_copies(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes of 400-byte strings that stand more than once; ``n_chars`` follows."""
+    out = without_repeats(docs)
+    if "n_chars" not in docs.columns:
+        return out
+    kind = docs.schema["n_chars"].dataType
+    return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of at most 2048 ids: one row per piece of a document with its place."""
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("suffix_dedup", cut_repeats),
+    ("packing", pack_sequences),
+]
+# a trained network, cut passages and fitted patterns are no SQL; tests/llm/test_pipeline.py has a brute-force version
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
