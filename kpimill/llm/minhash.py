@@ -26,7 +26,7 @@ from kpimill.session import materialize
 WORDS = 5
 THRESHOLD = 75  # hundredths of intersection over union
 COORDINATES, MATCHES = 32, 14
-LIST_BLOCK = 4096  # classes of a list that are compared in one task, from each of two blocks
+LIST_BLOCK = 1024  # classes of a list that are compared in one task, from each of two blocks
 GROUP_SHINGLES = 3_000_000  # shingles of a candidate group that are compared in one task, from each of two blocks
 KEPT_WORDS = 500_000
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
@@ -226,7 +226,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sizes = sized.groupBy("component").agg(F.sum("n").alias("total"))
     members = materialize(sized.join(sizes, "component").select("node", "component", "total"), "members")
     texts = df.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
-    brought = texts.join(members, texts["rep"] == members["node"]).select("rep", "text", "component", "total")
+    # both sides grow with the corpus: always by shuffle, never by broadcast
+    brought = texts.hint("merge").join(members, texts["rep"] == members["node"]).select("rep", "text", "component", "total")
     dealt = in_blocks(brought, F.ceil(F.col("total") / GROUP_SHINGLES), F.col("rep")).drop("total")
     links = by_group(dealt, ["component", "pair"], lambda: _group_edges(words, threshold), "a long, b long").distinct()
     linked = components(links, "links").select(F.col("node").alias("rep"), "component")
