@@ -77,6 +77,7 @@ PLAN_SHEETS = {
     "phd": ("version", "month", "year", "region", "base_type", "tariff", "account", "param_value"),
     "rev": ("version", "month", "year", "region", "base_type", "tariff", "account", "param_value"),
 }
+# Tariff and base codes of the plan sheets, version names, the account that keeps monthly rows.
 PLAN_TARIFFS = {"1100": "Bundle", "2000": "PAYG", "#": "NO SUBS"}
 PLAN_BASE_TYPES = {"#": "NOT A"}
 BUDGET_VERSION = "BU"
@@ -86,6 +87,7 @@ FORECAST_PATTERN = "F%"
 
 # ---- sales mix ---------------------------------------------------------------------------------
 
+# Names and marks of the sales-mix sheets.
 SALES_MIX_PARAM = "SM Plan"
 REGION_MARKER = "Регион"
 PLAN_MARKER = "план"
@@ -107,6 +109,8 @@ SALES_MIX_REGIONS = {
     "Йошкар-Ола": "Марий Эл",
     "Улан-Удэ": "Бурятия",
 }
+# Header spellings of the old layout -> names of columns and plans. Spellings that hold a company's name are
+# left to the caller, who hands over the whole dictionary.
 SALES_MIX_HEADERS = {
     "Регион": "region",
     "Channels": "channel",
@@ -124,6 +128,7 @@ DEFERRED_CLUSTER = "Deferred"
 
 # ---- brand tracking ----------------------------------------------------------------------------
 
+# Columns of the tracking table, its area spellings, and the marks in sheets and headers.
 TRACKING_COLUMNS = (
     "kpi", "operator", "area_cat", "area", "cat_1", "cat_2", "cat_3",
     "period_start", "period_end", "param_value", "source_table",
@@ -183,6 +188,14 @@ SOCIAL_HEADERS = {
 }
 SOCIAL_SUBS_HEADERS = {**SOCIAL_HEADERS, "Вариант2": "cat_3"}
 
+# Per layout the endings of file names (Cyrillic and Latin) and the sheets that hold the data.
+TRACKING_FILES = {
+    "express": (("Экспресс-мониторинг показателей трекинга",), EXPRESS_KPIS),
+    "general": (("Основные", "Osnovnye"), ("Динамика KPIs",)),
+    "social_subs": (("Соц дем абоненты", "Soc dem abonenty"), ("data",)),
+    "social": (("Соцдем", "Socdem"), ("data",)),
+}
+
 # ---- shared target layout ----------------------------------------------------------------------
 
 # The parameters table, in insert order.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import calendar
 import datetime as dt
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -129,6 +130,15 @@ def refresh_ranges(status: DataFrame, max_col: str, months_from: dt.date) -> Dat
     return status.select(F.inline(ranges))
 
 
+def quarter_dates(label: str) -> tuple[dt.date, dt.date] | tuple[None, None]:
+    """First and last day of ``Q1'20`` or ``1Q'20``, for labels known when the plan is built."""
+    parts = [re.sub("[^0-9]", "", p) for p in label.split("'")]
+    if len(parts) != 2 or not all(parts) or not 1 <= int(parts[0]) <= 4:
+        return None, None
+    year, month = 2000 + int(parts[1]), 3 * int(parts[0]) - 2
+    return dt.date(year, month, 1), dt.date(year, month + 2, calendar.monthrange(year, month + 2)[1])
+
+
 def quarter_start(label: Column | str) -> Column:
     """``Q1'20`` or ``1Q'20`` -> 2020-01-01; NULL for anything else."""
     parts = F.split(_col(label), "'")

@@ -1,26 +1,22 @@
 """Dictionary lookups: joins by name or code, buckets, representative keys, longest prefix, unmatched keys.
 
 Joins carry no hints: Spark broadcasts a dictionary when its statistics or its measured shuffle size allow it,
-and splits hot keys of the other side when they do not. The one lookup whose plan depends on the dictionary's
-size, ``longest_prefix``, measures it first.
+and splits hot keys of the other side when they do not.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from kpimill.session import materialize
 
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 32 << 20
-
-
-def map_dim(df: DataFrame, dim: DataFrame, on: dict[str, str], how: str = "inner") -> DataFrame:
-    """Join a dictionary on differently named keys; the dictionary's key columns are not kept."""
+def map_dim(df: DataFrame, dim: DataFrame, on: dict[str, str], how: str = "inner", where: Column | None = None) -> DataFrame:
+    """Join a dictionary on differently named keys; the dictionary's key columns are not kept. ``where`` limits the rows that
+    are looked up, as a part of the join's condition."""
     keys = dim.withColumnsRenamed({d: f"__{d}" for d in on.values()})
-    cond = [F.col(f"`{f}`") == F.col(f"`__{d}`") for f, d in on.items()]
+    cond = [F.col(f"`{f}`") == F.col(f"`__{d}`") for f, d in on.items()] + ([where] if where is not None else [])
     return df.join(keys, cond, how).drop(*[f"__{d}" for d in on.values()])
 
 
@@ -57,43 +53,22 @@ def dial_codes(dictionary: DataFrame, codes_col: str, dest_col: str, min_len: in
 
 
 def longest_prefix(
-    df: DataFrame,
-    key: str,
-    dictionary: DataFrame,
-    codes_col: str,
-    dest_col: str,
-    out: str,
-    min_len: int = 2,
-    broadcast_rows: int = BROADCAST_ROWS,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = 16,
+    df: DataFrame, key: str, dictionary: DataFrame, codes_col: str, dest_col: str, out: str, min_len: int = 2, salts: int = 16
 ) -> DataFrame:
     """Destination of the longest code that the key starts with; NULL when none of at least ``min_len`` does.
 
-    A dictionary measured small is broadcast once per code length: the big side is neither shuffled nor
-    exploded. A larger one is joined by shuffle on the prefixes of the *distinct* keys, and the answer goes back
-    to the rows on (key, salt), so one hot key is spread over ``salts`` tasks.
+    The prefixes of the *distinct* keys are joined with the codes, and the answer goes back to the rows on (key, salt), so
+    one hot key is spread over ``salts`` tasks. Nothing depends on the dictionary's size: Spark broadcasts it where its
+    own measure allows.
     """
     codes = dial_codes(dictionary, codes_col, dest_col, min_len)
-    size = F.octet_length("code") + F.octet_length("dest")
-    rows, size, lengths = codes.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0)), F.sort_array(F.collect_set(F.length("code")), False)
-    ).first()
-    if rows <= broadcast_rows and size <= broadcast_bytes:
-        hits = []
-        for n in lengths:
-            part = codes.where(F.length("code") == n).select(F.col("code").alias(f"__c{n}"), F.col("dest").alias(f"__d{n}"))
-            prefix = F.when(F.length(key) >= n, F.substring(key, 1, n))
-            df = df.join(F.broadcast(part), prefix == F.col(f"__c{n}"), "left")
-            hits.append(F.col(f"__d{n}"))
-        found = F.coalesce(*hits) if hits else F.lit(None).cast("string")
-        return df.withColumn(out, found).drop(*[f"__{x}{n}" for n in lengths for x in "cd"])
-    longest = max(lengths)
+    longest = codes.agg(F.coalesce(F.max(F.length("code")), F.lit(min_len))).scalar()
+    cut = F.sequence(F.lit(min_len), F.greatest(F.lit(min_len), F.least(F.length("__key"), longest)))
     answers = (
         df.select(F.col(key).alias("__key"))
         .where(F.length("__key") >= min_len)
         .distinct()
-        .withColumn("__n", F.explode(F.sequence(F.lit(min_len), F.least(F.length("__key"), F.lit(longest)))))
+        .withColumn("__n", F.explode(cut))
         .withColumn("code", F.substring(F.col("__key"), F.lit(1), F.col("__n")))
         .join(codes, "code")
         .groupBy("__key")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def melt(df: DataFrame, ids: list[str], values: list[str] | None, var: str, val: str) -> DataFrame:
@@ -13,6 +13,26 @@ def melt(df: DataFrame, ids: list[str], values: list[str] | None, var: str, val:
     return df.unpivot([F.col(f"`{c}`") for c in ids], [F.col(f"`{c}`") for c in values], var, val)
 
 
+def melt_as(df: DataFrame, ids: list[str], columns: list[tuple[str, dict[str, object]]], val: str) -> DataFrame:
+    """The same with given labels: for every listed column one row, with its label columns and its value.
+
+    Labels are literals of the plan, so nothing is parsed per row, and two columns may share a label.
+    """
+    rows = [F.struct(*[F.lit(v).alias(k) for k, v in labels.items()], F.col(f"`{c}`").alias(val)) for c, labels in columns]
+    return df.select(*[F.col(f"`{c}`") for c in ids], F.inline(F.array(*rows)))
+
+
+PIVOT_COLUMNS = 10_000
+
+
+def values_of(df: DataFrame, col: str) -> list:
+    """The values of a column that becomes headers, sorted. More than ``PIVOT_COLUMNS`` are refused: no table is that wide."""
+    found = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(PIVOT_COLUMNS + 1).collect()]
+    if len(found) > PIVOT_COLUMNS:
+        raise ValueError(f"{col} has more than {PIVOT_COLUMNS} values")
+    return sorted(found)
+
+
 def pivot_sum(df: DataFrame, index: list[str], col: str, val: str, values: list) -> DataFrame:
     """Sum of ``val`` by index, one column per listed value. The list is given, so no extra job looks it up."""
     return df.groupBy(*index).pivot(col, values).agg(F.sum(val))
@@ -44,13 +64,22 @@ def quarter_to_months(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, months)
 
 
+CALENDAR_KEYS = 10_000
+
+
 def replicate(df: DataFrame, keys: DataFrame, col: str) -> DataFrame:
-    """Every row once per distinct key of another table.
+    """Every row once per distinct date of a calendar.
 
-    The keys (calendar months in practice) are gathered into one array inside the plan and exploded per row,
-    so neither side is crossed with the other.
+    Only dates and numbers are taken as calendar keys, and at most ``CALENDAR_KEYS`` of them (27 years of days): they are
+    gathered into one array inside the plan and exploded per row, so neither side is crossed with the other. A larger
+    table is no calendar and fails the query.
     """
-    values = keys.where(F.col(col).isNotNull()).agg(F.sort_array(F.collect_set(col))).scalar()
+    kind = keys.schema[col].dataType
+    if not isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType, T.IntegralType)):
+        raise ValueError(f"{col} is {kind.simpleString()}, not a calendar")
+    found = keys.where(F.col(col).isNotNull()).select(col).distinct().limit(CALENDAR_KEYS + 1)
+    few = F.when(F.count(F.lit(1)) <= CALENDAR_KEYS, F.sort_array(F.collect_list(col)))
+    values = found.agg(few.otherwise(F.raise_error(F.lit(f"more than {CALENDAR_KEYS} values of {col}: not a calendar"))).alias("v")).scalar()
     return df.withColumn(col, F.explode(values))
 
 

@@ -12,8 +12,9 @@ from kpimill.functions import fixed_values as fv
 from kpimill.functions import periods as P
 from kpimill.functions import text as X
 from kpimill.operators import coltypes, control, cube, lookup, project, reshape
-from kpimill.session import materialize
+from kpimill.session import discard, materialize, staged
 from kpimill.sinks import tables
+from kpimill.sources import files
 
 # ---- marketplace cube ----------------------------------------------------------------------------
 
@@ -33,8 +34,7 @@ def refresh_all(
     windows = P.refresh_windows(max_date, months_from)
     rows = cube.period_cube(lots, agg, windows, arms, as_of, **options)
     if tables.exists(spark, path):
-        tables.replace_slice(
-            spark, path, F.col("period").isin(*P.KINDS), rows, ["period"], gaining={(k,) for k in P.KINDS})
+        tables.replace_slice(spark, path, F.col("period").isin(*P.KINDS), rows, ["period"])
     else:
         tables.full_reload(rows, path, ["period"])
 
@@ -77,63 +77,116 @@ def normalize_tracking(sheet: DataFrame, profile: TrackingProfile | str) -> Data
     dropped = lambda c: fv.CHANGE_MARK in c or fv.BASE_MARK in c or fv.QUARTER_MARK not in c
     df = reshape.drop_by_rule(df, dropped, ids)
     keys = [c for c in df.columns if c in ids]
-    quarters = [c for c in df.columns if c not in ids]
-    df = df.withColumns({q: X.to_number(F.col(f"`{q}`")) for q in quarters})
-    long = project.relabel(reshape.melt(df, keys, quarters, "quarter", "param_value"), "area", fv.TRACKING_AREAS)
-    start = P.quarter_start("quarter")
+    columns = []
+    for q in (c for c in df.columns if c not in ids):
+        start, end = P.quarter_dates(q)  # the label is a column name: its dates are literals of the plan
+        columns.append((q, {"period_start": start, "period_end": end}))
+    if not columns:
+        raise ValueError("no quarter columns")
+    df = df.withColumns({q: X.to_number(F.col(f"`{q}`")) for q, _ in columns})
+    long = project.relabel(reshape.melt_as(df, keys, columns, "param_value"), "area", fv.TRACKING_AREAS)
     types = {"period_start": "date", "period_end": "date", "param_value": "double"}
     schema = ", ".join(f"{c} {types.get(c, 'string')}" for c in fv.TRACKING_COLUMNS)
-    constants = {"period_start": start, "period_end": P.quarter_end(start), "source_table": p.name}
-    return project.conform(long, schema, constants)
+    return project.conform(long, schema, {"source_table": p.name})
+
+
+def tracking_profile(file_name: str, sheets: list[str]) -> str:
+    """The layout of a workbook, told by the end of its file name and a sheet that it holds."""
+    stem = file_name.rsplit("/", 1)[-1].split(".")[0]
+    for name, (endings, wanted) in fv.TRACKING_FILES.items():
+        if stem.endswith(endings) and set(wanted) & set(sheets):
+            return name
+    raise ValueError(f"no tracking layout for {file_name} with sheets {sheets}")
+
+
+def read_tracking(spark: SparkSession, root: str, file_name: str) -> DataFrame:
+    """A tracking workbook (a folder of sheets) in the 11-column layout; express sheets name their KPI."""
+    profile = tracking_profile(file_name, files.sheet_names(spark, root))
+    label = "kpi" if profile == "express" else "__sheet"
+    stacked = files.read_sheets(spark, root, list(fv.TRACKING_FILES[profile][1]), label, distinct=True)
+    return normalize_tracking(stacked.drop("__sheet"), profile)
+
+
+def load_tracking(spark: SparkSession, path: str, long: DataFrame, profile: str) -> dict[str, int]:
+    """Replace one layout's rows of the tracking table, which is cut by ``source_table``."""
+    return tables.replace_slice(spark, path, F.col("source_table") == profile, long, ["source_table"])
 
 
 # ---- planned sales mix ---------------------------------------------------------------------------
 
 
-def _clean_header(name: str) -> str:
+def _clean_header(name: str, headers: dict[str, str]) -> str:
     bare = re.sub(fv.PLAN_SUFFIX_PATTERN, r"\1", name).strip()
-    return fv.SALES_MIX_HEADERS.get(bare, bare)
+    return headers.get(bare, bare)
 
 
-def sales_mix_long(raw: DataFrame, layout: str, keys: int = 2, totals: bool = True) -> DataFrame:
-    """Wide sales-mix sheet to (region, channel, tariff, subs_count).
+def sales_mix_long(
+    raw: DataFrame, layout: str, keys: int = 2, totals: bool = True, headers: dict[str, str] | None = None, extra: tuple[str, ...] = ()
+) -> DataFrame:
+    """Wide sales-mix sheet to (region, channel, tariff, subs_count), and the ``extra`` columns as they are.
 
     ``new``: the sheet's last repeated columns, one channel. ``old``: the key columns and every plan column;
-    either only the total channel is kept or only the others.
+    either only the total channel is kept or only the others. ``headers`` maps header spellings to names; two columns
+    that get one name give rows of their own. Rows with an empty cell are left out, and so are cells with the
+    spreadsheet's division error; a cell with any other text that is no number fails the query with that text.
     """
+    headers = fv.SALES_MIX_HEADERS if headers is None else headers
+    body = [c for c in raw.columns if c not in extra]
     if layout == "new":
-        wide = raw.dropna().withColumnRenamed(fv.REGION_MARKER, "region").withColumn("channel", F.lit("Total"))
+        picked = {c: headers.get(c, c) if c == fv.REGION_MARKER else c for c in body}
     elif layout == "old":
-        picked = raw.select(*[F.col(f"`{c}`") for c in reshape.columns_with_marker(raw.columns, fv.PLAN_MARKER, keys)])
-        wide = project.rename_by(project.rename_by(picked.dropna(), _clean_header), _clean_header)
-        wide = wide.where((F.col("channel") == "Total") if totals else (F.col("channel") != "Total"))
+        kept = reshape.columns_with_marker(body, fv.PLAN_MARKER, keys)
+        picked = {c: _clean_header(_clean_header(c, headers), headers) for c in kept}
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    ids = [c for c in ("region", "channel", "macroregion", "cluster") if c in wide.columns]
-    wide = wide.select(*ids, *[F.col(f"`{c}`").cast("string").alias(c) for c in wide.columns if c not in ids])
-    long = reshape.melt(wide, ids, None, "tariff", "subs_count").select("region", "channel", "tariff", "subs_count")
-    long = long.where(F.col("subs_count") != fv.DIV_ZERO_SENTINEL)
-    return long.withColumn("subs_count", F.round(X.to_number("subs_count", type_="decimal(18,6)"), 2).cast("double")).dropna()
+    ids = {n: c for c, n in picked.items() if n in ("region", "channel", "macroregion", "cluster")}
+    tariffs = [(c, {"tariff": n}) for c, n in picked.items() if n not in ids]
+    wide = raw.select(*[F.col(f"`{c}`") for c in (*picked, *extra)]).dropna(subset=[f"`{c}`" for c in picked])
+    wide = wide.select(
+        *[F.col(f"`{c}`").alias(n) for n, c in ids.items()], *[F.col(f"`{c}`") for c in extra],
+        *[F.col(f"`{c}`").cast("string").alias(f"__{i}") for i, (c, _) in enumerate(tariffs)])
+    if layout == "new":
+        wide = wide.withColumn("channel", F.lit("Total"))
+    else:
+        wide = wide.where((F.col("channel") == "Total") if totals else (F.col("channel") != "Total"))
+    tariffs = [(f"__{i}", label) for i, (_, label) in enumerate(tariffs)]
+    long = reshape.melt_as(wide, ["region", "channel", *extra], tariffs, "subs_count").where(F.col("subs_count") != fv.DIV_ZERO_SENTINEL)
+    number = X.to_number("subs_count", type_="decimal(18,6)")
+    bad = F.concat(F.lit("not a number in the sales mix: "), F.col("region"), F.lit(", "), F.col("tariff"), F.lit(": "), F.col("subs_count"))
+    number = F.when(number.isNull(), F.raise_error(bad)).otherwise(F.round(number, 2))
+    return long.withColumn("subs_count", number.cast("double"))
+
+
+def sales_mix_files(spark: SparkSession, path: str, sep: str = ";", headers: dict[str, str] | None = None) -> DataFrame:
+    """Sales-mix files of the old layout, stacked: each file's report month stands in its first cell, its header further
+    down. Files without a month or a header are refused."""
+    raw = files.find_header(spark, path, fv.REGION_MARKER, sep)
+    months = files.report_months(spark, path, sep)
+    dated = lookup.map_dim(raw, months, {"source_file": "source_file"}).drop("source_file")
+    return sales_mix_long(dated, "old", headers=headers, extra=("report_month",))
 
 
 def sales_mix_params(
-    long: DataFrame, report_month: dt.date, plans: DataFrame, branches: DataFrame, regions: dict[str, str], by_channel: bool = False
+    long: DataFrame, report_month: dt.date | str, plans: DataFrame, branches: DataFrame, regions: dict[str, str], by_channel: bool = False
 ) -> DataFrame:
-    """Long sales mix to the parameters layout: plan id by tariff name, branch id by region name."""
+    """Long sales mix to the parameters layout: plan id by tariff name, branch id by region name. The month is a date, or the
+    column that holds it."""
     long = materialize(long, "sales-mix")  # the sheet is read once: for its tariff names and for its rows
     plan_ids = lookup.other_bucket(plans, long.select("tariff"), "name_report", "tp_id")
     mapped = lookup.map_dim(long, plan_ids, {"tariff": "name_report"})
     mapped = lookup.map_dim(project.relabel(mapped, "region", regions), branches, {"region": "region_name"})
-    constants = {"report_date": F.lit(report_month), "param_1": fv.SALES_MIX_PARAM, "tp_id_1": F.col("tp_id"),
+    month = F.col(report_month) if isinstance(report_month, str) else F.lit(report_month)
+    constants = {"report_date": month, "param_1": fv.SALES_MIX_PARAM, "tp_id_1": F.col("tp_id"),
                  "param_value": F.col("subs_count")}
     if by_channel:
         constants["param_2"] = F.col("channel")
     return project.conform(mapped, fv.PARAMETERS_SCHEMA, constants)
 
 
-def load_sales_mix(spark: SparkSession, path: str, params: DataFrame, report_month: dt.date) -> None:
-    slice_ = (F.col("param_1") == fv.SALES_MIX_PARAM) & (F.col("report_date") == F.lit(report_month))
-    tables.replace_slice(spark, path, slice_, params, ["param_1"], gaining={(fv.SALES_MIX_PARAM,)})
+def load_sales_mix(spark: SparkSession, path: str, params: DataFrame, *report_months: dt.date) -> None:
+    """Replace the sales mix of the given months."""
+    slice_ = (F.col("param_1") == fv.SALES_MIX_PARAM) & F.col("report_date").isin(*report_months)
+    tables.replace_slice(spark, path, slice_, params, ["param_1"])
 
 
 # ---- finance plan --------------------------------------------------------------------------------
@@ -172,13 +225,13 @@ def load_plan(
 
     The slice is described on the parameters' columns and cut by version (param_1), the table's partition.
     """
-    params = materialize(plan_params(raw, codes), "plan-params")  # monthly rows, used three times
+    params, stage = staged(plan_params(raw, codes), "plan-params")  # monthly rows, used three times
     spec = spec.resolve(params)
     cond = spec.column()
     tables.backup_slice(spark, path, backup, cond, ["param_1"])
-    versions = {(v,) for v in spec.keys["param_1"]}
-    tables.replace_slice(spark, path, cond, daily_plan(params.where(cond), account), ["param_1"], gaining=versions)
+    tables.replace_slice(spark, path, cond, daily_plan(params.where(cond), account), ["param_1"])
     keep_latest_forecast(spark, path)
+    discard(spark, stage)
 
 
 def keep_latest_forecast(spark: SparkSession, path: str) -> None:
@@ -216,7 +269,7 @@ def load_live_base(spark: SparkSession, path: str, params: DataFrame, version: s
     slice_ = (F.col("param_1") == version) & (F.col("param_2") == fv.LIVE_BASE_KPI)
     if year is not None:
         slice_ = slice_ & (F.year("report_date") == year)
-    return tables.replace_slice(spark, path, slice_, params, ["param_1"], gaining={(version,)})
+    return tables.replace_slice(spark, path, slice_, params, ["param_1"])
 
 
 def target_levels(sheet: DataFrame, codes: DataFrame, report_date: dt.date, kpi: str = fv.LIVE_BASE_KPI) -> DataFrame:
@@ -249,23 +302,15 @@ def feed_direction(df: DataFrame) -> str | None:
     return None if "DIRECTION" in df.columns else "Outgoing"
 
 
-def normalize_cdr(
-    feed: DataFrame,
-    as_of: dt.date,
-    incoming: DataFrame | None = None,
-    mapping: DataFrame | None = None,
-    dictionary: DataFrame | None = None,
-    file_col: str = "data_source",
-    carrier_types=fv.CARRIER_TYPES,
-) -> DataFrame:
-    """Call-record feed of one layout (any number of files) to the target layout.
-
-    ``incoming``: destination, country, area. ``mapping``: destination, codes, country, area.
-    ``dictionary``: dial_codes, new_destination.
-    """
+def read_cdr(feed: DataFrame, file_col: str = "data_source", carrier_types=fv.CARRIER_TYPES) -> DataFrame:
+    """Call records of one layout (any number of files) with typed cells and the direction of each record; the gate on
+    carrier types is applied. ``unreadable`` counts the filled cells of a record that are no number or date."""
     direction = feed_direction(feed)
     df = project.rename_synonyms(feed, fv.CDR_SYNONYMS)
-    df = df.withColumns({c: X.to_number(c, ",", type_="decimal(18,6)") for c in ("MINUTES", "COST")})
+    numbers = {c: X.to_number(c, ",", type_="decimal(18,6)") for c in ("MINUTES", "COST")}
+    filled = lambda c: F.coalesce(F.trim(F.col(c).cast("string")) != "", F.lit(False))
+    bad = sum((F.when(filled(c) & n.isNull(), 1).otherwise(0) for c, n in numbers.items()), F.lit(0))
+    df = df.withColumns({**numbers, "unreadable": bad})
     if direction:
         df = df.withColumn("DIRECTION", F.lit(direction))
     carrier = F.col("CARRIER")
@@ -280,10 +325,52 @@ def normalize_cdr(
     df = df.where(F.col("CARRIER_TYPE").isin(*carrier_types) & ~F.col("CARRIER").isin(*fv.EXCLUDED_CARRIERS))
     df = df.withColumnRenamed("CDR_DATE", "__text_date")
     df = coltypes.parse_dates(df, "__text_date", fv.CDR_DATE_FORMATS, [file_col], "CDR_DATE", "CDR_MONTH")
-    if direction == "Incoming" and incoming is not None:
-        df = lookup.map_dim(df, incoming, {"DESTINATION": "destination"}, "left")
-    elif direction != "Incoming" and mapping is not None:
+    undated = F.when(filled("__text_date") & F.col("CDR_DATE").isNull(), 1).otherwise(0)
+    return df.withColumn("unreadable", F.col("unreadable") + undated)
+
+
+def cdr_file_report(records: DataFrame, file_col: str = "data_source") -> DataFrame:
+    """Per file of ``read_cdr``: records, first and last month, number of months, unreadable cells. A file that may be loaded
+    has one month and no unreadable cell (``ok``)."""
+    month = F.trunc("CDR_DATE", "month")
+    # months of a file are counted from their distinct values, combined before the shuffle
+    per_month = records.groupBy(file_col, month.alias("m")).agg(F.count(F.lit(1)).alias("n"), F.sum("unreadable").alias("u"))
+    out = per_month.groupBy(F.col(file_col).alias("data_source")).agg(
+        F.sum("n").alias("rows"), F.min("m").alias("first_month"), F.max("m").alias("last_month"), F.count("m").alias("months"),
+        F.sum("u").alias("unreadable"))
+    return out.withColumn("ok", (F.col("months") == 1) & (F.col("unreadable") == 0))
+
+
+def normalize_cdr(
+    feed: DataFrame,
+    as_of: dt.date,
+    incoming: DataFrame | None = None,
+    mapping: DataFrame | None = None,
+    dictionary: DataFrame | None = None,
+    file_col: str = "data_source",
+    carrier_types=fv.CARRIER_TYPES,
+) -> DataFrame:
+    """Call-record feed of one layout (any number of files) to the target layout.
+
+    ``incoming``: destination, country, area. ``mapping``: destination, codes, country, area.
+    ``dictionary``: dial_codes, new_destination. Each record is looked up by its own direction, so one feed may hold
+    several; other directions than the two are looked up nowhere.
+    """
+    return cdr_layout(read_cdr(feed, file_col, carrier_types), as_of, incoming, mapping, dictionary, file_col)
+
+
+def cdr_layout(
+    df: DataFrame, as_of: dt.date, incoming: DataFrame | None = None, mapping: DataFrame | None = None,
+    dictionary: DataFrame | None = None, file_col: str = "data_source",
+) -> DataFrame:
+    """Records of ``read_cdr`` to the target layout, with the lookups of their direction."""
+    if mapping is not None:
         df = _outgoing_destinations(df, mapping, dictionary)
+    if incoming is not None:
+        known = incoming.select("destination", F.col("country").alias("__in_country"), F.col("area").alias("__in_area"))
+        df = lookup.map_dim(df, known, {"DESTINATION": "destination"}, "left", F.col("DIRECTION") == "Incoming")
+        found = lambda c: F.when(F.col("DIRECTION") == "Incoming", F.col(f"__in_{c}"))
+        df = df.withColumns({c: F.coalesce(found(c), c) if c in df.columns else found(c) for c in ("country", "area")})
     return project.conform(df, CDR_SCHEMA, {"insert_date": F.lit(as_of), "data_source": F.col(file_col)})
 
 
@@ -296,7 +383,7 @@ def _outgoing_destinations(df: DataFrame, mapping: DataFrame, dictionary: DataFr
     coded = lookup.longest_prefix(coded, "first_code", dictionary, "dial_codes", "new_destination", "new_destination")
     coded = coded.select("destination", "country", "area", "new_destination", F.lit(True).alias("matched"))
     coded = materialize(coded, "destinations")  # one row per destination, now of known size
-    df = lookup.map_dim(df, coded, {"DESTINATION": "destination"}, "left")
+    df = lookup.map_dim(df, coded, {"DESTINATION": "destination"}, "left", F.col("DIRECTION") == "Outgoing")
     matched = F.coalesce("matched", F.lit(False))
     return df.withColumns({
         "DESTINATION": F.coalesce(X.blank_to_null("new_destination"), "DESTINATION"),
@@ -308,21 +395,34 @@ def _outgoing_destinations(df: DataFrame, mapping: DataFrame, dictionary: DataFr
 CDR_SLICE = ["direction", "cdr_month"]
 
 
-def load_cdr(spark: SparkSession, path: str, records: DataFrame) -> DataFrame:
-    """Replace the (direction, month) slices whose new rows pass the freshness gate; gives the decisions."""
-    records = materialize(records, "cdr")  # parsed once: for the gate and for the write
-    stored = spark.read.schema(records.schema).parquet(path) if tables.exists(spark, path) else records.limit(0)
-    decision = control.freshness_gate(records, stored, CDR_SLICE, "cdr_date", "cdr_month", "data_source")
-    decision = materialize(decision, "gate")
-    rows = control.accepted(records, decision, CDR_SLICE, "data_source")
-    if not tables.exists(spark, path):
+def load_cdr(spark: SparkSession, path: str, records: DataFrame, report: DataFrame | None = None) -> DataFrame:
+    """Replace the (direction, month) slices whose new rows pass the freshness gate; gives the decisions.
+
+    Files that ``cdr_file_report`` does not find in order are refused: their rows are not loaded, and they come back as
+    decisions with ``refused``. Without a report, files of several months or with undated records are refused.
+    """
+    records, stage = staged(records, "cdr")  # parsed once: for the gate and for the write
+    if report is None:
+        per_month = records.groupBy("data_source", F.trunc("cdr_date", "month").alias("m")).agg(F.count(F.lit(1)).alias("n"))
+        report = per_month.groupBy("data_source").agg(F.sum("n").alias("rows"), (F.count("m") == 1).alias("one"), F.count_if(F.col("m").isNull()).alias("undated"))
+        report = report.withColumn("ok", F.col("one") & (F.col("undated") == 0))
+    refused = materialize(report.where("NOT ok").select("data_source", F.col("rows").alias("row_count")), "refused")
+    gone = refused.select(F.col("data_source").alias("__file"))
+    fit = records.join(gone, F.equal_null(F.col("data_source"), F.col("__file")), "left_anti")
+    here = tables.exists(spark, path)
+    stored = spark.read.schema(records.schema).parquet(path) if here else records.limit(0)
+    decision = control.freshness_gate(fit, stored, CDR_SLICE, "cdr_date", "cdr_month", "data_source")
+    decision = materialize(decision.withColumn("refused", F.lit(False)), "gate")
+    rows = control.accepted(fit, decision, CDR_SLICE, "data_source")
+    if not here:
         tables.full_reload(rows, path, CDR_SLICE)
-        return decision
-    yes = [tuple(r) for r in decision.where("load").select(*CDR_SLICE).collect()]  # slices, as many as folders
-    if yes:
-        slices = F.struct(*CDR_SLICE).isin([F.struct(F.lit(d), F.lit(m)) for d, m in yes])
-        tables.replace_slice(spark, path, slices, rows, CDR_SLICE, gaining=set(yes))
-    return decision
+    else:
+        yes = [tuple(r) for r in decision.where("load").select(*CDR_SLICE).collect()]  # slices, as many as folders
+        if yes:
+            slices = F.struct(*CDR_SLICE).isin([F.struct(F.lit(d), F.lit(m)) for d, m in yes])
+            tables.replace_slice(spark, path, slices, rows, CDR_SLICE)
+    discard(spark, stage)
+    return decision.unionByName(refused.withColumns({"load": F.lit(False), "refused": F.lit(True)}), allowMissingColumns=True)
 
 
 # ---- file upload ---------------------------------------------------------------------------------

@@ -62,9 +62,9 @@ _PREFIX_SQL = with_views("dial_lists", """
     FROM lineitem LEFT JOIN best ON best.k = CAST(l_orderkey AS VARCHAR)""".replace("    , codes", ", codes", 1))
 
 
-def _prefix(spark, sf, **options):
+def _prefix(spark, sf):
     feed = table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", "CAST(l_orderkey AS STRING) AS first_code")
-    out = lookup.longest_prefix(feed, "first_code", A.dial_lists(spark), "dial_codes", "new_destination", "new_destination", **options)
+    out = lookup.longest_prefix(feed, "first_code", A.dial_lists(spark), "dial_codes", "new_destination", "new_destination")
     return out.select("l_orderkey", "l_linenumber", "new_destination",
                       F.coalesce(X.blank_to_null("new_destination"), "first_code").alias("destination"))
 
@@ -74,10 +74,19 @@ def longest_prefix(spark, sf):
     return _prefix(spark, sf)
 
 
-@query("longest_prefix_large_dictionary", _PREFIX_SQL)
+@query("longest_prefix_large_dictionary", """
+    WITH codes AS (SELECT code, min(p_name) AS dest FROM (SELECT unnest([CAST(p_partkey AS VARCHAR), CAST(p_partkey AS VARCHAR) || '7']) AS code, p_name
+        FROM part) WHERE length(code) >= 2 GROUP BY 1),
+      k AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS k FROM lineitem),
+      p AS (SELECT k, substr(k, 1, CAST(n AS INTEGER)) AS code FROM k, unnest(generate_series(2, length(k))) AS u(n)),
+      best AS (SELECT k, max_by(dest, length(code)) AS dest FROM p JOIN codes USING (code) GROUP BY 1)
+    SELECT l_orderkey, l_linenumber, best.dest AS new_destination FROM lineitem LEFT JOIN best ON best.k = CAST(l_orderkey AS VARCHAR)""")
 def longest_prefix_large_dictionary(spark, sf):
-    """The same lookup the way it runs when the dictionary is too large to broadcast."""
-    return _prefix(spark, sf, broadcast_rows=0)
+    """The same lookup with two codes for every part."""
+    feed = table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", "CAST(l_orderkey AS STRING) AS k")
+    codes = table(spark, sf, "part").selectExpr("concat(p_partkey, ', ', p_partkey, '7') AS dial_codes", "p_name AS dest")
+    out = lookup.longest_prefix(feed, "k", codes, "dial_codes", "dest", "new_destination")
+    return out.select("l_orderkey", "l_linenumber", "new_destination")
 
 
 @query("branch_dim", with_views("branch region_dim", """
@@ -235,3 +244,22 @@ def freshness_gate(spark, sf):
     new = _cdr_slices(spark, sf)
     stored = new.where("l_suppkey % 2 = 0 AND cdr_month < DATE '1999-01-01'")
     return control.freshness_gate(new, stored, ["direction", "cdr_month"], "cdr_date", "cdr_month", "data_source")
+
+
+@query("freshness_gate_per_file", """
+    WITH c AS (SELECT l_returnflag AS direction, CAST(date_trunc('month', l_shipdate) AS DATE) AS cdr_month, CAST(l_shipdate AS DATE) AS d,
+        concat('f', CASE WHEN day(l_shipdate) > 26 THEN '9' ELSE CAST(l_linenumber % 3 AS VARCHAR) END) AS f, l_suppkey FROM lineitem),
+      w AS (SELECT direction, cdr_month, f, max(d) AS md, count(*) AS n FROM c GROUP BY 1, 2, 3),
+      s AS (SELECT direction, cdr_month, max(d) AS md, count(*) AS n FROM c WHERE l_suppkey % 4 = 0 AND day(d) < 20 GROUP BY 1, 2),
+      j AS (SELECT w.direction, w.cdr_month, f, w.md, w.n, s.md AS smd, s.n AS sn,
+          w.md >= coalesce(s.md, w.cdr_month) AND w.n > coalesce(s.n, 0) AS load FROM w LEFT JOIN s USING (direction, cdr_month))
+    SELECT direction, cdr_month, f AS data_source, md AS max_date, n AS row_count, smd AS stored_max_date, sn AS stored_row_count, load FROM j
+    QUALIFY row_number() OVER (PARTITION BY direction, cdr_month ORDER BY load DESC, md DESC, n DESC, f DESC) = 1""")
+def freshness_gate_per_file(spark, sf):
+    """The latest file of a month holds its last days only and is often too small to replace what is stored; then the best of
+    the earlier files that pass stands for the slice."""
+    new = table(spark, sf, "lineitem").selectExpr(
+        "l_returnflag AS direction", "trunc(l_shipdate, 'month') AS cdr_month", "CAST(l_shipdate AS DATE) AS cdr_date",
+        "concat('f', IF(day(l_shipdate) > 26, 9, l_linenumber % 3)) AS data_source", "l_suppkey")
+    stored = new.where("l_suppkey % 4 = 0 AND day(cdr_date) < 20")
+    return control.freshness_gate(new, stored, ["direction", "cdr_month"], "cdr_date", "cdr_month", "data_source")

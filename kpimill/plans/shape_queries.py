@@ -260,29 +260,28 @@ def unpivot_tariff(spark, sf):
     return long.withColumn("subs_count", F.round("subs_count", 2).cast("double"))
 
 
-_QUARTERS = [f"Q{q}'{y}" for y in range(95, 98) for q in range(1, 5)]
-
-
 @query("unpivot_quarter", """
-    SELECT o_orderpriority AS kpi, c_nationkey AS area, concat('Q', CAST(quarter(o_orderdate) AS VARCHAR), '''',
-      CAST(year(o_orderdate) - 1900 AS VARCHAR)) AS quarter,
-      CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS param_value
-    FROM orders JOIN customer ON o_custkey = c_custkey WHERE year(o_orderdate) BETWEEN 1995 AND 1997 GROUP BY 1, 2, 3""")
+    WITH r AS (SELECT o_orderpriority AS kpi, c_nationkey AS area, concat('Q', CAST(quarter(o_orderdate) AS VARCHAR), '''',
+        lpad(CAST(year(o_orderdate) % 100 AS VARCHAR), 2, '0')) AS quarter, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS param_value
+        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3)
+    SELECT kpi, area, quarter, param_value FROM (SELECT DISTINCT kpi, area FROM r) CROSS JOIN (SELECT DISTINCT quarter FROM r)
+      LEFT JOIN r USING (kpi, area, quarter)""")
 def unpivot_quarter(spark, sf):
-    """Quarter columns to rows, recognised by their name; a change column is dropped first."""
+    """All quarters of the data as columns, then to rows, recognised by their name; empty cells stay as NULL rows, and a change
+    column is dropped first."""
     wide = wide_quarters(spark, sf).withColumn("Изменение Q", F.lit(0))
     wide = reshape.drop_by_rule(wide, lambda c: fv.CHANGE_MARK in c or fv.QUARTER_MARK not in c, ["kpi", "area"])
-    long = reshape.melt(wide, ["kpi", "area"], [c for c in wide.columns if fv.QUARTER_MARK in c], "quarter", "param_value")
-    return long.where("param_value IS NOT NULL")
+    return reshape.melt(wide, ["kpi", "area"], [c for c in wide.columns if fv.QUARTER_MARK in c], "quarter", "param_value")
 
 
 def wide_quarters(spark, sf):
     orders = table(spark, sf, "orders").selectExpr(
         "o_custkey AS c_custkey", "o_orderpriority AS kpi", "CAST(o_totalprice AS DECIMAL(18,2)) AS price",
-        "concat('Q', CAST(quarter(o_orderdate) AS STRING), '\\'', CAST(year(o_orderdate) - 1900 AS STRING)) AS q")
+        "concat('Q', quarter(o_orderdate), \"'\", lpad(CAST(year(o_orderdate) % 100 AS STRING), 2, '0')) AS q")
+    quarters = reshape.values_of(orders, "q")
     joined = orders.join(table(spark, sf, "customer").selectExpr("c_custkey", "c_nationkey AS area"), "c_custkey")
-    wide = reshape.pivot_sum(joined, ["kpi", "area"], "q", "price", _QUARTERS)
-    return wide.select("kpi", "area", *[F.col(f"`{c}`").cast("double").alias(c) for c in _QUARTERS])
+    wide = reshape.pivot_sum(joined, ["kpi", "area"], "q", "price", quarters)
+    return wide.select("kpi", "area", *[F.col(f"`{c}`").cast("double").alias(c) for c in quarters])
 
 
 @query("unpivot_levels", """
@@ -315,18 +314,19 @@ def pivot_channel(spark, sf):
     return wide.select("tariff", *[F.round(F.col(c).cast("double"), 2).alias(c) for c in ("A", "N", "R")])
 
 
-_MONTHS = [f"1996-{m:02d}-01" for m in range(1, 13)]
-
-
-@query("pivot_month", f"""
-    SELECT o_orderpriority AS tariff, {_pivot_sql("strftime(date_trunc('month', o_orderdate), '%Y-%m-%d')", _MONTHS, 'CAST(o_totalprice AS DECIMAL(18,2))')}
-    FROM orders GROUP BY 1""")
+@query("pivot_month", """
+    WITH r AS (SELECT o_orderpriority AS tariff, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS v FROM orders GROUP BY 1, 2)
+    SELECT tariff, CAST(month AS VARCHAR) AS month, round(v, 2) AS value FROM (SELECT DISTINCT tariff FROM r) CROSS JOIN (SELECT DISTINCT month FROM r)
+      LEFT JOIN r USING (tariff, month)""")
 def pivot_month(spark, sf):
+    """One column per month of the data, all of them; shown as (tariff, month, value), as the months are not known beforehand."""
     orders = table(spark, sf, "orders").selectExpr(
         "o_orderpriority AS tariff", "CAST(trunc(o_orderdate, 'month') AS STRING) AS month",
         "CAST(o_totalprice AS DECIMAL(18,2)) AS v")
-    wide = reshape.pivot_sum(orders, ["tariff"], "month", "v", _MONTHS)
-    return wide.select("tariff", *[F.round(F.col(f"`{m}`").cast("double"), 2).alias(m) for m in _MONTHS])
+    wide = reshape.pivot_sum(orders, ["tariff"], "month", "v", reshape.values_of(orders, "month"))
+    long = reshape.melt(wide, ["tariff"], None, "month", "value")
+    return long.withColumn("value", F.round(F.col("value").cast("double"), 2))
 
 
 @query("quarter_to_months", """

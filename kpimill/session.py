@@ -51,12 +51,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write a table once to the shared folder; gives it back with its path, for ``discard`` when its result is written."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove staged tables that nothing reads any more."""
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table once to the shared folder and read it back.
 
     Lineage ends there, lost executors cost nothing, and the plan that uses the table sees its true size, so
     Spark's own check decides whether it is broadcast.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return staged(df, name)[0]

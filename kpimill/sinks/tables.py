@@ -13,7 +13,9 @@ from dataclasses import dataclass, field
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from kpimill.session import materialize
+from kpimill.session import discard, staged
+
+MAX_KEYS = 10_000  # distinct values of a slice's dictionary column; more is no dictionary and is refused
 
 
 @dataclass(frozen=True)
@@ -22,7 +24,7 @@ class SliceSpec:
 
     Bounds left out are taken from the data, key lists left out are all distinct values; the upper bound is
     moved to its month's end. ``keys`` maps a dictionary column of the data (versions, accounts) to its allowed
-    values, which become literals of the predicate.
+    values, which become literals of the predicate; blanks around them don't count, as in the data.
     """
 
     date_col: str
@@ -30,15 +32,17 @@ class SliceSpec:
     max_date: dt.date | None = None
     keys: dict[str, list[str] | None] = field(default_factory=dict)
 
+    def __post_init__(self):
+        clean = {k: [x.strip() for x in v] if v else v for k, v in self.keys.items()}
+        object.__setattr__(self, "keys", clean)
+
     def resolve(self, df: DataFrame) -> "SliceSpec":
-        """Fill in what was left out, by one aggregation over the data."""
-        aggs = [F.min(self.date_col).alias("lo"), F.max(self.date_col).alias("hi")]
-        aggs += [F.sort_array(F.collect_set(F.trim(k))).alias(f"k{i}") for i, k in enumerate(self.keys)]
-        row = df.agg(*aggs).first()
+        """Fill in what was left out from the data. A column with more than ``MAX_KEYS`` values is refused."""
+        row = df.agg(F.min(self.date_col).alias("lo"), F.max(self.date_col).alias("hi")).first()
         high = self.max_date or row["hi"]
         if high is not None:
             high = (high.replace(day=1) + dt.timedelta(days=32)).replace(day=1) - dt.timedelta(days=1)
-        keys = {k: v if v else list(row[f"k{i}"]) for i, (k, v) in enumerate(self.keys.items())}
+        keys = {k: v if v else _distinct_keys(df, k) for k, v in self.keys.items()}
         return SliceSpec(self.date_col, self.min_date or row["lo"], high, keys)
 
     def column(self, rename: dict[str, str] | None = None) -> Column:
@@ -46,10 +50,17 @@ class SliceSpec:
         name = lambda c: (rename or {}).get(c, c)
         cond = F.col(name(self.date_col)).between(F.lit(self.min_date), F.lit(self.max_date))
         for k, values in self.keys.items():
-            cond = cond & F.trim(name(k)).isin([v.strip() for v in values])
+            cond = cond & F.trim(name(k)).isin(values)
         return cond
 
 
+def _distinct_keys(df: DataFrame, col: str) -> list[str]:
+    found = df.select(F.trim(col).alias("k")).where("k IS NOT NULL").distinct().limit(MAX_KEYS + 1).collect()
+    if len(found) > MAX_KEYS:
+        raise ValueError(f"{col} has more than {MAX_KEYS} values: name the keys of the slice")
+    return sorted(r["k"] for r in found)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
@@ -73,8 +84,12 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def _rows(seen: Observation) -> int:
+    return _seen(seen, "rows")
+
+
+def _seen(seen: Observation, name: str) -> int:
     try:
-        return seen.get["rows"]
+        return seen.get[name]
     except Py4JJavaError:  # Spark leaves the counter out together with an input it knows to be empty
         return 0
 
@@ -111,10 +126,16 @@ def _recover(spark: SparkSession, path: str) -> None:
         _rename(spark, f"{path}__backup", path)
 
 
-def _swap(spark: SparkSession, df: DataFrame, path: str, keep_backup: bool = False) -> None:
-    """Write next to the table, then rename: for tables without partitions."""
+def _swap(spark: SparkSession, df: DataFrame, path: str, keep_backup: bool = False, check=None) -> None:
+    """Write next to the table, then rename: for tables without partitions. ``check`` may refuse what was written."""
     _delete(spark, f"{path}__next")
     df.write.parquet(f"{path}__next")
+    try:
+        if check:
+            check()
+    except ValueError:
+        _delete(spark, f"{path}__next")
+        raise
     _delete(spark, f"{path}__backup")
     _rename(spark, path, f"{path}__backup")
     _rename(spark, f"{path}__next", path)
@@ -122,6 +143,11 @@ def _swap(spark: SparkSession, df: DataFrame, path: str, keep_backup: bool = Fal
         _delete(spark, f"{path}__backup")
 
 
+def _refuse_outside(outside: int) -> None:
+    if outside:
+        raise ValueError(f"{outside} new rows lie outside the slice that is replaced; nothing was changed")
+
+
 def _partitions(df: DataFrame, partition_by: list[str]) -> dict[tuple, int]:
     """Rows per partition value: as many entries as there are folders, which the driver lists anyway."""
     return {tuple(r[:-1]): r[-1] for r in df.groupBy(*partition_by).count().collect()}
@@ -157,48 +183,51 @@ def replace_slice(
 ) -> dict[str, int]:
     """Delete the rows for which the predicate is true, then add the new rows; gives both row counts.
 
-    Rows for which it is NULL stay. With partitions only those that lose or gain rows are rewritten, and one
-    that ends up empty is removed. ``df=None`` clears the slice. ``gaining`` names the partitions the new rows can
-    go to; without it the new rows are staged first, so that they are computed once.
+    Rows for which it is NULL stay. Every new row must satisfy the predicate: one that does not is refused before
+    anything is changed, as a repeated run could not replace it. With partitions only those that lose or gain rows are
+    rewritten, and one that ends up empty is removed. The new rows are staged first: they are computed once, and the
+    partitions they go to are read from what is staged, not from what a caller believes. ``gaining`` is a check only: new
+    rows in a partition that it does not name are refused. ``df=None`` clears the slice.
     """
     if not partition_by:
         _recover(spark, path)
     reader = spark.read if df is None else spark.read.schema(df.schema)
     target = reader.parquet(path)
     new = target.limit(0) if df is None else df.select(*target.columns)
-    keep = ~F.coalesce(predicate, F.lit(False))
+    inside = F.coalesce(predicate, F.lit(False))
     if not partition_by:
         deleted = target.where(predicate).count()
-        new, seen = _counted(new)
-        _swap(spark, target.where(keep).unionByName(new), path, keep_backup)
+        seen = Observation()
+        new = new.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(~inside).alias("outside"))
+        _swap(spark, target.where(~inside).unionByName(new), path, keep_backup, lambda: _refuse_outside(_seen(seen, "outside")))
         return {"deleted": deleted, "inserted": 0 if df is None else _rows(seen)}
     if keep_backup:
         raise ValueError("backups of partitioned tables are made with backup_slice")
-    if df is None:
-        gaining = set()
-    elif gaining is None:
-        new = materialize(new, "slice")
-        gaining = set(_partitions(new, partition_by))
+    stage, gained = None, {}
+    if df is not None:
+        new, stage = staged(new, "slice")
+        found = new.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("__n"), F.count_if(~inside).alias("__out")).collect()
+        gained = {tuple(r[:-2]): r["__n"] for r in found}
+        outside = sum(r["__out"] for r in found)
+        if outside or (gaining is not None and not set(gained) <= gaining):
+            discard(spark, stage)
+            _refuse_outside(outside)
+            raise ValueError(f"new rows go to partitions that were not named: {sorted(set(gained) - gaining, key=repr)[:5]}")
     lost = _partitions(target.where(predicate), partition_by)
-    losing = set(lost)
-    touched = losing | gaining
-    counts = {"deleted": sum(lost.values()), "inserted": 0}
-    if not touched:
-        return counts
-    kept = target.where(_in_partitions(partition_by, touched) & keep)
-    # a partition that loses all its old rows: if the write leaves its old files there, it gained none and goes
-    doubtful = losing - set(_partitions(kept.where(_in_partitions(partition_by, losing)), partition_by)) if losing else set()
-    old = {row: _any_file(spark, _folder(spark, path, partition_by, row)) for row in doubtful}
-    if touched - doubtful or gaining:
+    touched = set(lost) | set(gained)
+    if touched:
+        kept = target.where(_in_partitions(partition_by, touched) & ~inside)
+        # of a partition that loses rows and gains none, an old file that the write leaves there means that it kept none
+        old = {row: _any_file(spark, _folder(spark, path, partition_by, row)) for row in set(lost) - set(gained)}
         # the kept rows come from folders this write replaces: those are only dropped when the job commits
-        new, seen = _counted(new)
         _write(kept.unionByName(new), path, partition_by, "overwrite", "dynamic")
-        counts["inserted"] = 0 if df is None else _rows(seen)
-    for row, file in old.items():
-        if file and exists(spark, file):
-            _delete(spark, _folder(spark, path, partition_by, row))
-    spark.catalog.refreshByPath(path)
-    return counts
+        for row, file in old.items():
+            if file and exists(spark, file):
+                _delete(spark, _folder(spark, path, partition_by, row))
+        spark.catalog.refreshByPath(path)
+    if stage:
+        discard(spark, stage)
+    return {"deleted": sum(lost.values()), "inserted": sum(gained.values())}
 
 
 def _any_file(spark: SparkSession, folder: str) -> str | None:
@@ -223,8 +252,7 @@ def backup_slice(
     """Copy a slice of the table into its backup table, replacing the same slice there."""
     rows = spark.read.parquet(path).where(predicate)
     if exists(spark, backup):
-        gaining = set(_partitions(rows, partition_by)) if partition_by else None
-        replace_slice(spark, backup, predicate, rows, partition_by, gaining=gaining)
+        replace_slice(spark, backup, predicate, rows, partition_by)
     else:
         full_reload(rows, backup, partition_by)
 
@@ -236,8 +264,7 @@ def incremental_refresh(
     cond = F.col(date_col) >= F.lit(since)
     if partition_by:
         backup_slice(spark, path, f"{path}__backup", cond, partition_by)
-        rows = source.where(cond)
-        replace_slice(spark, path, cond, rows, partition_by, gaining=set(_partitions(rows, partition_by)))
+        replace_slice(spark, path, cond, source.where(cond), partition_by)
     else:
         replace_slice(spark, path, cond, source.where(cond), keep_backup=True)
 
@@ -266,10 +293,14 @@ def get_history(spark: SparkSession, path: str, user: str) -> DataFrame:
 
 
 def analyze(spark: SparkSession, table: str, columns: list[str]) -> DataFrame:
-    """Collect column statistics and show them."""
+    """Collect column statistics and show them: rows, nulls, least and greatest value (exact), distinct values (an estimate)."""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(columns)}")
+    size = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}["Statistics"]
+    total = int(size.split(", ")[1].split()[0])
     rows = []
     for c in columns:
         info = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {table} {c}").collect()}
-        rows.append((c, int(info["distinct_count"]), int(info["num_nulls"])))
-    return spark.createDataFrame(rows, "column_name string, distinct_count bigint, null_count bigint")
+        known = lambda k: None if info[k] == "NULL" else info[k]
+        rows.append((c, total, int(info["num_nulls"]), known("min"), known("max"), int(info["distinct_count"])))
+    schema = "column_name string, row_count bigint, null_count bigint, min_value string, max_value string, distinct_count bigint"
+    return spark.createDataFrame(rows, schema)

@@ -118,10 +118,10 @@ def plan_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cdr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Call records as their feeds write them: text dates in one format per file, decimal-comma numbers."""
+def cdr(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Call records as their feeds write them: a month and a date format per file, decimal-comma numbers; ``more`` columns."""
     return table(spark, sf_dir, "lineitem").selectExpr(
-        "concat('file_', CAST(l_suppkey % 4 AS STRING)) AS source_file",
+        "concat('file_', l_suppkey % 4, '_', date_format(l_shipdate, 'yyyyMM')) AS source_file",
         "CASE l_suppkey % 4 WHEN 0 THEN date_format(l_shipdate, 'dd.MM.yyyy') "
         "WHEN 1 THEN date_format(l_shipdate, 'dd.MM.yy') WHEN 2 THEN date_format(l_shipdate, 'dd/MM/yyyy') "
         "ELSE date_format(l_shipdate, 'MM/dd/yyyy HH:mm:ss') END AS START_DATE",
@@ -130,6 +130,7 @@ def cdr(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(l_partkey AS STRING) AS Destination1",
         "replace(CAST(CAST(l_quantity AS DECIMAL(18,2)) AS STRING), '.', ',') AS DURATION",
         "replace(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING), '.', ',') AS Total_Cost",
+        *more,
     )
 
 
@@ -202,7 +203,7 @@ VIEW_SQL = {
           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS param_value
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3, 4""",
     "cdr": """
-        SELECT concat('file_', CAST(l_suppkey % 4 AS VARCHAR)) AS source_file,
+        SELECT concat('file_', CAST(l_suppkey % 4 AS VARCHAR), '_', strftime(l_shipdate, '%Y%m')) AS source_file,
           CASE l_suppkey % 4 WHEN 0 THEN strftime(l_shipdate, '%d.%m.%Y') WHEN 1 THEN strftime(l_shipdate, '%d.%m.%y')
             WHEN 2 THEN strftime(l_shipdate, '%d/%m/%Y') ELSE strftime(l_shipdate, '%m/%d/%Y %H:%M:%S') END
             AS START_DATE, CAST(l_shipdate AS DATE) AS true_date,

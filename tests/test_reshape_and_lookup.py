@@ -64,18 +64,16 @@ def test_longest_prefix(spark, seed):
     df = spark.createDataFrame(list(enumerate(keys)), "id int, k string").repartition(4)
     dictionary = spark.createDataFrame(lists, "codes string, dest string")
     want = sorted((i, k, _brute(k, codes) if k else None) for i, k in enumerate(keys) if True)
-    small = lookup.longest_prefix(df, "k", dictionary, "codes", "dest", "hit")
-    large = lookup.longest_prefix(df, "k", dictionary, "codes", "dest", "hit", broadcast_rows=0)
-    assert sorted(map(tuple, small.select("id", "k", "hit").collect()), key=lambda r: r[0]) == sorted(want, key=lambda r: r[0])
-    assert sorted(map(tuple, large.select("id", "k", "hit").collect()), key=lambda r: r[0]) == sorted(want, key=lambda r: r[0])
+    found = lookup.longest_prefix(df, "k", dictionary, "codes", "dest", "hit")
+    assert sorted(map(tuple, found.select("id", "k", "hit").collect()), key=lambda r: r[0]) == sorted(want, key=lambda r: r[0])
 
 
-def test_large_dictionary_is_not_broadcast(spark):
+def test_no_prefix_join_is_forced(spark):
     df = spark.range(1000).selectExpr("CAST(id AS STRING) AS k")
     dictionary = spark.createDataFrame([("12, 345", "a")], "codes string, dest string")
-    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan(lookup.longest_prefix(df, "k", dictionary, "codes", "dest", "o")).lower()
-    assert "broadcast" not in plan(lookup.longest_prefix(df, "k", dictionary, "codes", "dest", "o", broadcast_bytes=1)).lower()
+    found = lookup.longest_prefix(df, "k", dictionary, "codes", "dest", "o")
+    assert "hint" not in found._jdf.queryExecution().analyzed().toString().lower()
+    assert found.where("o IS NOT NULL").count() == 12
 
 
 def test_table_diff(spark):
