@@ -20,12 +20,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpimill.llm.base import by_batch, texts_of
+from kpimill.llm.base import by_batch, kept, texts_of
 from kpimill.llm.chunks import ChunkEncoder, ids_of
 
 KEPT_TRANSITIONS = 600_000
-KEPT_MATCHES = 300_000
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 500_000
+KEPT_MATCHES = 400_000
+KEPT_CHUNKS = 300_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -108,8 +109,8 @@ class Transducer:
     """Bytes in, tokens out. An item of a state: (trie node, pending tokens before it); the last one is where a token
     would begin now. ``last`` is the last token already emitted (-1 at the start)."""
 
-    def __init__(self, ranks: dict[bytes, int], kept: int = KEPT_TRANSITIONS):
-        self.merges, self.kept = Merges(ranks), kept
+    def __init__(self, ranks: dict[bytes, int], bound: int = KEPT_TRANSITIONS):
+        self.merges, self.bound = Merges(ranks), bound
         self.children: dict[int, int] = {}  # node * 256 + byte -> node
         self.token: list[int] = [-1]
         self.inner: list[bool] = [True]  # whether a node has children
@@ -131,8 +132,7 @@ class Transducer:
         start = (-1, ((0, ()),))
         self.states: list[tuple] = [start]
         self.number: dict[tuple, int] = {start: 0}
-        self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
-        self.made = 0
+        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # state * 256 + byte -> (state, tokens emitted)
 
     def _step(self, state: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
         last, items = state
@@ -153,32 +153,35 @@ class Transducer:
             raise ValueError(f"byte {byte} is no token")
         live.append((0, done))
         common = live[0][1]
-        if common:
-            for _, path in live[1:]:
-                n = 0
-                while n < len(common) and n < len(path) and common[n] == path[n]:
-                    n += 1
-                common = common[:n]
-            if common:
-                n = len(common)
-                return (common[-1], tuple([(node, path[n:]) for node, path in live])), common
-        return (last, tuple(live)), ()
+        if not common:
+            return (last, tuple(live)), ()
+        for _, path in live[1:]:
+            if path[0] != common[0]:
+                # every item has tokens of its own before it: the last one emitted no longer matters
+                return (-2, tuple(live)), ()
+        for _, path in live[1:]:
+            n = 1
+            while n < len(common) and n < len(path) and common[n] == path[n]:
+                n += 1
+            common = common[:n]
+        n = len(common)
+        live = [(node, path[n:]) for node, path in live]
+        return (common[-1] if not live[0][1] or not all(path for _, path in live) else -2, tuple(live)), common
 
     def encode(self, text: bytes) -> list[int]:
         """The tokens of one stretch of bytes."""
         out: list[int] = []
         at, moves = 0, self.moves
         for byte in text:
-            move = moves[at].get(byte)
+            move = moves.get(at << 8 | byte)
             if move is None:
                 state = self.states[at]
-                if self.made >= self.kept:
+                if len(moves) >= self.bound:
                     self._reset()
                     moves = self.moves
                     at = self._place(state)
                 nxt, emitted = self._step(state, byte)
-                move = moves[at][byte] = (self._place(nxt), emitted)
-                self.made += 1
+                move = moves[at << 8 | byte] = (self._place(nxt), emitted)
             at, emitted = move
             if emitted:
                 out += emitted
@@ -190,11 +193,10 @@ class Transducer:
         if n is None:
             n = self.number[state] = len(self.states)
             self.states.append(state)
-            self.moves.append({})
         return n
 
 
-def transducer_encoder(ranks: dict[bytes, int], pattern: str, kept: int = KEPT_MATCHES):
+def transducer_encoder(ranks: dict[bytes, int], pattern: str, bound: int = KEPT_MATCHES):
     """Many chunks to ids: each match of the pattern goes through the transducer by itself. The ids of short matches are
     kept, up to a bound."""
     machine, find = Transducer(ranks), regex.compile(pattern).findall
@@ -209,7 +211,7 @@ def transducer_encoder(ranks: dict[bytes, int], pattern: str, kept: int = KEPT_M
                 if found is None:
                     found = machine.encode(match.encode())
                     if len(match) < 40:
-                        if len(known) >= kept:
+                        if len(known) >= bound:
                             known.clear()
                         known[match] = tuple(found)
                 ids += found
@@ -298,9 +300,9 @@ class StreamDecoder:
         yield machine.finish()
 
 
-def encode_decode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode every text and decode its ids again: one row per input row with doc_id, n_tokens, ids (array<int>),
-    decoded (string), ids_sha256 (of the decimal ids joined by a space) and decoded_sha256.
+def encode_decode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", content: bool = True) -> DataFrame:
+    """Encode every text and decode its ids again: one row per input row with doc_id, n_tokens, ids_sha256 (of the decimal
+    ids joined by a space), decoded_sha256 and, unless ``content`` is off, ids (array<int>) and decoded (string).
 
     Every match of the pattern is encoded separately; there are no special tokens. Null and empty texts have no tokens
     and the digests of nothing; rows with equal or null ids each give a row; an empty table gives none; other columns of
@@ -309,7 +311,8 @@ def encode_decode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "d
 
     def make():
         ranks = load_ranks(ranks_path)
-        encode, decoder = ChunkEncoder(transducer_encoder(ranks, pattern)), StreamDecoder(ranks)
+        decoder = StreamDecoder(ranks)
+        encode = kept(f"transducer {ranks_path} {pattern}", lambda: ChunkEncoder(transducer_encoder(ranks, pattern), KEPT_CHUNKS))
         decimal = [str(i) for i in range(max(ranks.values()) + 1)]
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -317,20 +320,23 @@ def encode_decode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "d
             for text in texts_of(batch, "text"):
                 found = ids_of(encode(text))
                 ids = found.tolist()
-                back = "".join(decoder.decode(ids))
+                back = list(decoder.decode(ids))
                 n.append(len(ids))
                 ids_hex.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
-                text_hex.append(hashlib.sha256(back.encode()).hexdigest())
-                all_ids.append(found.astype(np.int32))
-                decoded.append(back)
-            ends = np.cumsum([0, *map(len, all_ids)], dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(all_ids), pa.int32()))
-            return pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), lists, pa.array(decoded, pa.string()), pa.array(ids_hex), pa.array(text_hex)],
-                ["doc_id", "n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256"],
-            )
+                digest = hashlib.sha256()
+                for piece in back:
+                    digest.update(piece.encode())
+                text_hex.append(digest.hexdigest())
+                if content:
+                    all_ids.append(found.view(np.int32))
+                    decoded.append("".join(back))
+            columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_hex), pa.array(text_hex)]
+            if content:
+                ends = np.cumsum([0, *map(len, all_ids)], dtype=np.int32)
+                columns += [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(all_ids), pa.int32())), pa.array(decoded, pa.string())]
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: len(columns)])
 
         return step
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return by_batch(rows, make, "doc_id long, n_tokens long, ids array<int>, decoded string, ids_sha256 string, decoded_sha256 string")
+    return by_batch(rows, make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if content else ""))

@@ -8,5 +8,5 @@ from kpimill.llm.registry import query, table
 
 @query("op2_byte_bpe")
 def op2_byte_bpe(spark, sf_dir):
-    out = encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return encode_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, content=False)

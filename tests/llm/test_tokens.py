@@ -46,10 +46,10 @@ def test_chunked_encoding_is_the_library_s(name):
 def test_transducer_is_plain_bpe():
     ranks = load_ranks(RANKS)
     want = reference_bpe(ranks)
-    for kept in (1_000_000, 300):
+    for bound in (1_000_000, 300):
         run = ChunkEncoder(transducer_encoder(ranks, public_tokenizers.PATTERN))
-        machine = Transducer(ranks, kept)
-        for t in [*fuzz_texts(2000, kept), "a" * 4000, " " * 3000, "é" * 777]:
+        machine = Transducer(ranks, bound)
+        for t in [*fuzz_texts(2000, bound), "a" * 4000, " " * 3000, "é" * 777]:
             assert ids_of(run(t)).tolist() == want(t)
         for t in ("understandingly", "aaaaaaaaaaaaa", "中中中", "====--==="):
             assert machine.encode(t.encode()) == want(t)
