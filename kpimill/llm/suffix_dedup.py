@@ -8,8 +8,8 @@ anchor position are one segment.
 
 Round by round the segments are sorted by a longer rank and what is unique leaves: first by the anchor's rank (a window
 repeats only where its anchor does), then by the rank of all bytes of the segment's windows (those that repeat are
-repeated throughout), and the few that are left, at the borders of repeated passages, window by window, by ranks
-doubled up to the whole length.
+repeated throughout), then, at the borders of repeated passages, by the bytes that blocks of neighbouring windows share,
+and the windows that are left one by one, by ranks doubled up to the whole length.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from kpimill.llm.base import by_batch, texts_of
 from kpimill.session import materialize
 
 SIZE = 400
+BLOCK = 32  # neighbouring windows that are ranked together first
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -107,34 +108,38 @@ def text_key(data: bytes) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
+def digests(raw: bytes, lo: np.ndarray, hi: np.ndarray, size: int) -> np.ndarray:
+    """Ranks of all bytes of segments: (segments, 2)."""
+    found = [xxhash.xxh3_128_digest(raw[a : b + size]) for a, b in zip(lo.tolist(), hi.tolist())]
+    return np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
+
+
 def find_segments(texts: DataFrame, size: int) -> DataFrame:
-    """(k1, k2, lo, hi, anchor, f1, f2): the segments of every text; k is a key of the text, f of the segment's bytes."""
+    """(k1, k2, lo, hi, anchor, f1, f2, n): the distinct segments of every text, with the first place and the number of each;
+    k is a key of the text, f the rank of the segment's bytes."""
 
     def make():
         ranker = Ranker(1)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            keys, n, parts, digests = [], [], [], []
+            parts = []
             for text in texts_of(batch, "text"):
                 raw = text.encode()
-                if len(raw) < size:
-                    continue
-                lo, hi, anchor = segments(np.frombuffer(raw, np.uint8), ranker, size)
-                keys.append(xxhash.xxh3_128_digest(raw))
-                n.append(len(lo))
-                parts.append((lo, hi, anchor))
-                digests += [xxhash.xxh3_128_digest(raw[a : b + size]) for a, b in zip(lo.tolist(), hi.tolist())]
-            k = np.repeat(np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2), n, axis=0)
-            f = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            lo, hi, anchor = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 3
-            return pa.RecordBatch.from_arrays(
-                [pa.array(k[:, 0]), pa.array(k[:, 1]), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(f[:, 0]), pa.array(f[:, 1])],
-                ["k1", "k2", "lo", "hi", "anchor", "f1", "f2"],
-            )
+                if len(raw) >= size:
+                    lo, hi, anchor = segments(np.frombuffer(raw, np.uint8), ranker, size)
+                    f = digests(raw, lo, hi, size)
+                    _, first, n = np.unique(f[:, 0] ^ (f[:, 1] << 1), return_index=True, return_counts=True)
+                    key = np.tile(np.frombuffer(xxhash.xxh3_128_digest(raw), "<i8"), (len(first), 1))
+                    parts.append((key, lo[first], hi[first], anchor[first].view(np.int64), f[first], n))
+            if not parts:
+                parts = [(np.zeros((0, 2), np.int64), *(np.zeros(0, np.int64),) * 3, np.zeros((0, 2), np.int64), np.zeros(0, np.int64))]
+            key, lo, hi, anchor, f, n = (np.concatenate(x) for x in zip(*parts))
+            columns = [key[:, 0], key[:, 1], lo.astype(np.int32), hi.astype(np.int32), anchor, f[:, 0], f[:, 1], n.astype(np.int32)]
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], ["k1", "k2", "lo", "hi", "anchor", "f1", "f2", "n"])
 
         return step
 
-    return by_batch(texts, make, "k1 long, k2 long, lo int, hi int, anchor long, f1 long, f2 long")
+    return by_batch(texts, make, "k1 long, k2 long, lo int, hi int, anchor long, f1 long, f2 long, n int")
 
 
 def packed_texts(texts: DataFrame, size: int) -> DataFrame:
@@ -160,17 +165,54 @@ def packed_texts(texts: DataFrame, size: int) -> DataFrame:
     return by_batch(texts, make, "k1 long, k2 long, packed binary")
 
 
+def _places(data: np.ndarray, ranker: Ranker, lo: int, hi: int, size: int) -> tuple[int, np.ndarray]:
+    """The anchor's place of a segment, and its windows' distances to it in blocks of ``BLOCK``."""
+    anchor = lo + int(ranker(data[lo : lo + size], max(1, size // 4)).argmin())
+    return anchor, (anchor - np.arange(lo, hi + 1)) // BLOCK
+
+
+def _blocks(size: int):
+    """(c1, c2, segment, block, alone): the windows of wanted segments in blocks by their distance to the anchor, each with the
+    rank of the bytes that all windows of the block have in common."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranker, unpack = Ranker(1), zstandard.ZstdDecompressor()
+        for batch in batches:
+            cores, segment, block, alone = [], [], [], []
+            for packed, wanted in zip(batch.column("packed").to_pylist(), batch.column("wanted").to_pylist()):
+                raw = unpack.decompress(packed)
+                data = np.frombuffer(raw, np.uint8)
+                for w in wanted:
+                    anchor, of = _places(data, ranker, w["lo"], w["hi"], size)
+                    for b in np.unique(of).tolist():
+                        nearest, farthest = b * BLOCK, b * BLOCK + BLOCK - 1
+                        core = raw[max(0, anchor - nearest) : max(0, anchor - farthest + size)]
+                        cores.append(xxhash.xxh3_128_digest(core + b.to_bytes(4, "little")))
+                        segment.append(w["segment"])
+                        block.append(b)
+                        alone.append(w["alone"])
+            c = np.frombuffer(b"".join(cores), "<i8").reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.ascontiguousarray(c[:, 0])), pa.array(np.ascontiguousarray(c[:, 1])), pa.array(segment, pa.int64()), pa.array(block, pa.int32()), pa.array(alone, pa.bool_())],
+                ["c1", "c2", "segment", "block", "alone"],
+            )
+
+    return run
+
+
 def _windows(size: int):
-    """(w1, w2, segment, at): the windows of the wanted segments of a text."""
+    """(w1, w2, segment, at): the windows of the wanted blocks of segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rankers, unpack = (Ranker(2), Ranker(3)), zstandard.ZstdDecompressor()
+        first, rankers, unpack = Ranker(1), (Ranker(2), Ranker(3)), zstandard.ZstdDecompressor()
         for batch in batches:
             for packed, wanted in zip(batch.column("packed").to_pylist(), batch.column("wanted").to_pylist()):
                 data, out = np.frombuffer(unpack.decompress(packed), np.uint8), []
                 for w in wanted:
+                    _, of = _places(data, first, w["lo"], w["hi"], size)
+                    keep = np.isin(of, w["blocks"])
                     w1, w2 = window_ranks(data[w["lo"] : w["hi"] + size], rankers, size)
-                    out.append((w1, w2, np.full(len(w1), w["segment"]), np.arange(w["lo"], w["hi"] + 1)))
+                    out.append((w1[keep], w2[keep], np.full(keep.sum(), w["segment"]), np.arange(w["lo"], w["hi"] + 1)[keep]))
                 w1, w2, segment, at = (np.concatenate(x) for x in zip(*out))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), pa.array(segment), pa.array(at.astype(np.int32))], ["w1", "w2", "segment", "at"]
@@ -180,20 +222,27 @@ def _windows(size: int):
 
 
 def _cut(size: int, with_text: bool):
-    """(k1, k2, n_removed, n_spans, kept_sha256, kept_text) of texts with covered stretches."""
+    """(k1, k2, n_removed, n_spans, kept_sha256, kept_text) of texts with repeated segments (by rank) and windows (by place)."""
 
     def make():
-        unpack = zstandard.ZstdDecompressor()
+        unpack, ranker = zstandard.ZstdDecompressor(), Ranker(1)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             removed, spans, hexes, kept = [], [], [], []
-            for packed, found in zip(batch.column("packed").to_pylist(), batch.column("found").to_pylist()):
+            for packed, whole, found in zip(*(batch.column(c).to_pylist() for c in ("packed", "whole", "found"))):
                 raw = unpack.decompress(packed)
-                edge = np.zeros(len(raw) + 1, np.int32)
-                np.add.at(edge, [s["lo"] for s in found], 1)
-                np.add.at(edge, [s["hi"] + size for s in found], -1)
+                data, edge = np.frombuffer(raw, np.uint8), np.zeros(len(raw) + 1, np.int32)
+                if whole:
+                    lo, hi, _ = segments(data, ranker, size)
+                    gone = {(s["f1"], s["f2"]) for s in whole}
+                    hit = np.array([tuple(f) in gone for f in digests(raw, lo, hi, size).tolist()])
+                    np.add.at(edge, lo[hit], 1)
+                    np.add.at(edge, hi[hit] + size, -1)
+                at = np.array(found or [], np.int64)
+                np.add.at(edge, at, 1)
+                np.add.at(edge, at + size, -1)
                 covered = np.cumsum(edge[:-1]) > 0
-                rest = np.frombuffer(raw, np.uint8)[~covered].tobytes()
+                rest = data[~covered].tobytes()
                 removed.append(int(covered.sum()))
                 spans.append(int(np.count_nonzero(np.diff(np.concatenate([[0], covered.view(np.int8)])) == 1)))
                 hexes.append(hashlib.sha256(rest).hexdigest())
@@ -214,34 +263,43 @@ def repeated_parts(df: DataFrame, text_col: str = "text", size: int = SIZE, with
     found = materialize(find_segments(texts, size), "segments")
 
     # round 1: anchors that stand at more than one place
-    often = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    often = found.groupBy("anchor").agg(F.sum("n").alias("all")).filter("all > 1").select("anchor")
     live = materialize(found.join(often, "anchor"), "segments-1")
 
     # round 2: whole segments; where one repeats, all of its windows do
-    whole = live.groupBy("anchor", "f1", "f2").agg(F.count("*").alias("n"), F.min("k1").alias("one"))
+    whole = live.groupBy("anchor", "f1", "f2").agg(F.sum("n").alias("all"), F.min("k1").alias("one"))
     whole = materialize(whole, "segments-2")
-    kinds = whole.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("singles"))
-    state = whole.join(kinds.filter("kinds > 1 or singles = 0"), "anchor")
-    ranked = materialize(live.join(state, ["anchor", "f1", "f2"]), "segments-3")
-    repeated = ranked.filter("n > 1").select("k1", "k2", "lo", "hi").distinct()
-
-    # round 3: windows of the segments that stand alone but share an anchor, against each other and against one copy of
-    # each repeated segment with that anchor
-    alone = ranked.filter("n = 1").select("k1", "k2", "lo", "hi", F.lit(True).alias("alone"))
-    partners = ranked.filter("n > 1 and singles > 0 and k1 = one").groupBy("anchor", "f1", "f2").agg(F.min(F.struct("k1", "k2", "lo", "hi")).alias("s"))
+    kinds = whole.groupBy("anchor").agg(F.sum(F.when(F.col("all") == 1, 1).otherwise(0)).alias("singles"), F.count("*").alias("kinds"))
+    # a segment that stands alone in its class has nothing to be compared with
+    state = whole.join(kinds, "anchor").filter("all > 1 or kinds > 1").select("anchor", "f1", "f2", "all", "one", "singles")
+    ranked = materialize(live.drop("n").join(state, ["anchor", "f1", "f2"]), "segments-3")
+    repeated = ranked.filter("all > 1").select("k1", "k2", "f1", "f2").distinct()
+
+    # round 3: the segments that stand alone but share an anchor, against each other and against one copy of each repeated
+    # segment with that anchor: by the bytes common to neighbouring windows, which are nearly as long as a window
+    alone = ranked.filter("all = 1").select("k1", "k2", "lo", "hi", F.lit(True).alias("alone"))
+    partners = ranked.filter("all > 1 and singles > 0 and k1 = one").groupBy("anchor", "f1", "f2").agg(F.min(F.struct("k1", "k2", "lo", "hi")).alias("s"))
     wanted = alone.unionByName(partners.select("s.*", F.lit(False).alias("alone"))).withColumn("segment", F.monotonically_increasing_id())
     wanted = materialize(wanted, "segments-4")
-    keys = ranked.select("k1", "k2").distinct()
+    keys = repeated.select("k1", "k2").unionByName(wanted.select("k1", "k2")).distinct()
     there = materialize(packed_texts(texts, size).join(keys, ["k1", "k2"]).groupBy("k1", "k2").agg(F.first("packed").alias("packed")), "texts")
-    lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi", "segment")).alias("wanted"))
+    lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi", "segment", "alone")).alias("wanted"))
+    blocks = there.join(lists, ["k1", "k2"]).select("packed", "wanted").mapInArrow(_blocks(size), "c1 long, c2 long, segment long, block int, alone boolean")
+    blocks = materialize(blocks, "blocks")
+    met = blocks.groupBy("c1", "c2").agg(F.count("*").alias("n"), F.max("alone").alias("any")).filter("n > 1 and any").select("c1", "c2")
+    left = blocks.join(met, ["c1", "c2"]).groupBy("segment").agg(F.collect_list("block").alias("blocks"))
+
+    # round 4: the windows of blocks that are left
+    lists = wanted.join(left, "segment").groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi", "segment", "blocks")).alias("wanted"))
     windows = materialize(there.join(lists, ["k1", "k2"]).select("packed", "wanted").mapInArrow(_windows(size), "w1 long, w2 long, segment long, at int"), "windows")
     twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").select("w1", "w2")
     hits = windows.join(twice, ["w1", "w2"]).select("segment", "at")
-    single = hits.join(wanted.filter("alone"), "segment").select("k1", "k2", F.col("at").alias("lo"), F.col("at").alias("hi"))
+    single = hits.join(wanted.filter("alone").drop("lo", "hi"), "segment").groupBy("k1", "k2").agg(F.collect_list("at").alias("found"))
 
-    spans = repeated.unionByName(single).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
+    whole = repeated.groupBy("k1", "k2").agg(F.collect_list(F.struct("f1", "f2")).alias("whole"))
+    marked = whole.join(single, ["k1", "k2"], "full")
     schema = "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
-    return materialize(by_batch(there.join(spans, ["k1", "k2"]), _cut(size, with_text), schema), "repeats")
+    return materialize(by_batch(there.join(marked, ["k1", "k2"]), _cut(size, with_text), schema), "repeats")
 
 
 def keyed(df: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
