@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-CACHED_CHUNKS = 500_000
+CACHED_CHUNKS = 700_000
 
 
 def split_chunks(text: str) -> list[str]:

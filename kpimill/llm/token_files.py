@@ -22,12 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpimill.llm.base import texts_of
-from kpimill.llm.chunks import ChunkEncoder, ids_of, library_encoder
+from kpimill.llm.base import kept, texts_of
+from kpimill.llm.chunks import ChunkEncoder, CompiledVocabulary, ids_of
 from kpimill.session import scratch_path
 
 MAGIC = b"TKF1"
 BLOCK_IDS = 1 << 16
+COUNTERS = 8
 # lengths of the four ids that a control byte speaks of
 LENGTHS = np.stack([(np.arange(256) >> shift & 3) + 1 for shift in (0, 2, 4, 6)], axis=1).astype(np.uint8)
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
@@ -83,18 +84,25 @@ def write_token_files(df: DataFrame, path: str, vocabulary: str, end_id: int, id
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
 
+    compiled = CompiledVocabulary(vocabulary)
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, place = TaskContext.get().partitionId(), 0
-        run, end = ChunkEncoder(library_encoder(vocabulary)), np.array([end_id], "<u4").tobytes()
+        part, place, total = TaskContext.get().partitionId(), 0, np.zeros(0, np.int64)
+        run, end = kept(f"chunks {vocabulary}", lambda: ChunkEncoder(compiled.encoder())), np.array([end_id], "<u4").tobytes()
+        names = ["part", "start", "doc_id", "n", "ids"]
         for batch in batches:
             found = [run(t) + end for t in texts_of(batch, "text")]
             counts = np.array([len(f) // 4 for f in found], np.int64)
             starts = place + np.cumsum(counts) - counts
             place += int(counts.sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part] * len(found), pa.int32()), pa.array(starts), batch.column("doc_id"), pa.array(counts), pa.array(found, pa.binary())],
-                ["part", "start", "doc_id", "n", "ids"],
-            )
+            used = np.bincount(ids_of(b"".join(found)), minlength=len(total))
+            used[: len(total)] += total
+            total = used
+            yield pa.RecordBatch.from_arrays([pa.array([part] * len(found), pa.int32()), pa.array(starts), batch.column("doc_id"), pa.array(counts), pa.array(found, pa.binary())], names)
+        # the task's last row holds how often it used every id
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.array([-1], pa.int64()), pa.array([None], pa.int64()), pa.array([-1], pa.int64()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names
+        )
 
     stage = scratch_path(spark, "token-stage")
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
@@ -102,17 +110,21 @@ def write_token_files(df: DataFrame, path: str, vocabulary: str, end_id: int, id
     ordered.mapInArrow(encode, schema).write.option("compression", "zstd").parquet(stage)
     staged = spark.read.schema(schema).parquet(stage)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for blob in batch.column("ids").to_pylist():
-                n = np.bincount(ids_of(blob), minlength=len(total))
-                n[: len(total)] += total
-                total = n
+                n = np.frombuffer(blob, "<i8")
+                total, n = (total, n) if len(total) >= len(n) else (n, total)
+                total = total.copy()
+                total[: len(n)] += n
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
-    used = staged.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    # summed in a few tasks first, so that no more rows are made than those tasks have ids
+    gathered = staged.filter("n < 0").select("ids").repartition(COUNTERS)
+    used = gathered.mapInArrow(counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    staged = staged.filter("n >= 0")
     by_rank = [r["id"] for r in sorted(used, key=lambda r: (-r["n"], r["id"]))]
     spark.createDataFrame(list(enumerate(by_rank)), "rank int, id int").coalesce(1).write.parquet(f"{path}/ranks")
     rank_of = np.zeros(max(by_rank, default=0) + 1, np.uint32)
