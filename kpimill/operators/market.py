@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from kpimill.session import materialize
+
 
 def tick_order(ts: str, tie: str) -> Column:
     """One sortable number from a time and a whole-number tie-break.
@@ -11,7 +13,7 @@ def tick_order(ts: str, tie: str) -> Column:
     As a fixed-width value it lets first and last price be hash-aggregated; a struct would force a sort of all
     ticks before the aggregation.
     """
-    micros = f"CAST(unix_micros({ts}) AS DECIMAL(19,0))"
+    micros = f"CAST(unix_micros(CAST({ts} AS TIMESTAMP)) AS DECIMAL(19,0))"
     shift = f"CAST('1{'0' * 19}' AS DECIMAL(20,0))"
     return F.expr(f"{micros} * {shift} + CAST({tie} AS DECIMAL(19,0))")
 
@@ -50,10 +52,9 @@ def position_value(positions: DataFrame, candles: DataFrame, rates: DataFrame, o
 
 
 def position_share(valued: DataFrame, by: str = "name", value: str = "base_value") -> DataFrame:
-    """Value and share of the total by name; the total is one value inside the plan."""
-    per_name = valued.groupBy(by).agg(F.sum(value).alias("value"))
-    total = valued.agg(F.sum(value)).scalar()
-    return per_name.withColumn("share", F.col("value") / total)
+    """Value and share of the total by name. The positions are valued once: the total is that of the written per-name rows."""
+    per_name = materialize(valued.groupBy(by).agg(F.sum(value).alias("value")), "per-name")
+    return per_name.withColumn("share", F.col("value") / per_name.agg(F.sum("value")).scalar())
 
 
 def portfolio_total(positions: DataFrame, rates: DataFrame) -> DataFrame:
@@ -80,15 +81,21 @@ def book_depth(levels: DataFrame, key: str, depth: int, tie: str) -> DataFrame:
     )
 
 
-def latest_book(books: DataFrame, key: str, ts: str, depth: int) -> DataFrame:
-    """Latest book per instrument from events that carry arrays of bids and asks, cut to a depth."""
-    last = books.groupBy(key).agg(F.max_by(F.struct(ts, "bids", "asks"), ts).alias("b"))
-    return last.select(
-        key, f"b.{ts}", F.slice("b.bids", 1, depth).alias("bids"), F.slice("b.asks", 1, depth).alias("asks")
-    )
+def _last_events(events: DataFrame, key: str, at: Column) -> DataFrame:
+    """The event of each key with the greatest order number: found by a hash aggregation, then picked by (key, number)."""
+    numbered = events.withColumn("__at", at)
+    last = numbered.groupBy(F.col(key).alias("__key")).agg(F.max("__at").alias("__last"))
+    same = [F.equal_null(F.col(key), F.col("__key")), F.col("__at") == F.col("__last")]
+    return numbered.join(last, same, "left_semi")
+
+
+def latest_book(books: DataFrame, key: str, ts: str, depth: int, tie: str) -> DataFrame:
+    """Latest book per instrument from events that carry arrays of bids and asks, cut to a depth; of equal times the one with
+    the greater tie-break (a whole number, unique per instrument and time)."""
+    last = _last_events(books, key, tick_order(ts, tie))
+    return last.select(key, ts, F.slice("bids", 1, depth).alias("bids"), F.slice("asks", 1, depth).alias("asks"))
 
 
 def latest_status(events: DataFrame, key: str, order: list[str], fields: list[str]) -> DataFrame:
-    """Last event per instrument."""
-    last = events.groupBy(key).agg(F.max_by(F.struct(*fields), F.struct(*order)).alias("s"))
-    return last.select(key, "s.*")
+    """Last event per instrument by (time, whole-number tie-break)."""
+    return _last_events(events, key, tick_order(*order)).select(key, *fields)

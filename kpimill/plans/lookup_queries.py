@@ -234,11 +234,11 @@ def slice_watermark(spark, sf):
         CAST(date_trunc('month', l_shipdate) AS DATE) AS cdr_month, CAST(l_shipdate AS DATE) AS d,
         concat('f', CASE WHEN l_linenumber > 2 THEN '2' ELSE '1' END) AS f, l_suppkey FROM lineitem),
       w AS (SELECT direction, cdr_month, f, max(d) AS md, count(*) AS n FROM c GROUP BY 1, 2, 3),
-      b AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY direction, cdr_month ORDER BY md DESC, n DESC, f DESC) = 1),
-      s AS (SELECT direction, cdr_month, max(d) AS md, count(*) AS n FROM c WHERE l_suppkey % 2 = 0 AND cdr_month < DATE '1999-01-01' GROUP BY 1, 2)
-    SELECT b.direction, b.cdr_month, b.f AS data_source, b.md AS max_date, b.n AS row_count, s.md AS stored_max_date,
-      s.n AS stored_row_count, b.md >= coalesce(s.md, b.cdr_month) AND b.n > coalesce(s.n, 0) AS load
-    FROM b LEFT JOIN s ON b.direction = s.direction AND b.cdr_month = s.cdr_month""")
+      s AS (SELECT direction, cdr_month, max(d) AS md, count(*) AS n FROM c WHERE l_suppkey % 2 = 0 AND cdr_month < DATE '1999-01-01' GROUP BY 1, 2),
+      j AS (SELECT w.direction, w.cdr_month, w.f, w.md, w.n, s.md AS smd, s.n AS sn,
+          w.md >= coalesce(s.md, w.cdr_month) AND w.n > coalesce(s.n, 0) AS load FROM w LEFT JOIN s USING (direction, cdr_month))
+    SELECT direction, cdr_month, f AS data_source, md AS max_date, n AS row_count, smd AS stored_max_date, sn AS stored_row_count, load FROM j
+    QUALIFY row_number() OVER (PARTITION BY direction, cdr_month ORDER BY load DESC, md DESC, n DESC, f DESC) = 1""")
 def freshness_gate(spark, sf):
     """New slices against a stored half: which of them replace it."""
     new = _cdr_slices(spark, sf)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kpimill.operators import market
-from kpimill.plans.registry import query
+from kpimill.plans.registry import ORACLES, query
 from kpimill.session import scratch_path
 from kpimill.sources import analog as A
 from kpimill.sources.analog import table, with_views
@@ -104,13 +104,16 @@ def book_depth(spark, sf):
 
 @query("latest_book", """
     SELECT instrument, ts, bids[1:2] AS bids, asks[1:2] AS asks FROM (
-      SELECT event_type AS instrument, max(ts) AS ts, arg_max([value, value - 1, value - 2], ts) AS bids,
-        arg_max([value + 1, value + 2, value + 3], ts) AS asks FROM events GROUP BY 1)""")
+      SELECT event_type AS instrument, max(ts) AS ts, arg_max([value, value - 1, value - 2], (ts, event_id)) AS bids,
+        arg_max([value + 1, value + 2, value + 3], (ts, event_id)) AS asks FROM events GROUP BY 1)""")
 def latest_book(spark, sf):
     """Last book event per instrument, cut to two levels."""
-    books = table(spark, sf, "events").selectExpr(
-        "event_type AS instrument", "ts", "array(value, value - 1, value - 2) AS bids", "array(value + 1, value + 2, value + 3) AS asks")
-    return market.latest_book(books, "instrument", "ts", 2)
+    return market.latest_book(_books(table(spark, sf, "events")), "instrument", "ts", 2, "event_id")
+
+
+def _books(events):
+    return events.selectExpr(
+        "event_type AS instrument", "ts", "event_id", "array(value, value - 1, value - 2) AS bids", "array(value + 1, value + 2, value + 3) AS asks")
 
 
 @query("latest_status", """
@@ -118,3 +121,42 @@ def latest_book(spark, sf):
 def latest_status(spark, sf):
     events = table(spark, sf, "events").withColumnRenamed("event_type", "status")
     return market.latest_status(events, "user_id", ["ts", "event_id"], ["status", "ts"])
+
+
+def _event_stream(spark, sf):
+    return streams.table_stream(spark, f"{sf}/events.parquet", table(spark, sf, "events").schema)
+
+
+def _current(spark, stream, name):
+    path = scratch_path(spark, name)
+    streams.run_to_latest(stream, path, scratch_path(spark, f"{name}-checkpoint"))
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+@query("stream_latest_book", ORACLES["latest_book"])
+def stream_latest_book(spark, sf):
+    """The same from a stream of book events."""
+    return _current(spark, streams.stream_latest_book(_books(_event_stream(spark, sf)), "instrument", "ts", "event_id", 2), "books")
+
+
+@query("stream_latest_status", ORACLES["latest_status"])
+def stream_latest_status(spark, sf):
+    """The same from a stream of status events."""
+    events = _event_stream(spark, sf).withColumnRenamed("event_type", "status")
+    return _current(spark, streams.stream_latest(events, "user_id", "ts", "event_id", ["status", "ts"]), "status")
+
+
+@query("file_arrivals", "SELECT event_type, count(*) AS n, min(event_id)::BIGINT AS first_id FROM events GROUP BY 1")
+def file_arrivals(spark, sf):
+    """Delimited files that arrive in two portions, each handled once; a third look finds nothing new."""
+    source, path, checkpoint = (scratch_path(spark, n) for n in ("arriving", "arrived", "arrivals-checkpoint"))
+    events = table(spark, sf, "events").selectExpr("CAST(event_id AS STRING) AS event_id", "event_type")
+
+    def handle(rows, batch):
+        rows.write.mode("append").parquet(path)
+
+    for portion in ("event_id % 2 = 0", "event_id % 2 = 1", "false"):
+        events.where(portion).write.mode("append").option("header", True).option("sep", ";").csv(source)
+        streams.stream_files(spark, source, events.schema, handle, checkpoint, glob="part-*.csv")
+    stored = spark.read.parquet(path)
+    return stored.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.min(F.expr("CAST(event_id AS BIGINT)")).alias("first_id"))

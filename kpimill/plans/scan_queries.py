@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 
 from pyspark.sql import DataFrame, functions as F
@@ -147,7 +148,9 @@ def scan_table(spark, sf):
     path = scratch_path(spark, "catalog")
     table(spark, sf, "supplier").write.parquet(path)
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
-    return spark.table(name).where("s_nationkey IS NOT NULL").select("s_suppkey", "s_name", "s_nationkey")
+    rows = spark.table(name).where("s_nationkey IS NOT NULL").select("s_suppkey", "s_name", "s_nationkey")
+    spark.sql(f"DROP TABLE {name}")  # the plan has its files by now
+    return rows
 
 
 @query("scan_dir", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
@@ -167,10 +170,16 @@ def _event_files(spark, sf) -> str:
     return path
 
 
-@query("latest_file")
+@query("latest_file", "SELECT n_nationkey, n_name FROM nation")
 def latest_file(spark, sf):
-    """The newest of the written files: a name and a time, so there is no SQL twin."""
-    return files.latest_file(files.list_files(spark, _event_files(spark, sf), "part-*.csv", recursive=True))
+    """What is in the newest file of a tree: one marked file is written after all others."""
+    path = _event_files(spark, sf)
+    time.sleep(0.05)  # a later modification time, also where clocks tick in milliseconds
+    nation = table(spark, sf, "nation").selectExpr("n_nationkey", "n_name").coalesce(1)
+    nation.write.mode("append").option("header", True).csv(f"{path}/event_type=marked")
+    newest = files.latest_file(files.list_files(spark, path, "part-*.csv", recursive=True)).first()["path"]
+    rows = spark.read.option("header", True).csv(newest)
+    return rows.selectExpr(*[f"CAST({c} AS {t}) AS {c}" for c, t in nation.dtypes])
 
 
 @query("recent_files", "SELECT event_type, CAST(min(event_id) AS BIGINT) AS first_id, count(*) AS n FROM events GROUP BY 1")
@@ -294,6 +303,41 @@ def replace_slice(spark, sf):
     return _plan_rows(spark, path, plan)
 
 
+@query("replace_slice_neighbours", with_views("plan_monthly", """
+    SELECT report_date, param_1, param_2, branch_id, CASE WHEN param_1 = 'BU' AND param_2 = '2-HIGH' AND year(report_date) = 1996 THEN param_value + 1
+      ELSE param_value END AS param_value FROM plan_monthly"""))
+def replace_slice_neighbours(spark, sf):
+    """One account of one version in one year is replaced: other accounts, other years and other versions keep their rows. Then
+    rows outside the slice are offered, which is refused and changes nothing."""
+    path, plan = _plan_table(spark, sf)
+    slice_ = F.expr("param_1 = 'BU' AND param_2 = '2-HIGH' AND year(report_date) = 1996")
+    new = plan.where(slice_).withColumn("param_value", F.col("param_value") + 1)
+    for _ in range(2):
+        tables.replace_slice(spark, path, slice_, new, _PARTS)
+    try:
+        tables.replace_slice(spark, path, slice_, plan.where("param_1 = 'AC'"), _PARTS)
+    except ValueError:
+        return _plan_rows(spark, path, plan)
+    raise AssertionError("rows outside the slice were taken")
+
+
+@query("load_counts", with_views("plan_monthly", f"""
+    SELECT 'reload' AS step, 0::BIGINT AS deleted, count(*) AS inserted FROM plan_monthly
+    UNION ALL SELECT 'append', 0, count(*) FROM plan_monthly WHERE param_1 = 'AC'
+    UNION ALL SELECT 'replace', count(*) + count(*) FILTER (param_1 = 'AC'), count(*) FILTER (param_2 <> '5-LOW') FROM plan_monthly WHERE {_SLICE}
+    UNION ALL SELECT 'clear', count(*), 0 FROM plan_monthly WHERE param_1 = 'F1_1995_01'"""))
+def load_counts(spark, sf):
+    """Rows that every step of a load reports."""
+    path, plan = scratch_path(spark, "counts"), A.plan_monthly(spark, sf)
+    steps = [("reload", 0, tables.full_reload(plan, path, _PARTS))]
+    steps.append(("append", 0, tables.append(plan.where("param_1 = 'AC'"), path, plan.columns, _PARTS)))
+    done = tables.replace_slice(spark, path, F.expr(_SLICE), plan.where(f"{_SLICE} AND param_2 <> '5-LOW'"), _PARTS)
+    steps.append(("replace", done["deleted"], done["inserted"]))
+    done = tables.clear_slice(spark, path, F.col("param_1") == "F1_1995_01", _PARTS)
+    steps.append(("clear", done["deleted"], done["inserted"]))
+    return spark.createDataFrame(steps, "step string, deleted bigint, inserted bigint")
+
+
 @query("full_reload", with_views("plan_monthly", "SELECT report_date, param_1, param_2, branch_id, param_value FROM plan_monthly WHERE param_1 = 'BU'"))
 def full_reload(spark, sf):
     path, plan = _plan_table(spark, sf)
@@ -356,11 +400,29 @@ def incremental_refresh(spark, sf):
     return spark.read.schema(orders.schema).parquet(path).select(*orders.columns)
 
 
-@query("analyze")
+@query("analyze", """
+    SELECT 'o_custkey' AS column_name, count(*) AS row_count, count(*) FILTER (o_custkey IS NULL) AS null_count, min(o_custkey)::VARCHAR AS min_value,
+      max(o_custkey)::VARCHAR AS max_value FROM orders
+    UNION ALL SELECT 'order_day', count(*), count(*) FILTER (o_orderkey % 7 = 0), CAST(min(o_orderdate) FILTER (o_orderkey % 7 <> 0) AS DATE)::VARCHAR,
+      CAST(max(o_orderdate) FILTER (o_orderkey % 7 <> 0) AS DATE)::VARCHAR FROM orders
+    UNION ALL SELECT 'o_orderstatus', count(*), 0, NULL, NULL FROM orders""")
 def analyze(spark, sf):
-    """Column statistics of a catalog table; distinct counts are estimates, so there is no SQL twin."""
-    name = f"orders_{uuid.uuid4().hex}"
-    path = scratch_path(spark, "stats")
-    table(spark, sf, "orders").write.parquet(path)
+    """Column statistics of a catalog table: what is exact of them (of texts Spark keeps no least and greatest value)."""
+    name, path = f"orders_{uuid.uuid4().hex}", scratch_path(spark, "stats")
+    table(spark, sf, "orders").selectExpr(
+        "o_custkey", "o_orderstatus", "IF(o_orderkey % 7 = 0, NULL, CAST(o_orderdate AS DATE)) AS order_day").write.parquet(path)
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
-    return tables.analyze(spark, name, ["o_custkey", "o_orderstatus", "o_orderpriority"])
+    try:
+        return tables.analyze(spark, name, ["o_custkey", "order_day", "o_orderstatus"]).drop("distinct_count")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+@query("scan_mixed_layouts", "SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS c_mktsegment FROM customer")
+def scan_mixed_layouts(spark, sf):
+    """One folder with files of three layouts: other delimiters, another column order, a column more."""
+    path, customer = scratch_path(spark, "mixed"), table(spark, sf, "customer")
+    for rest, sep, columns in ((0, ";", ["c_custkey", "c_name", "c_mktsegment"]), (1, ",", ["c_name", "c_custkey"]), (2, "|", ["c_custkey", "c_name"])):
+        part = customer.where(f"c_custkey % 3 = {rest}").select(*columns)
+        part.write.mode("append").option("header", True).option("sep", sep).csv(path)
+    return files.read_delimited(spark, path).selectExpr("CAST(c_custkey AS BIGINT) AS c_custkey", "c_name", "c_mktsegment")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import csv
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from kpimill.functions.periods import excel_serial
 from kpimill.operators.reshape import last_duplicate_columns
@@ -18,6 +18,12 @@ from kpimill.session import materialize
 DELIMITERS = (";", ",", "\t", "|")
 
 
+def first_lines(spark: SparkSession, path: str) -> dict[str, str]:
+    """First line of every file under a path: one row per file, which the driver lists anyway."""
+    found = _first_by_place(_lines(spark, path), ["source_file"]).collect()
+    return {r["source_file"]: r["value"].lstrip("﻿") for r in found}
+
+
 def header_line(spark: SparkSession, path: str) -> str:
     """First line of a feed."""
     row = spark.read.text(path).first()
@@ -31,15 +37,35 @@ def detect_delimiter(line: str) -> str:
     return max(DELIMITERS, key=lambda d: len(next(csv.reader([line], delimiter=d))))
 
 
+def layouts(spark: SparkSession, path: str, sep: str | None = None) -> dict[tuple[str, str], list[str]]:
+    """Files by layout: (delimiter, header line) -> files. A path of one layout is one entry."""
+    out: dict[tuple[str, str], list[str]] = {}
+    for file, line in sorted(first_lines(spark, path).items()):
+        out.setdefault((sep or detect_delimiter(line), line), []).append(file)
+    if not out:
+        raise ValueError(f"no lines in {path}")
+    return out
+
+
+def _by_layout(spark: SparkSession, path: str, sep: str | None, options: dict[str, str]) -> DataFrame:
+    """Files of each layout read with their own delimiter and header; columns are matched by name."""
+    out = None
+    found = layouts(spark, path, sep)
+    for (mark, _), names in found.items():
+        reader = spark.read.option("header", True).option("sep", mark).options(**options)
+        one = reader.csv(path if len(found) == 1 else names)
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out
+
+
 def read_delimited(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
-    """Delimited text with a header line; the delimiter is found from it when not given."""
-    sep = sep or detect_delimiter(header_line(spark, path))
-    return spark.read.option("header", True).option("sep", sep).csv(path)
+    """Delimited text with a header line in every file; delimiter (when not given) and header are those of each file."""
+    return _by_layout(spark, path, sep, {})
 
 
 def read_gz_feed(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
-    """Feed with stray quotes: quoting is off while cells are cut, then every quote is removed."""
-    raw = spark.read.option("header", True).option("sep", sep).option("quote", "").csv(path)
+    """Feed with stray quotes: quoting is off while cells are cut, then every quote is removed. Files may differ in layout."""
+    raw = _by_layout(spark, path, sep, {"quote": ""})
     return raw.select(*[F.replace(F.col(f"`{c}`"), F.lit('"'), F.lit("")).alias(c.replace('"', "")) for c in raw.columns])
 
 
@@ -71,7 +97,7 @@ def read_sheets(
     out = None
     for name in use:
         path = _sheet_path(spark, root, name)
-        one = spark.read.option("header", True).csv(path).withColumn(label, F.lit(name))
+        one = _by_layout(spark, path, ",", {}).withColumn(label, F.lit(name))
         out = one if out is None else out.unionByName(one, allowMissingColumns=True)
     return out.distinct() if distinct else out
 
@@ -102,18 +128,29 @@ def read_last_duplicates(spark: SparkSession, path: str, sep: str = ";") -> Data
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their file and their place in it: (split start, running number inside the split)."""
+    """Lines with their file and their place in it, as one sortable number: the start of their split, then a running number
+    inside the split. As a fixed-width value it lets the first of many lines be hash-aggregated."""
+    inside = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    start = F.col("_metadata.file_block_start").cast("decimal(20,0)")
     return spark.read.text(path).select(
         F.col("_metadata.file_path").alias("source_file"),
-        F.struct(F.col("_metadata.file_block_start").alias("s"), F.monotonically_increasing_id().alias("i")).alias("at"),
+        (start * F.lit(1 << 33).cast("decimal(18,0)") + inside.cast("decimal(18,0)")).cast("decimal(38,0)").alias("at"),
         "value",
     )
 
 
+def _first_by_place(lines: DataFrame, by: list[str], wanted: Column | None = None) -> DataFrame:
+    """Per file the first of the wanted lines: the place is found by a hash aggregation, then its line is picked."""
+    few = lines if wanted is None else lines.where(wanted)
+    places = few.groupBy(*by).agg(F.min("at").alias("__at")).withColumnsRenamed({c: f"__{c}" for c in by})
+    same = [F.col(c) == F.col(f"__{c}") for c in by] + [F.col("at") == F.col("__at")]
+    return few.join(places, same, "left_semi")
+
+
 def report_months(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
     """Report month of each file: its first cell is a spreadsheet day number. A file without one is an error."""
-    first = _lines(spark, path).groupBy("source_file").agg(F.min_by("value", "at").alias("line"))
-    days = F.expr(f"try_cast(try_cast(split_part(line, '{sep}', 1) AS DOUBLE) AS INT)")
+    first = _first_by_place(_lines(spark, path), ["source_file"])
+    days = F.expr(f"try_cast(try_cast(split_part(value, '{sep}', 1) AS DOUBLE) AS INT)")
     months = materialize(first.select("source_file", excel_serial(days).alias("report_month")), "months")
     missing = [r[0] for r in months.where("report_month IS NULL").limit(5).collect()]
     if missing:
@@ -124,31 +161,32 @@ def report_months(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
 def find_header(spark: SparkSession, path: str, marker: str, sep: str = ";") -> DataFrame:
     """Tables whose header is not the first line: it is the first line whose first cell is the marker.
 
-    Lines keep their place by (split start, running number inside the split), so files are read in parallel
-    splits. Files may differ in layout; columns are matched by name. A file without the marker is an error.
+    Lines keep their place by one number per line, so files are read in parallel splits. Files may differ in layout;
+    columns are matched by name. A file without the marker is an error.
     """
     lines = _lines(spark, path)
     first_cell = F.trim(F.get(F.split("value", f"\\Q{sep}\\E", 2), F.lit(0)))
     is_header = F.replace(first_cell, F.lit('"'), F.lit("")) == marker
-    mark = F.when(is_header, F.struct("at", "value"))
-    headers = materialize(lines.groupBy("source_file").agg(F.min(mark).alias("h")), "headers")
-    missing = [r[0] for r in headers.where("h IS NULL").select("source_file").limit(5).collect()]
+    headers = _first_by_place(lines, ["source_file"], is_header)
+    headers = materialize(headers.select("source_file", F.col("at").alias("h_at"), F.col("value").alias("layout")), "headers")
+    seen = lines.select("source_file").distinct().join(headers, "source_file", "left_anti")
+    missing = [r[0] for r in seen.limit(5).collect()]
     if missing:
         raise ValueError(f"no header starting with {marker!r} in {missing}")
     # distinct layouts, not files
-    layouts = [r[0] for r in headers.select("h.value").distinct().orderBy("value").collect()]
-    cells = [[c.strip() for c in next(csv.reader([v], delimiter=sep))] for v in layouts]
+    found = [r[0] for r in headers.select("layout").distinct().orderBy("layout").collect()]
+    cells = [[c.strip() for c in next(csv.reader([v], delimiter=sep))] for v in found]
     names = list(dict.fromkeys(n for row in cells for n in row if n))
     width = max(len(r) for r in cells)
     schema = ", ".join(f"c{i} string" for i in range(width))
     body = (
         lines.join(headers, "source_file")
-        .where((F.col("at") > F.col("h.at")) & (F.trim("value") != ""))
-        .select("source_file", F.col("h.value").alias("layout"), F.from_csv("value", schema, {"sep": sep}).alias("r"))
+        .where((F.col("at") > F.col("h_at")) & (F.trim("value") != ""))
+        .select("source_file", "layout", F.from_csv("value", schema, {"sep": sep}).alias("r"))
     )
 
     def pick(name: str):
-        at = {v: row.index(name) for v, row in zip(layouts, cells) if name in row}
+        at = {v: row.index(name) for v, row in zip(found, cells) if name in row}
         value = F.lit(None).cast("string")
         for v, i in at.items():
             value = F.when(F.col("layout") == v, F.col(f"r.c{i}")).otherwise(value)

@@ -1,4 +1,4 @@
-"""Streaming forms: bars from ticks, latest books, file arrivals."""
+"""Streaming forms: bars from ticks, latest books and status, file arrivals."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from kpimill.operators.market import bar_aggs
+from kpimill.operators.market import bar_aggs, tick_order
 
 
 def stream_ohlcv(
@@ -66,3 +66,28 @@ def stream_files(
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
+
+
+def stream_latest(events: DataFrame, key: str, ts: str, tie: str, fields: list[str]) -> DataFrame:
+    """The last event per instrument from a stream, by (time, whole-number tie-break): one row of state per instrument."""
+    last = events.groupBy(key).agg(F.max_by(F.struct(*fields), tick_order(ts, tie)).alias("s"))
+    return last.select(key, "s.*")
+
+
+def stream_latest_book(books: DataFrame, key: str, ts: str, tie: str, depth: int) -> DataFrame:
+    """The latest order book per instrument from a stream of books, cut to a depth."""
+    cut = books.withColumns({c: F.slice(c, 1, depth) for c in ("bids", "asks")})
+    return stream_latest(cut, key, ts, tie, [ts, "bids", "asks"])
+
+
+def run_to_latest(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Keep a small table of a stream's current rows (one per instrument) until the input that is there now is used up."""
+
+    def replace(rows: DataFrame, _: int) -> None:
+        rows.write.mode("overwrite").parquet(path)
+
+    query = (
+        stream.writeStream.outputMode("complete").foreachBatch(replace)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()

@@ -48,6 +48,121 @@ def test_partition_named_but_not_filled_is_removed(spark, tmp_path):
     assert read() == sorted([("b", D(2021, 1, 1), 10), (None, D(2021, 1, 1), 5)], key=repr)
 
 
+def test_rows_outside_the_slice_are_refused(spark, tmp_path):
+    for by in (None, ["p"]):
+        path = str(tmp_path / ("parts" if by else "flat"))
+        read = _table(spark, path, by)
+        cond = (F.col("p") == "a") & (F.col("v") == 1)
+        for bad in [("a", D(2021, 1, 1), 2), ("b", D(2021, 1, 1), 1), (None, D(2021, 1, 1), 1), ("a", D(2021, 1, 1), None)]:
+            new = spark.createDataFrame([("a", D(2021, 1, 1), 1), bad], SCHEMA)
+            with pytest.raises(ValueError, match="outside"):
+                tables.replace_slice(spark, path, cond, new, by, gaining={("a",)} if by else None)
+            assert read() == sorted(START, key=repr)
+
+
+def test_partitions_that_were_not_named_are_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    read = _table(spark, path, ["p"])
+    new = spark.createDataFrame([("a", D(2021, 1, 1), 1), ("z", D(2021, 1, 1), 1)], SCHEMA)
+    with pytest.raises(ValueError, match="not named"):
+        tables.replace_slice(spark, path, F.col("d") == F.lit(D(2021, 1, 1)), new, ["p"], gaining={("a",)})
+    assert read() == sorted(START, key=repr)
+
+
+def test_a_source_that_grows_loses_nothing(spark, tmp_path):
+    """The source gets a row in another partition while the refresh runs: what was staged is what counts."""
+    path, src = str(tmp_path / "t"), str(tmp_path / "src")
+    read = _table(spark, path, ["p"])
+    spark.createDataFrame([("a", D(2021, 1, 2), 20)], SCHEMA).write.parquet(src)
+    seen = []
+    real = tables.staged
+
+    def slow(df, name):
+        out = real(df, name)
+        if not seen:
+            seen.append(1)
+            spark.createDataFrame([("b", D(2021, 1, 2), 30)], SCHEMA).write.mode("append").parquet(src)
+        return out
+
+    tables.staged = slow
+    try:
+        tables.incremental_refresh(spark, path, spark.read.schema(SCHEMA).parquet(src), "d", D(2021, 1, 2), ["p"])
+    finally:
+        tables.staged = real
+    assert [r for r in START if r[1] != D(2021, 1, 2)] == [r for r in START if r in read()]
+    assert ("a", D(2021, 1, 2), 20) in read()
+
+
+def test_live_base_of_another_version_is_refused(spark, tmp_path):
+    path = str(tmp_path / "live")
+    row = lambda v, kpi, d: (d, v, kpi, None, None, 1, None, None, None, None, None, 1.0)
+    stored = [row("Plan", fv.LIVE_BASE_KPI, D(2021, 1, 1)), row("Plan", "Other", D(2021, 1, 1)), row("Plan", fv.LIVE_BASE_KPI, D(2020, 1, 1))]
+    tables.full_reload(spark.createDataFrame(stored, fv.PARAMETERS_SCHEMA), path, ["param_1"])
+    with pytest.raises(ValueError):
+        jobs.load_live_base(spark, path, spark.createDataFrame(stored[:1], fv.PARAMETERS_SCHEMA), version="Budget")
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_keys_with_blanks_keep_other_months(spark, tmp_path):
+    path, backup = str(tmp_path / "p"), str(tmp_path / "b")
+    old = [(D(2021, m, 1), "AC", "x", None, None, 1, None, None, None, None, None, float(m)) for m in (1, 2, 3)]
+    tables.full_reload(spark.createDataFrame(old, fv.PARAMETERS_SCHEMA), path, ["param_1"])
+    raw = spark.createDataFrame([("AC ", "3", "2021", "c", "x", 30.0)], "version string, month string, year string, region string, account string, param_value double")
+    codes = spark.createDataFrame([(1, "c", "n")], "branch_id int, code string, code_name string")
+    jobs.load_plan(spark, path, backup, raw, codes, tables.SliceSpec("report_date", keys={"param_1": ["AC "], "param_2": None}))
+    got = rows(spark.read.schema(fv.PARAMETERS_SCHEMA).parquet(path), "report_date", "param_value")
+    assert got == [(D(2021, 1, 1), 1.0), (D(2021, 2, 1), 2.0), (D(2021, 3, 1), 30.0)]
+
+
+def test_slices_of_too_many_keys_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(tables, "MAX_KEYS", 3)
+    df = spark.createDataFrame([(D(2021, 1, 1), f"k{i}") for i in range(4)], "d date, k string")
+    with pytest.raises(ValueError, match="more than 3"):
+        tables.SliceSpec("d", keys={"k": None}).resolve(df)
+
+
+def test_every_file_is_gated(spark):
+    from kpimill.operators import control
+
+    make = lambda f, n, last: [("s", D(2021, 3, 1), D(2021, 3, 1 + i * (last - 1) // (n - 1)), f) for i in range(n)]
+    cols = "k string, m date, d date, f string"
+    stored = spark.createDataFrame(make("old", 60, 9), cols)
+    new = spark.createDataFrame(make("A", 100, 10) + make("B", 50, 12), cols)
+    got = control.freshness_gate(new, stored, ["k", "m"], "d", "m", "f").collect()
+    assert [(r.f, r.max_date, r.row_count, r.load) for r in got] == [("A", D(2021, 3, 10), 100, True)]
+    none = control.freshness_gate(spark.createDataFrame(make("B", 50, 12), cols), stored, ["k", "m"], "d", "m", "f").collect()
+    assert [(r.f, r.load) for r in none] == [("B", False)]
+
+
+CDR_HEAD = "data_source string, START_DATE string, Carrier1 string, Destination1 string, DURATION string, Total_Cost string, DIRECTION string"
+
+
+def test_records_are_looked_up_by_their_direction(spark):
+    feed = spark.createDataFrame([("f", "01.03.2021", "T_ABC N2 X", "Germany", "1", "2", d) for d in ("Incoming", "Outgoing", "Transit")], CDR_HEAD)
+    incoming = spark.createDataFrame([("Germany", "DE-in", "EU")], "destination string, country string, area string")
+    mapping = spark.createDataFrame([("Germany", "81049", "DE-out", "")], "destination string, codes string, country string, area string")
+    codes = spark.createDataFrame([("49, 490", "REWRITTEN")], "dial_codes string, new_destination string")
+    out = jobs.normalize_cdr(feed, D(2021, 4, 1), incoming, mapping, codes)
+    assert rows(out, "direction", "destination", "country", "area") == [
+        ("Incoming", "Germany", "DE-in", "EU"), ("Outgoing", "REWRITTEN", "DE-out", "Unknown"), ("Transit", "Germany", None, None)]
+
+
+def test_files_of_several_months_or_with_bad_cells_are_refused(spark, tmp_path):
+    path = str(tmp_path / "cdr")
+    line = lambda f, day, minutes="1,5": (f, day, "T_ABC N2 X", "p", minutes, "2", "Outgoing")
+    feed = spark.createDataFrame(
+        [line("good", "01.03.2021"), line("good", "02.03.2021", " "), line("long", "31.01.2021"), line("long", "01.02.2021"), line("bad", "03.03.2021", "1 234,5"),
+         line("bad", "04.03.2021"), line("undated", "05.03.2021"), line("undated", "x")], CDR_HEAD)
+    records = jobs.read_cdr(feed)
+    report = jobs.cdr_file_report(records)
+    assert rows(report, "data_source", "months", "unreadable", "ok") == [("bad", 1, 1, False), ("good", 1, 0, True), ("long", 2, 0, False), ("undated", 0, 2, False)]
+    decision = jobs.load_cdr(spark, path, jobs.cdr_layout(records, D(2021, 4, 1)), report)
+    assert rows(decision, "data_source", "load", "refused") == [("bad", False, True), ("good", True, False), ("long", False, True), ("undated", False, True)]
+    assert rows(spark.read.parquet(path).select("data_source").distinct()) == [("good",)]
+    later = jobs.load_cdr(spark, path, jobs.normalize_cdr(feed, D(2021, 4, 1)))  # without a report: months and dates only
+    assert rows(later.where("refused"), "data_source") == [("long",), ("undated",)]
+
+
 def test_partitions_of_several_columns(spark, tmp_path):
     path, by = str(tmp_path / "t"), ["p", "d"]
     rows_in = [("x:1/2", D(2021, 1, 1), 1), ("x:1/2", D(2021, 1, 2), 2), ("y", D(2021, 1, 1), 3), ("y", None, 4)]
@@ -107,6 +222,32 @@ def test_sales_mix_sentinel(spark):
     assert rows(jobs.sales_mix_long(sheet, "old", totals=False)) == [("r", "Shop", "A", 2.0), ("r", "Shop", "B", 3.0)]
 
 
+def test_sales_mix_headers_that_meet(spark):
+    sheet = spark.createDataFrame([("r", "Total", "1", "2")], "`Регион` string, Channels string, `Мой онлайн план` string, `Мой онлайн/Online план` string")
+    assert rows(jobs.sales_mix_long(sheet, "old")) == [("r", "Total", "Мой онлайн", 1.0), ("r", "Total", "Мой онлайн", 2.0)]
+    own = {**fv.SALES_MIX_HEADERS, "Мой онлайн": "x"}
+    assert rows(jobs.sales_mix_long(sheet, "old", headers=own), "tariff") == [("x",), ("x",)]
+
+
+def test_sales_mix_cells_that_are_no_numbers(spark):
+    sheet = spark.createDataFrame([("r", "Total", "1 234,5")], "`Регион` string, Channels string, `A план` string")
+    with pytest.raises(Exception, match="1 234,5"):
+        jobs.sales_mix_long(sheet, "old").collect()
+
+
+def test_tracking_layout_is_told_by_names():
+    assert jobs.tracking_profile("/in/2021 Osnovnye.v2.xlsx", ["x", "Динамика KPIs"]) == "general"
+    assert jobs.tracking_profile("Соц дем абоненты.xlsx", ["data"]) == "social_subs"
+    with pytest.raises(ValueError):
+        jobs.tracking_profile("2021 Osnovnye.xlsx", ["data"])
+
+
+def test_tracking_keeps_empty_cells(spark):
+    sheet = spark.createDataFrame([("NPS", "Region", "Siberia", "o", None, "1")], "kpi string, `География` string, `Выбор` string, `Оператор` string, `4Q'20` string, `Q1'21` string")
+    assert rows(jobs.normalize_tracking(sheet, "express"), "period_start", "period_end", "param_value") == [
+        (D(2020, 10, 1), D(2020, 12, 31), None), (D(2021, 1, 1), D(2021, 3, 31), 1.0)]
+
+
 def test_forecast_retention(spark, tmp_path):
     path = str(tmp_path / "p")
     names = ["AC", "F1_2020_01", "F2_2021_01", "F1_2021_01"]
@@ -189,6 +330,16 @@ def test_bars_are_hash_aggregated(spark):
     assert rows(bars, "open", "close", "volume") == [(5.0, 1.0, 2)]
 
 
+def test_latest_events_and_ties(spark):
+    at = dt.datetime(2024, 1, 1, 10)
+    for order in (1, -1):
+        books = spark.createDataFrame([("x", at, 1, [1.0, 0.5], [2.0]), ("x", at, 2, [3.0, 0.5], [4.0]), ("y", at, 1, [5.0], []), ("x", at.replace(hour=9), 3, [9.0], [])][::order],
+                                      "k string, ts timestamp, id bigint, bids array<double>, asks array<double>")
+        last = market.latest_book(books, "k", "ts", 1, "id")
+        assert rows(last, "k", "bids", "asks") == [("x", [3.0], [4.0]), ("y", [5.0], [])]
+        assert "SortAggregate" not in last._jdf.queryExecution().executedPlan().toString()
+
+
 def test_row_counts_are_reported(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame(START, SCHEMA)

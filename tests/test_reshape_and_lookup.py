@@ -41,6 +41,15 @@ def test_replicate_without_months_gives_nothing(spark):
     assert reshape.replicate(df, months.where("false"), "m").count() == 0
 
 
+def test_replicate_takes_calendars_only(spark, monkeypatch):
+    df = spark.createDataFrame([(1,), (2,)], "a int")
+    with pytest.raises(ValueError, match="not a calendar"):
+        reshape.replicate(df, spark.createDataFrame([("x",)], "m string"), "m")
+    monkeypatch.setattr(reshape, "CALENDAR_KEYS", 2)
+    with pytest.raises(Exception, match="not a calendar"):
+        reshape.replicate(df, spark.range(5).withColumnRenamed("id", "m"), "m").collect()
+
+
 def _brute(key, codes, min_len=2):
     for n in range(len(key), min_len - 1, -1):
         if key[:n] in codes:

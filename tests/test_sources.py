@@ -19,6 +19,17 @@ def test_delimiters(spark, tmp_path):
     assert out.columns == ["x", "y, z"] and rows(out) == [("1", "2,5")]
 
 
+def test_layout_per_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id;name\n1;x\n")
+    (tmp_path / "b.csv").write_text("name,id\ny,2\n")
+    out = files.read_delimited(spark, str(tmp_path))
+    assert rows(out, "id", "name") == [("1", "x"), ("2", "y")]
+    (tmp_path / "sheet=s").mkdir()
+    (tmp_path / "sheet=s" / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "sheet=s" / "2.csv").write_text("b,c\n3,4\n")
+    assert rows(files.read_sheets(spark, str(tmp_path)), "a", "b", "c") == [("1", "2", None), (None, "3", "4")]
+
+
 def test_stray_quotes(spark, tmp_path):
     with gzip.open(tmp_path / "feed.txt.gz", "wt") as f:
         f.write('"A";"B";"C"\n"1";"say "hi"";\n"2";x"y;"3"\n')
@@ -47,6 +58,15 @@ def test_late_header(spark, tmp_path):
         files.find_header(spark, str(tmp_path), "Регион")
 
 
+def test_first_lines_are_hash_aggregated(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("43831;x\ny\n")
+    from kpimill.sources.files import _first_by_place, _lines
+
+    first = _first_by_place(_lines(spark, str(tmp_path)), ["source_file"])
+    assert "SortAggregate" not in first._jdf.queryExecution().executedPlan().toString()
+    assert rows(files.report_months(spark, str(tmp_path)), "report_month") == [(D(2020, 1, 1),)]
+
+
 def test_late_header_in_split_files(spark, tmp_path):
     """A file cut into many splits keeps its line order."""
     body = "".join(f"k{i};{i}\n" for i in range(20_000))
