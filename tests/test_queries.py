@@ -18,22 +18,32 @@ def con():
     return connect(SF)
 
 
-def executions(spark):
-    """Id and plan of every execution that Spark remembers, those of loads and writes included."""
+def executions(spark, after):
+    """Last id, and the plans of every execution with a greater id than ``after``, those of loads and writes included."""
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     found = spark._jsparkSession.sharedState().statusStore().executionsList()
-    return {found.apply(i).executionId(): found.apply(i).physicalPlanDescription() for i in range(found.size())}
+    last, plans = after, []
+    for i in range(found.size() - 1, -1, -1):
+        one = found.apply(i)
+        number = one.executionId()
+        last = max(last, number)
+        if number <= after:
+            break
+        plans.append(one.physicalPlanDescription())
+        if after < 0:
+            break
+    return last, plans
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    before = max(executions(spark), default=-1)
+    before, _ = executions(spark, -1)
     df = QUERIES[name](spark, SF)
     if name in ORACLES:
         assert compare(df, con, ORACLES[name]) is None
     else:
         assert df.count() > 0
-    plans = [p for i, p in executions(spark).items() if i > before]
+    _, plans = executions(spark, max(before, 0))
     assert plans
     assert not [b for p in plans for b in BANNED if b in p]
 
