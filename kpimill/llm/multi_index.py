@@ -3,8 +3,8 @@
 Each half of a vector has a codebook of its own; a vector lives in the cell of the product grid that its nearest code
 words name. A search visits cells in the order of the summed distances of their two code words, nearest first
 (multi-sequence traversal), until the wanted share of true neighbours lies within: how far that is, is measured once on
-a bounded sample, for neighbours right at the similarity threshold. What shares a visited cell is verified by its cosine
-in double precision. Every vector is indexed and every vector searches; a pair is found from either side.
+the true neighbours, among all vectors, of a bounded sample. What shares a visited cell is verified by its cosine in
+double precision. Every vector is indexed and every vector searches; a pair is found from either side.
 """
 
 from __future__ import annotations
@@ -26,6 +26,10 @@ RECALL = 0.995
 SAMPLE = 8000  # vectors that the codebooks and the radius are fitted on
 PER_CELL = 100  # vectors a cell holds on average
 CELL_BLOCK = 2048
+SEARCHED = 2000  # vectors whose true neighbours among all vectors are found by brute force, for the radius
+ENOUGH = 400  # true pairs that a radius is taken from
+BORDER = 0.02  # pairs less than this above the threshold are border pairs
+STEP = 1 / 512  # radii are counted in steps, and rounded up
 
 
 # --- the index ------------------------------------------------------------------------------------------------------------
@@ -74,24 +78,62 @@ class Grid:
         return cells
 
 
-def fit_grid(sample: np.ndarray, n: int, threshold: float = THRESHOLD, recall: float = RECALL, seed: int = 5) -> Grid:
-    """Code books from a sample of unit vectors, and the radius within which neighbours at the threshold find one another.
+def reach(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The radius that each pair (row i of x, row j of y, both given by their ``distances``) needs to be found from one of
+    its sides at least."""
+    (x1, x2), (y1, y2) = x, y
+    there = x1[i, y1.argmin(1)[j]] + x2[i, y2.argmin(1)[j]]
+    back = y1[j, x1.argmin(1)[i]] + y2[j, x2.argmin(1)[i]]
+    return np.minimum(there, back)
 
-    The neighbours are made: each of the sample's vectors is turned by the threshold's angle in a random direction.
-    """
+
+def turned(x: np.ndarray, toward: np.ndarray, threshold: float) -> np.ndarray:
+    """Unit vectors turned by the threshold's angle."""
+    turn = toward - (toward * x).sum(1, keepdims=True) * x
+    turn /= np.maximum(np.linalg.norm(turn, axis=1, keepdims=True), 1e-12)
+    return threshold * x + np.sqrt(1 - threshold**2) * turn
+
+
+def fit_grid(sample: np.ndarray, n: int, threshold: float = THRESHOLD, recall: float = RECALL, seed: int = 5) -> Grid:
+    """Code books from a sample of unit vectors, and the least radius: that of made neighbours at the threshold, the
+    sample's vectors turned in random directions. ``widened`` adds what true neighbours need."""
     rng = np.random.default_rng(seed)
     words = int(np.clip(round(np.sqrt(n / PER_CELL)), 1, max(1, len(sample) // 4)))
     half = sample.shape[1] // 2
     grid = Grid(code_book(sample[:, :half], words, rng), code_book(sample[:, half:], words, rng))
     x = sample[rng.choice(len(sample), min(len(sample), 4000), replace=False)]
-    turn = rng.standard_normal(x.shape)
-    turn -= (turn * x).sum(1, keepdims=True) * x
-    turn /= np.maximum(np.linalg.norm(turn, axis=1, keepdims=True), 1e-12)
-    y = threshold * x + np.sqrt(1 - threshold**2) * turn
-    (x1, x2), (y1, y2), i = grid.distances(x), grid.distances(y), np.arange(len(x))
-    there = x1[i, y1.argmin(1)] + x2[i, y2.argmin(1)]
-    back = y1[i, x1.argmin(1)] + y2[i, x2.argmin(1)]
-    grid.radius = float(np.quantile(np.minimum(there, back), recall))
+    y, i = turned(x, rng.standard_normal(x.shape), threshold), np.arange(len(x))
+    grid.radius = float(np.quantile(reach(grid.distances(x), grid.distances(y), i, i), recall))
+    return grid
+
+
+def radius_of(steps: np.ndarray, weight: np.ndarray, recall: float) -> float:
+    """The least radius with the wanted share of the weight within."""
+    order = np.argsort(steps, kind="stable")
+    share = np.cumsum(weight[order])
+    at = min(int(np.searchsorted(share, recall * share[-1])), len(share) - 1)
+    return float(steps[order][at] * STEP)
+
+
+def widened(grid: Grid, sample: np.ndarray, found: np.ndarray, threshold: float = THRESHOLD, recall: float = RECALL, seed: int = 5) -> Grid:
+    """The grid with the radius that true pairs need. ``found``: (searched vector, is a border pair, steps, pairs) rows.
+
+    The wanted share holds for all pairs, for the pairs of each searched vector on average (one crowded group doesn't
+    outvote the others), and for border pairs if there are enough. With too few pairs in all, the sample's vectors turned
+    toward one another count as well, as they differ the way the data does.
+    """
+    radii = [grid.radius]
+    if len(found):
+        who, border, steps, n = found.T
+        radii += [radius_of(steps, n, recall), radius_of(steps, n / np.bincount(who, weights=n)[who], recall)]
+        if n[border > 0].sum() >= ENOUGH:
+            radii.append(radius_of(steps[border > 0], n[border > 0], recall))
+    if not len(found) or found[:, 3].sum() < ENOUGH:
+        rng = np.random.default_rng(seed)
+        x = sample[rng.choice(len(sample), min(len(sample), 4000), replace=False)]
+        y, i = turned(x, sample[rng.integers(0, len(sample), len(x))], threshold), np.arange(len(x))
+        radii.append(float(np.quantile(reach(grid.distances(x), grid.distances(y), i, i), recall)))
+    grid.radius = max(radii)
     return grid
 
 
@@ -197,6 +239,37 @@ def index(reps: DataFrame, grid: Grid) -> DataFrame:
     return by_batch(reps.select("node", "weight", "vec"), make, "node long, weight long, vec binary, home long, visits array<long>")
 
 
+def true_pairs(reps: DataFrame, grid: Grid, searched: list[tuple[int, bytes]], threshold: float) -> np.ndarray:
+    """(searched vector, is a border pair, steps, pairs): how many true neighbours each searched vector (node, vec) has
+    among all vectors, by the radius that finds them. Every cosine is taken, in blocks; only counts leave the tasks."""
+    book = reps.sparkSession.sparkContext.broadcast((grid, searched))
+
+    def make():
+        g, own = book.value
+        nodes, unit = np.array([n for n, _ in own], np.int64), units([v for _, v in own])
+        far, turned_over = g.distances(unit), unit.T.astype(np.float32)
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            kinds, counts = [np.zeros((0, 3), np.int64)], [np.zeros(0, np.int64)]
+            node, vec = batch.column("node").to_numpy(), batch.column("vec")
+            for a in range(0, len(node), 256):
+                part = units(vec.slice(a, 256).to_pylist())
+                cosine = part.astype(np.float32) @ turned_over
+                i, j = np.nonzero((cosine >= threshold - 1e-6) & (node[a : a + 256, None] != nodes))
+                if len(i):
+                    steps = np.ceil(reach(g.distances(part), far, i, j) / STEP).astype(np.int64)
+                    kind, n = np.unique((2 * j + (cosine[i, j] < threshold + BORDER)) << 32 | steps, return_counts=True)
+                    kinds.append(np.stack([kind >> 33, kind >> 32 & 1, kind & 0xFFFFFFFF], axis=1))
+                    counts.append(n)
+            columns = [*np.concatenate(kinds).T, np.concatenate(counts)]
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c), pa.int64()) for c in columns], ["who", "border", "steps", "n"])
+
+        return step
+
+    counts = by_batch(reps.select("node", "vec"), make, "who long, border long, steps long, n long").groupBy("who", "border", "steps").agg(F.sum("n").alias("n"))
+    return np.array([tuple(r) for r in counts.collect()], np.int64).reshape(-1, 4)
+
+
 def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row per input row: vec_id, n_links (other rows with a cosine of at least the threshold, as found), component_id
     (smallest id reachable), kept (the id is it).
@@ -218,6 +291,10 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     found = spark.createDataFrame([], "node long, links long, low long")
     if n > 1 and widths["width"] > 0:
         grid = fit_grid(units(sample), n, threshold, recall)
+        if len(grid.first) * len(grid.second) > 1:
+            # from the other end of the order, so that code words aren't fitted on them where there are enough others
+            last = reps.select("node", "vec", "same").orderBy(F.xxhash64("same").desc(), F.desc("same")).limit(min(SEARCHED, taken)).select("node", "vec").collect()
+            widened(grid, units(sample), true_pairs(reps, grid, [(r["node"], bytes(r["vec"])) for r in last], threshold), threshold, recall)
         placed = materialize(index(reps, grid), "vector-index")
         searches = placed.select("node", "weight", "vec", "home", F.explode("visits").alias("cell"), F.array().cast("array<long>").alias("visits"), F.lit(False).alias("is_home"))
         homes = placed.select("node", "weight", "vec", "home", F.col("home").alias("cell"), "visits", F.lit(True).alias("is_home"))

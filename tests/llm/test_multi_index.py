@@ -89,3 +89,25 @@ def test_traversal_is_by_distance():
         every = (a[:, None] + b[None, :]).ravel()
         assert g.visit(a, b)[0] == every.argmin()
         assert sorted(g.visit(a, b)) == np.flatnonzero(every <= g.radius).tolist()
+
+
+def recall_of(spark, x):
+    """Share of brute force's links that are found."""
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = int((unit @ unit.T >= 0.9).sum()) - len(x)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    found = near_vectors(df).agg({"n_links": "sum"}).first()[0]
+    print("links", want, "found", found, "recall", found / want)
+    assert want > 1000 and found <= want
+    return found / want
+
+
+def strong_directions(n, width, strong, noise, seed=9):
+    rng = np.random.default_rng(seed)
+    return rng.standard_normal((n, strong)) @ rng.standard_normal((strong, width)) + noise * rng.standard_normal((n, width))
+
+
+def test_recall_on_vectors_of_few_strong_directions(spark, monkeypatch):
+    monkeypatch.setattr(multi_index, "PER_CELL", 4)  # 32 words a book
+    assert recall_of(spark, strong_directions(4096, 256, 8, 0.3)) >= 0.985
+    assert recall_of(spark, strong_directions(4096, 64, 8, 0.3)) >= 0.985
