@@ -3,7 +3,8 @@
 A snapshot is a written table of (digest, normalised text, ...), one row per distinct text, with one static
 binary-fuse filter per bucket of digests. Of a new batch, duplicates inside the batch are grouped on their own; the
 filters then tell which of the batch's distinct texts may be in a snapshot, and only those are joined with the
-snapshot's buckets, where the bytes are compared. Snapshots are never changed: a batch adds a new one.
+snapshot's buckets, where the bytes are compared. Snapshots are never changed: a batch adds a new one. A text that is in
+a snapshot adds to the counts of the row it matched; one that is in none is a row of its own.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -116,7 +118,7 @@ def _keys(digests: list[bytes]) -> np.ndarray:
 
 @dataclass
 class Snapshot:
-    """``rows``: (digest, norm, keep_id, n), one row per distinct text; ``filters``: (bucket, filter); ``buckets`` in all."""
+    """``rows``: (row, digest, norm, keep_id, n), one row per distinct text, ``row`` naming it; ``filters``: (bucket, filter); ``buckets`` in all."""
 
     rows: DataFrame
     filters: DataFrame
@@ -154,7 +156,7 @@ def group_batch(rows: DataFrame) -> DataFrame:
 
 def freeze(groups: DataFrame, keys_per_bucket: int = KEYS_PER_BUCKET, name: str = "snapshot") -> Snapshot:
     """Write the distinct texts of a batch as an immutable snapshot with its filters."""
-    rows = materialize(groups, name)
+    rows = materialize(groups.withColumn("row", F.monotonically_increasing_id()), name)
     n = rows.count()
     buckets = spread(rows, keys_per_bucket, n)
 
@@ -187,47 +189,54 @@ def screen(groups: DataFrame, snapshot: Snapshot) -> DataFrame:
 
 
 def match(groups: DataFrame, snapshot: Snapshot) -> DataFrame:
-    """Groups of a batch whose bytes are in the snapshot: (digest, norm, keep_id, n) with the batch's keep_id and n."""
+    """Groups of a batch whose bytes are in the snapshot: (row, digest, norm, keep_id, n) with the batch's keep_id and n, and
+    the row of the snapshot that holds them."""
     maybe = screen(groups, snapshot).distinct()
-    held = snapshot.rows.select("digest", F.col("norm").alias("held_norm"))
+    held = snapshot.rows.select("row", "digest", F.col("norm").alias("held_norm"))
     return (
         groups.join(maybe, "digest", "left_semi")
         .join(held, "digest")
         .filter(F.col("norm") == F.col("held_norm"))
-        .select("digest", "norm", "keep_id", "n")
+        .select("row", "digest", "norm", "keep_id", "n")
     )
 
 
+def updated(snapshot: Snapshot, hits: DataFrame) -> DataFrame:
+    """(digest, keep_id, n) of a snapshot's rows, with what later batches' hits add to the rows they matched."""
+    more = hits.groupBy("row").agg(F.max("keep_id").alias("more_id"), F.sum("n").alias("more_n"))
+    rows = snapshot.rows.select("row", "digest", "keep_id", "n").join(more, "row", "left")
+    return rows.select("digest", F.greatest("keep_id", "more_id").alias("keep_id"), (F.col("n") + F.coalesce("more_n", F.lit(0))).alias("n"))
+
+
 def copy_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2) -> DataFrame:
     """(digest, keep_id, group_size) of every distinct text of a table that arrives in batches (by a hash of the id): the
     first becomes a snapshot, every later one is grouped on its own, screened against all snapshots before it, and what
-    is new in it becomes a snapshot too."""
+    is new in it becomes a snapshot too. What the screen and the bytes find is what counts as a copy between batches."""
     rows = digests(df, id_col, text_col)
     batch = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1))), F.lit(batches))
     snapshots: list[Snapshot] = []
-    found: list[DataFrame] = []
+    hits: list[list[DataFrame]] = []  # of every snapshot
+    last = None
     for b in range(batches):
         groups = group_batch(rows.filter(batch == b))
-        if b == 0:
-            snapshots.append(freeze(groups))
-            continue
-        groups = materialize(groups, "batch")
-        hits = None
-        for s in snapshots:
-            more = match(groups, s)
-            hits = more if hits is None else hits.unionByName(more)
-        hits = materialize(hits, "hits")
-        found.append(hits.select("digest", "norm", "keep_id", "n"))
-        new = groups.join(hits.select("digest", "norm"), ["digest", "norm"], "left_anti")
-        if b < batches - 1:
-            snapshots.append(freeze(new))
-        else:
-            found.append(new)
-    parts = [s.rows for s in snapshots] + found
-    merged = parts[0]
-    for p in parts[1:]:
-        merged = merged.unionByName(p)
-    return materialize(merged.groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size")), "groups")
+        if snapshots:
+            groups = materialize(groups, "batch")
+            found = None
+            for k, s in enumerate(snapshots):
+                more = match(groups, s).withColumn("snapshot", F.lit(k))
+                found = more if found is None else found.unionByName(more)
+            found = materialize(found, "hits")
+            for k in range(len(snapshots)):
+                hits[k].append(found.filter(F.col("snapshot") == k).select("row", "keep_id", "n"))
+            groups = groups.join(found.select("digest", "norm"), ["digest", "norm"], "left_anti")
+            if b == batches - 1:
+                last = groups.select("digest", "keep_id", "n")
+                break
+        snapshots.append(freeze(groups))
+        hits.append([])
+    parts = [updated(s, reduce(DataFrame.unionByName, h)) if h else s.rows.select("digest", "keep_id", "n") for s, h in zip(snapshots, hits)]
+    merged = reduce(DataFrame.unionByName, [*parts, last] if last is not None else parts)
+    return materialize(merged.withColumnRenamed("n", "group_size"), "groups")
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from fixtures import here, odd_documents, table
 
+from kpimill.llm import exact_dedup as exact_dedup_module
 from kpimill.llm.exact_dedup import BinaryFuse, exact_dedup, freeze, group_batch, digests, match, screen
 
 
@@ -56,3 +57,12 @@ def test_filters_screen_and_bytes_decide(spark):
     groups = group_batch(digests(new))
     assert screen(groups, snapshot).count() < 20
     assert [(bytes(r.norm), r.keep_id) for r in match(groups, snapshot).collect()] == [(b"old 9", 9)]
+
+
+def test_what_the_screen_finds_is_what_counts(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"Text {i % 50}") for i in range(200)], "doc_id long, text string")
+    found = sorted((r.keep_id, r.group_size) for r in exact_dedup_module.copy_groups(df).collect())
+    assert found == [(i, 4) for i in range(150, 200)]
+    monkeypatch.setattr(exact_dedup_module, "screen", lambda groups, snapshot: groups.select("digest").limit(0))
+    apart = exact_dedup_module.copy_groups(df).collect()
+    assert len(apart) > 50 and sum(r.group_size for r in apart) == 200
