@@ -1,15 +1,15 @@
-"""Passages that repeat: every byte under a string of ``size`` bytes that also starts elsewhere, by prefix doubling.
+"""Passages that repeat: every byte under a string of ``size`` bytes that also starts elsewhere, by segments chosen by content.
 
-The rank of a string is a hash of its bytes, so the rank of twice the length is that of a pair of ranks, and ranking
-needs no sort of all positions. Ranks of a quarter of the length are made at every byte inside a task; only chosen
-positions are sorted by Spark. A window is a string of ``size`` bytes, its anchor the least quarter-length rank in it
-(the leftmost of equals): a choice by content, so equal windows have equal anchors. Neighbouring windows with the same
-anchor position are one segment.
+This is not distributed prefix doubling: Spark neither sorts positions nor ranks them again until they are unique. Ranks
+are hashes of bytes, and repeats are found by counting equal ranks. Ranks of a quarter of the length are made at every
+byte inside a task. A window is a string of ``size`` bytes, its anchor the least quarter-length rank in it (the leftmost
+of equals): a choice by content, so equal windows have equal anchors. Neighbouring windows with the same anchor position
+are one segment.
 
-Round by round the segments are sorted by a longer rank and what is unique leaves: first by the anchor's rank (a window
+Round by round segments are grouped by a longer rank and what is unique leaves: first by the anchor's rank (a window
 repeats only where its anchor does), then by the rank of all bytes of the segment's windows (those that repeat are
 repeated throughout), then, at the borders of repeated passages, by the bytes that blocks of neighbouring windows share,
-and the windows that are left one by one, by ranks doubled up to the whole length.
+and the windows that are left one by one; only their ranks are doubled up to the whole length, inside a task.
 """
 
 from __future__ import annotations
