@@ -2,7 +2,7 @@
 
 A word is read by a character network (recurrent in both directions, its states pooled by attention); its pooled vector
 and an embedding of the word itself are the input of a word network of the same form, which reads windows of words. A
-text's score is that of its highest window; all overlapping windows of the whole text are scored. Training learns from
+text's score is that of its highest window; windows that overlap by half are scored over the whole text. Training learns from
 labels of whole texts: windows are picked by the model as it stands, and the first picks come from word statistics.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from kpimill.llm.base import by_batch, kept, texts_of
 from kpimill.llm.labelled import training_rows
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16  # words; a passage of up to 17 words is whole in one window
 CHAR_STATES, WORD_STATES, CHAR_SIZE, WORD_SIZE, ATTENTION = 10, 8, 8, 6, 6
 CHARS = 512
 VOCABULARY = 8192

@@ -37,6 +37,12 @@ def test_windows_cover_and_overlap():
         assert all(y < b for (_, b), (y, _) in zip(wins, wins[1:]))
 
 
+def test_passages_of_half_a_window_are_whole_in_one():
+    for n in (40, 57, 500):
+        wins = windows_of(n)
+        assert all(any(a <= at and at + 17 <= b for a, b in wins) for at in range(n - 16))
+
+
 def test_gradients():
     net = Network(["ab", "cd"], seed=1)
     for part in (net.p, net.p["char"], net.p["word"]):
