@@ -27,6 +27,7 @@ CHARS = 512
 VOCABULARY = 8192
 PER_CLASS = 1500
 ROUNDS, STEPS_PER_ROUND, BATCH = 3, 110, 96
+LONGEST, PIECE, PIECE_STRIDE = 24, 16, 8  # characters; a passage of up to 9 is whole in one piece of a longer word
 KEPT_WORDS = 400_000
 HIDDEN = 0.5  # share of word embeddings hidden in a training step
 EDGE = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»¿¡„“”’…–—"
@@ -38,8 +39,23 @@ def normal(word: str) -> str:
     return low.strip(EDGE) or low
 
 
+def split(text: str) -> list[str]:
+    """The words of a text as they stand; words longer than ``LONGEST``, such as stretches without blanks, are cut into
+    overlapping pieces, each a word of its own."""
+    words = text.split()
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
+    out = []
+    for w in words:
+        if len(w) <= LONGEST:
+            out.append(w)
+        else:
+            out += [w[s : s + PIECE] for s in (*range(0, len(w) - PIECE, PIECE_STRIDE), len(w) - PIECE)]
+    return out
+
+
 def words_of(text: str) -> list[str]:
-    return list(map(normal, text.split()))
+    return list(map(normal, split(text)))
 
 
 def char_codes(word: str) -> list[int]:
@@ -295,7 +311,7 @@ class Scorer:
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Places of the words of texts; new words of all of them are read at once."""
-        lists = [t.split() for t in texts]
+        lists = [split(t) for t in texts]
         seen = self.seen
         new = {w for ws in lists for w in ws if w not in seen}
         if len(seen) + len(new) > self.bound and seen:

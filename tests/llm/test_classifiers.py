@@ -43,6 +43,15 @@ def test_passages_of_half_a_window_are_whole_in_one():
         assert all(any(a <= at and at + 17 <= b for a, b in wins) for at in range(n - 16))
 
 
+def test_stretches_without_blanks_are_cut_into_pieces():
+    text = "".join(chr(0x4E00 + i % 3000) for i in range(2500))
+    words = toxicity.words_of(text)
+    assert max(map(len, words)) <= toxicity.LONGEST
+    assert all(any(text[at : at + 9] in w for w in words[max(0, at // 8 - 2) : at // 8 + 2]) for at in range(len(text) - 8))
+    assert len(Scorer(Network([], seed=2)).windows([text])[0]) > 10
+    assert toxicity.words_of("Donaudampfschifffahrt, a") == ["donaudampfschifffahrt", "a"]
+
+
 def test_gradients():
     net = Network(["ab", "cd"], seed=1)
     for part in (net.p, net.p["char"], net.p["word"]):
