@@ -219,16 +219,28 @@ def _verify(threshold: float):
     return step
 
 
-def index(reps: DataFrame, grid: Grid) -> DataFrame:
-    """(node, weight, vec, home, visits): every vector's own cell and the cells that its search visits."""
-    book = reps.sparkSession.sparkContext.broadcast(grid)
+def index(reps: DataFrame, grids: dict[int, tuple[Grid | None, int]]) -> DataFrame:
+    """(node, weight, vec, home, visits): every vector's own cell and the cells that its search visits. ``grids``: of every
+    width, its grid and the number of its first cell; without a grid, all vectors of the width are in that one cell."""
+    book = reps.sparkSession.sparkContext.broadcast(grids)
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            g = book.value
-            d1, d2 = g.distances(units(batch.column("vec").to_pylist()))
-            visits = [g.visit(a, b) for a, b in zip(d1, d2)]
-            home = d1.argmin(1) * len(g.second) + d2.argmin(1)
+            blobs = batch.column("vec").to_pylist()
+            widths = np.array([len(v) // 8 for v in blobs])
+            home, visits = np.zeros(len(blobs), np.int64), [[]] * len(blobs)
+            for width in np.unique(widths).tolist():
+                at = np.flatnonzero(widths == width)
+                g, first = book.value[width]
+                if g is None:
+                    home[at] = first
+                    cells = [[first]] * len(at)
+                else:
+                    d1, d2 = g.distances(units([blobs[i] for i in at]))
+                    home[at] = first + d1.argmin(1) * len(g.second) + d2.argmin(1)
+                    cells = [[first + c for c in g.visit(a, b)] for a, b in zip(d1, d2)]
+                for i, c in zip(at, cells):
+                    visits[i] = c
             return pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("node", "weight", "vec")), pa.array(home, pa.int64()), pa.array(visits, pa.list_(pa.int64()))],
                 ["node", "weight", "vec", "home", "visits"],
@@ -270,32 +282,42 @@ def true_pairs(reps: DataFrame, grid: Grid, searched: list[tuple[int, bytes]], t
     return np.array([tuple(r) for r in counts.collect()], np.int64).reshape(-1, 4)
 
 
+def fitted(reps: DataFrame, width: int, n: int, threshold: float, recall: float) -> Grid | None:
+    """The grid of a width with so many distinct vectors; none where one cell holds them all."""
+    if round(np.sqrt(n / PER_CELL)) <= 1:
+        return None
+    taken = max(1, min(SAMPLE, (64 << 20) // (8 * width)))
+    own, by = reps.filter(F.col("width") == width).select("node", "vec", "same"), F.xxhash64("same")
+    sample = units([bytes(r["vec"]) for r in own.orderBy(by, "same").limit(taken).select("vec").collect()])
+    grid = fit_grid(sample, n, threshold, recall)
+    # from the other end of the order, so that code words aren't fitted on them where there are enough others
+    last = own.orderBy(by.desc(), F.desc("same")).limit(min(SEARCHED, taken)).select("node", "vec").collect()
+    return widened(grid, sample, true_pairs(own, grid, [(r["node"], bytes(r["vec"])) for r in last], threshold), threshold, recall)
+
+
 def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row per input row: vec_id, n_links (other rows with a cosine of at least the threshold, as found), component_id
     (smallest id reachable), kept (the id is it).
 
-    Vectors that are null, empty, zero, or hold null or non-finite components, and vectors of another length than the
-    commonest (of equals the longest), link with nothing, and so do rows with a null id (they are kept, their component is
-    null). Rows with one id are vectors of their own. An empty table gives no rows; other columns are ignored. Equal vectors
+    Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, and so do rows with a null id
+    (they are kept, their component is null). Vectors of several lengths have a grid per length, and link with those of
+    their own length only. Rows with one id are vectors of their own. An empty table gives no rows; other columns are ignored. Equal vectors
     are one entry of the index with their number as weight; a crowded cell is compared in blocks by many tasks.
     """
     spark = df.sparkSession
     rows = materialize(vectors(df, id_col, vec_col), "vectors")
-    widths = rows.filter("width is not null").groupBy("width").agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("width")).first()
-    good = rows.filter(F.col("width") == (widths["width"] if widths else -1))
-    classes = good.groupBy("same").agg(F.min("vec_id").alias("low_id"), F.count("*").alias("weight"), F.first("vec").alias("vec"))
+    good = rows.filter("width is not null")
+    classes = good.groupBy("same").agg(F.min("vec_id").alias("low_id"), F.count("*").alias("weight"), F.first("vec").alias("vec"), F.first("width").alias("width"))
     reps = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
-    n = reps.count()
-    taken = max(1, min(SAMPLE, (64 << 20) // (8 * (widths["width"] if widths else 1))))
-    sample = [bytes(r["vec"]) for r in reps.select("vec", "same").orderBy(F.xxhash64("same"), "same").limit(taken).select("vec").collect()]
+    widths = {r["width"]: r["n"] for r in reps.groupBy("width").agg(F.count("*").alias("n")).collect()}
     found = spark.createDataFrame([], "node long, links long, low long")
-    if n > 1 and widths["width"] > 0:
-        grid = fit_grid(units(sample), n, threshold, recall)
-        if len(grid.first) * len(grid.second) > 1:
-            # from the other end of the order, so that code words aren't fitted on them where there are enough others
-            last = reps.select("node", "vec", "same").orderBy(F.xxhash64("same").desc(), F.desc("same")).limit(min(SEARCHED, taken)).select("node", "vec").collect()
-            widened(grid, units(sample), true_pairs(reps, grid, [(r["node"], bytes(r["vec"])) for r in last], threshold), threshold, recall)
-        placed = materialize(index(reps, grid), "vector-index")
+    if max(widths.values(), default=0) > 1:
+        grids, first = {}, 0
+        for width, n in sorted(widths.items()):
+            grid = fitted(reps, width, n, threshold, recall)
+            grids[width] = grid, first
+            first += len(grid.first) * len(grid.second) if grid else 1
+        placed = materialize(index(reps, grids), "vector-index")
         searches = placed.select("node", "weight", "vec", "home", F.explode("visits").alias("cell"), F.array().cast("array<long>").alias("visits"), F.lit(False).alias("is_home"))
         homes = placed.select("node", "weight", "vec", "home", F.col("home").alias("cell"), "visits", F.lit(True).alias("is_home"))
         crowd = searches.groupBy("cell").agg(F.count("*").alias("search_n")).join(homes.groupBy("cell").agg(F.count("*").alias("home_n")), "cell")
@@ -314,7 +336,7 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     known = reps.select("same", "node", "weight", "low_id").join(label, "node", "left").join(links, "node", "left")
     known = known.select("same", F.coalesce("component_id", "low_id").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
     known = materialize(known, "vector-labels")
-    lone = F.col("width").isNull() | (F.col("width") != (widths["width"] if widths else -1))
+    lone = F.col("width").isNull()
     whole = rows.filter(~lone).select("vec_id", "same").join(known, "same").select("vec_id", "n_links", "component_id")
     bare = rows.filter(lone).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return whole.unionByName(bare).withColumn("kept", F.col("vec_id").isNull() | (F.col("vec_id") == F.col("component_id")))

@@ -111,3 +111,13 @@ def test_recall_on_vectors_of_few_strong_directions(spark, monkeypatch):
     monkeypatch.setattr(multi_index, "PER_CELL", 4)  # 32 words a book
     assert recall_of(spark, strong_directions(4096, 256, 8, 0.3)) >= 0.985
     assert recall_of(spark, strong_directions(4096, 64, 8, 0.3)) >= 0.985
+
+
+def test_every_width_is_compared(spark, monkeypatch):
+    monkeypatch.setattr(multi_index, "PER_CELL", 20)
+    rows = planted(600, 24) + [(10_000 + d, v) for d, v in planted(500, 16, seed=4)] + [(20_000, [1.0, 0.0]), (20_001, [1.0, 0.1]), (20_002, [5.0])]
+    rows = [(d, np.array(v, np.float32).astype(float).tolist()) for d, v in rows]
+    got = result(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    want = sorted(r for w in (24, 16, 2, 1) for r in brute([x for x in rows if len(x[1]) == w], w))
+    assert sum(a == b for a, b in zip(got, want)) >= 0.97 * len(want)
+    assert "(20000, 1, 20000, True)" in got and "(20002, 0, 20002, True)" in got
