@@ -2,7 +2,7 @@
 
 Texts with the same shingle set are one class. A class's signature has one minimum per coordinate; the classes are
 posted under each (coordinate, value) pair. A pair of classes whose sets are alike agrees in at least ``MATCHES`` of
-``COORDINATES`` coordinates (a pair at the threshold is missed with a probability of some 1e-5), so with every class's
+``COORDINATES`` coordinates (a pair at the threshold is missed with a probability of 3.8e-5), so with every class's
 pairs ordered from the rarest to the commonest, two such classes share a pair among the first m - MATCHES + 1 of their m
 shared ones: only that prefix is posted, and the commonest pairs, whose lists are long, are skipped. Inside a list the
 collisions of whole signatures are counted and pairs at the match threshold kept. What hangs together by such pairs is
