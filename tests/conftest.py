@@ -21,9 +21,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *cols):
-    """Rows as sorted plain tuples."""
-    df = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -3,7 +3,7 @@ import gzip
 import json
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from kpimill import session
 from kpimill.sources import files, pages, workbook
