@@ -10,6 +10,7 @@ from kpimill.llm import (  # noqa: F401
     multi_index_query,
     packing_query,
     quality_query,
+    substring_dedup_query,
     suffix_dedup_query,
     token_files_query,
     toxicity_query,
