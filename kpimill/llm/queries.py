@@ -9,6 +9,7 @@ from kpimill.llm import (  # noqa: F401
     minhash_query,
     multi_index_query,
     packing_query,
+    prefix_trie_query,
     quality_query,
     substring_dedup_query,
     suffix_dedup_query,
