@@ -6,6 +6,7 @@ from kpimill.llm import (  # noqa: F401
     byte_bpe_query,
     chat_query,
     exact_dedup_query,
+    merkle_query,
     minhash_query,
     multi_index_query,
     packing_query,
