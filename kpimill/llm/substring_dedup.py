@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from kpimill.llm.base import texts_of
 
 WIDTH = 13
-STRETCH = 1 << 21  # windows that a task sorts at once
+STRETCH = 1 << 20  # windows that a task sorts at once
 BUCKET_BYTES = 16 << 20  # text behind a bucket of windows, and behind a shard of documents
 SLICE = 1 << 16  # words that are hashed at once
 
@@ -228,7 +228,7 @@ def count_windows(blocks: DataFrame, buckets: int, shards: int) -> DataFrame:
         if held and (out := close()):
             yield _block_rows(out)
 
-    return blocks.repartition(buckets, "at").sortWithinPartitions("at", "sure").mapInArrow(run, BLOCK)
+    return blocks.repartitionById(buckets, "at").sortWithinPartitions("at", "sure").mapInArrow(run, BLOCK)
 
 
 def pack_words(rows: DataFrame, shards: int) -> DataFrame:
@@ -311,5 +311,5 @@ def remove_windows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     nothing = [F.lit(None).cast("binary").alias(c) for c in ("hashes", "known", "place")]
     texts = pack_words(rows, shards).select("at", "doc_id", "packed", *nothing)
     blocks = found.select("at", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("packed"), "hashes", "known", "place")
-    dealt = blocks.unionByName(texts).repartition(shards, "at").sortWithinPartitions("at", F.col("packed").isNotNull())
+    dealt = blocks.unionByName(texts).repartitionById(shards, "at").sortWithinPartitions("at", F.col("packed").isNotNull())
     return dealt.mapInArrow(_cut(width, with_text), FOUND)

@@ -46,7 +46,7 @@ def test_odd_rows(spark, width):
     assert {r.kept_text for r in remove_windows(df).collect()} == {None}
 
 
-@pytest.mark.parametrize("stretch", [7, 1 << 21])
+@pytest.mark.parametrize("stretch", [7, 1 << 20])
 def test_passages(spark, monkeypatch, stretch):
     monkeypatch.setattr(substring_dedup, "STRETCH", stretch)
     monkeypatch.setattr(substring_dedup, "BUCKET_BYTES", 500)
