@@ -427,7 +427,7 @@ _CDR_BODY = """
       LEFT JOIN best ON best.first_code = map.first_code WHERE Carrier1[1] IN ('T', 'H')""")
 def cdr_normalize(spark, sf):
     """Outgoing feeds: one date format per file, carrier gate, country and area, longest dialling code."""
-    return _normal_cdr(spark, sf).withColumns({c: F.col(c).cast("double") for c in ("minutes", "cost")})
+    return _normal_cdr(spark, sf).drop("unreadable").withColumns({c: F.col(c).cast("double") for c in ("minutes", "cost")})
 
 
 def _mapping(spark, sf):
@@ -453,7 +453,7 @@ def cdr_incoming(spark, sf):
     dictionary = table(spark, sf, "supplier").selectExpr(
         "CAST(s_suppkey AS STRING) AS destination", "s_name AS country", "CAST(s_nationkey AS STRING) AS area")
     out = jobs.normalize_cdr(feed, dt.date(2021, 3, 1), incoming=dictionary)
-    return out.withColumn("minutes", F.col("minutes").cast("double")).drop("cost", "currency", "insert_date", "carrier_type")
+    return out.withColumn("minutes", F.col("minutes").cast("double")).drop("cost", "currency", "insert_date", "carrier_type", "unreadable")
 
 
 @query("cdr_load", f"""
@@ -469,7 +469,7 @@ def cdr_load(spark, sf):
     records = _normal_cdr(spark, sf)
     for _ in range(2):
         jobs.load_cdr(spark, path, records)
-    stored = spark.read.schema(records.schema).parquet(path)
+    stored = spark.read.schema(jobs.CDR_SCHEMA).parquet(path)
     return stored.groupBy("direction", "cdr_month", "data_source").agg(
         F.count(F.lit(1)).alias("rows"), F.max("cdr_date").alias("max_date"))
 

@@ -6,7 +6,7 @@ import datetime as dt
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kpimill.functions import fixed_values as fv
 from kpimill.functions import periods as P
@@ -330,8 +330,8 @@ def read_cdr(feed: DataFrame, file_col: str = "data_source", carrier_types=fv.CA
 
 
 def cdr_file_report(records: DataFrame, file_col: str = "data_source") -> DataFrame:
-    """Per file of ``read_cdr``: records, first and last month, number of months, unreadable cells. A file that may be loaded
-    has one month and no unreadable cell (``ok``)."""
+    """Per file of ``read_cdr`` or ``normalize_cdr``: records, first and last month, number of months, unreadable cells. A file
+    that may be loaded has one month and no unreadable cell (``ok``)."""
     month = F.trunc("CDR_DATE", "month")
     # months of a file are counted from their distinct values, combined before the shuffle
     per_month = records.groupBy(file_col, month.alias("m")).agg(F.count(F.lit(1)).alias("n"), F.sum("unreadable").alias("u"))
@@ -354,7 +354,7 @@ def normalize_cdr(
 
     ``incoming``: destination, country, area. ``mapping``: destination, codes, country, area.
     ``dictionary``: dial_codes, new_destination. Each record is looked up by its own direction, so one feed may hold
-    several; other directions than the two are looked up nowhere.
+    several; other directions than the two are looked up nowhere. ``unreadable`` goes along, for ``load_cdr``.
     """
     return cdr_layout(read_cdr(feed, file_col, carrier_types), as_of, incoming, mapping, dictionary, file_col)
 
@@ -363,7 +363,7 @@ def cdr_layout(
     df: DataFrame, as_of: dt.date, incoming: DataFrame | None = None, mapping: DataFrame | None = None,
     dictionary: DataFrame | None = None, file_col: str = "data_source",
 ) -> DataFrame:
-    """Records of ``read_cdr`` to the target layout, with the lookups of their direction."""
+    """Records of ``read_cdr`` to the target layout, with the lookups of their direction, and their ``unreadable`` cells."""
     if mapping is not None:
         df = _outgoing_destinations(df, mapping, dictionary)
     if incoming is not None:
@@ -371,7 +371,7 @@ def cdr_layout(
         df = lookup.map_dim(df, known, {"DESTINATION": "destination"}, "left", F.col("DIRECTION") == "Incoming")
         found = lambda c: F.when(F.col("DIRECTION") == "Incoming", F.col(f"__in_{c}"))
         df = df.withColumns({c: F.coalesce(found(c), c) if c in df.columns else found(c) for c in ("country", "area")})
-    return project.conform(df, CDR_SCHEMA, {"insert_date": F.lit(as_of), "data_source": F.col(file_col)})
+    return project.conform(df, f"{CDR_SCHEMA}, unreadable int", {"insert_date": F.lit(as_of), "data_source": F.col(file_col)})
 
 
 def _outgoing_destinations(df: DataFrame, mapping: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -395,34 +395,47 @@ def _outgoing_destinations(df: DataFrame, mapping: DataFrame, dictionary: DataFr
 CDR_SLICE = ["direction", "cdr_month"]
 
 
-def load_cdr(spark: SparkSession, path: str, records: DataFrame, report: DataFrame | None = None) -> DataFrame:
-    """Replace the (direction, month) slices whose new rows pass the freshness gate; gives the decisions.
+def cdr_slices(records: DataFrame, stored: DataFrame, report: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """What of new records is to replace its (direction, month) slice: (rows, decisions).
 
-    Files that ``cdr_file_report`` does not find in order are refused: their rows are not loaded, and they come back as
-    decisions with ``refused``. Without a report, files of several months or with undated records are refused.
+    Files that the report does not find in order (``cdr_file_report`` of these records, unless one is given) are refused:
+    none of their rows is loaded, and they come back as decisions with ``refused``. The others go through the freshness gate.
     """
-    records, stage = staged(records, "cdr")  # parsed once: for the gate and for the write
     if report is None:
-        per_month = records.groupBy("data_source", F.trunc("cdr_date", "month").alias("m")).agg(F.count(F.lit(1)).alias("n"))
-        report = per_month.groupBy("data_source").agg(F.sum("n").alias("rows"), (F.count("m") == 1).alias("one"), F.count_if(F.col("m").isNull()).alias("undated"))
-        report = report.withColumn("ok", F.col("one") & (F.col("undated") == 0))
+        if "unreadable" not in records.columns:
+            raise ValueError("records without their unreadable cells need a report of their files")
+        report = cdr_file_report(records)
     refused = materialize(report.where("NOT ok").select("data_source", F.col("rows").alias("row_count")), "refused")
     gone = refused.select(F.col("data_source").alias("__file"))
-    fit = records.join(gone, F.equal_null(F.col("data_source"), F.col("__file")), "left_anti")
-    here = tables.exists(spark, path)
-    stored = spark.read.schema(records.schema).parquet(path) if here else records.limit(0)
+    fit = records.join(gone, F.equal_null(F.col("data_source"), F.col("__file")), "left_anti").drop("unreadable")
     decision = control.freshness_gate(fit, stored, CDR_SLICE, "cdr_date", "cdr_month", "data_source")
     decision = materialize(decision.withColumn("refused", F.lit(False)), "gate")
     rows = control.accepted(fit, decision, CDR_SLICE, "data_source")
+    return rows, decision.unionByName(refused.withColumns({"load": F.lit(False), "refused": F.lit(True)}), allowMissingColumns=True)
+
+
+def cdr_slice_filter(decision: DataFrame) -> Column | None:
+    """The slices that the gate lets through, as many as folders; None when there is none."""
+    yes = [tuple(r) for r in decision.where("load").select(*CDR_SLICE).distinct().collect()]
+    return F.struct(*CDR_SLICE).isin([F.struct(F.lit(d), F.lit(m)) for d, m in yes]) if yes else None
+
+
+def load_cdr(spark: SparkSession, path: str, records: DataFrame, report: DataFrame | None = None) -> DataFrame:
+    """Replace the (direction, month) slices whose new rows pass the freshness gate; gives the decisions of ``cdr_slices``.
+
+    Files with cells that could not be read, undated records or several months are refused, also without a report.
+    """
+    records, stage = staged(records, "cdr")  # parsed once: for the gate and for the write
+    here = tables.exists(spark, path)
+    schema = records.drop("unreadable").schema
+    stored = spark.read.schema(schema).parquet(path) if here else spark.createDataFrame([], schema)
+    rows, decision = cdr_slices(records, stored, report)
     if not here:
         tables.full_reload(rows, path, CDR_SLICE)
-    else:
-        yes = [tuple(r) for r in decision.where("load").select(*CDR_SLICE).collect()]  # slices, as many as folders
-        if yes:
-            slices = F.struct(*CDR_SLICE).isin([F.struct(F.lit(d), F.lit(m)) for d, m in yes])
-            tables.replace_slice(spark, path, slices, rows, CDR_SLICE)
+    elif (slices := cdr_slice_filter(decision)) is not None:
+        tables.replace_slice(spark, path, slices, rows, CDR_SLICE)
     discard(spark, stage)
-    return decision.unionByName(refused.withColumns({"load": F.lit(False), "refused": F.lit(True)}), allowMissingColumns=True)
+    return decision
 
 
 # ---- file upload ---------------------------------------------------------------------------------

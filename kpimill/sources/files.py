@@ -102,8 +102,20 @@ def read_sheets(
     return out.distinct() if distinct else out
 
 
+def _sheet_number(col: str, sheet: str) -> Column:
+    """A number cell: null where it is empty; one that is filled but no number stops the read, with its text."""
+    text = F.trim(F.col(f"`{col}`"))
+    number = text.try_cast("double")
+    bad = F.concat(F.lit(f"no number in column {col} of sheet {sheet}: "), text)
+    return F.when((text != "") & number.isNull(), F.raise_error(bad)).otherwise(number)
+
+
 def read_typed_sheets(spark: SparkSession, root: str, sheets: dict[str, tuple[str, ...]], numbers: set[str]) -> DataFrame:
-    """Known sheets with known columns; incomplete rows of a sheet are dropped, absent sheets skipped."""
+    """Known sheets with known columns; rows with an empty cell are dropped, absent sheets skipped.
+
+    A number cell that holds anything else than a number is an error that names the cell's text: no row is lost because a
+    cell could not be read.
+    """
     here = set(sheet_names(spark, root))
     out = None
     for name, cols in sheets.items():
@@ -112,7 +124,7 @@ def read_typed_sheets(spark: SparkSession, root: str, sheets: dict[str, tuple[st
         schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
         path = _sheet_path(spark, root, name)
         one = spark.read.option("header", True).schema(schema).csv(path)
-        one = one.withColumns({c: F.expr(f"try_cast(`{c}` AS DOUBLE)") for c in cols if c in numbers}).dropna()
+        one = one.withColumns({c: _sheet_number(c, name) for c in cols if c in numbers}).dropna()
         out = one if out is None else out.unionByName(one, allowMissingColumns=True)
     if out is None:
         raise ValueError(f"none of the sheets {list(sheets)} in {root}")

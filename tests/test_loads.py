@@ -9,6 +9,7 @@ from kpimill.functions import fixed_values as fv
 from kpimill.operators import market
 from kpimill.plans import jobs
 from kpimill.sinks import tables
+from kpimill.sources import files
 from kpimill.streaming import streams
 
 D = dt.date
@@ -159,8 +160,25 @@ def test_files_of_several_months_or_with_bad_cells_are_refused(spark, tmp_path):
     decision = jobs.load_cdr(spark, path, jobs.cdr_layout(records, D(2021, 4, 1)), report)
     assert rows(decision, "data_source", "load", "refused") == [("bad", False, True), ("good", True, False), ("long", False, True), ("undated", False, True)]
     assert rows(spark.read.parquet(path).select("data_source").distinct()) == [("good",)]
-    later = jobs.load_cdr(spark, path, jobs.normalize_cdr(feed, D(2021, 4, 1)))  # without a report: months and dates only
-    assert rows(later.where("refused"), "data_source") == [("long",), ("undated",)]
+    later = jobs.load_cdr(spark, path, jobs.normalize_cdr(feed, D(2021, 4, 1)))  # their own report is made
+    assert rows(later.where("refused"), "data_source") == [("bad",), ("long",), ("undated",)]
+    with pytest.raises(ValueError, match="need a report"):
+        jobs.load_cdr(spark, path, jobs.normalize_cdr(feed, D(2021, 4, 1)).drop("unreadable"))
+    assert "unreadable" not in spark.read.parquet(path).columns
+
+
+def test_plan_sheets_lose_no_row(spark, tmp_path):
+    def book(name, *values):
+        lines = "".join(f"AC,{i},{v}\n" for i, v in enumerate(values))
+        folder = tmp_path / name / "sheet=data"
+        folder.mkdir(parents=True)
+        (folder / "a.csv").write_text("version,region,param_value\n" + lines)
+        return files.read_typed_sheets(spark, str(tmp_path / name), {"data": ("version", "region", "param_value"), "gone": ("x",)}, {"param_value"})
+
+    assert rows(book("good", "1.5", "", " 2 ", "-3e2"), "region", "param_value") == [("0", 1.5), ("2", 2.0), ("3", -300.0)]
+    for bad in ("1 234,5", "#DIV/0!", "x"):
+        with pytest.raises(Exception, match="no number in column param_value of sheet data: " + bad[:3]):
+            book(f"bad {len(bad)}", "1", f'"{bad}"').collect()
 
 
 def test_partitions_of_several_columns(spark, tmp_path):
