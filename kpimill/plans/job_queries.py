@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from kpimill.functions import fixed_values as fv
@@ -13,7 +14,7 @@ from kpimill.plans.cube_queries import arm_sql
 from kpimill.plans.registry import query
 from kpimill.plans.scan_queries import PLAN_RAW_SQL, plan_sheets, read_plan_sheets
 from kpimill.session import scratch_path
-from kpimill.sinks import tables
+from kpimill.sinks import tables, versions
 from kpimill.sources import analog as A, files
 from kpimill.sources.analog import VIEW_SQL, table, with_views
 
@@ -531,6 +532,45 @@ def cdr_load_refuses(spark, sf):
     return spark.read.schema(jobs.CDR_SCHEMA).parquet(path).groupBy("data_source").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query("arrivals_load", f"""
+    WITH cdr AS ({VIEW_SQL['cdr']}), f AS (SELECT source_file, CAST(date_trunc('month', true_date) AS DATE) AS m, true_date FROM cdr WHERE Carrier1[1] IN ('T', 'H')),
+      w AS (SELECT m, source_file, max(true_date) AS d, count(*) AS n, source_file[6] IN ('2', '3') AS late FROM f GROUP BY 1, 2),
+      one AS (SELECT m, arg_max(source_file, (d, n, source_file)) AS f, max((d, n, source_file)) AS best FROM w WHERE NOT late GROUP BY 1),
+      two AS (SELECT w.m, arg_max(source_file, (d, n, source_file)) AS f FROM w LEFT JOIN one ON one.m = w.m
+        WHERE late AND (one.m IS NULL OR (d >= best[1] AND n > best[2])) GROUP BY 1),
+      b AS (SELECT coalesce(one.m, two.m) AS m, coalesce(two.f, one.f) AS f FROM one FULL JOIN two ON one.m = two.m)
+    SELECT 'Outgoing' AS direction, w.m AS cdr_month, w.source_file AS data_source, n AS rows, d AS max_date, 3 AS versions
+    FROM w JOIN b ON b.m = w.m AND b.f = w.source_file""")
+def arrivals_load(spark, sf):
+    """Files that arrive in two portions, gated and loaded batch by batch. The first load stops before its commit and the second
+    after it: the first batch is given again and loaded, the second is given again and known. So there are three versions: the
+    empty table, and one per portion."""
+    source, path, checkpoint = (scratch_path(spark, n) for n in ("cdr-arriving", "cdr-versions", "cdr-checkpoint"))
+    feed = A.cdr(spark, sf)
+    stops = {"written": 1, "committed": 1}
+
+    def watch(step):
+        done = len(table.versions())
+        if stops.get(step) and (step, done) in (("written", 1), ("committed", 3)):
+            stops[step] = 0
+            raise InterruptedError(step)
+
+    table = versions.open_table(spark, path, jobs.CDR_SCHEMA, jobs.CDR_SLICE)
+    table.watch = watch
+    kind = ", ".join(f"{c} string" for c in [*feed.drop("source_file").columns, "source_file"])
+    for portion in (("0", "1"), ("2", "3")):
+        arrived = feed.where(F.substring("source_file", 6, 1).isin(*portion))
+        arrived.write.mode("append").partitionBy("source_file").option("header", True).option("sep", ";").csv(source)
+        for _ in range(2):
+            try:
+                jobs.arrive_cdr(spark, source, table, kind, checkpoint, dt.date(2021, 3, 1), file_col="source_file", glob="part-*.csv", files_per_batch=100_000)
+            except StreamingQueryException as stopped:
+                if "InterruptedError" not in str(stopped):
+                    raise
+    return table.read().groupBy("direction", "cdr_month", "data_source").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("cdr_date").alias("max_date")).withColumn("versions", F.lit(len(table.versions())))
+
+
 # ---- upload --------------------------------------------------------------------------------------
 
 

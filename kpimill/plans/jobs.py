@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import re
 from dataclasses import dataclass
 
@@ -13,8 +14,9 @@ from kpimill.functions import periods as P
 from kpimill.functions import text as X
 from kpimill.operators import coltypes, control, cube, lookup, project, reshape
 from kpimill.session import discard, materialize, staged
-from kpimill.sinks import tables
+from kpimill.sinks import tables, versions
 from kpimill.sources import files
+from kpimill.streaming import streams
 
 # ---- marketplace cube ----------------------------------------------------------------------------
 
@@ -438,6 +440,31 @@ def load_cdr(spark: SparkSession, path: str, records: DataFrame, report: DataFra
     return decision
 
 
+def arrive_cdr(
+    spark: SparkSession, source: str, table: versions.VersionedTable, schema: str, checkpoint: str, as_of: dt.date,
+    feed_name: str = "call-records", file_col: str = "data_source", glob: str = "*", files_per_batch: int = 100, **dictionaries: DataFrame,
+) -> None:
+    """Load call-record files as they arrive: read, report, freshness gate and slice replacement for every batch of new files.
+
+    A batch goes into the table in one commit together with its number, so it is loaded once: one that is given again after
+    its commit is known and passed over, one that was cut off before it is done again from the start. The decisions of a batch
+    are the notes of its version. ``table`` holds ``CDR_SCHEMA`` by ``CDR_SLICE``; ``dictionaries`` are those of ``normalize_cdr``.
+    """
+
+    def load(rows: DataFrame, batch: int) -> None:
+        if table.seen(feed_name, batch):
+            return
+        feed = rows if file_col == "data_source" else rows.drop("data_source").withColumnRenamed(file_col, "data_source")
+        records, stage = staged(normalize_cdr(feed, as_of, **dictionaries), "cdr")
+        new, decision = cdr_slices(records, table.read())
+        slices = cdr_slice_filter(decision)
+        notes = [json.loads(r[0]) for r in decision.select(F.to_json(F.struct("*"))).collect()]  # one per slice or refused file
+        table.replace(F.lit(False) if slices is None else slices, None if slices is None else new, (feed_name, batch), notes)
+        discard(spark, stage)
+
+    streams.stream_files(spark, source, schema, load, checkpoint, glob=glob, files_per_batch=files_per_batch)
+
+
 # ---- file upload ---------------------------------------------------------------------------------
 
 _CODE_OF = {"DATE": "DA", "TIMESTAMP(0)": "TS", "FLOAT": "F", "INTEGER": "I", "BIGINT": "I8"}
