@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
+import re
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -16,12 +19,50 @@ from kpimill.operators.reshape import last_duplicate_columns
 from kpimill.session import materialize
 
 DELIMITERS = (";", ",", "\t", "|")
+HEADS_AT_ONCE = 16
+
+
+def input_files(spark: SparkSession, path: str) -> list[str]:
+    """The files that a read of the path would take, named as in ``_metadata.file_path``; only a listing."""
+    return sorted(re.sub("^file:///", "file:/", f) for f in spark.read.text(path).inputFiles())
+
+
+def _head(spark: SparkSession, file: str, lines: int) -> list[str]:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = p.getFileSystem(conf).open(p)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        out = []
+        while len(out) < lines and (line := reader.readLine()) is not None:
+            out.append(line)
+        return out
+    finally:
+        stream.close()
+
+
+def file_heads(spark: SparkSession, path: str, lines: int = 1) -> dict[str, list[str]]:
+    """The first lines of every file under a path, by its name as in ``_metadata.file_path``; files without lines are left out.
+
+    Only the first block of a file is opened, so this costs a few kilobytes a file, not a pass over the data. Files are
+    opened by the driver, many at a time, as it lists them anyway.
+    """
+    names = input_files(spark, path)
+    with ThreadPoolExecutor(HEADS_AT_ONCE) as pool:
+        found = pool.map(lambda f: _head(spark, f, lines), names)
+        return {name: head for name, head in zip(names, found) if head}
 
 
 def first_lines(spark: SparkSession, path: str) -> dict[str, str]:
-    """First line of every file under a path: one row per file, which the driver lists anyway."""
-    found = _first_by_place(_lines(spark, path), ["source_file"]).collect()
-    return {r["source_file"]: r["value"].lstrip("﻿") for r in found}
+    """First line of every file under a path."""
+    return {name: head[0].lstrip("\ufeff") for name, head in file_heads(spark, path).items()}
+
+
+def header_index(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
+    """(source_file, delimiter, header) of every file, as a table."""
+    rows = [(name, sep or detect_delimiter(line), line) for name, line in first_lines(spark, path).items()]
+    return spark.createDataFrame(rows, "source_file string, delimiter string, header string")
 
 
 def header_line(spark: SparkSession, path: str) -> str:
@@ -53,7 +94,7 @@ def _by_layout(spark: SparkSession, path: str, sep: str | None, options: dict[st
     found = layouts(spark, path, sep)
     for (mark, _), names in found.items():
         reader = spark.read.option("header", True).option("sep", mark).options(**options)
-        one = reader.csv(path if len(found) == 1 else names)
+        one = reader.csv(path if len(found) == 1 else [unquote(n) for n in names])
         out = one if out is None else out.unionByName(one, allowMissingColumns=True)
     return out
 
@@ -141,7 +182,7 @@ def read_last_duplicates(spark: SparkSession, path: str, sep: str = ";") -> Data
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their file and their place in it, as one sortable number: the start of their split, then a running number
-    inside the split. As a fixed-width value it lets the first of many lines be hash-aggregated."""
+    inside the split."""
     inside = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     start = F.col("_metadata.file_block_start").cast("decimal(20,0)")
     return spark.read.text(path).select(
@@ -151,19 +192,16 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _first_by_place(lines: DataFrame, by: list[str], wanted: Column | None = None) -> DataFrame:
-    """Per file the first of the wanted lines: the place is found by a hash aggregation, then its line is picked."""
-    few = lines if wanted is None else lines.where(wanted)
-    places = few.groupBy(*by).agg(F.min("at").alias("__at")).withColumnsRenamed({c: f"__{c}" for c in by})
-    same = [F.col(c) == F.col(f"__{c}") for c in by] + [F.col("at") == F.col("__at")]
-    return few.join(places, same, "left_semi")
+def _first_by_place(lines: DataFrame, by: list[str], wanted: Column) -> DataFrame:
+    """Per file the first of the wanted lines, in one pass: they are few, so they are aggregated whole."""
+    return lines.where(wanted).groupBy(*by).agg(F.min(F.struct("at", "value")).alias("__first")).select(*by, "__first.at", "__first.value")
 
 
 def report_months(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
     """Report month of each file: its first cell is a spreadsheet day number. A file without one is an error."""
-    first = _first_by_place(_lines(spark, path), ["source_file"])
+    heads = spark.createDataFrame(list(first_lines(spark, path).items()), "source_file string, value string")
     days = F.expr(f"try_cast(try_cast(split_part(value, '{sep}', 1) AS DOUBLE) AS INT)")
-    months = materialize(first.select("source_file", excel_serial(days).alias("report_month")), "months")
+    months = heads.select("source_file", excel_serial(days).alias("report_month"))
     missing = [r[0] for r in months.where("report_month IS NULL").limit(5).collect()]
     if missing:
         raise ValueError(f"no report month in {missing}")
@@ -173,18 +211,18 @@ def report_months(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
 def find_header(spark: SparkSession, path: str, marker: str, sep: str = ";") -> DataFrame:
     """Tables whose header is not the first line: it is the first line whose first cell is the marker.
 
-    Lines keep their place by one number per line, so files are read in parallel splits. Files may differ in layout;
-    columns are matched by name. A file without the marker is an error.
+    Lines keep their place by one number per line, so files are read in parallel splits: once for the header lines, once
+    for the data. Files may differ in layout; columns are matched by name. A file without the marker is an error.
     """
     lines = _lines(spark, path)
     first_cell = F.trim(F.get(F.split("value", f"\\Q{sep}\\E", 2), F.lit(0)))
     is_header = F.replace(first_cell, F.lit('"'), F.lit("")) == marker
     headers = _first_by_place(lines, ["source_file"], is_header)
     headers = materialize(headers.select("source_file", F.col("at").alias("h_at"), F.col("value").alias("layout")), "headers")
-    seen = lines.select("source_file").distinct().join(headers, "source_file", "left_anti")
-    missing = [r[0] for r in seen.limit(5).collect()]
+    known = {r[0] for r in headers.select("source_file").collect()}
+    missing = sorted(set(file_heads(spark, path)) - known)
     if missing:
-        raise ValueError(f"no header starting with {marker!r} in {missing}")
+        raise ValueError(f"no header starting with {marker!r} in {missing[:5]}")
     # distinct layouts, not files
     found = [r[0] for r in headers.select("layout").distinct().orderBy("layout").collect()]
     cells = [[c.strip() for c in next(csv.reader([v], delimiter=sep))] for v in found]

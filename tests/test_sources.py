@@ -58,13 +58,34 @@ def test_late_header(spark, tmp_path):
         files.find_header(spark, str(tmp_path), "Регион")
 
 
-def test_first_lines_are_hash_aggregated(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("43831;x\ny\n")
-    from kpimill.sources.files import _first_by_place, _lines
-
-    first = _first_by_place(_lines(spark, str(tmp_path)), ["source_file"])
-    assert "SortAggregate" not in first._jdf.queryExecution().executedPlan().toString()
-    assert rows(files.report_months(spark, str(tmp_path)), "report_month") == [(D(2020, 1, 1),)]
+def test_headers_cost_no_job(spark, tmp_path):
+    """Layouts, first lines and report months come from the heads of the files without a pass over the data."""
+    import gzip
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a b.csv").write_text("\ufeffx;y\n1;2\n")
+    (tmp_path / "in" / "Я.csv").write_text("y,z\r\n3,4\r\n")
+    (tmp_path / "in" / "empty.csv").write_text("")
+    with gzip.open(tmp_path / "in" / "c.csv.gz", "wt") as f:
+        f.write("x;y\n5;6\n")
+    path = str(tmp_path / "in")
+    spark.sparkContext.setJobGroup("heads", "heads")
+    found = files.layouts(spark, path)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("heads")
+    read = files.read_delimited(spark, path)  # Spark takes the column names from one line of each layout
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("heads")) <= len(found)
+    spark.sparkContext.setJobGroup("other", "other")
+    assert sorted((k, len(v)) for k, v in found.items()) == [((",", "y,z"), 1), ((";", "x;y"), 2)]
+    assert rows(read, "x", "y", "z") == [("1", "2", None), ("5", "6", None), (None, "3", "4")]
+    index = files.header_index(spark, path)
+    assert rows(index, "delimiter", "header") == [(",", "y,z"), (";", "x;y"), (";", "x;y")]
+    names = spark.read.text(path).select("_metadata.file_path").distinct()
+    assert rows(index, "source_file") == rows(names)
+    scans = read._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    assert scans == len(found)  # one for each layout, each over its own files
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "a.csv").write_text("43831;x\ny\n")
+    assert rows(files.report_months(spark, str(tmp_path / "m")), "report_month") == [(D(2020, 1, 1),)]
 
 
 def test_late_header_in_split_files(spark, tmp_path):
