@@ -10,6 +10,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from kpimill.session import materialize
+
 
 def map_dim(df: DataFrame, dim: DataFrame, on: dict[str, str], how: str = "inner", where: Column | None = None) -> DataFrame:
     """Join a dictionary on differently named keys; the dictionary's key columns are not kept. ``where`` limits the rows that
@@ -51,51 +53,30 @@ def dial_codes(dictionary: DataFrame, codes_col: str, dest_col: str, min_len: in
     )
 
 
-_LAST = "\U0010ffff"  # no text holds this code point; after a code it stands behind all texts that start with the code
-
-
-def prefix_intervals(codes: DataFrame, min_len: int) -> DataFrame:
-    """Nested codes as a flat list of places (at, dest): from each place up to the next one, ``dest`` is the longest code's.
-
-    A code opens a stretch of texts and closes it again; where it closes, the longest code around it goes on. That one is
-    found among the code's own prefixes, so the work is that of the dictionary, not of what is looked up.
-    """
-    starts = codes.select(F.col("code").alias("at"), "dest")
-    shorter = F.sequence(F.lit(min_len), F.length("code") - 1)
-    inside = codes.where(F.length("code") > min_len).select("code", F.explode(shorter).alias("__n"))
-    around = codes.select(F.col("code").alias("__outer"), "dest")
-    held = (
-        inside.withColumn("__outer", F.substring(F.col("code"), F.lit(1), F.col("__n")))
-        .join(around, "__outer")
-        .groupBy("code")
-        .agg(F.max_by("dest", "__n").alias("dest"))
-    )
-    ends = codes.select("code").join(held, "code", "left").select(F.concat("code", F.lit(_LAST)).alias("at"), "dest")
-    return starts.unionByName(ends)
-
-
 def longest_prefix(
     df: DataFrame, key: str, dictionary: DataFrame, codes_col: str, dest_col: str, out: str, min_len: int = 2
 ) -> DataFrame:
     """Destination of the longest code that the key starts with; NULL when none of at least ``min_len`` does.
 
     A key is only as good as its first characters, as many as the longest code has: its stem. The distinct stems are
-    merged once, in text order, with the flat intervals of the codes, and every stem takes the destination of the last place
-    before it. That is one row and one look per stem, however deeply codes are nested; stems and places meet by their first
-    ``min_len`` characters, which no code's interval crosses. Answers go back to the rows by stem: Spark broadcasts them
-    where their measured size allows it and splits hot stems otherwise.
+    merged once with the codes in text order, and every stem looks at the last code of each length before it: if any code
+    of a length starts the stem, it is that one, as every later code of the length is greater than the stem. So a stem is one
+    row and one look, however deeply codes are nested; stems and codes meet by their first ``min_len`` characters. Answers go
+    back to the rows by stem: Spark broadcasts them where their measured size allows it and splits hot stems otherwise.
     """
-    codes = dial_codes(dictionary, codes_col, dest_col, min_len)
-    longest = codes.agg(F.coalesce(F.max(F.length("code")), F.lit(min_len))).scalar()
-    places = prefix_intervals(codes, min_len).select("at", F.struct("dest").alias("__code"))
-    cut = df.withColumn("__own_stem", F.substring(F.col(key), F.lit(1), longest))
-    stems = cut.select(F.col("__own_stem").alias("at")).where(F.length("at") >= min_len).distinct()
-    both = places.unionByName(stems.withColumn("__code", F.lit(None).cast("struct<dest:string>")), allowMissingColumns=True)
+    codes = materialize(dial_codes(dictionary, codes_col, dest_col, min_len), "codes")
+    lengths = sorted(r[0] for r in codes.select(F.length("code")).distinct().collect())  # one per length
+    stems = df.select(F.substring(F.col(key), 1, max(lengths, default=min_len)).alias("at")).where(F.length("at") >= min_len).distinct()
+    both = codes.select(F.col("code").alias("at"), F.struct("dest").alias("__code")).unionByName(stems, allowMissingColumns=True)
     before = Window.partitionBy(F.substring("at", 1, min_len)).orderBy("at", F.col("__code").isNull())
-    last = F.last("__code", ignorenulls=True).over(before.rowsBetween(Window.unboundedPreceding, 0))
-    met = both.select("at", last["dest"].alias(out), F.col("__code").isNull().alias("__is_stem"))
-    answers = met.where(F.col("__is_stem") & F.col(out).isNotNull()).select(F.col("at").alias("__stem"), out)
-    return cut.join(answers, F.col("__own_stem") == F.col("__stem"), "left").drop("__stem", "__own_stem")
+    is_code = F.col("__code").isNotNull()
+    last = lambda n: F.last(F.when(is_code & (F.length("at") == n), F.struct("at", "__code")), ignorenulls=True)
+    seen = both.select("at", is_code.alias("__is_code"), *(last(n).over(before.rowsBetween(Window.unboundedPreceding, 0)).alias(f"__c{n}") for n in lengths))
+    best = F.coalesce(*(F.when(F.startswith("at", f"__c{n}.at"), F.col(f"__c{n}.__code")) for n in reversed(lengths)), F.lit(None).cast("struct<dest:string>"))
+    answers = seen.where("NOT __is_code").select(F.col("at").alias("__stem"), best.alias("__best"))
+    answers = answers.where("__best IS NOT NULL").select("__stem", F.col("__best.dest").alias(out))
+    stem = F.substring(F.col(key), 1, max(lengths, default=min_len))
+    return df.join(answers, stem == F.col("__stem"), "left").drop("__stem")
 
 
 def membership(names: DataFrame, dim: DataFrame, on: tuple[str, str]) -> DataFrame:
