@@ -9,22 +9,51 @@ from kpimill.functions.text import CENTURY_PIVOT, proper_name, read_date_sql, re
 from kpimill.session import materialize
 
 
-def profile(df: DataFrame, formats=fv.UPLOAD_DATE_FORMATS) -> DataFrame:
-    """One row per column with the counts that type inference needs; one aggregation over the whole table."""
-    columns = list(enumerate(df.columns))
+GROUP = 40  # columns that are profiled by one aggregation; more would outgrow what is compiled as one method
+
+
+def profile(df: DataFrame, formats=fv.UPLOAD_DATE_FORMATS, group: int = GROUP) -> DataFrame:
+    """One row per column with the counts that type inference needs, from one pass over the rows.
+
+    Wide tables are cut into groups of columns: a row becomes one row per group, with as many texts as a group has
+    columns, and all groups go through one aggregation of that many profiles, combined before the shuffle.
+    """
+    columns = df.columns
+    width = min(group, len(columns))
+    parts = [columns[i : i + width] for i in range(0, len(columns), width)]
+    text = lambda c: f"CAST(`{c}` AS STRING)" if c is not None else "CAST(NULL AS STRING)"
+    if len(parts) == 1:
+        cells = df.selectExpr("0 AS part", *[f"{text(c)} AS t{i}" for i, c in enumerate(columns)])
+    else:
+        padded = [part + [None] * (width - len(part)) for part in parts]
+        structs = [f"named_struct('part', {k}, {', '.join(f"'t{i}', {text(c)}" for i, c in enumerate(part))})" for k, part in enumerate(padded)]
+        cells = df.selectExpr(f"inline(array({', '.join(structs)}))")
     # texts and numbers are made once per row, then aggregated
-    texts = df.selectExpr(*[f"CAST(`{c}` AS STRING) AS t{i}" for i, c in columns])
-    cells = texts.selectExpr("*", *[f"{read_number_sql(f't{i}')} AS n{i}" for i, _ in columns])
+    cells = cells.selectExpr("*", *[f"{read_number_sql(f't{i}')} AS n{i}" for i in range(width)])
     stats = []
-    for i, c in columns:
+    for i in range(width):
         dates = ", ".join(f"count({read_date_sql(f't{i}', f)})" for f in formats)
         stats.append(
-            f"named_struct('column', {_q(c)}, 'name', {_q(proper_name(c))}, 'filled', count(t{i}), "
+            f"named_struct('slot', {i}, 'filled', count(t{i}), "
             f"'dates', array({dates}), 'numbers', count(n{i}), "
             f"'integral', count(CASE WHEN n{i} = floor(n{i}) THEN 1 END), 'top', max(n{i}), "
-            f"'width', CAST(coalesce(max(length(coalesce(t{i}, 'nan'))), 0) AS INT))"
+            f"'width', CAST(coalesce(max(length(coalesce(t{i}, 'nan'))), 0) AS INT)) AS s{i}"
         )
-    return cells.selectExpr(f"array({', '.join(stats)}) AS p").selectExpr("inline(p)")
+    grouped = cells.groupBy("part").agg(*map(F.expr, stats)) if len(parts) > 1 else cells.agg(F.lit(0).alias("part"), *map(F.expr, stats))
+    rows = grouped.selectExpr("part", f"inline(array({', '.join(f's{i}' for i in range(width))}))")
+    named = ", ".join(f"named_struct('column', {_q(c)}, 'name', {_q(proper_name(c))})" for c in columns)
+    place = f"part * {width} + slot"
+    known = rows.where(f"{place} < {len(columns)}").selectExpr(f"element_at(array({named}), {place} + 1) AS c", "*")
+    out = known.selectExpr("c.column", "c.name", "filled", "dates", "numbers", "integral", "top", "width")
+    if len(parts) == 1:
+        return out
+    # without rows there are no groups: every column is there all the same
+    empty = f"inline(array({named}))"
+    every = df.sparkSession.range(1).selectExpr(empty).withColumnsRenamed({"column": "__column", "name": "__name"})
+    zero = "CAST(0 AS BIGINT)"
+    return every.join(out, F.col("__column") == F.col("column"), "left").selectExpr(
+        "__column AS `column`", "__name AS name", f"coalesce(filled, {zero}) AS filled", f"coalesce(dates, array_repeat({zero}, {len(formats)})) AS dates",
+        f"coalesce(numbers, {zero}) AS numbers", f"coalesce(integral, {zero}) AS integral", "top", "coalesce(width, 0) AS width")
 
 
 def infer_types(df: DataFrame, formats=fv.UPLOAD_DATE_FORMATS) -> DataFrame:

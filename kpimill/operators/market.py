@@ -30,6 +30,31 @@ def bar_aggs(price: str, ts: str, tie: str) -> list[Column]:
     ]
 
 
+PARTIAL_BAR = (
+    "bar_day date, bar_start timestamp, key string, open double, first_at decimal(38,0), close double, last_at decimal(38,0), highest double, "
+    "lowest double, volume bigint"
+)
+
+
+def partial_bars(ticks: DataFrame, ts: str, key: str, price: str, width: str, tie: str) -> DataFrame:
+    """Bars that can be merged: first and last price stand with their place in time."""
+    at = tick_order(ts, tie)
+    bars = ticks.groupBy(F.window(ts, width).alias("w"), F.col(key).cast("string").alias("key")).agg(
+        *bar_aggs(price, ts, tie), F.min(at).alias("first_at"), F.max(at).alias("last_at"))
+    return bars.select(
+        F.to_date("w.start").alias("bar_day"), F.col("w.start").cast("timestamp").alias("bar_start"), "key", F.col("open").cast("double").alias("open"),
+        F.col("first_at").cast("decimal(38,0)").alias("first_at"), F.col("close").cast("double").alias("close"),
+        F.col("last_at").cast("decimal(38,0)").alias("last_at"), F.col("highest").cast("double").alias("highest"),
+        F.col("lowest").cast("double").alias("lowest"), "volume")
+
+
+def merged_bars(partials: DataFrame) -> DataFrame:
+    """One bar per start and key from any number of partial ones, whatever their order; a partial bar again."""
+    return partials.groupBy("bar_day", "bar_start", "key").agg(
+        F.min_by("open", "first_at").alias("open"), F.min("first_at").alias("first_at"), F.max_by("close", "last_at").alias("close"),
+        F.max("last_at").alias("last_at"), F.max("highest").alias("highest"), F.min("lowest").alias("lowest"), F.sum("volume").alias("volume"))
+
+
 def ohlcv(ticks: DataFrame, ts: str, key: str, price: str, width: str, tie: str) -> DataFrame:
     """Bars per key and time window of a fixed width; combined map-side, so a busy instrument is no hot spot."""
     return (

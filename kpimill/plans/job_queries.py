@@ -14,7 +14,7 @@ from kpimill.plans.cube_queries import arm_sql
 from kpimill.plans.registry import query
 from kpimill.plans.scan_queries import PLAN_RAW_SQL, plan_sheets, read_plan_sheets
 from kpimill.session import scratch_path
-from kpimill.sinks import tables, versions
+from kpimill.sinks import statistics, tables, versions
 from kpimill.sources import analog as A, files
 from kpimill.sources.analog import VIEW_SQL, table, with_views
 
@@ -33,6 +33,10 @@ def params_sql(**known: str) -> str:
 MONTHS_FROM = dt.date(1995, 1, 1)
 
 
+_STATISTICS = ("period", "table_name", "report_date", "status", "branch_id_seller", "lot_count", "sellers_count")
+_NUMBERS = ("branch_id_seller", "lot_count", "sellers_count")
+
+
 def _refresh_sql() -> str:
     # the rolling ranges end with the last load date of the orders: filter the full arms by report date
     bounds = """m AS (SELECT CAST(max(o_orderdate) AS DATE) AS d FROM orders)"""
@@ -406,6 +410,38 @@ def target_levels(spark, sf):
     return jobs.target_levels(sheet, A.branch(spark, sf), dt.date(2021, 1, 1))
 
 
+@query("refresh_statistics", f"""
+    WITH r AS ({_refresh_sql()}), c AS (UNPIVOT (SELECT {', '.join(f"CAST({c} AS VARCHAR) AS {c}" for c in _STATISTICS)} FROM r)
+        ON COLUMNS(*) INTO NAME column_name VALUE v)
+    SELECT n.column_name, (SELECT count(*) FROM r) AS row_count, (SELECT count(*) FROM r) - count(v) AS null_count,
+      CASE WHEN n.column_name IN ('lot_count', 'branch_id_seller', 'sellers_count') THEN min(TRY_CAST(v AS DOUBLE)) END AS low,
+      CASE WHEN n.column_name IN ('lot_count', 'branch_id_seller', 'sellers_count') THEN max(TRY_CAST(v AS DOUBLE)) END AS high,
+      CASE WHEN n.column_name NOT IN ('lot_count', 'branch_id_seller', 'sellers_count') THEN min(v) END AS low_text,
+      CASE WHEN n.column_name NOT IN ('lot_count', 'branch_id_seller', 'sellers_count') THEN max(v) END AS high_text,
+      TRUE AS distinct_fits, TRUE AS median_fits
+    FROM (SELECT unnest({list(_STATISTICS)}) AS column_name) n LEFT JOIN c ON c.column_name = n.column_name GROUP BY n.column_name""")
+def refresh_statistics(spark, sf):
+    """Statistics of the cube table after two refreshes. Estimates are held against the exact values: distinct counts within three
+    standard errors, the median's rank within its bound."""
+    path, stats = scratch_path(spark, "cube"), scratch_path(spark, "cube-statistics")
+    max_date = table(spark, sf, "orders").agg(F.max("o_orderdate").cast("date")).first()[0]
+    for months_from in (dt.date(1996, 1, 1), MONTHS_FROM):
+        jobs.refresh_all(spark, path, A.lots(spark, sf), A.base_daily(spark, sf), max_date, months_from, dt.date(2001, 12, 31), statistics_path=stats)
+    found = statistics.table_statistics(versions.VersionedTable(spark, stats)).where(F.col("column_name").isin(*_STATISTICS))
+    rows = spark.read.parquet(path)
+    texts = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("text"), F.col(c).cast("double").alias("number") if c in _NUMBERS
+                               else F.lit(None).cast("double").alias("number")) for c in _STATISTICS])
+    cells = rows.select(F.inline(texts)).join(found.select("column_name", F.col("quantiles")[1].alias("median")), "column_name")
+    exact = cells.groupBy("column_name").agg(
+        F.countDistinct("text").alias("n"), F.avg((F.col("number") < F.col("median")).cast("double")).alias("below"),
+        F.avg((F.col("number") <= F.col("median")).cast("double")).alias("upto"))
+    near = F.abs(F.col("distinct_count") - F.col("n")) <= F.ceil(F.col("n") * 3 * statistics.DISTINCT_ERROR)
+    rank = (F.col("below") <= 0.5 + statistics.RANK_ERROR) & (F.col("upto") >= 0.5 - statistics.RANK_ERROR)
+    return found.join(exact, "column_name", "left").select(
+        "column_name", "row_count", "null_count", "low", "high", "low_text", "high_text",
+        F.coalesce(near, F.col("distinct_count") == 0).alias("distinct_fits"), F.coalesce(rank, F.lit(True)).alias("median_fits"))
+
+
 # ---- call records --------------------------------------------------------------------------------
 
 _CDR_BODY = """

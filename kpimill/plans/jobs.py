@@ -14,7 +14,7 @@ from kpimill.functions import periods as P
 from kpimill.functions import text as X
 from kpimill.operators import coltypes, control, cube, lookup, project, reshape
 from kpimill.session import discard, materialize, staged
-from kpimill.sinks import tables, versions
+from kpimill.sinks import statistics, tables, versions
 from kpimill.sources import files
 from kpimill.streaming import streams
 
@@ -30,15 +30,20 @@ def refresh_all(
     months_from: dt.date,
     as_of: dt.date,
     arms=cube.PRODUCTION_ARMS,
+    statistics_path: str | None = None,
     **options,
 ) -> None:
-    """Rebuild the daily, weekly and monthly cube for the rolling ranges and replace all three periods."""
+    """Rebuild the daily, weekly and monthly cube for the rolling ranges and replace all three periods; the statistics of
+    what was replaced are made again where a path for them is given."""
     windows = P.refresh_windows(max_date, months_from)
     rows = cube.period_cube(lots, agg, windows, arms, as_of, **options)
     if tables.exists(spark, path):
         tables.replace_slice(spark, path, F.col("period").isin(*P.KINDS), rows, ["period"])
     else:
         tables.full_reload(rows, path, ["period"])
+    if statistics_path:
+        stored = spark.read.schema(rows.schema).parquet(path)
+        statistics.update_statistics(spark, statistics_path, stored, ["period"], F.col("period").isin(*P.KINDS))
 
 
 # ---- brand tracking ------------------------------------------------------------------------------

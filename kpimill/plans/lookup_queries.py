@@ -166,6 +166,27 @@ def table_diff_both_sides(spark, sf):
     return diff.table_diff(*_snapshots(spark, sf), which=None)
 
 
+@query("table_diff_by_digest", f"SELECT * FROM ({_DIFF_SQL}) WHERE side <> 'both'")
+def table_diff_by_digest(spark, sf):
+    """The same differences; rows of buckets that are equal on both sides are not shuffled."""
+    return diff.table_diff_by_digest(*_snapshots(spark, sf), which=None)
+
+
+_LINES = "l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag"
+
+
+@query("table_diff_few_changes", f"""
+    WITH a AS (SELECT {_LINES} FROM lineitem), b AS (SELECT {_LINES.replace('l_quantity', 'l_quantity + CASE WHEN l_orderkey % 5000 = 3 THEN 1 ELSE 0 END AS l_quantity')}
+      FROM lineitem WHERE l_orderkey % 7000 <> 5), x AS (SELECT *, count(*) AS n FROM a GROUP BY ALL), y AS (SELECT *, count(*) AS n FROM b GROUP BY ALL)
+    SELECT {_LINES}, coalesce(x.n, 0) AS left_rows, coalesce(y.n, 0) AS right_rows, CASE WHEN x.n IS NULL THEN 'right_only' ELSE 'left_only' END AS side
+    FROM x FULL JOIN y USING ({_LINES}) WHERE x.n IS NULL OR y.n IS NULL""")
+def table_diff_few_changes(spark, sf):
+    """Two large versions of a table with a few changed and removed rows."""
+    old = table(spark, sf, "lineitem").select(*_LINES.split(", "))
+    new = old.where("l_orderkey % 7000 <> 5").withColumn("l_quantity", F.expr("l_quantity + CASE WHEN l_orderkey % 5000 = 3 THEN 1 ELSE 0 END"))
+    return diff.table_diff_by_digest(old, new, which=None)
+
+
 @query("except_rows", f"""
     WITH a0 AS (SELECT {_SNAP_A} FROM customer WHERE c_custkey % 7 <> 5),
       a AS (SELECT * FROM a0 UNION ALL SELECT * FROM a0 WHERE c_custkey % 7 = 4),

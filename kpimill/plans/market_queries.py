@@ -48,6 +48,17 @@ def stream_ohlcv(spark, sf):
     return spark.read.schema(bars.schema).parquet(path)
 
 
+@query("stream_ohlcv_late", _bars_sql("minute"))
+def stream_ohlcv_late(spark, sf):
+    """Minute bars from ticks that come in no order at all, in several batches: late ones change the bars they belong to."""
+    source, path, checkpoint = (scratch_path(spark, n) for n in ("shuffled-ticks", "late-bars", "late-bars-checkpoint"))
+    ticks = table(spark, sf, "events").selectExpr("CAST(ts AS TIMESTAMP) AS ts", "event_type AS ticker", "value AS price", "event_id")
+    ticks.repartition(3, F.xxhash64("event_id")).write.parquet(source)
+    bars = streams.bars_table(spark, path)
+    streams.run_to_bars(streams.table_stream(spark, source, ticks.schema, files_per_batch=1), bars, checkpoint, "ts", "ticker", "price", "event_id")
+    return bars.read().select(F.col("bar_start").cast("timestamp_ntz").alias("bar_start"), F.col("key").alias("ticker"), "open", "highest", "lowest", "close", "volume")
+
+
 _CLOSES_SQL = """closes AS (SELECT c_mktsegment AS ticker, arg_max(o_totalprice, o_orderkey) AS close
     FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1)"""
 

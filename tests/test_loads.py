@@ -178,7 +178,7 @@ def test_plan_sheets_lose_no_row(spark, tmp_path):
     assert rows(book("good", "1.5", "", " 2 ", "-3e2"), "region", "param_value") == [("0", 1.5), ("2", 2.0), ("3", -300.0)]
     for bad in ("1 234,5", "#DIV/0!", "x"):
         with pytest.raises(Exception, match="no number in column param_value of sheet data: " + bad[:3]):
-            book(f"bad {len(bad)}", "1", f'"{bad}"').collect()
+            book(f"bad {ord(bad[0])}", "1", f'"{bad}"').collect()
 
 
 def test_partitions_of_several_columns(spark, tmp_path):
@@ -395,3 +395,25 @@ def test_hot_group(spark):
     assert (hot["sellers"].sellers_count, hot["sellers"].lot_count, hot["sellers"].sold_value) == (1, n // 3, 2.0 * n / 3)
     assert hot["distinct all subs"].sellers_count == 1
     assert out.where("table_name = 'sellers'").agg(F.sum("lot_count")).first()[0] == n
+
+
+def test_late_ticks_change_their_bars(spark, tmp_path):
+    src, ck = tmp_path / "in", str(tmp_path / "ck")
+    bars = streams.bars_table(spark, str(tmp_path / "bars"))
+    run = lambda: streams.run_to_bars(streams.table_stream(spark, str(src), TICK), bars, ck, "ts", "k", "p", "id")
+    got = lambda: [(r[0].minute, *r[1:]) for r in rows(bars.read(), "bar_start", "open", "close", "highest", "volume")]
+    _ticks(spark, src, [0, 0, 1, 30])
+    run()
+    assert got() == [(0, 0.0, 1.0, 1.0, 2), (1, 2.0, 2.0, 2.0, 1), (30, 3.0, 3.0, 3.0, 1)]
+    assert bars.manifest()["notes"]["late"] == 0
+    _ticks(spark, src, [1, 31, 25])  # minute 1 is late, minute 25 is not
+    bars.watch = lambda step: (_ for _ in ()).throw(InterruptedError(step)) if step == "committed" else None
+    with pytest.raises(Exception, match="InterruptedError"):
+        run()
+    bars.watch = lambda step: None
+    run()  # the batch is given again, and is known
+    assert got() == [(0, 0.0, 1.0, 1.0, 2), (1, 0.0, 2.0, 2.0, 2), (25, 2.0, 2.0, 2.0, 1), (30, 3.0, 3.0, 3.0, 1), (31, 1.0, 1.0, 1.0, 1)]
+    assert (bars.manifest()["notes"]["late"], bars.manifest()["notes"]["late_in_all"], len(bars.versions())) == (1, 1, 3)
+    batch = spark.read.parquet(str(src))
+    whole = market.merged_bars(market.partial_bars(batch, "ts", "k", "p", "1 minute", "id"))
+    assert rows(bars.read(), *whole.columns) == rows(whole)

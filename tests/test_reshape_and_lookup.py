@@ -211,3 +211,50 @@ def test_gate(spark):
     assert rows(gate, "direction", "m", "f", "load") == [
         ("in", D(2021, 3, 1), "a", True), ("out", D(2021, 3, 1), "a", False), ("out", D(2021, 4, 1), "a", True)]
     assert control.accepted(new, gate, ["direction", "m"], "f").count() == 4
+
+
+def test_diff_by_digest(spark):
+    base = [(i % 50, f"v{i % 7}" if i % 3 else None, i % 2 == 0) for i in range(300)]
+    schema = "k int, v string, b boolean"
+    a = spark.createDataFrame(base, schema)
+    assert diff.changed_buckets(a, a.repartition(3), a.columns) == []
+    assert diff.table_diff_by_digest(a, a, None).count() == 0
+    # nulls in another column, one copy more, one less
+    b = spark.createDataFrame(base[2:] + [base[5], (None, "v1", True), (7, None, None)], schema)
+    for which in (None, "left_only", "right_only"):
+        assert rows(diff.table_diff_by_digest(a, b, which)) == rows(diff.table_diff(a, b, which))
+    swapped = spark.createDataFrame([(None, "x"), ("x", None)], "p string, q string")
+    assert len(diff.changed_buckets(swapped.limit(1), swapped.where("q IS NULL"), ["p", "q"])) == 2
+    with pytest.raises(ValueError):
+        diff.table_diff_by_digest(a, b, "both")
+
+
+def test_few_changes_shuffle_few_rows(spark):
+    a = spark.range(100_000).selectExpr("id", "id % 13 AS v")
+    b = a.withColumn("v", F.expr("CASE WHEN id = 77 THEN -1 ELSE v END"))
+    found = diff.changed_buckets(a, b, ["id", "v"])
+    assert len(found) == 2
+    compared = a.where(F.pmod(diff._row_hash(["id", "v"], 1), F.lit(diff.BUCKETS)).isin(found))
+    assert compared.count() < 150
+    assert rows(diff.table_diff_by_digest(a, b, None), "id", "v", "side") == [(77, -1, "right_only"), (77, 12, "left_only")]
+
+
+def test_types_of_many_columns(spark):
+    """Groups of columns give the same types as one aggregation, and each group is compiled."""
+    names = [f"c{i}" for i in range(500)]
+    kinds = ["CAST(id AS STRING)", "date_format(date_add(DATE '2021-01-01', CAST(id AS INT)), 'dd.MM.yyyy')", "concat('x', id)", "CAST(id / 4 AS STRING)", "CAST(NULL AS STRING)"]
+    df = spark.range(30).selectExpr(*[f"{kinds[i % 5]} AS {n}" for i, n in enumerate(names)])
+    got = {r["column"]: (r["column_name"], r["dtype"]) for r in coltypes.infer_types(df).collect()}
+    assert [got[n] for n in names] == [(n.upper(), t) for n, t in zip(names, ["INTEGER", "DATE", "VARCHAR(11)", "FLOAT", "INTEGER"] * 100)]
+    some = df.select(*names[:7])
+    whole = rows(coltypes.profile(some, group=7))
+    assert rows(coltypes.profile(some, group=3)) == whole and rows(coltypes.profile(some.limit(0), group=3)) == rows(coltypes.profile(some.limit(0), group=7))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = coltypes.profile(df)._jdf.queryExecution().executedPlan()
+        parts = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$").codegenStringSeq(plan)
+        sizes = [parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())]
+        assert sizes and 0 < max(sizes) < 65_535
+        assert "HashAggregate" in plan.toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
