@@ -8,13 +8,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kpimill.session import materialize
 
 
-def by_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
+def by_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """Map Arrow batches by a function that ``make`` builds once in every task (its tables and caches live there).
 
     The caches are many small objects without cycles, which Python's cycle collector would walk again and again; it
@@ -79,6 +80,16 @@ def kept(key: str, make: Callable[[], object]) -> object:
     return held[1]
 
 
+def with_row(df: DataFrame, **columns: Column) -> DataFrame:
+    """The rows as one struct column ``row``, and further columns beside it: names of the input can't clash with them."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), *(c.alias(k) for k, c in columns.items()))
+
+
+def row_schema(rows: DataFrame, **more: str) -> T.StructType:
+    """The schema of ``row`` and further columns of plain types."""
+    return T.StructType([rows.schema["row"], *T.StructType.fromDDL(", ".join(f"{k} {t}" for k, t in more.items())).fields])
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """A text column as Python strings; null is the empty text."""
     return [t if t is not None else "" for t in batch.column(column).to_pylist()]

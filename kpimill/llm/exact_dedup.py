@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpimill.llm.base import by_batch, spread, texts_of
+from kpimill.llm.base import by_batch, row_schema, spread, texts_of, with_row
 from kpimill.session import materialize
 
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
@@ -262,17 +262,17 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
 
 def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2) -> DataFrame:
     """The rows that stay, all columns as they are: of equal texts the one with the largest id, or, where all ids of a
-    group are null, all of its rows; rows that share id and text are one document and stay together."""
-    groups = copy_groups(df, id_col, text_col, batches).select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"))
-    rows, names = df.select(*df.columns, F.col(text_col).alias("__text")), df.columns
+    group are null, all of its rows; rows that share id and text are one document and stay together. A null text is the empty
+    one; an empty table gives no rows; other columns may have any names."""
+    groups = copy_groups(df, id_col, text_col, batches).select("digest", "keep_id")
+    rows = with_row(df, id=F.col(f"`{id_col}`").cast("long"), text=F.col(f"`{text_col}`"))
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [hashlib.sha256(t.encode().translate(FOLD)).digest() for t in texts_of(batch, "__text")]
-            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, pa.binary())], [*names, "__digest"])
+            found = [hashlib.sha256(t.encode().translate(FOLD)).digest() for t in texts_of(batch, "text")]
+            return pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), pa.array(found, pa.binary())], ["row", "id", "digest"])
 
         return step
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    keyed = by_batch(rows, make, f"{schema}, __digest binary")
-    return keyed.join(groups, "__digest").filter(F.col(id_col).cast("long").eqNullSafe(F.col("__keep"))).select(*df.columns)
+    keyed = by_batch(rows, make, row_schema(rows, id="long", digest="binary"))
+    return keyed.join(groups, "digest").filter(F.col("id").eqNullSafe(F.col("keep_id"))).select("row.*")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpimill.llm.base import by_batch, by_group, components, linked_sets, texts_of
+from kpimill.llm.base import by_batch, by_group, components, linked_sets, texts_of, with_row
 from kpimill.session import materialize
 
 WORDS = 5
@@ -246,6 +246,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of the documents that stay, all columns as they are: the smallest id of each group of linked documents, and
-    rows with a null id."""
-    out = near_duplicates(df, id_col, text_col, words, threshold).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return df.join(out, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    rows with a null id. Null and empty texts have no links and stay; rows that share an id stay or go together; an empty table
+    gives no rows; other columns may have any names."""
+    out = near_duplicates(df, id_col, text_col, words, threshold).filter("not kept").select(F.col("doc_id").alias("id")).distinct()
+    return with_row(df, id=F.col(f"`{id_col}`").cast("long")).join(out, "id", "left_anti").select("row.*")

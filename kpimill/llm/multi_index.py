@@ -222,16 +222,19 @@ def _verify(threshold: float):
 def index(reps: DataFrame, grids: dict[int, tuple[Grid | None, int]]) -> DataFrame:
     """(node, weight, vec, home, visits): every vector's own cell and the cells that its search visits. ``grids``: of every
     width, its grid and the number of its first cell; without a grid, all vectors of the width are in that one cell."""
-    book = reps.sparkSession.sparkContext.broadcast(grids)
+    # plain arrays: a broadcast object would need its class on the executors' path
+    book = reps.sparkSession.sparkContext.broadcast({w: (g and (g.first, g.second, g.radius), first) for w, (g, first) in grids.items()})
 
     def make():
+        known = {w: (g and Grid(*g), first) for w, (g, first) in book.value.items()}
+
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             blobs = batch.column("vec").to_pylist()
             widths = np.array([len(v) // 8 for v in blobs])
             home, visits = np.zeros(len(blobs), np.int64), [[]] * len(blobs)
             for width in np.unique(widths).tolist():
                 at = np.flatnonzero(widths == width)
-                g, first = book.value[width]
+                g, first = known[width]
                 if g is None:
                     home[at] = first
                     cells = [[first]] * len(at)
@@ -254,10 +257,10 @@ def index(reps: DataFrame, grids: dict[int, tuple[Grid | None, int]]) -> DataFra
 def true_pairs(reps: DataFrame, grid: Grid, searched: list[tuple[int, bytes]], threshold: float) -> np.ndarray:
     """(searched vector, is a border pair, steps, pairs): how many true neighbours each searched vector (node, vec) has
     among all vectors, by the radius that finds them. Every cosine is taken, in blocks; only counts leave the tasks."""
-    book = reps.sparkSession.sparkContext.broadcast((grid, searched))
+    book = reps.sparkSession.sparkContext.broadcast(((grid.first, grid.second, grid.radius), searched))
 
     def make():
-        g, own = book.value
+        g, own = Grid(*book.value[0]), book.value[1]
         nodes, unit = np.array([n for n, _ in own], np.int64), units([v for _, v in own])
         far, turned_over = g.distances(unit), unit.T.astype(np.float32)
 

@@ -209,15 +209,17 @@ def pack(df: DataFrame, vocabulary: str, end_id: int = 0, size: int = 2048, id_c
     histogram = np.zeros(size + 1, np.int64)
     for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # one row per length
         histogram[r["length"]] = r["n"]
-    where = df.sparkSession.sparkContext.broadcast(places(plan_patterns(histogram)))
+    # plain values: a broadcast object would need its class on the executors' path
+    where = df.sparkSession.sparkContext.broadcast(vars(places(plan_patterns(histogram))))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Places(**where.value)
         for batch in batches:
             if batch.num_rows:
                 length, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
-                sequence, offset = where.value.of(length, rank)
+                sequence, offset = known.of(length, rank)
                 keep = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(sequence), pa.array(offset)], [*keep, "sequence_id", "offset"])
 

@@ -23,8 +23,9 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kpimill.llm.base import by_batch, texts_of
+from kpimill.llm.base import by_batch, row_schema, texts_of, with_row
 from kpimill.session import materialize
 
 SIZE = 400
@@ -257,9 +258,12 @@ def _cut(size: int, with_text: bool):
     return make
 
 
+KEYED = "k1 long, k2 long, n_bytes long, sha string"
+
+
 def repeated_parts(df: DataFrame, text_col: str = "text", size: int = SIZE, with_text: bool = False) -> DataFrame:
     """(k1, k2, n_removed, n_spans, kept_sha256, kept_text) for every distinct text with a byte to remove."""
-    texts = df.select(F.col(text_col).alias("text"))
+    texts = df.select(F.col(f"`{text_col}`").alias("text"))
     found = materialize(find_segments(texts, size), "segments")
 
     # round 1: anchors that stand at more than one place
@@ -302,24 +306,22 @@ def repeated_parts(df: DataFrame, text_col: str = "text", size: int = SIZE, with
     return materialize(by_batch(there.join(marked, ["k1", "k2"]), _cut(size, with_text), schema), "repeats")
 
 
-def keyed(df: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
-    """The carried columns of every row with its text's key, bytes and digest."""
-    rows = df.select(*(F.col(c) for c in carry), F.col(text_col).alias("__text"))
+def keyed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The first column of ``rows`` with the key, bytes and digest of their ``text``: k1, k2, n_bytes, sha."""
+    carried = schema.names[0]
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            raws = [t.encode() for t in texts_of(batch, "__text")]
+            raws = [t.encode() for t in texts_of(batch, "text")]
             keys = [text_key(r) for r in raws]
-            names = batch.schema.names[:-1]
             return pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(list(map(len, raws)), pa.int64()), pa.array([hashlib.sha256(r).hexdigest() for r in raws])],
-                [*names, "__k1", "__k2", "__bytes", "__sha"],
+                [batch.column(carried), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(list(map(len, raws)), pa.int64()), pa.array([hashlib.sha256(r).hexdigest() for r in raws])],
+                [carried, "k1", "k2", "n_bytes", "sha"],
             )
 
         return step
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text")
-    return by_batch(rows, make, f"{schema}, __k1 long, __k2 long, __bytes long, __sha string")
+    return by_batch(rows, make, schema)
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
@@ -328,23 +330,25 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A text is its UTF-8 bytes (null: none). Removed is every byte covered by a string of ``size`` bytes that starts at
     another place too, in this or another text; strings may overlap and are judged on the input. Rows with equal or null
     ids are texts of their own; texts shorter than ``size`` lose nothing; an empty table gives no rows; other columns are
-    ignored.
+    ignored. A text is one row, and so are the places of its repeats: both must fit a task's memory.
     """
     parts = repeated_parts(df, text_col, size)
-    rows = keyed(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias(text_col)), text_col, ["doc_id"])
-    return rows.join(parts, (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2")), "left").select(
+    rows = keyed(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), T.StructType.fromDDL(f"doc_id long, {KEYED}"))
+    return rows.join(parts, ["k1", "k2"], "left").select(
         "doc_id",
-        F.col("__bytes").alias("n_bytes"),
+        "n_bytes",
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
-        F.coalesce("kept_sha256", "__sha").alias("kept_sha256"),
+        F.coalesce("kept_sha256", "sha").alias("kept_sha256"),
     )
 
 
 def without_repeats(df: DataFrame, text_col: str = "text", size: int = SIZE) -> DataFrame:
     """The input with the remaining text in place of each text: bytes of a character that was cut through are left out
-    with it; a text that loses nothing stays as it is, null included."""
+    with it; a text that loses nothing stays as it is, null included. Equal or null ids don't matter; an empty table gives no
+    rows; other columns may have any names."""
     parts = repeated_parts(df, text_col, size, with_text=True).select("k1", "k2", "kept_text")
-    rows = keyed(df, text_col, df.columns).drop("__bytes", "__sha")
-    joined = rows.join(parts, (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2")), "left")
-    return joined.select(*(F.coalesce("kept_text", text_col).alias(c) if c == text_col else F.col(c) for c in df.columns))
+    rows = with_row(df, text=F.col(f"`{text_col}`"))
+    joined = keyed(rows, row_schema(rows, **dict(c.split() for c in KEYED.split(", ")))).join(parts, ["k1", "k2"], "left")
+    field = lambda c: F.col("row")[c]
+    return joined.select(*(F.coalesce("kept_text", field(c)).alias(c) if c == text_col else field(c).alias(c) for c in df.columns))

@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kpimill.llm.base import by_batch, kept, texts_of
+from kpimill.llm.base import by_batch, kept, row_schema, texts_of, with_row
 from kpimill.llm.labelled import training_rows
 
 WINDOW, STRIDE = 32, 16  # words; a passage of up to 17 words is whole in one window
@@ -474,34 +475,41 @@ def fit(documents: DataFrame, labels: DataFrame, label: str, in_training: Column
     return Network(words, params=params)
 
 
-def score(df: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, into: str = "score") -> DataFrame:
-    """One row per input row: doc_id, score (0 to 1); ``keep`` names columns to carry along instead of the id alone.
-
-    Null and empty texts are scored as one window without words. Rows with equal or null ids each give a row; an empty
-    table gives none. Texts of any length are scored whole; memory in a task is one Arrow batch, the windows of a bounded
-    stretch of texts (or of one text), and a bounded cache of words that the worker process keeps for its next tasks.
-    """
-    if keep is None:
-        rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text"))
-    else:
-        rows = df.select(*keep, F.col(text_col).alias("__text"))
-    carried = [c for c in rows.columns if c != "__text"]
-    model = df.sparkSession.sparkContext.broadcast((list(net.words), net.p))
+def _score_rows(rows: DataFrame, net: Network, schema: T.StructType) -> DataFrame:
+    """The first column of ``rows`` with the score of their ``text``."""
+    model = rows.sparkSession.sparkContext.broadcast((list(net.words), net.p))
     name = f"toxicity {uuid.uuid4().hex}"
+    carried = schema.names[0]
 
     def make():
         scorer = kept(name, lambda: Scorer(Network(model.value[0], params=model.value[1])))
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = scorer.net.probability(scorer.highest(texts_of(batch, "__text")))
-            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), pa.array(found)], [*carried, into])
+            found = scorer.net.probability(scorer.highest(texts_of(batch, "text")))
+            return pa.RecordBatch.from_arrays([batch.column(carried), pa.array(found)], [carried, "score"])
 
         return step
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text")
-    return by_batch(rows, make, f"{schema}, `{into}` double")
+    return by_batch(rows, make, schema)
+
+
+def score(df: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, score (0 to 1).
+
+    Null and empty texts are scored as one window without words. Rows with equal or null ids each give a row; an empty
+    table gives none; other columns are ignored. Texts of any length are scored whole; memory in a task is one Arrow batch,
+    the windows of a bounded stretch of texts (or of one text), and a bounded cache of words that the worker process keeps
+    for its next tasks.
+    """
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return _score_rows(rows, net, T.StructType.fromDDL("doc_id long, score double"))
 
 
 def without_toxic(df: DataFrame, net: Network, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows whose score is under the threshold, all columns as they are."""
-    return score(df, net, text_col=text_col, keep=df.columns, into="__toxicity").filter(F.col("__toxicity") < threshold).drop("__toxicity")
+    """The rows whose score is under the threshold, all columns as they are.
+
+    Null and empty texts are scored as one window without words; rows with equal or null ids are judged one by one; an empty
+    table gives no rows; other columns may have any names.
+    """
+    rows = with_row(df, text=F.col(f"`{text_col}`"))
+    return _score_rows(rows, net, row_schema(rows, score="double")).filter(F.col("score") < threshold).select("row.*")

@@ -4,6 +4,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
 here = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
@@ -17,7 +18,9 @@ ODD_TEXTS = [
 def odd_documents(spark):
     """Nulls in every column, empty and long texts, repeats, ids that repeat, and columns with clashing names."""
     rows = [(i, t, f"k{i}", i, i) for i, t in enumerate(ODD_TEXTS)] + [(None, "abc abc", None, None, None), (None, None, None, None, None), (5, "x\ny\t z", "d", 1, 1)]
-    return spark.createDataFrame(rows, "doc_id long, text string, kept string, component_id long, digest long")
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept string, component_id long, digest long")
+    clashing = ["row", "id", "k1", "k2", "t", "at", "kept_text", "score", "keep_id", "__gone", "__digest", "__text", "__toxicity", "packed", "a.b"]
+    return df.withColumns({c: F.when(F.col("doc_id") > 3, F.lit(c)) for c in clashing})
 
 
 def fuzz_texts(n, seed=1):

@@ -44,7 +44,7 @@ def test_stages(spark, stages):
     rows = sorted(by_id(apart).items())
     raws = [(t or "").encode() for _, t in rows]
     want = {}
-    for (d, t), raw, mark in zip(rows, raws, test_suffix_dedup.cover(raws, 400)):
+    for (d, t), raw, mark in zip(rows, raws, test_suffix_dedup.cover(raws, corpus_pipeline.PASSAGE_BYTES)):
         want[d] = bytes(b for b, m in zip(raw, mark) if not m).decode(errors="ignore") if any(mark) else t
     assert by_id(cut) == want
     assert {r["doc_id"]: r["n_chars"] for r in cut.collect()} == {d: len(t) for d, t in want.items()}
