@@ -7,6 +7,8 @@ from collections import Counter
 import pytest
 from fixtures import here, odd_documents, table
 
+from kpimill.llm import prefix_doubling
+from kpimill.llm.prefix_doubling import remove_repeats_by_doubling
 from kpimill.llm.suffix_dedup import remove_repeats, without_repeats
 
 
@@ -32,20 +34,26 @@ def brute(rows, size):
     return sorted(out)
 
 
-def check(df, size):
-    got = remove_repeats(df, size=size)
+def check(df, size, remove=remove_repeats):
+    got = remove(df, size=size)
     assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     assert sorted(repr(tuple(r)) for r in got.collect()) == brute([(r.doc_id, r.text) for r in df.collect()], size)
 
 
+BOTH = pytest.mark.parametrize("remove", [remove_repeats, remove_repeats_by_doubling])
+
+
+@BOTH
 @pytest.mark.parametrize("size", [400, 24, 7, 1])
-def test_odd_rows(spark, size):
+def test_odd_rows(spark, size, remove):
     df = odd_documents(spark)
-    check(df, size)
-    assert remove_repeats(df.limit(0), size=size).count() == 0
+    check(df, size, remove)
+    assert remove(df.limit(0), size=size).count() == 0
 
 
-def test_passages(spark):
+@BOTH
+def test_passages(spark, remove, monkeypatch):
+    monkeypatch.setattr(prefix_doubling, "FIRST", 6)
     rng = random.Random(8)
     text = lambda n: "".join(rng.choice("abcdé \n") for _ in range(n))
     shared = [text(n) for n in (30, 31, 32, 33, 50, 120, 400)]
@@ -58,12 +66,14 @@ def test_passages(spark):
             t += p[a : a + rng.randrange(20, 500)] + text(rng.randrange(40))
         rows.append((i, t))
     rows += [(1000 + i, rows[3][1]) for i in range(40)] + [(2000, "ab" * 300), (2001, "x" * 300), (2002, shared[6] * 2)]
-    check(spark.createDataFrame(rows, "doc_id long, text string"), 32)
+    check(spark.createDataFrame(rows, "doc_id long, text string"), 32, remove)
+    check(spark.createDataFrame(rows[:60], "doc_id long, text string"), 29, remove)
 
 
 @here
-def test_documents(spark):
-    check(table(spark, "documents"), 400)
+@BOTH
+def test_documents(spark, remove):
+    check(table(spark, "documents"), 400, remove)
 
 
 def test_text_without_repeats(spark):
