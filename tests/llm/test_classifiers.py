@@ -1,5 +1,6 @@
 """Toxicity and quality: held-out accuracy on the labelled documents, gradients, odd rows."""
 
+import math
 import zlib
 
 import numpy as np
@@ -126,3 +127,82 @@ def test_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {round(r.score, 3) for r in quality.score(docs, quality.fit(docs, labels, "quality", F.lit(True))).collect()} == {0.5}
     assert len(toxicity.without_toxic(docs, toxicity.fit(docs, labels, "toxic", F.lit(True))).collect()) == docs.count()
+
+
+def plain_gru(p, states, inputs):
+    """One layer, one sequence, one step and one number after another."""
+    out = []
+    for d in "fb":
+        h, seen = [0.0] * states, {}
+        order = range(len(inputs)) if d == "f" else range(len(inputs) - 1, -1, -1)
+        for t in order:
+            x = [sum(float(v) * float(p[f"W{d}"][i, j]) for i, v in enumerate(inputs[t])) + float(p[f"c{d}"][j]) for j in range(3 * states)]
+            u = [sum(h[i] * float(p[f"U{d}"][i, j]) for i in range(states)) for j in range(3 * states)]
+            sig = lambda v: 1 / (1 + math.exp(-v))
+            z = [sig(x[j] + u[j]) for j in range(states)]
+            r = [sig(x[states + j] + u[states + j]) for j in range(states)]
+            n = [math.tanh(x[2 * states + j] + r[j] * u[2 * states + j]) for j in range(states)]
+            h = seen[t] = [(1 - z[j]) * n[j] + z[j] * h[j] for j in range(states)]
+        out.append(seen)
+    both = [out[0][t] + out[1][t] for t in range(len(inputs))]
+    score = []
+    for s in both:
+        inner = [math.tanh(sum(s[i] * float(p["A"][i, k]) for i in range(2 * states))) for k in range(len(p["a"]))]
+        score.append(math.exp(max(-20.0, min(20.0, sum(v * float(a) for v, a in zip(inner, p["a"]))))))
+    return [sum(w * s[i] for w, s in zip(score, both)) / sum(score) for i in range(2 * states)]
+
+
+def plain_score(net, text):
+    """The highest probability of all windows, each read word by word, each word character by character."""
+    p, words, best = net.p, toxicity.words_of(text), -math.inf
+    vectors = []
+    for w in words:
+        chars = [p["chars"][c] for c in toxicity.char_codes(w)]
+        pooled = plain_gru(p["char"], toxicity.CHAR_STATES, chars) if chars else [0.0] * (2 * toxicity.CHAR_STATES)
+        vectors.append(pooled + [float(v) for v in p["embed"][net.words.get(w, 0)]])
+    last = max(0, len(words) - toxicity.WINDOW)
+    for start in {*range(0, last, toxicity.STRIDE), last}:
+        window = vectors[start : start + toxicity.WINDOW] or [[0.0] * (2 * toxicity.CHAR_STATES + toxicity.WORD_SIZE)]
+        pooled = plain_gru(p["word"], toxicity.WORD_STATES, window)
+        best = max(best, sum(a * float(b) for a, b in zip(pooled, p["out"])) + float(p["bias"][0]))
+    return 1 / (1 + math.exp(-(float(p["scale"][0]) * best + float(p["scale"][1]))))
+
+
+def test_toxicity_step_by_step(spark):
+    """The whole query path against a restatement without vectors, batches or caches."""
+    net = Network(["idiot", "the", "word"], seed=4)
+    net.p["embed"][1:] += 1
+    rng = np.random.default_rng(3)
+    texts = [None, "", "Idiot!", "the idiot, ...", " ".join(rng.choice(["the", "Idiot", "xY", "ünï", "…", "abcdefghij"], 70)), "x" * 61 + " y", "word " * 33]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(df, net).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == pytest.approx(plain_score(net, t or ""), abs=1e-5), t
+
+
+def test_quality_against_a_dictionary(spark):
+    """Scores against a dictionary of n-grams: counts, weights and the sum, one at a time."""
+    texts = [None, "", "a", "The cat sat on 12 mats, THE cat cat cat.", "http://x.y z z", *(" ".join(["lorem", "ipsum", "X9"][i % 3] for i in range(n)) for n in (2, 7, 40))]
+    y = np.array([0, 0, 1, 1, 0, 1, 0, 1.0])
+    bits = 12
+    model = quality.train([t or "" for t in texts], y, np.ones(len(y)), bits)
+    one = 2**64
+    hashed = quality._hash
+
+    def grams(text):
+        words = text.split()
+        plain = [hashed(w.lower()) for w in words]
+        shapes = [(hashed(quality.shape(w) + "\0") + (12345 if i and plain[i] == plain[i - 1] else 0)) % one for i, w in enumerate(words)]
+        yield from plain
+        yield from ((s + 1) % one for s in shapes)
+        for k, stream in enumerate((plain, shapes)):
+            for a, b in zip(stream, stream[1:]):
+                yield (a * 0xD6E8FEB86659FD93 + b * 0xA0761D6478BD642F + k + 2) % one
+
+    place = lambda g: ((g ^ g >> 29) * int(quality._M) % one) >> (64 - bits)
+    weight = dict(enumerate(map(float, model[0])))
+    got = {r.doc_id: r.score for r in quality.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, bits=bits).collect()}
+    for i, t in enumerate(texts):
+        found = list(grams(t or ""))
+        total = sum(weight[place(g)] for g in found) * quality.GAIN / max(1.0, len(found) / 4) + model[1]
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9), t
