@@ -140,8 +140,29 @@ def widened(grid: Grid, sample: np.ndarray, found: np.ndarray, threshold: float
 # --- Spark ------------------------------------------------------------------------------------------------------------------
 
 
+def dump(a: np.ndarray) -> bytes:
+    """A vector as bytes behind a mark of their kind: half as many where single precision holds every component exactly."""
+    with np.errstate(over="ignore"):
+        small = a.astype("<f4")
+    return b"f" + small.tobytes() if np.array_equal(small, a) else b"d" + a.astype("<f8").tobytes()
+
+
+def width_of(blob: bytes) -> int:
+    return (len(blob) - 1) // (4 if blob[:1] == b"f" else 8)
+
+
+def load(blobs: list[bytes]) -> np.ndarray:
+    """Vectors of one width in double precision, one a row."""
+    kinds = {b[:1] for b in blobs}
+    if len(kinds) == 1:
+        flat = np.frombuffer(b"".join(b[1:] for b in blobs), "<f4" if kinds == {b"f"} else "<f8")
+        return flat.reshape(len(blobs), -1).astype(np.float64)
+    return np.stack([np.frombuffer(b[1:], "<f4" if b[:1] == b"f" else "<f8").astype(np.float64) for b in blobs])
+
+
 def vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, vec, width, same): vec is the vector as float64 bytes, null where it can link with nothing; ``same`` a key of its bytes."""
+    """(vec_id, vec, width, same): vec is the vector's bytes (``dump``), null where it can link with nothing; ``same`` a key of
+    its double-precision bytes."""
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -152,10 +173,10 @@ def vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
                 if i is not None and v and None not in v:
                     a = np.array(v, np.float64) + 0.0  # no negative zeros
                     norm = np.linalg.norm(a / max(np.abs(a).max(), 1e-300)) if np.isfinite(a).all() else 0.0
-                    blob = a.tobytes() if norm > 0 else None
+                    blob = dump(a) if norm > 0 else None
                 blobs.append(blob)
                 widths.append(len(v) if blob else None)
-                keys.append(xxhash.xxh3_128_digest(blob) if blob else None)
+                keys.append(xxhash.xxh3_128_digest(a.tobytes()) if blob else None)
             return pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), pa.array(blobs, pa.binary()), pa.array(widths, pa.int32()), pa.array(keys, pa.binary())], ["vec_id", "vec", "width", "same"]
             )
@@ -167,7 +188,7 @@ def vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def units(blobs: list[bytes]) -> np.ndarray:
-    a = np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1)
+    a = load(blobs)
     a = a / np.abs(a).max(axis=1, keepdims=True)
     return a / np.linalg.norm(a, axis=1, keepdims=True)
 
@@ -189,10 +210,19 @@ def _verify(threshold: float):
         # a pair counts where the lower node searches, and where the higher one does only if the lower one doesn't come
         # to the higher one's cell
         once = near & (node[p][:, None] < node[h][None, :])
-        visits = [set(v) for v in table.column("visits").take(pa.array(h)).to_pylist()]
-        for k in np.flatnonzero(near.any(axis=1) & (home[p] != cell)):
-            for j in np.flatnonzero(near[k] & ~once[k]):
-                once[k, j] = int(home[p[k]]) not in visits[j]
+        abroad, back = np.flatnonzero(near.any(axis=1) & (home[p] != cell)), np.flatnonzero(near.any(axis=0))
+        if len(abroad):
+            # whether the vector at home (column) visits the cell that the one from abroad (row) lives in
+            cells, row = np.unique(home[p[abroad]], return_inverse=True)
+            lists = table.column("visits").take(pa.array(h[back])).combine_chunks()
+            owner = np.repeat(np.arange(len(back)), np.diff(lists.offsets.to_numpy()))
+            seen = lists.flatten().to_numpy()
+            at = np.minimum(np.searchsorted(cells, seen), len(cells) - 1)
+            hit = cells[at] == seen
+            comes = np.zeros((len(cells), len(back)), bool)
+            comes[at[hit], owner[hit]] = True
+            late = near[np.ix_(abroad, back)] & ~once[np.ix_(abroad, back)] & ~comes[row]
+            once[np.ix_(abroad, back)] |= late
         links = np.zeros(table.num_rows, np.int64)
         links[p] += once @ weight[h]
         links[h] += once.T @ weight[p]
@@ -230,7 +260,7 @@ def index(reps: DataFrame, grids: dict[int, tuple[Grid | None, int]]) -> DataFra
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             blobs = batch.column("vec").to_pylist()
-            widths = np.array([len(v) // 8 for v in blobs])
+            widths = np.array([width_of(v) for v in blobs])
             home, visits = np.zeros(len(blobs), np.int64), [[]] * len(blobs)
             for width in np.unique(widths).tolist():
                 at = np.flatnonzero(widths == width)
