@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,9 +53,43 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """The tables staged inside a ``scratch_scope``; those named by ``keep`` outlive it."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def keep(self, path: str) -> None:
+        self.paths.remove(path)
+        outer = _scopes[: _scopes.index(self)][-1:]
+        for scope in outer:
+            scope.paths.append(path)
+
+
+_scopes: list[Scratch] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Scratch]:
+    """Remove at the end what was staged inside: ``with scratch_scope(spark): query(spark, sf).write.parquet(out)``.
+
+    A frame that reads staged tables must be written before the scope ends. Scopes nest; what an inner one keeps belongs to
+    the outer one.
+    """
+    scope = Scratch()
+    _scopes.append(scope)
+    try:
+        yield scope
+    finally:
+        _scopes.remove(scope)
+        discard(spark, *scope.paths)
+
+
 def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write a table once to the shared folder; gives it back with its path, for ``discard`` when its result is written."""
     path = scratch_path(df.sparkSession, name)
+    for scope in _scopes[-1:]:
+        scope.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 

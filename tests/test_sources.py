@@ -155,3 +155,23 @@ def test_report_month(spark, tmp_path):
     (tmp_path / "b.csv").write_text("Регион;A\n")
     with pytest.raises(ValueError, match="b.csv"):
         files.report_months(spark, str(tmp_path))
+
+
+def test_scratch_is_removed(spark):
+    import os
+
+    there = lambda path: os.path.exists(path.removeprefix("file:"))
+    with session.scratch_scope(spark) as outer:
+        first = session.staged(spark.range(3), "x")[1]
+        with session.scratch_scope(spark) as inner:
+            a, b = (session.staged(spark.range(3), "x")[1] for _ in range(2))
+            inner.keep(b)
+            assert there(a) and there(b)
+        assert there(first) and not there(a) and there(b)
+        outer.keep(first)
+    assert there(first) and not there(b)
+    with pytest.raises(InterruptedError), session.scratch_scope(spark):
+        c = session.staged(spark.range(3), "x")[1]
+        raise InterruptedError
+    assert not there(c)
+    session.discard(spark, first)
