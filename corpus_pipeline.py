@@ -16,7 +16,7 @@ from kpimill.llm.minhash import without_near_copies
 from kpimill.llm.packing import pack
 from kpimill.llm.suffix_dedup import without_repeats
 from kpimill.llm.toxicity import fit, without_toxic
-from kpimill.session import materialize
+from kpimill.session import discard, scratch_scope, staged
 
 
 # a passage of 51 words is shorter than 400 bytes more often than not (median 328 in prose); nearly all are longer than this
@@ -84,7 +84,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``. What a stage staged, and the stage before it, is removed when it is written."""
+    docs, place = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch_scope(spark) as scope:
+            docs, written = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            scope.keep(written)
+        if place:
+            discard(spark, place)
+        place = written
     return docs

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpimill.session import materialize
+from kpimill.session import discard, staged
 
 
 def by_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
@@ -25,7 +25,10 @@ def by_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Rec
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
         try:
+            sys._kpimill_used = False
             step = make()
+            if not sys._kpimill_used:  # what another operator's tasks have left here is not needed any more
+                sys._kpimill_kept = None
             for batch in batches:
                 if batch.num_rows:
                     yield step(batch)
@@ -71,9 +74,10 @@ def kept(key: str, make: Callable[[], object]) -> object:
     """What ``make`` builds, kept by the worker process for the next tasks that ask for the same key.
 
     Spark runs many tasks in one Python worker, and tables that fill up as texts come in are worth keeping. Only the last
-    key's object is held. Code shipped by value has no module to keep it in, so it hangs on ``sys``.
+    key's object is held, until tasks of ``by_batch`` run that keep nothing. Code shipped by value has no module to keep it in, so it hangs on ``sys``.
     """
     held = getattr(sys, "_kpimill_kept", None)
+    sys._kpimill_used = True
     if held is None or held[0] != key:
         sys._kpimill_kept = None
         held = sys._kpimill_kept = (key, make())
@@ -95,6 +99,11 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     return [t if t is not None else "" for t in batch.column(column).to_pylist()]
 
 
+def row_texts(batch: pa.RecordBatch, column: str) -> list[str]:
+    """The texts inside ``row``."""
+    return [t if t is not None else "" for t in batch.column("row").field(column).to_pylist()]
+
+
 def spread(df: DataFrame, rows_per_task: int, rows: int) -> int:
     """How many tasks a table of so many rows is dealt to, the session's shuffle width at least."""
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_task))
@@ -164,8 +173,9 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     edge are returned. Alternating large-star and small-star contraction: every round is two aggregations that combine
     before their shuffle and one join, written to the shared folder; nothing is gathered on the driver but two sums.
     """
+    spark = edges.sparkSession
     high, low = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
-    e = materialize(edges.filter(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).select(high, low).distinct(), name)
+    e, place = staged(edges.filter(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).select(high, low).distinct(), name)
     seen = None
     while True:
         state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -175,10 +185,12 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = materialize(large, name)
+        large, between = staged(large, name)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), name)
+        e, after = staged(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), name)
+        discard(spark, place, between)  # a round reads the one before only
+        place = after
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpimill.llm.base import by_batch, row_schema, spread, texts_of, with_row
+from kpimill.llm.base import by_batch, row_schema, row_texts, spread, texts_of, with_row
 from kpimill.session import materialize
 
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
@@ -265,11 +265,11 @@ def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     group are null, all of its rows; rows that share id and text are one document and stay together. A null text is the empty
     one; an empty table gives no rows; other columns may have any names."""
     groups = copy_groups(df, id_col, text_col, batches).select("digest", "keep_id")
-    rows = with_row(df, id=F.col(f"`{id_col}`").cast("long"), text=F.col(f"`{text_col}`"))
+    rows = with_row(df, id=F.col(f"`{id_col}`").cast("long"))
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [hashlib.sha256(t.encode().translate(FOLD)).digest() for t in texts_of(batch, "text")]
+            found = [hashlib.sha256(t.encode().translate(FOLD)).digest() for t in row_texts(batch, text_col)]
             return pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), pa.array(found, pa.binary())], ["row", "id", "digest"])
 
         return step

@@ -67,7 +67,7 @@ class Shingler:
             codes.update((x, xxhash.xxh3_64_intdigest(x)) for x in new)
             w = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
         if len(w) < self.n:
-            return mix((w * self.factors[: len(w)]).sum(keepdims=True) + np.uint64(len(w)) * np.uint64(0x9E3779B97F4A7C15))
+            return mix((w * self.factors[: len(w)]).sum(keepdims=True) + np.uint64(len(w) * 0x9E3779B97F4A7C15 % 2**64))
         last = len(w) - self.n + 1
         total = np.zeros(last, np.uint64)
         for k, f in enumerate(self.factors):

@@ -15,7 +15,7 @@ and the windows that are left one by one; only their ranks are doubled up to the
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpimill.llm.base import by_batch, row_schema, texts_of, with_row
+from kpimill.llm.base import by_batch, row_schema, row_texts, texts_of, with_row
 from kpimill.session import materialize
 
 SIZE = 400
@@ -306,13 +306,13 @@ def repeated_parts(df: DataFrame, text_col: str = "text", size: int = SIZE, with
     return materialize(by_batch(there.join(marked, ["k1", "k2"]), _cut(size, with_text), schema), "repeats")
 
 
-def keyed(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """The first column of ``rows`` with the key, bytes and digest of their ``text``: k1, k2, n_bytes, sha."""
+def keyed(rows: DataFrame, schema: T.StructType, texts: Callable[[pa.RecordBatch], list[str]]) -> DataFrame:
+    """The first column of ``rows`` with the key, bytes and digest of the texts of its batches: k1, k2, n_bytes, sha."""
     carried = schema.names[0]
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            raws = [t.encode() for t in texts_of(batch, "text")]
+            raws = [t.encode() for t in texts(batch)]
             keys = [text_key(r) for r in raws]
             return pa.RecordBatch.from_arrays(
                 [batch.column(carried), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(list(map(len, raws)), pa.int64()), pa.array([hashlib.sha256(r).hexdigest() for r in raws])],
@@ -333,7 +333,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ignored. A text is one row, and so are the places of its repeats: both must fit a task's memory.
     """
     parts = repeated_parts(df, text_col, size)
-    rows = keyed(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), T.StructType.fromDDL(f"doc_id long, {KEYED}"))
+    rows = keyed(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), T.StructType.fromDDL(f"doc_id long, {KEYED}"), lambda b: texts_of(b, "text"))
     return rows.join(parts, ["k1", "k2"], "left").select(
         "doc_id",
         "n_bytes",
@@ -348,7 +348,7 @@ def without_repeats(df: DataFrame, text_col: str = "text", size: int = SIZE) ->
     with it; a text that loses nothing stays as it is, null included. Equal or null ids don't matter; an empty table gives no
     rows; other columns may have any names."""
     parts = repeated_parts(df, text_col, size, with_text=True).select("k1", "k2", "kept_text")
-    rows = with_row(df, text=F.col(f"`{text_col}`"))
-    joined = keyed(rows, row_schema(rows, **dict(c.split() for c in KEYED.split(", ")))).join(parts, ["k1", "k2"], "left")
+    rows = with_row(df)
+    joined = keyed(rows, row_schema(rows, **dict(c.split() for c in KEYED.split(", "))), lambda b: row_texts(b, text_col)).join(parts, ["k1", "k2"], "left")
     field = lambda c: F.col("row")[c]
     return joined.select(*(F.coalesce("kept_text", field(c)).alias(c) if c == text_col else field(c).alias(c) for c in df.columns))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpimill.llm.base import by_batch, kept, row_schema, texts_of, with_row
+from kpimill.llm.base import by_batch, kept, row_schema, row_texts, texts_of, with_row
 from kpimill.llm.labelled import training_rows
 
 WINDOW, STRIDE = 32, 16  # words; a passage of up to 17 words is whole in one window
@@ -475,8 +475,8 @@ def fit(documents: DataFrame, labels: DataFrame, label: str, in_training: Column
     return Network(words, params=params)
 
 
-def _score_rows(rows: DataFrame, net: Network, schema: T.StructType) -> DataFrame:
-    """The first column of ``rows`` with the score of their ``text``."""
+def _score_rows(rows: DataFrame, net: Network, schema: T.StructType, texts: Callable[[pa.RecordBatch], list[str]]) -> DataFrame:
+    """The first column of ``rows`` with the score of the texts of its batches."""
     model = rows.sparkSession.sparkContext.broadcast((list(net.words), net.p))
     name = f"toxicity {uuid.uuid4().hex}"
     carried = schema.names[0]
@@ -485,7 +485,7 @@ def _score_rows(rows: DataFrame, net: Network, schema: T.StructType) -> DataFram
         scorer = kept(name, lambda: Scorer(Network(model.value[0], params=model.value[1])))
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = scorer.net.probability(scorer.highest(texts_of(batch, "text")))
+            found = scorer.net.probability(scorer.highest(texts(batch)))
             return pa.RecordBatch.from_arrays([batch.column(carried), pa.array(found)], [carried, "score"])
 
         return step
@@ -502,7 +502,7 @@ def score(df: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "
     for its next tasks.
     """
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return _score_rows(rows, net, T.StructType.fromDDL("doc_id long, score double"))
+    return _score_rows(rows, net, T.StructType.fromDDL("doc_id long, score double"), lambda b: texts_of(b, "text"))
 
 
 def without_toxic(df: DataFrame, net: Network, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
@@ -511,5 +511,5 @@ def without_toxic(df: DataFrame, net: Network, threshold: float = 0.5, text_col:
     Null and empty texts are scored as one window without words; rows with equal or null ids are judged one by one; an empty
     table gives no rows; other columns may have any names.
     """
-    rows = with_row(df, text=F.col(f"`{text_col}`"))
-    return _score_rows(rows, net, row_schema(rows, score="double")).filter(F.col("score") < threshold).select("row.*")
+    rows = with_row(df)
+    return _score_rows(rows, net, row_schema(rows, score="double"), lambda b: row_texts(b, text_col)).filter(F.col("score") < threshold).select("row.*")
