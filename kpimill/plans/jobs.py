@@ -330,7 +330,8 @@ def read_cdr(feed: DataFrame, file_col: str = "data_source", carrier_types=fv.CA
     else:
         df = project.compute_once(df, {"CARRIER_TYPE": F.regexp_extract(carrier, fv.CARRIER_TYPE_PATTERN, 1)})
     df = df.where(F.col("CARRIER_TYPE").isin(*carrier_types) & ~F.col("CARRIER").isin(*fv.EXCLUDED_CARRIERS))
-    df = df.withColumnRenamed("CDR_DATE", "__text_date")
+    # read twice from here on, for the formats of the files' dates and for the records: cut and gated once
+    df = materialize(df.withColumnRenamed("CDR_DATE", "__text_date"), "gated")
     df = coltypes.parse_dates(df, "__text_date", fv.CDR_DATE_FORMATS, [file_col], "CDR_DATE", "CDR_MONTH")
     undated = F.when(filled("__text_date") & F.col("CDR_DATE").isNull(), 1).otherwise(0)
     return df.withColumn("unreadable", F.col("unreadable") + undated)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,7 +13,7 @@ from kpimill.functions import fixed_values as fv
 from kpimill.operators import reshape
 from kpimill.plans.registry import query
 from kpimill.session import scratch_path
-from kpimill.sinks import tables
+from kpimill.sinks import tables, versions
 from kpimill.sources import analog as A
 from kpimill.sources import files, pages, workbook
 from kpimill.sources.analog import table, with_views
@@ -303,6 +304,27 @@ def replace_slice(spark, sf):
     return _plan_rows(spark, path, plan)
 
 
+@query("replace_slice_versions", with_views("plan_monthly", f"""
+    SELECT 'prepared' AS step, param_1, count(*) AS rows, round(sum(param_value), 2) AS total FROM plan_monthly GROUP BY 2
+    UNION ALL SELECT s, param_1, count(*), round(sum(param_value), 2) FROM plan_monthly, (VALUES ('written'), ('listed')) v(s) GROUP BY 1, 2
+    UNION ALL SELECT 'committed', param_1, count(*), round(sum(CASE WHEN {_SLICE} THEN param_value + 1 ELSE param_value END), 2) FROM plan_monthly
+      WHERE NOT ({_SLICE}) OR param_2 <> '5-LOW' GROUP BY 2"""))
+def replace_slice_versions(spark, sf):
+    """What a reader finds in a versioned table before each step of a slice replacement: the old rows until the commit, the new
+    ones after it."""
+    plan, seen = A.plan_monthly(spark, sf), []
+    stored = versions.open_table(spark, scratch_path(spark, "plan-versions"), plan.schema, _PARTS)
+    stored.replace(F.lit(True), plan)
+
+    def look(step):
+        found = versions.VersionedTable(spark, stored.path).read()
+        seen.append(found.groupBy("param_1").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("param_value"), 2).alias("total")).withColumn("step", F.lit(step)))
+
+    stored.watch = look
+    stored.replace(F.expr(_SLICE), plan.where(f"{_SLICE} AND param_2 <> '5-LOW'").withColumn("param_value", F.col("param_value") + 1))
+    return reduce(DataFrame.unionByName, seen).select("step", "param_1", "rows", "total")
+
+
 @query("replace_slice_neighbours", with_views("plan_monthly", """
     SELECT report_date, param_1, param_2, branch_id, CASE WHEN param_1 = 'BU' AND param_2 = '2-HIGH' AND year(report_date) = 1996 THEN param_value + 1
       ELSE param_value END AS param_value FROM plan_monthly"""))
