@@ -1,9 +1,10 @@
 """Period cube: KPI arms at fixed grains with exact distinct counts and end-of-period snapshots.
 
 All lot arms of all requested windows are computed from one scan of the lots. Every lot is turned into
-the few (arm, period) entries it belongs to; the entries are summed per (arm, keys, subscriber), and
-the per-subscriber rows then give both the distinct count and the sums. Both steps combine map-side, and
-the first exchange is on the keys *and* the subscriber, so a group that holds much of the data is spread.
+one row per party, and that only once exchanged into the few (arm, period) entries it belongs to; the entries
+are summed per (arm, keys, subscriber), and the per-subscriber rows then give both the distinct count and the
+sums. The first exchange spreads a group over tasks by its subscribers, so one that holds much of the data is
+no single task's work.
 """
 
 from __future__ import annotations
@@ -70,65 +71,76 @@ def seller_type(company: str = COMPANY_SELLER) -> Column:
     return F.expr(_seller_sql(company))
 
 
-# Grouping columns of an entry: a small code stands for the (window, arm) pair until the last projection,
-# so its two texts are not shuffled with every row.
-_GROUP_KEYS = {"code": "smallint", **{k: t for k, t in ENTRY_KEYS.items() if k not in ("period", "table_name")}}
-_ENTRY = {**_GROUP_KEYS, "subs_id": "bigint", "lot_id": "bigint", "lot_volume": "double", "lot_value": "double"}
+# Grouping columns of an entry: small codes stand for the (window, arm) pair, the seller type and the status until the last
+# projection, so their texts are not shuffled with every row; branch and plan are those of the party the row is about.
+_STATES = ("sold", "revoked", "expired", "active", "undefined")
+_ENTRY = {"code": "smallint", "report_date": "date", "purchase_date": "date", "own": "boolean", "tp": "bigint", "status": "tinyint",
+          "lot": "tinyint", "volume": "double", "value": "double"}
+SELLER_ARMS = ("sellers", "revoked", "distinct_sellers", "distinct_all")
+PURCHASER_ARMS = ("purchasers", "distinct_purchasers", "distinct_all")
+# Tasks that share a group of lots by their subscribers: a group that holds much of the data is spread over them, and a group
+# comes in at most so many parts to the second exchange.
+SPREAD = 32
 
 
-def _entry(code: int, win: Window, date: str, lot: bool = True, **known: str) -> str:
-    """SQL of the row a lot adds to one arm in one window, or NULL when its date is outside."""
-    known = {"code": str(code), "report_date": trunc_sql(date, win.kind), **known}
-    if lot:
-        known |= {"lot_id": "lot_id", "lot_volume": "lot_volume", "lot_value": "lot_value"}
-    fields = ", ".join(f"'{k}', CAST({known.get(k, 'NULL')} AS {t})" for k, t in _ENTRY.items())
-    return f"CASE WHEN {win.sql(date)} THEN named_struct({fields}) END"
+def _struct(types: dict[str, str], known: dict[str, str]) -> str:
+    return "named_struct({})".format(", ".join(f"'{k}', CAST({known.get(k, 'NULL')} AS {t})" for k, t in types.items()))
 
 
-def _lot_entries(code: int, arm: str, win: Window, with_status: bool, purchasers_by: str, company: str) -> list[str]:
-    by_seller = {"traffic_type": "traffic_type", "branch_id_seller": "branch_id_seller"}
-    by_purchaser = {"traffic_type": "traffic_type", "branch_id_purchaser": "branch_id_purchaser"}
-    seller, purchaser = {"subs_id": "subs_id_seller"}, {"subs_id": "subs_id_purchaser"}
-    seller_kind = {"seller_type": _seller_sql(company)}
-    detail = (
-        {"purchase_date": trunc_sql("lot_purchase_date", win.kind), "status": STATUS_SQL} if with_status else {}
-    )
-    if arm == "sellers":
-        keys = by_seller | seller_kind | {"tp_id_seller": "tp_id_seller"} | detail
-        return [_entry(code, win, "lot_placement_date", **seller, **keys)]
-    if arm == "purchasers":
-        by_purchase = purchasers_by == "purchase"
-        kind = {"seller_type": f"'{OWN_SELLER}'"} if by_purchase else seller_kind
-        keys = by_purchaser | kind | {"tp_id_purchaser": "tp_id_purchaser"} | detail
-        date = "lot_purchase_date" if by_purchase else "lot_placement_date"
-        return [f"CASE WHEN lot_purchase_date IS NOT NULL THEN {_entry(code, win, date, **purchaser, **keys)} END"]
+def _arm_date(arm: str, side: str, purchasers_by: str) -> str:
+    """The date of a lot that an arm counts it under."""
     if arm == "revoked":
-        keys = by_seller | seller_kind | {"tp_id_seller": "tp_id_seller"}
-        return [_entry(code, win, "subs_revocation_date", **keys)]
-    if arm == "distinct_sellers":
-        return [_entry(code, win, "lot_placement_date", **seller, **by_seller)]
-    if arm == "distinct_purchasers":
-        return [_entry(code, win, "lot_purchase_date", **purchaser, **by_purchaser)]
-    if arm == "distinct_all":
-        # both roles land in the same group, so a trader in both roles is counted once
-        sides = (("lot_placement_date", seller, "branch_id_seller"), ("lot_purchase_date", purchaser, "branch_id_purchaser"))
-        return [
-            _entry(code, win, date, False, traffic_type="traffic_type", branch_id_seller=br, branch_id_purchaser=br, **who)
-            for date, who, br in sides
-        ]
-    raise ValueError(f"unknown arm {arm!r}")
-
-
-def _arm_dates(arm: str, purchasers_by: str) -> set[str]:
+        return "subs_revocation_date"
     if arm == "purchasers":
-        return {f"lot_{purchasers_by}_date"}
-    return {
-        "sellers": {"lot_placement_date"},
-        "revoked": {"subs_revocation_date"},
-        "distinct_sellers": {"lot_placement_date"},
-        "distinct_purchasers": {"lot_purchase_date"},
-        "distinct_all": {"lot_placement_date", "lot_purchase_date"},
-    }[arm]
+        return f"lot_{purchasers_by}_date"
+    return "lot_placement_date" if side == "seller" else "lot_purchase_date"
+
+
+def _sides(arms: Iterable[str]) -> list[tuple[str, str]]:
+    """(arm, side) of the lot-based arms; both roles land in one group of the last arm, so a trader in both is counted once."""
+    unknown = [a for a in arms if a not in TABLE_NAMES]
+    if unknown:
+        raise ValueError(f"unknown arm {unknown[0]!r}")
+    of = {"seller": SELLER_ARMS, "purchaser": PURCHASER_ARMS}
+    return [(a, side) for a in arms for side, known in of.items() if a in known]
+
+
+def _party_rows(lots: DataFrame, windows: list[Window], sides: list[tuple[str, str]], with_status: bool, purchasers_by: str) -> DataFrame:
+    """One row per lot and party: what the arms of that side need to know of the lot, if one of them counts it."""
+    dates = sorted({_arm_date(a, s, purchasers_by) for a, s in sides} | ({"lot_purchase_date"} if with_status or ("purchasers", "purchaser") in sides else set()))
+    types = {"seller": "boolean", **dict.fromkeys(dates, "date"), "own": "boolean", "traffic_type": "string", "branch": "int", "tp": "bigint",
+             "status": "tinyint", "subs_id": "bigint", "lot": "tinyint", "volume": "double", "value": "double"}
+    state = "array_position(array({}), {})".format(", ".join(f"'{s}'" for s in _STATES), STATUS_SQL) if with_status else "NULL"
+    parties = []
+    for side in ("seller", "purchaser"):
+        wanted = sorted({w.sql(_arm_date(a, s, purchasers_by)) for w in windows for a, s in sides if s == side})
+        if wanted:
+            known = {
+                "seller": str(side == "seller"), **{d: d for d in dates}, "own": "coalesce(subs_flag = 1, false)", "traffic_type": "traffic_type",
+                "branch": f"branch_id_{side}", "tp": f"tp_id_{side}", "status": state, "subs_id": f"subs_id_{side}",
+                "lot": "CASE WHEN lot_id IS NOT NULL THEN 1 END", "volume": "lot_volume", "value": "lot_value",
+            }
+            if all(a.startswith("distinct") for a, _ in sides):  # their lots need not have plans and flags
+                known |= {"own": "NULL", "tp": "NULL", "status": "NULL"}
+            bought = "" if side == "seller" else "lot_purchase_date IS NOT NULL AND "
+            parties.append(f"CASE WHEN {bought}({' OR '.join(wanted)}) THEN {_struct(types, known)} END")
+    # a filter on the plain date columns, so that it reaches the scan
+    needed = sorted({w.sql(_arm_date(a, s, purchasers_by)) for w in windows for a, s in sides})
+    return lots.where(" OR ".join(needed)).selectExpr(f"explode(array({', '.join(parties)})) AS p").where("p IS NOT NULL").select("p.*")
+
+
+def _entry(code: int, arm: str, side: str, win: Window, with_status: bool, purchasers_by: str) -> str:
+    """SQL of the entry that a party's row adds to one arm in one window, or NULL when its date is outside."""
+    date = _arm_date(arm, side, purchasers_by)
+    known = {"code": str(code), "report_date": trunc_sql(date, win.kind)}
+    if arm != "distinct_all":
+        known |= {"lot": "lot", "volume": "volume", "value": "value"}
+    if not arm.startswith("distinct"):
+        by_purchase = arm == "purchasers" and purchasers_by == "purchase"
+        known |= {"own": "true" if by_purchase else "own", "tp": "tp"}
+        if with_status and arm != "revoked":
+            known |= {"purchase_date": trunc_sql("lot_purchase_date", win.kind), "status": "status"}
+    return f"CASE WHEN {'' if side == 'seller' else 'NOT '}seller AND {win.sql(date)} THEN {_struct(_ENTRY, known)} END"
 
 
 def lot_arms(
@@ -139,21 +151,27 @@ def lot_arms(
     purchasers_by: str = "placement",
     company: str = COMPANY_SELLER,
 ) -> DataFrame:
-    """The lot-based arms over all windows, from one scan and two exchanges."""
-    pairs = [(w, a) for w in windows for a in arms if a != "base"]
-    entries = [
-        e for code, (w, a) in enumerate(pairs) for e in _lot_entries(code, a, w, with_status, purchasers_by, company)
-    ]
-    # a filter on the plain date columns, so that it reaches the scan
-    needed = sorted({w.sql(d) for w, a in pairs for d in _arm_dates(a, purchasers_by)})
-    keys = list(_GROUP_KEYS)
-    per_subscriber = (
-        lots.where(" OR ".join(needed))
-        .selectExpr(f"explode(array({', '.join(entries)})) AS e")
-        .where("e IS NOT NULL")
-        .select("e.*")
-        .groupBy(*keys, "subs_id")
-        .agg(F.expr("count(lot_id) AS lots"), F.expr("sum(lot_volume) AS volume"), F.expr("sum(lot_value) AS value"))
+    """The lot-based arms over all windows, from one scan and two exchanges.
+
+    The first exchange moves one row per lot and party, whatever the number of arms and windows: to the task of its group's
+    columns that all arms have in common and of its share of the subscribers. There the entries of all arms and windows are
+    made and summed per subscriber and then per group; the second exchange moves one row per group and task.
+    """
+    windows, sides = list(windows), _sides([a for a in arms if a != "base"])
+    pairs = [(w, a) for w in windows for a in dict.fromkeys(a for a, _ in sides)]
+    entries = [_entry(code, a, s, w, with_status, purchasers_by) for code, (w, a) in enumerate(pairs) for b, s in sides if b == a]
+    rows = _party_rows(lots, windows, sides, with_status, purchasers_by)
+    # lots without a subscriber are never compared, so any spread of them will do
+    dates = ", ".join(c for c in rows.columns if c.endswith("_date"))
+    rows = rows.withColumn("spread", F.expr(f"CAST(pmod(xxhash64(coalesce(subs_id, xxhash64({dates}))), {SPREAD}) AS TINYINT)"))
+    shared = ["traffic_type", "branch"] + ([] if any(a.startswith("distinct") for _, a in pairs) else ["tp"])
+    # a number of its own keeps the partitions from being merged: what comes of a row is larger than the row
+    parts = int(lots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    made = rows.repartition(parts, *shared, "spread").selectExpr(*shared, "spread", "subs_id", f"explode(array({', '.join(entries)})) AS e")
+    made = made.where("e IS NOT NULL").selectExpr(*shared, "spread", "subs_id", *[f"e.{k}" for k in _ENTRY if k not in shared])
+    keys = ["code", "report_date", "purchase_date", "own", "traffic_type", "branch", "tp", "status"]
+    per_subscriber = made.groupBy(*keys, "spread", "subs_id").agg(
+        F.expr("count(lot) AS lots"), F.expr("sum(volume) AS volume"), F.expr("sum(value) AS value")
     )
     grouped = per_subscriber.groupBy(*keys).agg(
         F.expr("count(subs_id) AS subs"),
@@ -163,10 +181,19 @@ def lot_arms(
     )
     texts = lambda values: "element_at(array({}), code + 1)".format(", ".join(f"'{v}'" for v in values))
     codes = lambda *names: "code IN ({})".format(", ".join(str(i) for i, p in enumerate(pairs) if p[1] in names) or "-1")
+    of = {
+        "revocation_date": "CAST(NULL AS DATE)",
+        "seller_type": f"CASE WHEN own THEN '{OWN_SELLER}' WHEN NOT own THEN '{company}' END",
+        "branch_id_seller": f"CASE WHEN {codes(*SELLER_ARMS)} THEN branch END",
+        "branch_id_purchaser": f"CASE WHEN {codes(*PURCHASER_ARMS)} THEN branch END",
+        "tp_id_seller": f"CASE WHEN {codes(*SELLER_ARMS)} THEN tp END",
+        "tp_id_purchaser": f"CASE WHEN {codes(*PURCHASER_ARMS)} THEN tp END",
+        "status": "CASE status {} END".format(" ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(_STATES, 1))),
+    }
     return grouped.selectExpr(
         f"{texts([w.kind for w, _ in pairs])} AS period",
         f"{texts([TABLE_NAMES[a] for _, a in pairs])} AS table_name",
-        *[k for k in keys if k != "code"],
+        *[f"{of.get(k, k)} AS {k}" for k in ENTRY_KEYS if k not in ("period", "table_name")],
         f"CASE WHEN {codes('sellers', 'distinct_sellers', 'distinct_all')} THEN subs END AS sellers_count",
         f"CASE WHEN {codes('purchasers', 'distinct_purchasers', 'distinct_all')} THEN subs END AS purchasers_count",
         f"CASE WHEN NOT {codes('distinct_all')} THEN lots END AS lot_count",

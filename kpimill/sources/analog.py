@@ -27,11 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Marketplace lots: placement, purchase and revocation dates, both parties, volume and value."""
+    """Marketplace lots: placement, purchase and revocation dates, both parties, volume and value.
+
+    Customers join the orders, not the lots, so the lots move once.
+    """
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
     return (
         table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey")
-        .join(table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
+        .join(orders.join(table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey"), "o_custkey"), "l_orderkey")
         .join(table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey")
         .selectExpr(
             "l_orderkey AS lot_id",

@@ -113,3 +113,31 @@ def test_calendar_functions(spark):
     leap = spark.createDataFrame([(D(2020, 2, 29), 5.0)], "d date, v double")
     assert rows(P.shift_year(leap, "d", -1, "v")) == [(D(2019, 2, 28), 0.0)]
     assert rows(leap.select(P.make_month(F.lit(" 2021"), F.lit("3")))) == [(D(2021, 3, 1),)]
+
+
+KINDS = [P.window("daily", D(2021, 1, 1), D(2021, 3, 31)), P.window("weekly", D(2021, 1, 4), D(2021, 3, 28)), P.window("monthly", D(2021, 1, 1), D(2021, 3, 31))]
+
+
+@pytest.mark.parametrize("arms", [C.PRODUCTION_ARMS, C.ALL_ARMS])
+def test_one_row_per_lot_and_party_is_exchanged(lots, arms):
+    """The entries of arms and windows are made behind the first exchange, not carried through it."""
+    plan = C.lot_arms(lots, KINDS, arms)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if " Exchange hashpartitioning(" in line]
+    assert len(exchanges) == 2 and "spread" in exchanges[1] and "spread" not in exchanges[0]
+    below = plan[plan.index(exchanges[1]):].split("(1) Scan")[0]
+    entries = [line for line in below.splitlines() if "Generate explode(" in line]
+    assert len(entries) == 1 and entries[0].count("named_struct(") == 2
+
+
+def test_spread_groups_count_every_subscriber_once(spark):
+    """More subscribers than spreads in one group, each with several lots on several days, and lots of nobody."""
+    data = [(i, 1, i % 100 if i % 10 else None, D(2021, 1, 1 + i % 28), D(2021, 2, 1)) for i in range(1000)]
+    df = spark.createDataFrame(data, "lot_id bigint, subs_flag int, id bigint, lot_placement_date date, lot_purchase_date date").selectExpr(
+        "*", "id AS subs_id_seller", "id + 50 AS subs_id_purchaser", "CAST(NULL AS DATE) AS subs_revocation_date", "CAST(NULL AS INT) AS sys_revocation_flag",
+        "'t' AS traffic_type", "1 AS branch_id_seller", "1 AS branch_id_purchaser", "1L AS tp_id_seller", "2L AS tp_id_purchaser", "1.0D AS lot_volume", "2.0D AS lot_value")
+    out = C.lot_arms(df, [KINDS[2]], ["sellers", "purchasers", "distinct_sellers", "distinct_all"], with_status=False, purchasers_by="purchase")
+    got = {(r.table_name, r.report_date.month): (r.sellers_count, r.purchasers_count, r.lot_count, r.lot_volume, r.tp_id_seller, r.tp_id_purchaser) for r in out.collect()}
+    assert got == {
+        ("sellers", 1): (90, None, 1000, 1000.0, 1, None), ("purchasers", 2): (None, 90, 1000, 1000.0, None, 2),
+        ("distinct sellers by traffic type", 1): (90, None, 1000, 1000.0, None, None),
+        ("distinct all subs", 1): (90, 90, None, None, None, None), ("distinct all subs", 2): (90, 90, None, None, None, None)}
