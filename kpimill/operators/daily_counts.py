@@ -2,7 +2,8 @@
 
 A day's subscribers of a group are bitmaps of 32,768 neighbouring ids each. Weeks and months are unions of their days'
 bitmaps, so no period has to go back to the lots, and when a day is loaded again only that day's bitmaps are made again.
-Lot counts, volumes and values of the day stand beside the bitmaps and are added up. Bitmaps suit ids that are numbered
+Lot counts, volumes and values of the day stand beside the bitmaps and are added up. The subscribers of both roles together
+are the union of the sellers' and the purchasers' bitmaps, made when they are counted, not stored. Bitmaps suit ids that are numbered
 densely; a bitmap of few ids costs its 4 KB in memory, though little on disk.
 """
 
@@ -37,7 +38,7 @@ def _side(arm: str, role: str, date: str, wanted: str, with_lot: bool) -> str:
 def daily_bitmaps(lots: DataFrame, wanted: str = "{d} IS NOT NULL", arms: Iterable[str] = DISTINCT_ARMS) -> DataFrame:
     """Bitmaps and sums per day, arm, group and bucket of ids, from one scan of the lots. ``wanted`` is SQL on a date ``{d}``.
 
-    A row of no bucket holds the lots without a subscriber; they count as lots, not as subscribers.
+    ``distinct_all`` has no rows of its own where both other arms are there. A row of no bucket holds the lots without a subscriber; they count as lots, not as subscribers.
     """
     sold, bought = "lot_placement_date", "lot_purchase_date"
     entries = {
@@ -45,13 +46,19 @@ def daily_bitmaps(lots: DataFrame, wanted: str = "{d} IS NOT NULL", arms: Iterab
         "distinct_purchasers": [("purchaser", bought, True)],
         "distinct_all": [("seller", sold, False), ("purchaser", bought, False)],
     }
+    arms = list(arms)
+    if {"distinct_sellers", "distinct_purchasers"} <= set(arms):
+        arms = [a for a in arms if a != "distinct_all"]
     parts = [_side(a, role, date, wanted, lot) for a in arms for role, date, lot in entries[a]]
     dates = {date for a in arms for _, date, _ in entries[a]}
     needed = " OR ".join(wanted.format(d=f"CAST({d} AS DATE)") for d in sorted(dates))
     rows = lots.where(needed).selectExpr(f"explode(array({', '.join(parts)})) AS e").where("e IS NOT NULL").select("e.*")
     keys = ["day", "arm", "traffic_type", "branch_id"]
+    # the ids are exchanged, not the bitmaps that a task could make of its own few: those hold less the more tasks there are
+    parts = int(lots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.withColumn("bucket", F.expr("bitmap_bucket_number(subs_id)")).repartition(parts, *keys, "bucket")
     return (
-        rows.groupBy(*keys, F.expr("bitmap_bucket_number(subs_id)").alias("bucket"))
+        rows.groupBy(*keys, "bucket")
         .agg(
             F.expr("bitmap_construct_agg(bitmap_bit_position(subs_id))").alias("bitmap"),
             F.count("lot").alias("lots"), F.sum("volume").alias("volume"), F.sum("value").alias("value"),
@@ -72,8 +79,14 @@ def refresh_days(table: VersionedTable, lots: DataFrame, days: Iterable[dt.date]
     return table.replace(F.expr(wanted.format(d="day")), daily_bitmaps(lots, wanted), batch)
 
 
-def distinct_counts(daily: DataFrame, windows: list[Window]) -> DataFrame:
+def distinct_counts(daily: DataFrame, windows: list[Window], arms: Iterable[str] = DISTINCT_ARMS) -> DataFrame:
     """The distinct arms of the period cube over the windows, in its layout, from daily bitmaps."""
+    arms = list(arms)
+    if "distinct_all" in arms:
+        measures = ("lots", "volume", "value")
+        both = daily.where("arm <> 'distinct_all'").withColumns({"arm": F.lit("distinct_all"), **{c: F.lit(None).cast(daily.schema[c].dataType) for c in measures}})
+        daily = daily.unionByName(both)
+    daily = daily.where(F.col("arm").isin(arms))
     out = None
     for win in windows:
         keys: list[Column] = [F.expr(trunc_sql("day", win.kind)).alias("report_date"), *(F.col(c) for c in ("arm", "traffic_type", "branch_id"))]

@@ -10,7 +10,7 @@ from kpimill.functions import periods as P
 from kpimill.operators import cube as C
 from kpimill.operators import daily_counts
 from kpimill.plans.registry import query
-from kpimill.session import scratch_path
+from kpimill.session import materialize, scratch_path
 from kpimill.sinks import versions
 from kpimill.sources import analog as A
 from kpimill.sources.analog import with_views
@@ -128,7 +128,10 @@ _CHANGED = [dt.date(1997, 3, d) for d in (3, 4, 31)] + [dt.date(1997, 4, 1)]
 def cube_distinct_refreshed(spark, sf):
     """Distinct counts of weeks and months from daily bitmaps. A few days were loaded with wrong sellers and volumes; only
     they are made again, and all periods over them are right."""
-    lots = A.lots(spark, sf)
+    needed = ["lot_id", "lot_volume", "lot_value", "traffic_type"] + [
+        f"{c}_{role}" for c in ("subs_id", "branch_id") for role in ("seller", "purchaser")]
+    # read for the first load, for the wrong days and for the refresh
+    lots = materialize(A.lots(spark, sf).select("lot_placement_date", "lot_purchase_date", *needed), "lots")
     changed = F.col("lot_placement_date").cast("date").isin(_CHANGED)
     wrong = lots.withColumns({"subs_id_seller": F.expr("subs_id_seller + 100000"), "traffic_type": F.lit("wrong")}).where(changed)
     days = daily_counts.days_sql(_CHANGED)

@@ -20,10 +20,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from kpimill.session import discard, staged
 from kpimill.sinks.tables import _delete, _refuse_outside, exists
 
 
+CODEC = "zstd"  # bitmaps and sketches are mostly zeros, which other codecs leave three times as large
+
+
 class Conflict(RuntimeError):
     """Another writer committed the version that this one was about to."""
 
@@ -121,21 +123,21 @@ class VersionedTable:
     def _keys(self, manifest: dict) -> list[Column]:
         return [F.col(c).cast("string").alias(f"__p{i}") for i, c in enumerate(manifest["partition_by"])]
 
-    def _write(self, df: DataFrame, manifest: dict) -> list[dict]:
-        """Write rows to a folder of their own; gives its file sets with their rows."""
-        folder, keys = f"data/{uuid.uuid4().hex}", self._keys(manifest)
-        target = f"{self.path}/{folder}"
-        if not keys:
-            df.write.parquet(target)
-            n = self.spark.read.schema(df.schema).parquet(target).count()
-            return [{"folder": folder, "values": [], "rows": n}] if n else []
+    def _write(self, df: DataFrame, manifest: dict, folder: str, inside: Column | None = None) -> tuple[list[dict], int]:
+        """Write rows to a folder of their own; gives its file sets with their rows, and how many rows are not ``inside``."""
+        keys, target = self._keys(manifest), f"{self.path}/{folder}"
         names = [f"__p{i}" for i in range(len(keys))]
-        df.select("*", *keys).hint("rebalance", *map(F.col, names)).write.partitionBy(*names).parquet(target)
+        if keys:
+            df.select("*", *keys).hint("rebalance", *map(F.col, names)).write.partitionBy(*names).parquet(target, compression=CODEC)
+        else:
+            df.write.parquet(target, compression=CODEC)
         texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        counts = self.spark.read.schema(T.StructType(df.schema.fields + texts.fields)).parquet(target).groupBy(*names).count().collect()
+        outside = F.count_if(F.lit(False) if inside is None else ~inside)
+        written = self.spark.read.schema(T.StructType(df.schema.fields + texts.fields)).parquet(target)
+        counts = [r for r in written.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), outside.alias("out")).collect() if r["n"]]
         paths = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
         place = lambda r: "/".join([folder, *(paths.getPartitionPathString(n, r[n]) for n in names)])
-        return [{"folder": place(r), "values": [r[n] for n in names], "rows": r["count"]} for r in counts]
+        return [{"folder": place(r), "values": [r[n] for n in names], "rows": r["n"]} for r in counts], sum(r["out"] for r in counts)
 
     def replace(
         self, predicate: Column, df: DataFrame | None = None, batch: tuple[str, int] | None = None, notes: object = None
@@ -149,27 +151,26 @@ class VersionedTable:
         if batch and self.seen(*batch):
             return {"deleted": 0, "inserted": 0}
         m = self.manifest()
-        schema, keys, inside = T.StructType.fromJson(m["schema"]), self._keys(m), F.coalesce(predicate, F.lit(False))
-        counted = lambda rows: {tuple(r[:-1]): r[-1] for r in rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect() if r[-1]}
-        new, stage, gained = self._frame(m, []), None, {}
+        keys, inside, folder = self._keys(m), F.coalesce(predicate, F.lit(False)), f"data/{uuid.uuid4().hex}"
+        added: list[dict] = []
         if df is not None:
-            new, stage = staged(df.select(*schema.names), "slice")
-            outside = new.where(~inside).count()
+            # written once, to where they stay: no manifest names them before the commit
+            schema = T.StructType.fromJson(m["schema"])
+            added, outside = self._write(self._frame(m, []).unionByName(df.select(*schema.names)), m, f"{folder}/new", inside)
             if outside:
-                discard(self.spark, stage)
+                _delete(self.spark, f"{self.path}/{folder}")
                 _refuse_outside(outside)
-            gained = counted(new)
+        gained = {tuple(e["values"]): e["rows"] for e in added}
         self.watch("prepared")
+        counted = lambda rows: {tuple(r[:-1]): r[-1] for r in rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect() if r[-1]}
         lost = counted(self._frame(m, m["files"]).where(predicate))
-        touched = set(lost) | set(gained)
-        stays = [e for e in m["files"] if tuple(e["values"]) not in touched]
-        changed = [e for e in m["files"] if tuple(e["values"]) in touched]
-        made = self._write(self._frame(m, changed).where(~inside).unionByName(new), m) if touched else []
+        # of partitions that lose rows the others are written again; one that only gains keeps its files
+        stays = [e for e in m["files"] if tuple(e["values"]) not in lost]
+        changed = [e for e in m["files"] if tuple(e["values"]) in lost]
+        made = added + (self._write(self._frame(m, changed).where(~inside), m, f"{folder}/kept")[0] if changed else [])
         self.watch("written")
         ledger = {**m["ledger"], batch[0]: batch[1]} if batch else m["ledger"]
         self._commit({**m, "version": m["version"] + 1, "files": stays + made, "ledger": ledger, "notes": notes})
-        if stage:
-            discard(self.spark, stage)
         return {"deleted": sum(lost.values()), "inserted": sum(gained.values())}
 
     def expire(self, keep: int = 2, older_than: dt.timedelta = dt.timedelta(days=1)) -> int:

@@ -65,3 +65,15 @@ def test_statistics_of_changed_partitions(spark, tmp_path):
     for share, q in zip(statistics.QUANTILES, got["v"]["quantiles"]):
         assert abs(sum(v < q for v in values) / len(values) - share) <= statistics.RANK_ERROR
     assert got["d"]["quantiles"] is None and got["d"]["high_text"] == "2021-01-28"
+
+
+def test_bitmaps_are_made_behind_one_exchange(spark):
+    """Ids are exchanged, not bitmaps; both roles together are a union of the others, of which nothing is stored."""
+    daily = daily_counts.daily_bitmaps(lots(spark))
+    plan = daily._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "bitmap_construct_agg" not in plan[plan.index("Exchange "):].split("Arguments")[0]
+    assert {r.arm for r in daily.select("arm").distinct().collect()} == {"distinct_sellers", "distinct_purchasers"}
+    windows = [window("monthly", D(2021, 1, 1), D(2021, 3, 31))]
+    alone = daily_counts.distinct_counts(daily_counts.daily_bitmaps(lots(spark), arms=["distinct_all"]), windows, ["distinct_all"])
+    assert rows(alone, "report_date", "traffic_type", "branch_id_seller", "sellers_count") == rows(
+        daily_counts.distinct_counts(daily, windows).where("table_name = 'distinct all subs'"), "report_date", "traffic_type", "branch_id_seller", "sellers_count")

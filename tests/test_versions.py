@@ -102,3 +102,20 @@ def test_arrivals(spark, tmp_path):
     run()
     run()
     assert rows(table.read().select("data_source").distinct()) == [("two.csv",)] and table.versions() == [1, 2, 3, 4]
+
+
+def test_new_rows_are_written_once(spark, tmp_path):
+    """Nothing is staged beside the table, files of partitions that lose nothing stay, and a refused change leaves no files."""
+    from kpimill.session import scratch_scope
+
+    table = made(spark, str(tmp_path / "t"), ["p"])
+    held = {tuple(e["values"]): e["folder"] for e in table.manifest()["files"]}
+    with scratch_scope(spark) as scope:
+        table.replace(F.col("v") > 9, spark.createDataFrame([("a", None, 12)], SCHEMA))
+        assert scope.paths == []
+    files = table.manifest()["files"]
+    assert {tuple(e["values"]) for e in files} == set(held) and len(files) == 4 and set(held.values()) < {e["folder"] for e in files}
+    folders = sorted(f.name for f in (tmp_path / "t" / "data").iterdir())
+    with pytest.raises(ValueError, match="1 new rows lie outside"):
+        table.replace(on_day(), spark.createDataFrame([START[1]], SCHEMA))
+    assert sorted(f.name for f in (tmp_path / "t" / "data").iterdir()) == folders
