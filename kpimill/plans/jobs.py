@@ -230,13 +230,14 @@ def load_plan(
 ) -> None:
     """Back up the slice, replace it with the daily plan, keep only the newest forecast version.
 
-    The slice is described on the parameters' columns and cut by version (param_1), the table's partition.
+    The slice is described on the parameters' columns and cut by version (param_1), the table's partition. The daily rows, up to
+    31 times the monthly ones, are made where they are written: they are neither staged nor exchanged.
     """
     params, stage = staged(plan_params(raw, codes), "plan-params")  # monthly rows, used three times
     spec = spec.resolve(params)
     cond = spec.column()
     tables.backup_slice(spark, path, backup, cond, ["param_1"])
-    tables.replace_slice(spark, path, cond, daily_plan(params.where(cond), account), ["param_1"])
+    tables.replace_slice(spark, path, cond, daily_plan(params.where(cond), account), ["param_1"], stored=True, gather=False)
     keep_latest_forecast(spark, path)
     discard(spark, stage)
 

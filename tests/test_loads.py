@@ -417,3 +417,26 @@ def test_late_ticks_change_their_bars(spark, tmp_path):
     batch = spark.read.parquet(str(src))
     whole = market.merged_bars(market.partial_bars(batch, "ts", "k", "p", "1 minute", "id"))
     assert rows(bars.read(), *whole.columns) == rows(whole)
+
+
+def test_daily_plan_is_made_where_it_is_written(spark, tmp_path, monkeypatch):
+    """The daily rows and the backup's are not staged beside their tables; a refused plan changes nothing."""
+    raw = spark.createDataFrame(
+        [("F1_2021_01", "2", "2021", "100", "Revenue", "28"), ("F2_2021_01", "2", "2021", "100", "Revenue", "56"), ("AC ", "2", "2021", "100", "Revenue", "7")],
+        "version string, month string, year string, region string, account string, param_value string")
+    codes = spark.createDataFrame([(5, "100", "x")], "branch_id int, code string, code_name string")
+    path, backup = str(tmp_path / "t"), str(tmp_path / "b")
+    tables.full_reload(jobs.plan_params(raw.limit(0), codes), path)
+    held, before = [], spark.conf.get(tables.OPEN_FILES_CONF)
+    monkeypatch.setattr(tables, "staged", lambda df, name: held.append(name) or pytest.fail("staged again"))
+    spec = tables.SliceSpec("report_date", keys={"param_1": None, "param_2": None})
+    read = lambda p: rows(spark.read.schema(fv.PARAMETERS_SCHEMA).parquet(p), "param_1", "report_date", "param_value", "branch_id")
+    want = sorted([("AC", D(2021, 2, 1), 7.0, 5)] + [("F2_2021_01", D(2021, 2, d), 2.0, 5) for d in range(1, 29)], key=repr)
+    for _ in range(3):
+        jobs.load_plan(spark, path, backup, raw, codes, spec)
+        assert read(path) == want and not held
+    # the backup of the third run replaces that of the second one
+    assert read(backup) == want and spark.conf.get(tables.OPEN_FILES_CONF) == before
+    with pytest.raises(ValueError, match="outside"):
+        tables.replace_slice(spark, path, F.col("param_1") == "BU", spark.read.schema(fv.PARAMETERS_SCHEMA).parquet(backup), ["param_1"], stored=True, gather=False)
+    assert read(path) == want
