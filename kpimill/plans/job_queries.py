@@ -568,6 +568,13 @@ def cdr_load_refuses(spark, sf):
     return spark.read.schema(jobs.CDR_SCHEMA).parquet(path).groupBy("data_source").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _drop_files(feed, folder: str) -> None:
+    """The feed's files as they are dropped into a folder: the rows of a file are gathered first, so there are no more files
+    for having more tasks."""
+    gathered = feed.hint("rebalance", F.col("source_file"))
+    gathered.write.mode("append").partitionBy("source_file").option("header", True).option("sep", ";").csv(folder)
+
+
 @query("arrivals_load", f"""
     WITH cdr AS ({VIEW_SQL['cdr']}), f AS (SELECT source_file, CAST(date_trunc('month', true_date) AS DATE) AS m, true_date FROM cdr WHERE Carrier1[1] IN ('T', 'H')),
       w AS (SELECT m, source_file, max(true_date) AS d, count(*) AS n, source_file[6] IN ('2', '3') AS late FROM f GROUP BY 1, 2),
@@ -596,7 +603,7 @@ def arrivals_load(spark, sf):
     kind = ", ".join(f"{c} string" for c in [*feed.drop("source_file").columns, "source_file"])
     for portion in (("0", "1"), ("2", "3")):
         arrived = feed.where(F.substring("source_file", 6, 1).isin(*portion))
-        arrived.write.mode("append").partitionBy("source_file").option("header", True).option("sep", ";").csv(source)
+        _drop_files(arrived, source)
         for _ in range(2):
             try:
                 jobs.arrive_cdr(spark, source, table, kind, checkpoint, dt.date(2021, 3, 1), file_col="source_file", glob="part-*.csv", files_per_batch=100_000)

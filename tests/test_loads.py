@@ -440,3 +440,12 @@ def test_daily_plan_is_made_where_it_is_written(spark, tmp_path, monkeypatch):
     with pytest.raises(ValueError, match="outside"):
         tables.replace_slice(spark, path, F.col("param_1") == "BU", spark.read.schema(fv.PARAMETERS_SCHEMA).parquet(backup), ["param_1"], stored=True, gather=False)
     assert read(path) == want
+
+
+def test_arriving_files_do_not_grow_with_the_tasks(spark, tmp_path):
+    from kpimill.plans import job_queries
+
+    feed = spark.createDataFrame([(f"file_{i % 3}", str(i)) for i in range(60)], "source_file string, v string").repartition(8)
+    job_queries._drop_files(feed, str(tmp_path / "in"))
+    assert len(list((tmp_path / "in").glob("source_file=*/part-*.csv"))) == 3
+    assert spark.read.option("header", True).csv(str(tmp_path / "in")).count() == 60
