@@ -342,7 +342,7 @@ def plan_load_other_months(spark, sf):
     raw = read_plan_sheets(spark, plan_sheets(spark, sf))
     codes = _retail_codes(spark, sf)
     old = jobs.daily_plan(jobs.plan_params(raw, codes).where("param_1 IN ('AC', 'BU')"), "5-LOW").withColumn("param_value", F.lit(-1.0))
-    tables.full_reload(old, path, ["param_1"])
+    tables.full_reload(old, path, ["param_1"], gather=False)
     spec = tables.SliceSpec("report_date", dt.date(1996, 1, 1), dt.date(1996, 6, 1), {"param_1": ["AC ", " BU"], "param_2": None})
     for _ in range(2):
         jobs.load_plan(spark, path, backup, raw, codes, spec, "5-LOW")

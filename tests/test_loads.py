@@ -449,3 +449,10 @@ def test_arriving_files_do_not_grow_with_the_tasks(spark, tmp_path):
     job_queries._drop_files(feed, str(tmp_path / "in"))
     assert len(list((tmp_path / "in").glob("source_file=*/part-*.csv"))) == 3
     assert spark.read.option("header", True).csv(str(tmp_path / "in")).count() == 60
+
+
+def test_reload_without_gathering(spark, tmp_path):
+    """More partitions than a task keeps files open for are written as well, and no row is lost."""
+    feed = spark.range(1000, numPartitions=2).selectExpr("CAST(id % 100 AS STRING) AS p", "id AS v")
+    assert tables.full_reload(feed, str(tmp_path / "t"), ["p"], gather=False) == 1000
+    assert spark.read.parquet(str(tmp_path / "t")).agg(F.countDistinct("v"), F.countDistinct("p")).first() == (1000, 100)
