@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpimill.llm.base import kept, texts_of
+from kpimill.llm.base import kept, parts_of, texts_of
 from kpimill.llm.chunks import ChunkEncoder, CompiledVocabulary
 from kpimill.session import materialize
 
@@ -180,7 +180,7 @@ def cut_pieces(df: DataFrame, vocabulary: str, end_id: int, size: int, id_col: s
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, end = kept(f"chunks {vocabulary}", lambda: ChunkEncoder(compiled.encoder())), np.array([end_id], "<u4").tobytes()
         part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts_of(whole)):
             out: list[tuple] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text")):
                 blob = run(text) + end

@@ -75,3 +75,35 @@ def test_stages_on_odd_rows(spark):
             assert any(r["doc_id"] is None for r in kept)
         else:
             assert out.count() >= docs.count()
+
+
+def test_workers_drop_what_other_stages_kept(spark):
+    """Tables that one stage's tasks kept in their worker are gone when another stage works on groups there."""
+    import sys
+
+    import pyarrow as pa
+
+    from kpimill.llm.base import by_batch, by_group, kept
+
+    def fill():
+        kept("test tables", lambda: [0])
+        return lambda batch: batch
+
+    def look():
+        held = getattr(sys, "_kpimill_kept", None) is not None
+        return lambda rows, cuts: pa.RecordBatch.from_arrays([pa.array([held])], ["held"])
+
+    df = spark.range(8).repartition(2)
+    by_batch(df, fill, "id long").count()
+    assert not any(r["held"] for r in by_group(df, ["id"], look, "held boolean").collect())
+
+
+def test_parts_of_a_batch():
+    import pyarrow as pa
+
+    from kpimill.llm.base import parts_of
+
+    batch = pa.RecordBatch.from_pydict({"x": list(range(1300))})
+    parts = list(parts_of(batch))
+    assert max(p.num_rows for p in parts) == 512 and [x for p in parts for x in p.column("x").to_pylist()] == list(range(1300))
+    assert not list(parts_of(batch.slice(0, 0)))
