@@ -80,7 +80,7 @@ SELLER_ARMS = ("sellers", "revoked", "distinct_sellers", "distinct_all")
 PURCHASER_ARMS = ("purchasers", "distinct_purchasers", "distinct_all")
 # Tasks that share a group of lots by their subscribers: a group that holds much of the data is spread over them, and a group
 # comes in at most so many parts to the second exchange.
-SPREAD = 32
+SPREAD = 8
 
 
 def _struct(types: dict[str, str], known: dict[str, str]) -> str:

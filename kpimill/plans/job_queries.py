@@ -13,7 +13,7 @@ from kpimill.plans import jobs
 from kpimill.plans.cube_queries import arm_sql
 from kpimill.plans.registry import query
 from kpimill.plans.scan_queries import PLAN_RAW_SQL, plan_sheets, read_plan_sheets
-from kpimill.session import scratch_path
+from kpimill.session import materialize, scratch_path
 from kpimill.sinks import statistics, tables, versions
 from kpimill.sources import analog as A, files
 from kpimill.sources.analog import VIEW_SQL, table, with_views
@@ -56,8 +56,9 @@ def refresh_all(spark, sf):
     """Rebuild the cube table twice: the second run replaces all three periods and changes nothing."""
     path = scratch_path(spark, "cube")
     max_date = table(spark, sf, "orders").agg(F.max("o_orderdate").cast("date")).first()[0]
+    lots, daily = materialize(A.lots(spark, sf), "lots"), materialize(A.base_daily(spark, sf), "base-daily")
     for _ in range(2):
-        jobs.refresh_all(spark, path, A.lots(spark, sf), A.base_daily(spark, sf), max_date, MONTHS_FROM, dt.date(2001, 12, 31))
+        jobs.refresh_all(spark, path, lots, daily, max_date, MONTHS_FROM, dt.date(2001, 12, 31))
     out = spark.read.parquet(path)
     return out.withColumn("lot_volume", F.round("lot_volume", 2)).withColumn("sold_value", F.round("sold_value", 2))
 
@@ -425,8 +426,9 @@ def refresh_statistics(spark, sf):
     standard errors, the median's rank within its bound."""
     path, stats = scratch_path(spark, "cube"), scratch_path(spark, "cube-statistics")
     max_date = table(spark, sf, "orders").agg(F.max("o_orderdate").cast("date")).first()[0]
+    lots, daily = materialize(A.lots(spark, sf), "lots"), materialize(A.base_daily(spark, sf), "base-daily")
     for months_from in (dt.date(1996, 1, 1), MONTHS_FROM):
-        jobs.refresh_all(spark, path, A.lots(spark, sf), A.base_daily(spark, sf), max_date, months_from, dt.date(2001, 12, 31), statistics_path=stats)
+        jobs.refresh_all(spark, path, lots, daily, max_date, months_from, dt.date(2001, 12, 31), statistics_path=stats)
     found = statistics.table_statistics(versions.VersionedTable(spark, stats)).where(F.col("column_name").isin(*_STATISTICS))
     rows = spark.read.parquet(path)
     texts = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("text"), F.col(c).cast("double").alias("number") if c in _NUMBERS

@@ -456,3 +456,28 @@ def test_reload_without_gathering(spark, tmp_path):
     feed = spark.range(1000, numPartitions=2).selectExpr("CAST(id % 100 AS STRING) AS p", "id AS v")
     assert tables.full_reload(feed, str(tmp_path / "t"), ["p"], gather=False) == 1000
     assert spark.read.parquet(str(tmp_path / "t")).agg(F.countDistinct("v"), F.countDistinct("p")).first() == (1000, 100)
+
+
+def test_refresh_queries_join_their_lots_once(spark, monkeypatch):
+    """Both refreshes of a query read the same staged lots."""
+    from kpimill.plans import job_queries
+
+    made, stand = [], (lambda what: lambda spark, sf: made.append(what) or spark.range(1))
+    seen = []
+    monkeypatch.setattr(job_queries.A, "lots", stand("lots"))
+    monkeypatch.setattr(job_queries.A, "base_daily", stand("daily"))
+    monkeypatch.setattr(job_queries, "table", lambda *_: spark.createDataFrame([(dt.datetime(2001, 12, 1),)], "o_orderdate timestamp_ntz"))
+
+    class Done(Exception):
+        pass
+
+    def refresh(spark, path, lots, daily, *rest, **options):
+        seen.append((lots, daily))
+        if len(seen) % 2 == 0:
+            raise Done
+
+    monkeypatch.setattr(job_queries.jobs, "refresh_all", refresh)
+    for query in (job_queries.refresh_all, job_queries.refresh_statistics):
+        with pytest.raises(Done):
+            query(spark, "none")
+    assert made == ["lots", "daily"] * 2 and seen[0][0] is seen[1][0] and seen[2][0] is seen[3][0]

@@ -141,3 +141,22 @@ def test_spread_groups_count_every_subscriber_once(spark):
         ("sellers", 1): (90, None, 1000, 1000.0, 1, None), ("purchasers", 2): (None, 90, 1000, 1000.0, None, 2),
         ("distinct sellers by traffic type", 1): (90, None, 1000, 1000.0, None, None),
         ("distinct all subs", 1): (90, 90, None, None, None, None), ("distinct all subs", 2): (90, 90, None, None, None, None)}
+
+
+def test_a_group_comes_in_few_parts(spark):
+    """The second exchange gets a group in at most eight parts, however many tasks and subscribers there are."""
+    df = spark.range(4000).selectExpr(
+        "id AS lot_id", "1 AS subs_flag", "DATE '2021-01-05' AS lot_placement_date", "CAST(NULL AS DATE) AS lot_purchase_date",
+        "CAST(NULL AS DATE) AS subs_revocation_date", "CAST(NULL AS INT) AS sys_revocation_flag", "'t' AS traffic_type", "id AS subs_id_seller",
+        "id AS subs_id_purchaser", "1 AS branch_id_seller", "1 AS branch_id_purchaser", "1L AS tp_id_seller", "1L AS tp_id_purchaser", "1.0D AS lot_volume",
+        "1.0D AS lot_value")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        out = C.lot_arms(df, [KINDS[2]], ["sellers"])
+        assert [r.sellers_count for r in out.collect()] == [4000]
+        shares = C._party_rows(df, [KINDS[2]], [("sellers", "seller")], True, "placement").selectExpr(
+            f"pmod(xxhash64(subs_id), {C.SPREAD}) AS s").distinct().count()
+        assert shares <= 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
