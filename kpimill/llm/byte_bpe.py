@@ -26,7 +26,7 @@ from kpimill.llm.chunks import ChunkEncoder, ids_of
 KEPT_TRANSITIONS = 600_000
 KEPT_PAIRS = 500_000
 KEPT_MATCHES = 400_000
-KEPT_CHUNKS = 300_000
+KEPT_CHUNKS = 700_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -130,9 +130,11 @@ class Transducer:
 
     def _reset(self) -> None:
         start = (-1, ((0, ()),))
-        self.states: list[tuple] = [start]
-        self.number: dict[tuple, int] = {start: 0}
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # state * 256 + byte -> (state, tokens emitted)
+        for moves in getattr(self, "number", {}).values():
+            moves.clear()  # states point at one another in circles
+        self.start: dict = {None: start}
+        self.number: dict[tuple, dict] = {start: self.start}
+        self.made = 0
 
     def _step(self, state: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
         last, items = state
@@ -171,29 +173,29 @@ class Transducer:
     def encode(self, text: bytes) -> list[int]:
         """The tokens of one stretch of bytes."""
         out: list[int] = []
-        at, moves = 0, self.moves
+        at = self.start
         for byte in text:
-            move = moves.get(at << 8 | byte)
+            move = at.get(byte)
             if move is None:
-                state = self.states[at]
-                if len(moves) >= self.bound:
+                state = at[None]
+                if self.made >= self.bound:
                     self._reset()
-                    moves = self.moves
                     at = self._place(state)
                 nxt, emitted = self._step(state, byte)
-                move = moves[at << 8 | byte] = (self._place(nxt), emitted)
+                move = at[byte] = (self._place(nxt), emitted)
+                self.made += 1
             at, emitted = move
             if emitted:
                 out += emitted
-        out += self.states[at][1][-1][1]
+        out += at[None][1][-1][1]
         return out
 
-    def _place(self, state: tuple) -> int:
-        n = self.number.get(state)
-        if n is None:
-            n = self.number[state] = len(self.states)
-            self.states.append(state)
-        return n
+    def _place(self, state: tuple) -> dict:
+        """The moves of a state: byte -> (moves of the next state, tokens emitted); the state itself is under None."""
+        moves = self.number.get(state)
+        if moves is None:
+            moves = self.number[state] = {None: state}
+        return moves
 
 
 def transducer_encoder(ranks: dict[bytes, int], pattern: str, bound: int = KEPT_MATCHES):
@@ -291,7 +293,9 @@ class StreamDecoder:
     """Ids to text, a piece at a time."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.token = {rank: text for text, rank in ranks.items()}
+        self.token = [b""] * (max(ranks.values(), default=-1) + 1)
+        for text, rank in ranks.items():
+            self.token[rank] = text
 
     def decode(self, ids: list[int], piece: int = 4096) -> Iterable[str]:
         machine = Utf8Machine()
