@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from itertools import accumulate, chain
 
 import numpy as np
 
@@ -38,12 +39,14 @@ class ChunkEncoder:
     """Texts to ids as little-endian uint32 bytes.
 
     ``encode_many`` gets distinct chunks (with their leading space) and returns the ids of each as such bytes. The cache
-    holds regular chunks only and is emptied when it is full.
+    holds regular chunks only, in two halves: a full half becomes the old one, whose chunks move over when they are met
+    again, and the old one before it is dropped. So common chunks outlast the rare ones.
     """
 
     def __init__(self, encode_many: Callable[[list[str]], list[bytes]], limit: int = CACHED_CHUNKS):
         self.encode_many, self.limit = encode_many, limit
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
         if not text:
@@ -52,20 +55,27 @@ class ChunkEncoder:
         head = parts[0]
         if not head or head[-1].isspace():
             return self._irregular(text)
-        cache, rest = self.cache, parts[1:]
-        found = list(map(cache.get, rest))
+        rest = parts[1:]
+        found = list(map(self.cache.get, rest))
         if None in found:
-            missing = {p for p, f in zip(rest, found) if f is None}
-            if any(not p or p[0].isspace() or p[-1].isspace() for p in missing):
+            missing = list({p for p, f in zip(rest, found) if f is None})
+            if "" in missing or list(map(str.strip, missing)) != missing:  # blanks that belong to no single word
                 return self._irregular(text)
-            if len(cache) + len(missing) > self.limit:
-                cache.clear()
-                missing = set(rest)
-            new = list(missing)
-            cache.update(zip(new, self.encode_many([" " + p for p in new])))
-            found = list(map(cache.__getitem__, rest))
+            new = self._looked_up(missing)
+            found = [new[p] if f is None else f for p, f in zip(rest, found)]
         return self.encode_many([head])[0] + b"".join(found)
 
+    def _looked_up(self, missing: list[str]) -> dict[str, bytes]:
+        """The ids of words that the newer half lacks; they are in it afterwards."""
+        known = dict(zip(missing, map(self.old.get, missing)))
+        fresh = [p for p, f in known.items() if f is None]
+        if fresh:
+            known.update(zip(fresh, self.encode_many([" " + p for p in fresh])))
+        if 2 * (len(self.cache) + len(known)) > self.limit:
+            self.old, self.cache = self.cache, {}
+        self.cache.update(known)
+        return known
+
     def _irregular(self, text: str) -> bytes:
         chunks = split_chunks(text)
         new = list(dict.fromkeys(chunks))
@@ -139,7 +149,6 @@ def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
 # fixed values: the split patterns of the two kinds of vocabulary
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-MARK = "\x01"
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -228,28 +237,48 @@ class CompiledVocabulary:
         merger = tiktoken.Encoding("compiled", pat_str=r"[^ ]+ " if words else BYTE_LEVEL_PATTERN, mergeable_ranks=self.ranks, special_tokens={})
         ids_by_rank, find, spare = self.ids, regex.compile(WORD_PATTERN).findall, None
 
+        def cut(ids: np.ndarray, begins: list[int], ends: list[int]) -> list[bytes]:
+            blob = ids.tobytes()
+            return [blob[a:b] for a, b in zip(begins, ends)]
+
         if not words:
 
             def many(chunks: list[str]) -> list[bytes]:
-                return [ids_by_rank[found].tobytes() for found in map(merger.encode_ordinary, chunks)]
+                if len(chunks) == 1:
+                    return [ids_by_rank[merger.encode_ordinary(chunks[0])].tobytes()]
+                found = list(map(merger.encode_ordinary, chunks))
+                ends = list(accumulate(4 * n for n in map(len, found)))
+                return cut(ids_by_rank[list(chain.from_iterable(found))], [0, *ends], ends)
 
             return many
 
-        sign = ids_by_rank[self.ranks[MARK.encode() + b" "]]
+        # a piece is a word and its end, and only the token that ends it holds a blank
+        ends_piece = np.zeros(len(self.ranks), bool)
+        ends_piece[[rank for token, rank in self.ranks.items() if token.endswith(b" ")]] = True
+
+        def known_script(text: str) -> bool:
+            # lower-casing and classes of these scripts are the same in every library; the rest goes to the library itself
+            return text.isascii() or max(text) < "Ͱ"
+
+        def pieces(chunk: str) -> list[str]:
+            text = unicodedata.normalize("NFC", chunk).lower()
+            word = text[1:]
+            return [word] if text[:1] == " " and word.isalpha() else find(text)
 
         def many(chunks: list[str]) -> list[bytes]:
             nonlocal spare
-            # lower-casing and classes of these scripts are the same in every library; the rest goes to the library itself
-            simple = [c for c in chunks if (c.isascii() or max(c) < "Ͱ") and MARK not in c]
-            done: dict[str, bytes] = {}
-            if simple:
-                text = unicodedata.normalize("NFC", f" {MARK} ".join(simple)).lower()
-                found = find(text)
-                ids = ids_by_rank[merger.encode_ordinary(" ".join(found) + " ")] if found else np.zeros(0, "<u4")
-                cuts = np.flatnonzero(ids == sign)
-                if len(cuts) == len(simple) - 1:
-                    blob, begins, ends = ids.tobytes(), np.append(0, cuts + 1) * 4, np.append(cuts, len(ids)) * 4
-                    done = {c: blob[a:b] for c, a, b in zip(simple, begins.tolist(), ends.tolist())}
+            simple = chunks if known_script("".join(chunks)) else [c for c in chunks if known_script(c)]
+            made: list[bytes] = []
+            split = list(map(pieces, simple))
+            words = list(chain.from_iterable(split))
+            ranks = np.array(merger.encode_ordinary(" ".join(words) + " ") if words else [], np.int64)
+            ends = np.append(0, np.flatnonzero(ends_piece[ranks]) + 1)
+            if len(ends) == len(words) + 1:
+                at = (4 * ends[[0, *accumulate(map(len, split))]]).tolist()
+                made = cut(ids_by_rank[ranks], at, at[1:])
+            if len(made) == len(chunks):
+                return made
+            done = dict(zip(simple, made))
             left = [c for c in chunks if c not in done]
             if left:
                 spare = spare or library_encoder(self.path)

@@ -10,7 +10,7 @@ import pytest
 from fixtures import fuzz_texts, here, odd_documents, table
 
 from kpimill.llm.byte_bpe import StreamDecoder, Transducer, Utf8Machine, encode_decode, load_ranks, transducer_encoder
-from kpimill.llm.chunks import ChunkEncoder, ids_of, library_encoder, split_chunks
+from kpimill.llm.chunks import ChunkEncoder, CompiledVocabulary, ids_of, library_encoder, split_chunks
 from kpimill.llm.packing import best_fit, pack, plan_patterns
 from kpimill.llm.token_files import pack_ranks, read_block, token_files, unpack_ranks, write_block
 
@@ -43,6 +43,32 @@ def test_chunked_encoding_is_the_library_s(name):
         assert ids_of(run(t)).tolist() == want(t)
 
 
+def test_compiled_words_are_the_library_s():
+    """Plain words skip the pattern; lower-casing may turn a letter into several characters."""
+    run, want = ChunkEncoder(CompiledVocabulary(public_tokenizers.path("word_bpe_49k.json")).encoder(), limit=50), library("word_bpe_49k.json")
+    for t in ["a \u0130stanbul x\u0130y \u00c9t\u00e9 e\u0301 \u00aa \u0416\u0443\u043a \u4e2d b", "it's 12 a.b \x01 c", *fuzz_texts(2000, 4)]:
+        assert ids_of(run(t)).tolist() == want(t)
+
+
+def test_common_chunks_outlast_rare_ones():
+    """A full cache keeps what is met again and again; rare chunks don't push it out."""
+    asked = []
+    run = ChunkEncoder(lambda chunks: asked.extend(chunks) or [c.encode() for c in chunks], limit=20)
+    for i in range(100):
+        text = f"x often a{i} b{i} c{i}"
+        assert run(text) == text.encode()
+        assert len(run.cache) + len(run.old) <= 20
+    assert asked.count(" often") == 1
+
+
+def test_machine_starts_again_without_circles():
+    """States point at one another; a table that is full is taken apart, as workers rest the cycle collector."""
+    machine = Transducer(load_ranks(RANKS), bound=30)
+    first = machine.start
+    machine.encode(b"understandingly, the other one " * 5)
+    assert machine.start is not first and not first
+
+
 def test_transducer_is_plain_bpe():
     ranks = load_ranks(RANKS)
     want = reference_bpe(ranks)
