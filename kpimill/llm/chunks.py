@@ -3,6 +3,9 @@
 A chunk is what lies between two spaces that have a non-blank character on both sides. A byte-level pattern (words with
 their leading space) always starts a new match at such a space, and a pattern that drops blanks never matches across
 it, so the ids of a text are the ids of its chunks, one after another. Nothing is cut by length.
+
+Where the pattern drops blanks and tells letters, digits and marks apart, chunks are cut further, to pieces, by tables of
+bytes and for many texts at once (``PieceEncoder``).
 """
 
 from __future__ import annotations
@@ -12,6 +15,8 @@ from collections.abc import Callable
 from itertools import accumulate, chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 CACHED_CHUNKS = 700_000
 
@@ -65,12 +70,16 @@ class ChunkEncoder:
             found = [new[p] if f is None else f for p, f in zip(rest, found)]
         return self.encode_many([head])[0] + b"".join(found)
 
+    @staticmethod
+    def chunk(word: str) -> str:
+        return " " + word
+
     def _looked_up(self, missing: list[str]) -> dict[str, bytes]:
         """The ids of words that the newer half lacks; they are in it afterwards."""
         known = dict(zip(missing, map(self.old.get, missing)))
         fresh = [p for p, f in known.items() if f is None]
         if fresh:
-            known.update(zip(fresh, self.encode_many([" " + p for p in fresh])))
+            known.update(zip(fresh, self.encode_many(list(map(self.chunk, fresh)))))
         if 2 * (len(self.cache) + len(known)) > self.limit:
             self.old, self.cache = self.cache, {}
         self.cache.update(known)
@@ -83,6 +92,80 @@ class ChunkEncoder:
         return b"".join(map(ids.__getitem__, chunks))
 
 
+BLANKS = b"\t\n\x0b\x0c\r "
+TEXT_END = b"\xff"  # in no UTF-8 text
+
+
+def piece_tables() -> tuple[bytes, bytes]:
+    """Bits by byte, of the byte before and of the byte after a place: a piece goes on there if the two share a bit.
+
+    Blanks lead a piece, runs of ASCII letters and of ASCII marks are pieces, and so is every ASCII digit. Apostrophes, control
+    bytes and bytes of other characters, of which the byte alone says too little, stay with whatever stands beside them but blanks.
+    """
+    blank, letter, mark, before_digit, after_digit = 1, 2, 4, 8, 16
+    any_before, any_after = letter | mark | after_digit, letter | mark | before_digit
+    before, after = [any_before] * 256, [any_after] * 256
+    for byte in range(128):
+        if byte in BLANKS:
+            before[byte], after[byte] = blank | any_after, blank
+        elif chr(byte).isalpha():
+            before[byte] = after[byte] = letter
+        elif chr(byte).isdigit():
+            before[byte], after[byte] = after_digit, before_digit
+        elif chr(byte).isprintable() and chr(byte) != "'":
+            before[byte] = after[byte] = mark
+    before[TEXT_END[0]] = after[TEXT_END[0]] = 0
+    return bytes(before), bytes(after)
+
+
+class PieceEncoder(ChunkEncoder):
+    """Many texts at once to ids as little-endian uint32 bytes, each text's ids with ``end`` after them, for ``words`` vocabularies.
+
+    A piece is one or more whole matches of the pattern with the blanks before them. Arrow numbers the distinct pieces of
+    the texts, only those are looked up, and their ids are taken by number. Capital ASCII letters are made small first, as the
+    normaliser does, unless there may be a combining mark: some compose with small letters only.
+    """
+
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], end: bytes = b"", limit: int = CACHED_CHUNKS):
+        super().__init__(encode_many, limit)
+        self.end, (self.before, self.after) = end, piece_tables()
+
+    @staticmethod
+    def chunk(word: bytes) -> str:
+        return " " + word.lstrip(BLANKS).decode()
+
+    def cut(self, texts: pa.Array) -> pa.DictionaryArray:
+        """The pieces of all texts in a row, ``TEXT_END`` after each text."""
+        whole = pc.binary_join_element_wise(pc.fill_null(texts, "").cast(pa.binary()), b"", TEXT_END)
+        at = np.frombuffer(whole.buffers()[1], np.int32, len(whole) + 1, 4 * whole.offset)
+        data = whole.buffers()[2][int(at[0]) : int(at[-1])].to_pybytes()
+        if b"\xcc" not in data and b"\xcd" not in data:  # the lead bytes of U+0300 to U+036F
+            data = data.lower()
+        before, after = (np.frombuffer(data.translate(t), np.uint8) for t in (self.before, self.after))
+        ends = np.flatnonzero((before[:-1] & after[1:]) == 0) + 1
+        offsets = np.concatenate([[0], ends, [len(data)]]).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+
+    def __call__(self, texts: pa.Array) -> pa.Array:
+        if not len(texts):
+            return pa.array([], pa.binary())
+        coded = self.cut(texts)
+        pieces, numbers = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        found, last = list(map(self.cache.get, pieces)), pieces.index(TEXT_END)
+        found[last] = self.end
+        missing = [p for p, f in zip(pieces, found) if f is None]
+        if missing:
+            new = self._looked_up(missing)
+            found = [new[p] if f is None else f for p, f in zip(pieces, found)]
+        ids = pa.array(found, pa.large_binary()).take(coded.indices)
+        places = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)
+        ends = places[1:][numbers == last]
+        if len(ends) != len(texts):
+            raise ValueError("a text is not UTF-8")
+        offsets = np.append(0, ends).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), ids.buffers()[2]])
+
+
 def ids_of(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, "<u4")
 
@@ -286,3 +369,10 @@ class CompiledVocabulary:
             return list(map(done.__getitem__, chunks))
 
         return many
+
+    def batch_encoder(self, end: bytes) -> Callable[[pa.Array], pa.Array]:
+        """Many texts (null: empty) to their ids with ``end`` after each, as a binary array."""
+        if self.kind == "words":
+            return PieceEncoder(self.encoder(), end)
+        run = ChunkEncoder(self.encoder())
+        return lambda texts: pa.array([run(t or "") + end for t in texts.to_pylist()], pa.binary())

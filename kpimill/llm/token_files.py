@@ -18,12 +18,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpimill.llm.base import kept, parts_of, texts_of
-from kpimill.llm.chunks import ChunkEncoder, CompiledVocabulary, ids_of
+from kpimill.llm.base import give_back, kept, parts_by_bytes
+from kpimill.llm.chunks import CompiledVocabulary, ids_of
 from kpimill.session import scratch_path
 
 MAGIC = b"TKF1"
@@ -88,17 +89,20 @@ def write_token_files(df: DataFrame, path: str, vocabulary: str, end_id: int, id
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, place, total = TaskContext.get().partitionId(), 0, np.zeros(0, np.int64)
-        run, end = kept(f"chunks {vocabulary}", lambda: ChunkEncoder(compiled.encoder())), np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4").tobytes()
+        run = kept(f"chunks {vocabulary} {end_id}", lambda: compiled.batch_encoder(end))
         names = ["part", "start", "doc_id", "n", "ids"]
-        for batch in (part for whole in batches for part in parts_of(whole)):
-            found = [run(t) + end for t in texts_of(batch, "text")]
-            counts = np.array([len(f) // 4 for f in found], np.int64)
+        for batch in (part for whole in batches for part in parts_by_bytes(whole, "text")):
+            found = run(batch.column("text"))
+            counts = pc.binary_length(found).to_numpy().astype(np.int64) // 4
             starts = place + np.cumsum(counts) - counts
             place += int(counts.sum())
-            used = np.bincount(ids_of(b"".join(found)), minlength=len(total))
+            used = np.bincount(np.frombuffer(found.buffers()[2], "<u4", int(counts.sum())), minlength=len(total))
             used[: len(total)] += total
             total = used
-            yield pa.RecordBatch.from_arrays([pa.array([part] * len(found), pa.int32()), pa.array(starts), batch.column("doc_id"), pa.array(counts), pa.array(found, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), part, np.int32)), pa.array(starts), batch.column("doc_id"), pa.array(counts), found], names)
+            del found
+        give_back()
         # the task's last row holds how often it used every id
         yield pa.RecordBatch.from_arrays(
             [pa.array([part], pa.int32()), pa.array([-1], pa.int64()), pa.array([None], pa.int64()), pa.array([-1], pa.int64()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names

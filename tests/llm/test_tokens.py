@@ -6,11 +6,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from fixtures import fuzz_texts, here, odd_documents, table
 
+from kpimill.llm.base import parts_by_bytes
 from kpimill.llm.byte_bpe import StreamDecoder, Transducer, Utf8Machine, encode_decode, load_ranks, transducer_encoder
-from kpimill.llm.chunks import ChunkEncoder, CompiledVocabulary, ids_of, library_encoder, split_chunks
+from kpimill.llm.chunks import ChunkEncoder, CompiledVocabulary, PieceEncoder, ids_of, library_encoder, split_chunks
 from kpimill.llm.packing import best_fit, pack, plan_patterns
 from kpimill.llm.token_files import pack_ranks, read_block, token_files, unpack_ranks, write_block
 
@@ -50,6 +52,41 @@ def test_compiled_words_are_the_library_s():
         assert ids_of(run(t)).tolist() == want(t)
 
 
+def test_pieces_are_the_library_s():
+    """Cutting by tables of bytes gives the ids of the pattern: apostrophes, digits, marks, combining characters, blanks of all kinds."""
+    parts = ["a", "B", "h", "H", "I", "1", "\u0663", "\u00bd", "_", ".", "<", "-", "'", "\u2019", "'s", "s'", "don't", "THE", "<|endoftext|>", "\u0130", "\u0131", "\u0331", "\u0307", "\u0301", "\u0338"]
+    parts += [*" \n\t\x0b\x1c\x85\xa0\u2009\u3000\x00\x7f", "\u00c9", "\u00df", "\u1e9e", "\u03a3", "\u4e2d", "\u0928\u093f", "\u200d", "\U0001f600", "\ufb01", "\u00aa", "\u212a", "\ufb2c", "\u1e96"]
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(6000)] + [*fuzz_texts(2000, 6), "", None, " ", "\n"]
+    plain = [t for t in texts if t is None or not any("\u0300" <= c <= "\u036f" for c in t)]  # these are made small first
+    assert len(plain) > 100
+    run, want = PieceEncoder(CompiledVocabulary(public_tokenizers.path("word_bpe_49k.json")).encoder(), b"\2\0\0\0", limit=500), library("word_bpe_49k.json")
+    for some in (texts, plain):
+        for at in range(0, len(some), 500):
+            got = run(pa.array([None, *some[at : at + 500]], pa.string()).slice(1))
+            assert [ids_of(b).tolist() for b in got.to_pylist()] == [[*want(t or ""), 2] for t in some[at : at + 500]]
+
+
+def test_pieces_of_many_texts_are_encoded_once():
+    """Words that differ in case, in the marks after them or in what a line break ties to them are merged once for all texts."""
+    asked = []
+    many = CompiledVocabulary(public_tokenizers.path("word_bpe_49k.json")).encoder()
+    run = PieceEncoder(lambda chunks: asked.extend(chunks) or many(chunks))
+    for _ in range(2):
+        run(pa.array([f"x {w}{m} {w.title()}{m}\nx" for w in ("lorem", "ipsum") for m in (".", ",", "!?", "...", "")], pa.string()))
+    assert sorted(asked) == sorted([" x", " x", " lorem", " ipsum", " .", " ,", " !?", " ..."])  # "x" begins a text and follows a line break
+
+
+def test_parts_by_bytes_hold_every_row():
+    texts = ["a" * 10, None, "b" * 100, "", "c" * 5, "\u00e9" * 3, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    for most in (1, 11, 20, 1000):
+        parts = [p.column("text").to_pylist() for p in parts_by_bytes(batch, "text", most)]
+        assert sum(parts, []) == texts
+        assert all(len(p) == 1 or sum(len((t or "").encode()) for t in p) <= most for p in parts)
+    assert list(parts_by_bytes(batch.slice(0, 0), "text")) == []
+
+
 def test_common_chunks_outlast_rare_ones():
     """A full cache keeps what is met again and again; rare chunks don't push it out."""
     asked = []
