@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpimill.llm.base import kept, parts_of, texts_of
+from kpimill.llm.base import forget, parts_of, texts_of
 from kpimill.llm.chunks import ChunkEncoder, CompiledVocabulary
 from kpimill.session import materialize
 
@@ -178,7 +178,8 @@ def cut_pieces(df: DataFrame, vocabulary: str, end_id: int, size: int, id_col: s
     compiled = CompiledVocabulary(vocabulary)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run, end = kept(f"chunks {vocabulary}", lambda: ChunkEncoder(compiled.encoder())), np.array([end_id], "<u4").tobytes()
+        forget()  # the cache of an encoder fills within a task, so none is kept for the next one
+        run, end = ChunkEncoder(compiled.encoder()), np.array([end_id], "<u4").tobytes()
         part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
         for batch in (part for whole in batches for part in parts_of(whole)):
             out: list[tuple] = []
@@ -193,6 +194,8 @@ def cut_pieces(df: DataFrame, vocabulary: str, end_id: int, size: int, id_col: s
             names = ["part", "doc_id", "piece", "start", "length", "ids_crc32", "rank"]
             kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+        del run
+        forget()
 
     return rows.mapInArrow(cut, "part int, doc_id long, piece int, start long, length long, ids_crc32 long, rank long")
 

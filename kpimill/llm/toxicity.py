@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpimill.llm.base import by_batch, kept, row_schema, row_texts, texts_of, with_row
+from kpimill.llm.base import by_batch, forget, kept, row_schema, row_texts, texts_of, with_row
 from kpimill.llm.labelled import training_rows
 
 WINDOW, STRIDE = 32, 16  # words; a passage of up to 17 words is whole in one window
@@ -37,7 +37,8 @@ EDGE = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»¿¡„“”
 def normal(word: str) -> str:
     """Lower-cased, without punctuation at the ends; a word of punctuation only stays as it is."""
     low = word.lower()
-    return low.strip(EDGE) or low
+    low = low.strip(EDGE) or low
+    return word if low == word else low  # one object for both where they are equal
 
 
 def split(text: str) -> list[str]:
@@ -291,8 +292,8 @@ class Scorer:
     def _reset(self) -> None:
         self.place: dict[str, int] = {}  # normalised words
         self.seen: dict[str, int] = {}  # words as they stand in texts
-        # place 0 stands for no word at all: its input part is that of a zero vector
-        self.tables = {d: np.zeros((1 << 12, 3 * WORD_STATES), np.float32) for d in "fb"}
+        # place 0 stands for no word at all: its input part is that of a zero vector; pages without words take no memory
+        self.tables = {d: np.zeros((self.bound + 1, 3 * WORD_STATES), np.float32) for d in "fb"}
         for d, rows in self.net.tables(np.zeros((1, 2 * CHAR_STATES + WORD_SIZE), np.float32)).items():
             self.tables[d][0] = rows[0]
 
@@ -303,8 +304,8 @@ class Scorer:
         need = len(self.place) + 1
         for d in "fb":
             size = len(self.tables[d])
-            if need > size:
-                self.tables[d] = np.concatenate([self.tables[d], np.zeros((max(need, 2 * size) - size, 3 * WORD_STATES), np.float32)])
+            if need > size:  # one stretch of texts has more words than the bound
+                self.tables[d] = np.concatenate([self.tables[d], np.zeros((need - size, 3 * WORD_STATES), np.float32)])
         for a in range(0, len(words), 20_000):
             part = words[a : a + 20_000]
             for d, rows in self.net.tables(self.net.word_vectors(part)).items():
@@ -382,7 +383,9 @@ def train(texts: list[str], y: np.ndarray, weight: np.ndarray, seed: int = 11) -
     use = distinct_examples(texts)
     texts, y, weight = [texts[i] for i in use], y[use], weight[use]
     rng = np.random.default_rng(seed)
-    lists = [words_of(t) for t in texts]
+    same: dict[str, str] = {}  # one object a word, however often it stands in the texts
+    lists = [[same.setdefault(w, w) for w in words_of(t)] for t in texts]
+    del same
     seen = [Counter(w for ws, label in zip(lists, y) if label == c for w in set(ws)) for c in (0, 1)]
     total = [max(1, int((y == c).sum())) for c in (0, 1)]
     often = [w for w, n in sorted((seen[0] + seen[1]).items(), key=lambda x: (-x[1], x[0])) if n >= 4][:VOCABULARY]
@@ -401,6 +404,7 @@ def train(texts: list[str], y: np.ndarray, weight: np.ndarray, seed: int = 11) -
         if turn:
             scorer = Scorer(net)
             logits, owner, start = (np.concatenate(p) for p in zip(*(_scored(scorer, texts, a) for a in range(0, len(texts), 256))))
+            del scorer  # its words and their input parts; the next one reads them anew
             order = np.lexsort((-logits, owner))
             top = order[np.append(True, owner[order][1:] != owner[order][:-1])]
             for k in top:
@@ -426,6 +430,7 @@ def train(texts: list[str], y: np.ndarray, weight: np.ndarray, seed: int = 11) -
                 windows.append(window)
             _, g = net.gradients(windows, np.repeat(np.array([0, 1], np.float32), half), rng.random)
             net.adam(g, state, 0.01 if turn < ROUNDS - 1 else 0.003)
+    del lists
     if len(texts):
         _calibrate(net, Scorer(net).highest(texts), y, weight)
     return net
@@ -459,11 +464,14 @@ def fit(documents: DataFrame, labels: DataFrame, label: str, in_training: Column
     rows = training_rows(documents, labels, label, in_training, per_class)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         found = [r for b in batches for r in zip(b.column("doc_id").to_pylist(), texts_of(b, "text"), b.column("y").to_pylist(), b.column("weight").to_pylist())]
         if found:
             _, texts, y, weight = zip(*sorted(found))
             net = train(list(texts), np.array(y), np.array(weight))
+            del found, texts
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((list(net.words), net.p))], pa.binary())], ["net"])
+        forget()
 
     got = rows.repartition(1).mapInArrow(learn, "net binary").collect()
     if not got:

@@ -5,6 +5,7 @@ import pytest
 import test_minhash
 import test_suffix_dedup
 from fixtures import SF, here, odd_documents, table
+from pyspark.sql import functions as F
 
 fold_case = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
 
@@ -98,6 +99,73 @@ def test_workers_drop_what_other_stages_kept(spark):
     assert not any(r["held"] for r in by_group(df, ["id"], look, "held boolean").collect())
 
 
+def held(spark, fill=False):
+    """Whether each of the session's workers keeps an object; with ``fill`` it is given one."""
+    from kpimill.llm.base import kept
+
+    def look(batches):
+        import sys
+        import time
+
+        import pyarrow as pa
+
+        for _ in batches:
+            if fill:
+                kept("test tables", lambda: [0])
+            time.sleep(0.5)
+            yield pa.RecordBatch.from_arrays([pa.array([getattr(sys, "_kpimill_kept", None) is not None])], ["held"])
+
+    return [r.held for r in spark.range(0, 4, 1, 4).mapInArrow(look, "held boolean").collect()]
+
+
+def test_packing_leaves_nothing_in_workers(spark):
+    import public_tokenizers
+
+    from kpimill.llm.packing import pack
+
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id long, text string").repartition(8)
+    assert all(held(spark, fill=True))
+    assert pack(docs, public_tokenizers.path("byte_bpe_50k.json")).count() == 40
+    assert not any(held(spark))
+
+
+def test_training_drops_what_other_stages_kept(spark, monkeypatch):
+    from kpimill.llm import toxicity
+
+    def train(texts, y, weight):
+        import sys
+
+        return toxicity.Network(["held"] if getattr(sys, "_kpimill_kept", None) is not None else ["free"])
+
+    monkeypatch.setattr(toxicity, "train", train)
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(8)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, toxic int")
+    assert all(held(spark, fill=True))
+    assert list(toxicity.fit(docs, labels, "toxic", F.lit(True)).words) == ["free"]
+
+
+def test_training_has_one_scorer_at_a_time(monkeypatch):
+    import weakref
+
+    import numpy as np
+
+    from kpimill.llm import toxicity
+
+    alive, most = weakref.WeakSet(), []
+
+    class Counted(toxicity.Scorer):
+        def __init__(self, *a):
+            super().__init__(*a)
+            alive.add(self)
+            most.append(len(alive))
+
+    monkeypatch.setattr(toxicity, "Scorer", Counted)
+    monkeypatch.setattr(toxicity, "STEPS_PER_ROUND", 2)
+    texts = [f"{'bad' if i % 2 else 'good'} word{i} thing{i} that{i}" for i in range(20)]
+    toxicity.train(texts, np.arange(20) % 2, np.ones(20))
+    assert most == [1] * toxicity.ROUNDS
+
+
 def test_parts_of_a_batch():
     import pyarrow as pa
 
